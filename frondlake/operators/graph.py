@@ -205,7 +205,9 @@ def _replay(pdf: pd.DataFrame) -> pd.DataFrame:
                     found.setdefault((min(x, y), max(x, y)), float(r.w))
         if ta or tb:
             tags[ra] = ta | tb
-    return pd.DataFrame([(x, y, w) for (x, y), w in found.items()], columns=["ga", "gb", "radius"])
+    # pairs together from the start belong to a lighter interval (or share a member)
+    return pd.DataFrame([(x, y, w) for (x, y), w in found.items() if w > 0],
+                        columns=["ga", "gb", "radius"])
 
 
 def join_radii(tree: DataFrame, groups: DataFrame, replay_edges: int = 100_000) -> DataFrame:
@@ -215,7 +217,6 @@ def join_radii(tree: DataFrame, groups: DataFrame, replay_edges: int = 100_000)
     Weights are halved: pairs already together below the middle weight are solved on the light
     edges, the rest on the heavy edges between the components the light ones form. Intervals of at
     most ``replay_edges`` edges are finished in one task each."""
-    spark = tree.sparkSession
     out = []
     todo = [(durable(tree.select("a", "b", "w")), durable(groups.select("id", "tag").distinct()))]
     while todo:
@@ -246,11 +247,10 @@ def join_radii(tree: DataFrame, groups: DataFrame, replay_edges: int = 100_000)
         up = heavy.join(na, "a", "left").join(nb, "b", "left").select(
             F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"), "w")
         todo.append((durable(up), lifted))
-    merged = spark.createDataFrame([], "ga string, gb string, radius double")
+    tags = F.array_sort(F.collect_set(F.col("tag").cast("string")))
+    shared = groups.groupBy("id").agg(tags.alias("t")).filter(F.size("t") > 1)
+    shared = shared.select(F.explode("t").alias("ga"), "t").select("ga", F.explode("t").alias("gb")) \
+        .filter("ga < gb").select("ga", "gb", F.lit(0.0).alias("radius"))
     for o in out:
-        merged = merged.union(o)
-    # heavy intervals report 0 for groups a light interval already joined; any positive radius
-    # found lower down is the true one
-    return merged.groupBy("ga", "gb").agg(
-        F.coalesce(F.min(F.when(F.col("radius") > 0, F.col("radius"))), F.lit(0.0)).alias("radius"),
-        F.min("radius").alias("__least")).drop("__least")
+        shared = shared.union(o)
+    return shared.groupBy("ga", "gb").agg(F.min("radius").alias("radius"))
