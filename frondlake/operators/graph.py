@@ -45,13 +45,12 @@ def connected_components(edges: DataFrame, vertices: DataFrame | None = None) ->
         up = best.select(F.col("a").alias("v"), F.when(order(F.col("a")) <= F.col("m"), F.col("a"))
                          .otherwise(F.col("m.b")).alias("p"))
         up = durable(up)
-        for _ in range(2):
-            over = up.select(F.col("v").alias("p"), F.col("p").alias("q"))
-            up = up.join(over, "p").select("v", F.col("q").alias("p"))
-        up = durable(up)
+        over = up.select(F.col("v").alias("p"), F.col("p").alias("q"))
+        up = up.join(over, "p").select("v", F.col("q").alias("p"))
         roots = roots.join(up.select(F.col("v").alias("root"), "p"), "root", "left") \
             .select("id", F.coalesce("p", "root").alias("root"))
-        roots = durable(roots)
+        if turn % 4 == 0:
+            roots = durable(roots)
         left = up.select(F.col("v").alias("a"), F.col("p").alias("pa"))
         right = up.select(F.col("v").alias("b"), F.col("p").alias("pb"))
         live = durable(live.join(left, "a").join(right, "b").filter("pa <> pb")

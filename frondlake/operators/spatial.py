@@ -283,7 +283,7 @@ def components_at(points: DataFrame, r: float, pair_work: int = 4_000_000) -> Da
         ka = known.select(F.col("id").alias("a_v"), F.col("component").alias("ca"))
         kb = known.select(F.col("id").alias("b_v"), F.col("component").alias("cb"))
         open_pairs = durable(open_pairs.join(ka, "a_v").join(kb, "b_v").filter("ca <> cb").select("a_v", "b_v"))
-    found = _touching(member, open_pairs, r, pair_work)
+    found = _touching(member, open_pairs, r, pair_work, heavy > pair_work)
     pieces = connected_components(sure.union(found), boxes.select(F.col("v").alias("id")))
     labelled = member.join(pieces.withColumnRenamed("id", "v"), "v").select(*AXES, F.col("id").alias("spot"), F.col("component").alias("c"))
     names = labelled.groupBy("c").agg(F.min("spot").alias("component"))
@@ -291,14 +291,14 @@ def components_at(points: DataFrame, r: float, pair_work: int = 4_000_000) -> Da
     return points.select("id", *AXES).join(labelled, list(AXES)).select("id", "component")
 
 
-def _touching(member: DataFrame, pairs: DataFrame, r: float, pair_work: int) -> DataFrame:
+def _touching(member: DataFrame, pairs: DataFrame, r: float, pair_work: int, crowded: bool) -> DataFrame:
     """(a, b) of the vertex pairs that have two rows within r. Each round halves the cells of pairs
     whose row product is too large; a pair is settled by the first sub-pair that certainly touches."""
     settled = None
     nodes = member.withColumn("sub", F.lit(0).cast("long"))
     live = pairs.select("a_v", "b_v", F.lit(0).cast("long").alias("a_sub"), F.lit(0).cast("long").alias("b_sub"))
-    low, edge, rounds = bounds(member)[0], r, 0
-    while True:
+    low, edge, rounds = bounds(member)[0] if crowded else None, r, 0
+    while crowded:
         box = nodes.groupBy("v", "sub").agg(F.count(F.lit(1)).alias("n"), *[F.min(c).alias(f"lo_{c}") for c in AXES], *[F.max(c).alias(f"hi_{c}") for c in AXES])
         seen = live.join(_side(box, "a"), ["a_v", "a_sub"]).join(_side(box, "b"), ["b_v", "b_sub"])
         seen = durable(seen.filter(_gap2() <= F.lit(r * r) * (1 + 1e-9)).select(
@@ -320,7 +320,8 @@ def _touching(member: DataFrame, pairs: DataFrame, r: float, pair_work: int) ->
     a = nodes.select(F.col("v").alias("a_v"), F.col("sub").alias("a_sub"), *[F.col(c).alias(f"a_{c}") for c in AXES])
     b = nodes.select(F.col("v").alias("b_v"), F.col("sub").alias("b_sub"), *[F.col(c).alias(f"b_{c}") for c in AXES])
     close = live.join(a, ["a_v", "a_sub"]).join(b, ["b_v", "b_sub"]).filter(distance2("a_", "b_") <= F.lit(r * r))
-    out = settled.union(close.select("a_v", "b_v").distinct())
+    out = close.select("a_v", "b_v").distinct()
+    out = out.union(settled) if crowded else out
     return out.select(F.col("a_v").alias("a"), F.col("b_v").alias("b"))
 
 
@@ -400,7 +401,8 @@ def euclidean_tree(points: DataFrame, block: int = BLOCK) -> DataFrame:
     solved = durable(local.groupBy("cell").applyInPandas(_block_tree, "kind string, a long, b long, w double"))
     trees = [solved.filter("kind = 'edge'").select("a", "b", "w")]
     piece = durable(spots.join(solved.filter("kind = 'point'").select(F.col("a").alias("id"), F.col("b").alias("piece")), "id"))
-    reach = side / 64
+    # a cell of this side holds no more rows than a block does
+    reach = side / 4
     while not piece.agg(F.min("piece") == F.max("piece")).first()[0]:
         found = _closest_pieces(piece, low, size, reach)
         if found.isEmpty():
@@ -435,7 +437,7 @@ def _closest_pieces(piece: DataFrame, low: list[float], size: float, reach: floa
     near = box.select(F.explode(steps).alias("s"), "*").select(
         (F.col("cx") + F.col("s.i")).alias("cx"), (F.col("cy") + F.col("s.j")).alias("cy"), (F.col("cz") + F.col("s.k")).alias("cz"), "piece")
     mixed = near.groupBy("cx", "cy", "cz").agg(F.min("piece").alias("p0"), F.max("piece").alias("p1")).filter("p0 <> p1").select("cx", "cy", "cz")
-    border = durable(box.join(mixed, ["cx", "cy", "cz"], "left_semi"))
+    border = box.join(mixed, ["cx", "cy", "cz"], "left_semi")
     a = _side(border, "a").withColumn("s", F.explode(steps))
     a = a.withColumn("jx", F.col("a_cx") + F.col("s.i")).withColumn("jy", F.col("a_cy") + F.col("s.j")).withColumn("jz", F.col("a_cz") + F.col("s.k")).drop("s")
     b = _side(border, "b")

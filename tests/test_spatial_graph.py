@@ -100,7 +100,7 @@ def kruskal(D, ids):
     return out
 
 
-@pytest.mark.parametrize("block", [2048, 12])
+@pytest.mark.parametrize("block", [2048, 40])
 def test_euclidean_tree(points, dist, block):
     got = S.euclidean_tree(points, block).collect()
     want = kruskal(dist, range(160))
