@@ -219,7 +219,7 @@ SELECT user_id, count(*) FILTER (WHERE a.d IS NOT NULL AND b.d IS NOT NULL) AS c
 def token_runs(spark, sf):
     e = table(spark, sf, "events").filter("event_type in ('click', 'view')").groupBy("user_id", F.date_trunc("day", "ts").alias("d")).agg(
         F.bool_or(F.col("event_type") == "click").alias("a"), F.bool_or(F.col("event_type") == "view").alias("b"))
-    return e.groupBy("user_id").agg(F.count_if("a and b" if False else F.col("a") & F.col("b")).alias("common"), F.count_if(F.col("a") & ~F.col("b")).alias("only_a"), F.count_if(~F.col("a") & F.col("b")).alias("only_b"))
+    return e.groupBy("user_id").agg(F.count_if(F.col("a") & F.col("b")).alias("common"), F.count_if(F.col("a") & ~F.col("b")).alias("only_a"), F.count_if(~F.col("a") & F.col("b")).alias("only_b"))
 
 
 @query("ambiguous_insertions", """SELECT l_orderkey AS node, count(*) AS pairs FROM (SELECT a.l_orderkey FROM (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem) a JOIN (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem) b ON a.l_orderkey=b.l_orderkey AND a.l_suppkey<b.l_suppkey) GROUP BY 1""")

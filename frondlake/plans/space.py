@@ -1 +1,236 @@
-"""Registered queries."""
+"""Distance, clustering, graph and projection queries over points from the embeddings."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from frondlake.functions import columns as C
+from frondlake.operators import graph as G
+from frondlake.operators import ordered as O
+from frondlake.operators import skeleton as K
+from frondlake.operators import spatial as S
+from frondlake.plans.derived import POINT_SQL, SPLAT_SQL, points, splats
+from frondlake.plans.registry import query
+from frondlake.session import durable, table
+
+D = "sqrt(pow(a.x-b.x,2)+pow(a.y-b.y,2)+pow(a.z-b.z,2))"
+
+
+def r6(c):
+    return F.round(c, 6)
+
+
+@query("nearest_neighbour", f"WITH {POINT_SQL}, d AS (SELECT a.id, b.id AS nb, {D} AS d, row_number() OVER (PARTITION BY a.id ORDER BY {D}, b.id) AS n FROM pts a JOIN pts b ON a.label=0 AND b.label<>0) SELECT id, nb AS neighbour, round(d,6) AS distance FROM d WHERE n=1")
+def nearest_neighbour(spark, sf):
+    p = points(spark, sf)
+    return S.nearest(p.filter("label = 0"), p.filter("label <> 0")).select("id", "neighbour", r6(F.col("distance")).alias("distance"))
+
+
+@query("knn_spacing", f"WITH {POINT_SQL}, d AS (SELECT a.id, b.id AS nb, {D} AS d, row_number() OVER (PARTITION BY a.id ORDER BY {D}, b.id) AS n FROM pts a JOIN pts b ON a.id<>b.id) SELECT id, nb AS neighbour, round(d,6) AS distance, CAST(n AS INT) AS rank FROM d WHERE n<=3")
+def knn_spacing(spark, sf):
+    p = points(spark, sf)
+    return S.nearest(p, p, 3, exclude_self=True).select("id", "neighbour", r6(F.col("distance")).alias("distance"), "rank")
+
+
+@query("median_spacing", f"WITH {POINT_SQL}, d AS (SELECT a.id, min({D}) AS d FROM pts a JOIN pts b ON a.id<>b.id GROUP BY 1) SELECT round(median(d),8) AS spacing FROM d")
+def median_spacing(spark, sf):
+    return S.median_spacing(points(spark, sf)).select(F.round("spacing", 8).alias("spacing"))
+
+
+@query("radius_pairs", f"WITH {POINT_SQL} SELECT a.id AS a, b.id AS b, round({D},6) AS w FROM pts a JOIN pts b ON a.id<b.id AND {D}<=0.05")
+def radius_pairs(spark, sf):
+    return S.radius_pairs(points(spark, sf), 0.05).select("a", "b", r6(F.col("w")).alias("w"))
+
+
+@query("cluster_gaps", f"WITH {POINT_SQL} SELECT a.label AS la, b.label AS lb, round(min({D}),8) AS distance FROM pts a JOIN pts b ON a.label<b.label GROUP BY 1,2")
+def cluster_gaps(spark, sf):
+    return S.closest_between(points(spark, sf), "label").select("la", "lb", F.round("distance", 8).alias("distance"))
+
+
+def closure(r: float) -> str:
+    return f"""e AS (SELECT a.id AS a, b.id AS b FROM pts a JOIN pts b ON {D}<={r}), r AS (SELECT id, id AS c FROM pts UNION SELECT e.b, r.c FROM r JOIN e ON e.a=r.id), k AS (SELECT id, min(c) AS component FROM r GROUP BY 1)"""
+
+
+@query("components_at_radius", f"WITH RECURSIVE {POINT_SQL}, {closure(0.05)} SELECT id, component FROM k")
+def components_at_radius(spark, sf):
+    return S.components_at(points(spark, sf), 0.05)
+
+
+@query("named_clusters", f"WITH RECURSIVE {POINT_SQL}, {closure(0.05)}, s AS (SELECT component, count(*) AS size, row_number() OVER (ORDER BY count(*) DESC, min(id))-1 AS l FROM k GROUP BY 1) SELECT component, size, CASE WHEN size<5 THEN -1 ELSE l END AS label FROM s")
+def named_clusters(spark, sf):
+    return G.suppress_small(G.number_by_size(S.components_at(points(spark, sf), 0.05)), 5).select("component", "size", "label")
+
+
+@query("radius_sweep", "WITH RECURSIVE " + POINT_SQL + ", q AS (SELECT * FROM (VALUES ('1',0.03),('2',0.05)) t(mult,radius)), e AS (SELECT mult, a.id AS a, b.id AS b FROM q, pts a, pts b WHERE " + D + "<=radius), r AS (SELECT mult, id, id AS c FROM q, pts UNION SELECT e.mult, e.b, r.c FROM r JOIN e ON e.a=r.id AND e.mult=r.mult), k AS (SELECT mult, id, min(c) AS c FROM r GROUP BY 1,2), s AS (SELECT mult, c, count(*) AS n FROM k GROUP BY 1,2) SELECT s.mult, CAST(any_value(radius) AS DOUBLE) AS radius, count(*) AS components, count(*) FILTER (WHERE n>=10) AS components_ge, count(*) FILTER (WHERE n=1) AS singletons, array_to_string(list_sort(list(n),'DESC')[1:8],',') AS top_sizes FROM s JOIN q USING (mult) GROUP BY 1")
+def radius_sweep(spark, sf):
+    p = points(spark, sf)
+    return S.radius_sweep(S.euclidean_tree(p), p, {"1": 0.03, "2": 0.05}, 10)
+
+
+@query("mst_edges")
+def mst_edges(spark, sf):
+    return S.euclidean_tree(points(spark, sf)).select("a", "b", r6(F.col("w")).alias("w"))
+
+
+@query("join_radius")
+def join_radius(spark, sf):
+    """Tags are the labels; ties and copies of a coordinate are carried by its smallest id."""
+    p = points(spark, sf)
+    spot = S.distinct_points(p).select(*S.AXES, F.col("id").alias("spot"))
+    groups = p.join(spot, list(S.AXES)).select(F.col("spot").alias("id"), F.col("label").cast("string").alias("tag"))
+    return G.join_radii(S.euclidean_tree(p), groups).select("ga", "gb", r6(F.col("radius")).alias("radius"))
+
+
+@query("expand_unclustered", f"WITH {POINT_SQL}, l AS (SELECT id,x,y,z, CASE WHEN label<5 THEN label ELSE -1 END AS label FROM pts), d AS (SELECT a.id, a.label, min({D}) AS d FROM l a JOIN l b ON a.label<>1 AND b.label=1 GROUP BY 1,2) SELECT label, count(*) AS near, label=-1 AS added FROM d WHERE d<=0.03 GROUP BY 1")
+def expand_unclustered(spark, sf):
+    p = points(spark, sf).withColumn("label", F.when(F.col("label") < 5, F.col("label")).otherwise(-1))
+    e = S.expand_unclustered(p, p.filter("label = 1"), 0.03)
+    return e.groupBy("label").agg(F.count(F.lit(1)).alias("near"), F.bool_and("added").alias("added"))
+
+
+@query("attach_faint", f"WITH {POINT_SQL}, d AS (SELECT a.id, b.id AS nb, b.label, {D} AS d, row_number() OVER (PARTITION BY a.id ORDER BY {D}, b.id) AS n FROM pts a JOIN pts b ON a.label>=7 AND b.label<7) SELECT id, nb AS neighbour, round(d,6) AS distance FROM d WHERE n=1 AND d<=0.04 AND label IN (1,2)")
+def attach_faint(spark, sf):
+    p = points(spark, sf)
+    kept = p.filter("label < 7")
+    return S.attach_faint(p.filter("label >= 7"), kept, kept.filter("label in (1, 2)"), 0.04).withColumn("distance", r6(F.col("distance")))
+
+
+@query("isolation", f"WITH {POINT_SQL}, d AS (SELECT a.id, min({D}) AS d FROM pts a JOIN pts b ON a.label<>3 AND b.label=3 GROUP BY 1) SELECT round(min(d),8) AS nearest_unselected, count(*) FILTER (WHERE d<=0.02) AS within_1r, count(*) FILTER (WHERE d<=0.04) AS within_2r, count(*) FILTER (WHERE d<=0.08) AS within_4r, count(*) FILTER (WHERE d<=0.16) AS within_8r FROM d")
+def isolation(spark, sf):
+    p = points(spark, sf)
+    return S.isolation(p.filter("label = 3"), p.filter("label <> 3"), 0.02).withColumn("nearest_unselected", F.round("nearest_unselected", 8))
+
+
+@query("touch_share", f"WITH {POINT_SQL}, d AS (SELECT a.id, min({D}) AS d FROM pts a JOIN pts b ON a.label=4 AND b.label=5 GROUP BY 1) SELECT count(*) AS n, round(avg(CASE WHEN d<0.05 THEN 1.0 ELSE 0.0 END),6) AS share FROM d")
+def touch_share(spark, sf):
+    p = points(spark, sf)
+    near = S.nearest(p.filter("label = 4"), p.filter("label = 5"))
+    return near.agg(F.count(F.lit(1)).alias("n"), r6(F.avg((F.col("distance") < 0.05).cast("double"))).alias("share"))
+
+
+@query("geodesic_levels")
+def geodesic_levels(spark, sf):
+    p = points(spark, sf)
+    edges = durable(S.radius_pairs(p, 0.07))
+    keep = durable(K.largest_component(edges, p.select("id")))
+    edges = durable(edges.join(keep.select(F.col("id").alias("a")), "a"))
+    lowest = p.join(keep, "id").agg(F.min_by("id", F.struct("z", "id")).alias("id"))
+    level = G.level_nodes(edges, G.geodesic(edges, lowest), 0.05)
+    return level.groupBy("bin", "node").agg(F.count(F.lit(1)).alias("points"))
+
+
+@query("skeleton_branches")
+def skeleton_branches(spark, sf):
+    """Skeleton tree, its longest root path as the stem, and the pieces left for review."""
+    nodes, tree, root = K.skeleton(points(spark, sf), 0.07, 0.1)
+    hung = durable(G.rooted(tree, root))
+    apex = hung.agg(F.max_by("id", F.struct("dist", "id")).alias("id"))
+    guard = nodes.filter("points >= 5").select(F.col("node").alias("id"))
+    return K.branch_candidates(tree, root, apex, guard)
+
+
+@query("affine_transform", f"WITH {POINT_SQL} SELECT id, round(2.5*(0.6*(x-0.1)-0.8*(y+0.2)),6) AS x, round(2.5*(0.8*(x-0.1)+0.6*(y+0.2)),6) AS y, round(2.5*(z-0.05),6) AS z FROM pts")
+def affine_transform(spark, sf):
+    out = C.affine([F.col(c) for c in "xyz"], [[0.6, -0.8, 0], [0.8, 0.6, 0], [0, 0, 1]], [0.1, -0.2, 0.05], 2.5)
+    return points(spark, sf).select("id", *[r6(c).alias(n) for c, n in zip(out, "xyz")])
+
+
+@query("pinhole_projection", f"WITH {POINT_SQL}, c AS (SELECT n_nationkey AS cam, 500.0+n_nationkey AS f, 0.1*n_regionkey AS k1 FROM nation WHERE n_nationkey<6), n AS (SELECT cam, id, f, k1, x/(z+2) AS u, y/(z+2) AS v, z+2 AS d FROM pts, c) SELECT cam, count(*) AS n, round(avg(f*u*(1+k1*(u*u+v*v))+320),5) AS mean_u, round(avg(f*v*(1+k1*(u*u+v*v))+240),5) AS mean_v, round(max(d),6) AS max_depth FROM n WHERE d>0 GROUP BY 1")
+def pinhole_projection(spark, sf):
+    """Cameras are a fixed small table: each point carries them as an array it explodes."""
+    cams = table(spark, sf, "nation").filter("n_nationkey < 6").select(F.col("n_nationkey").alias("cam"), (500.0 + F.col("n_nationkey")).alias("f"), (0.1 * F.col("n_regionkey")).alias("k1"))
+    n = points(spark, sf).crossJoin(F.broadcast(cams)).withColumn("d", F.col("z") + 2).filter("d > 0")
+    u, v = F.col("x") / F.col("d"), F.col("y") / F.col("d")
+    bend = 1 + F.col("k1") * (u * u + v * v)
+    return n.groupBy("cam").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(F.col("f") * u * bend + 320), 5).alias("mean_u"),
+                                F.round(F.avg(F.col("f") * v * bend + 240), 5).alias("mean_v"), r6(F.max("d")).alias("max_depth"))
+
+
+@query("quaternion_turn", f"WITH {SPLAT_SQL}, n AS (SELECT row_id, rot_0/l AS w, rot_1/l AS x, rot_2/l AS y, rot_3/l AS z FROM (SELECT *, sqrt(rot_0*rot_0+rot_1*rot_1+rot_2*rot_2+rot_3*rot_3) AS l FROM splat)) SELECT row_id, round(0.8*w-0.6*z,6) AS w, round(0.8*x-0.6*y,6) AS x, round(0.8*y+0.6*x,6) AS y, round(0.8*z+0.6*w,6) AS z FROM n")
+def quaternion_turn(spark, sf):
+    """Rotation to matrix and back, then a turn by (0.8, 0, 0, 0.6)."""
+    q = [F.col(f"rot_{i}") for i in range(4)]
+    back = C.matrix_to_quat(C.quat_to_matrix(q))
+    s = splats(spark, sf).select("row_id", *[c.alias(f"q{i}") for i, c in enumerate(back)])
+    out = C.quat_multiply([F.lit(0.8), F.lit(0.0), F.lit(0.0), F.lit(0.6)], [F.col(f"q{i}") for i in range(4)])
+    return s.select("row_id", *[r6(c).alias(n) for c, n in zip(out, "wxyz")])
+
+
+@query("splat_covariance", f"WITH {SPLAT_SQL} SELECT row_id, round((exp(2*scale_0)+exp(2*scale_1)+exp(2*scale_2))*4,9) AS trace FROM splat")
+def splat_covariance(spark, sf):
+    """Trace of s^2 R S R^T: the rotation must not change it."""
+    cov = C.covariance([F.col(f"scale_{i}") for i in range(3)], [F.col(f"rot_{i}") for i in range(4)])
+    return splats(spark, sf).select("row_id", F.round((cov[0][0] + cov[1][1] + cov[2][2]) * 4, 9).alias("trace"))
+
+
+@query("sh_energy", f"WITH {POINT_SQL} SELECT id, round(1/(4*pi()),6) AS b0, round(3/(4*pi()),6) AS b1, round(5/(4*pi()),6) AS b2, round(7/(4*pi()),6) AS b3, round(9/(4*pi()),6) AS b4 FROM pts WHERE x*x+y*y+z*z>0")
+def sh_energy(spark, sf):
+    """Sum of squared basis functions of every band at each point's direction (addition theorem)."""
+    l = C.length([F.col(c) for c in "xyz"])
+    p = points(spark, sf).filter(l > 0).select("id", *[(F.col(c) / l).alias(c) for c in "xyz"])
+    b = C.sh_basis(F.col("x"), F.col("y"), F.col("z"), 4)
+    bands = [sum((v * v for v in b[k * k + 1:(k + 1) ** 2]), b[k * k] * b[k * k]) for k in range(5)]
+    return p.select("id", *[r6(v).alias(f"b{k}") for k, v in enumerate(bands)])
+
+
+@query("palette_recolor", f"""WITH {SPLAT_SQL}, c AS (SELECT row_id, label, greatest(0,least(1,0.5+0.28209479177387814*f_dc_0)) r, greatest(0,least(1,0.5+0.28209479177387814*f_dc_1)) g, greatest(0,least(1,0.5+0.28209479177387814*f_dc_2)) b FROM splat)
+SELECT row_id, round(CASE WHEN label IN (1,2,9) THEN ([0.90,0.10,0.10,0.95,0.60,0.05,0.85,0.55])[label%8+1] ELSE 0.2126*r+0.7152*g+0.0722*b END,6) AS red FROM c""")
+def palette_recolor(spark, sf):
+    rgb = [C.dc_to_rgb(F.col(f"f_dc_{i}")) for i in range(3)]
+    reds = F.array(*[F.lit(c[0]) for c in C.PALETTE])
+    pick = F.element_at(reds, F.pmod("label", F.lit(8)) + 1)
+    return splats(spark, sf).select("row_id", r6(F.when(F.col("label").isin(1, 2, 9), pick).otherwise(C.luminance(*rgb))).alias("red"))
+
+
+@query("stem_projection", f"""WITH {POINT_SQL}, n AS (SELECT label AS i, avg(x) x, avg(y) y, avg(z) z FROM pts GROUP BY 1), s AS (SELECT a.i, a.x ax, a.y ay, a.z az, b.x-a.x dx, b.y-a.y dy, b.z-a.z dz FROM n a JOIN n b ON b.i=a.i+1),
+t AS (SELECT id, i, s.*, greatest(0,least(1,((x-ax)*dx+(y-ay)*dy+(z-az)*dz)/(dx*dx+dy*dy+dz*dz))) AS f, x, y, z FROM pts, s), d AS (SELECT id, i, f, sqrt(pow(x-ax-f*dx,2)+pow(y-ay-f*dy,2)+pow(z-az-f*dz,2)) AS d FROM t)
+SELECT id, arg_min(i, d) AS segment, round(arg_min(f, d),6) AS fraction, round(min(d),6) AS distance FROM d GROUP BY 1""")
+def stem_projection(spark, sf):
+    p = points(spark, sf)
+    n = p.groupBy(F.col("label").alias("i")).agg(*[F.avg(c).alias(c) for c in "xyz"])
+    s = O.ordered(n, [], ["i"], O.Ordered(leads={f"b{c}": F.col(c) for c in "xyz"})).filter("bx is not null")
+    return project_to_polyline(p, s).select("id", "segment", r6(F.col("fraction")).alias("fraction"), r6(F.col("distance")).alias("distance"))
+
+
+def project_to_polyline(p, segments, chunk=512):
+    """Closest segment, fraction along it and distance for every point. Segments travel as arrays of
+    at most ``chunk``, so a long polyline becomes several rows rather than one growing broadcast."""
+    packed = segments.groupBy(F.floor(F.col("i") / chunk).alias("c")).agg(
+        F.sort_array(F.collect_list(F.struct("i", "x", "y", "z", "bx", "by", "bz"))).alias("segs")).drop("c")
+
+    def measure(s):
+        d = [s[f"b{c}"] - s[c] for c in "xyz"]
+        o = [F.col(f"p{c}") - s[c] for c in "xyz"]
+        f = F.coalesce(C.clip(F.try_divide(C.dot(o, d), C.dot(d, d)), 0.0, 1.0), F.lit(0.0))
+        rest = [a - f * b for a, b in zip(o, d)]
+        return F.struct(C.length(rest).alias("distance"), s["i"].alias("segment"), f.alias("fraction"))
+
+    named = p.select("id", *[F.col(c).alias(f"p{c}") for c in "xyz"])
+    best = named.crossJoin(packed).select("id", F.array_min(F.transform("segs", measure)).alias("m"))
+    return best.groupBy("id").agg(F.min("m").alias("m")).select("id", "m.*")
+
+
+@query("local_linearity")
+def local_linearity(spark, sf):
+    """(s1 - s2) / s1 of the 16 nearest points' covariance, eigenvalues in closed form."""
+    p = points(spark, sf)
+    near = S.nearest(p, p, 16)
+    q = near.join(p.select(F.col("id").alias("neighbour"), "x", "y", "z"), "neighbour")
+    pairs = [("x", "x"), ("x", "y"), ("x", "z"), ("y", "y"), ("y", "z"), ("z", "z")]
+    c = q.groupBy("id").agg(*[F.covar_pop(a, b).alias(a + b) for a, b in pairs])
+    return c.select("id", r6(linearity(*[F.col(a + b) for a, b in pairs])).alias("linearity"))
+
+
+def linearity(xx, xy, xz, yy, yz, zz):
+    """From the two largest eigenvalues of a symmetric 3 x 3 matrix (trigonometric solution)."""
+    m = (xx + yy + zz) / 3
+    off = xy * xy + xz * xz + yz * yz
+    p = F.sqrt(((xx - m) * (xx - m) + (yy - m) * (yy - m) + (zz - m) * (zz - m) + 2 * off) / 6)
+    a, b, c = (xx - m) / p, (yy - m) / p, (zz - m) / p
+    d, e, f = xy / p, xz / p, yz / p
+    det = (a * (b * c - f * f) - d * (d * c - f * e) + e * (d * f - b * e)) / 2
+    phi = F.acos(C.clip(det, -1.0, 1.0)) / 3
+    e1 = m + 2 * p * F.cos(phi)
+    e3 = m + 2 * p * F.cos(phi + 2.0943951023931953)
+    s1, s2 = F.sqrt(F.greatest(e1, F.lit(0.0))), F.sqrt(F.greatest(3 * m - e1 - e3, F.lit(0.0)))
+    return F.when(p > 0, F.try_divide(s1 - s2, s1))
