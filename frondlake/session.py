@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,6 +56,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage of df with a reliable checkpoint, so a lost executor costs a re-read."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut the lineage of df with a table in the shared folder, so a lost executor costs a re-read.
+
+    A written table is preferred to a checkpoint because later rounds see its true size (small sides
+    are then broadcast by the planner) and do not inherit the constraints of every earlier round."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/frondlake-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
