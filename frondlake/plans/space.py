@@ -184,12 +184,12 @@ def palette_recolor(spark, sf):
 
 @query("stem_projection", f"""WITH {POINT_SQL}, n AS (SELECT label AS i, avg(x) x, avg(y) y, avg(z) z FROM pts GROUP BY 1), s AS (SELECT a.i, a.x ax, a.y ay, a.z az, b.x-a.x dx, b.y-a.y dy, b.z-a.z dz FROM n a JOIN n b ON b.i=a.i+1),
 t AS (SELECT id, i, s.*, greatest(0,least(1,((x-ax)*dx+(y-ay)*dy+(z-az)*dz)/(dx*dx+dy*dy+dz*dz))) AS f, x, y, z FROM pts, s), d AS (SELECT id, i, f, sqrt(pow(x-ax-f*dx,2)+pow(y-ay-f*dy,2)+pow(z-az-f*dz,2)) AS d FROM t)
-SELECT id, arg_min(i, d) AS segment, round(arg_min(f, d),6) AS fraction, round(min(d),6) AS distance FROM d GROUP BY 1""")
+SELECT id, round(arg_min(i+f, d),6) AS along, round(min(d),6) AS distance FROM d GROUP BY 1""")
 def stem_projection(spark, sf):
     p = points(spark, sf)
     n = p.groupBy(F.col("label").alias("i")).agg(*[F.avg(c).alias(c) for c in "xyz"])
     s = O.ordered(n, [], ["i"], O.Ordered(leads={f"b{c}": F.col(c) for c in "xyz"})).filter("bx is not null")
-    return project_to_polyline(p, s).select("id", "segment", r6(F.col("fraction")).alias("fraction"), r6(F.col("distance")).alias("distance"))
+    return project_to_polyline(p, s).select("id", r6(F.col("segment") + F.col("fraction")).alias("along"), r6(F.col("distance")).alias("distance"))
 
 
 def project_to_polyline(p, segments, chunk=512):
