@@ -1 +1,80 @@
-"""Registered queries."""
+"""Queries that write derived tables in a reconstruction format and read them back."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from frondlake.plans.derived import SPLAT_SQL, splats
+from frondlake.plans.registry import query
+from frondlake.session import shared_folder, table
+from frondlake.sources import binary
+from frondlake.sources import text as X
+
+
+def _folder(spark) -> str:
+    return f"{shared_folder(spark)}/frondlake-{uuid.uuid4().hex}".removeprefix("file:")
+
+
+COLUMNS = ["x", "y", "z", "opacity", "scale_0", "scale_1", "scale_2", "f_dc_0", "f_dc_1", "f_dc_2"]
+
+
+@query("ply_roundtrip", f"WITH {SPLAT_SQL} SELECT row_number() OVER (ORDER BY row_id)-1 AS row_id, round(CAST(CAST(x AS FLOAT) AS DOUBLE),5) AS x, round(CAST(CAST(y AS FLOAT) AS DOUBLE),5) AS y, round(CAST(CAST(opacity AS FLOAT) AS DOUBLE),4) AS opacity FROM splat WHERE 1/(1+exp(-opacity))>0.5")
+def ply_roundtrip(spark, sf):
+    """Rows above the opacity cutoff as PLY parts ordered by source row, read strictly."""
+    binary.register(spark)
+    path = _folder(spark)
+    kept = splats(spark, sf).filter(1 / (1 + F.exp(-F.col("opacity"))) > 0.5)
+    kept = kept.select("row_id", *[F.col(c).cast("float").alias(c) for c in COLUMNS])
+    kept.repartitionByRange("row_id").sortWithinPartitions("row_id").write.format("splat_ply").option("path", path).mode("append").save()
+    back = spark.read.format("splat_ply").option("path", path).option("mode", "FAILFAST").option("rowsPerPartition", 4096) \
+        .schema("row_id bigint, x float, y float, opacity float").load()
+    return back.select("row_id", F.round(F.col("x").cast("double"), 5).alias("x"), F.round(F.col("y").cast("double"), 5).alias("y"),
+                       F.round(F.col("opacity").cast("double"), 4).alias("opacity"))
+
+
+@query("csv_roundtrip", "SELECT event_type AS dataset_id, count(*) AS n, count(*) FILTER (WHERE user_id%5=0) AS noted, round(sum(value),4) AS total FROM events GROUP BY 1")
+def csv_roundtrip(spark, sf):
+    path = _folder(spark)
+    e = table(spark, sf, "events")
+    X.write_csv(e.select(F.concat_ws("/", "event_type", "event_id").alias("relpath"), (F.col("value") > 50).cast("string").alias("identical"),
+                         *[F.col("value").alias(c) for c in ("tp", "fp", "fn", "tn", "iou", "dice")],
+                         F.when(F.col("user_id") % 5 == 0, " skipped ").alias("note")), path, 6)
+    c = X.comparison_csv(spark, path, "all")
+    return c.groupBy(F.split("relpath", "/")[0].alias("dataset_id")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("note") == "skipped").alias("noted"), F.round(F.sum("tp"), 4).alias("total"))
+
+
+@query("job_records", "SELECT o_orderkey, 'c'||o_custkey AS capture_id, CASE WHEN o_orderkey%3=0 THEN 0 ELSE 2 END AS schema_version FROM orders WHERE o_orderstatus<>'P'")
+def job_records(spark, sf):
+    path = _folder(spark)
+    o = table(spark, sf, "orders")
+    progress = F.when(F.col("o_orderkey") % 3 != 0, F.struct(F.lit(2).alias("schema_version")))
+    o.select(F.when(F.col("o_orderstatus") == "P", "capture").otherwise("job").alias("kind"), F.col("o_orderkey").cast("string").alias("id"),
+             F.concat(F.lit("c"), "o_custkey").alias("capture_id"), progress.alias("progress")).write.json(path)
+    df = spark.read.schema(X.JOB).option("mode", "DROPMALFORMED").json(path).filter("kind = 'job'")
+    return df.select(F.col("id").cast("bigint").alias("o_orderkey"), "capture_id", F.coalesce("progress.schema_version", F.lit(0)).alias("schema_version"))
+
+
+@query("file_manifest", "SELECT count(*) AS lines, round(sum(o_totalprice),2) AS total FROM orders")
+def file_manifest(spark, sf):
+    """Hashes and sizes of a written folder agree with what is read from it."""
+    path = _folder(spark)
+    table(spark, sf, "orders").select("o_orderkey", "o_totalprice").write.option("header", True).csv(path)
+    m = X.manifest(spark, path).filter(F.col("name").endswith(".csv"))
+    again = X.manifest(spark, path).select("path", F.col("sha256").alias("after"))
+    ok = m.join(again, "path").agg(F.bool_and(F.col("sha256") == F.col("after")).alias("ok"), F.sum("length").alias("bytes"))
+    read = spark.read.schema("o_orderkey bigint, o_totalprice double").option("header", True).csv(path)
+    total = read.agg(F.count(F.lit(1)).alias("lines"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    return total.crossJoin(ok).filter("ok and bytes > 0").select("lines", "total")
+
+
+@query("streamed_maxima", "SELECT user_id, max(value) FILTER (WHERE event_type<>'error') AS peak, count(*) FILTER (WHERE event_type='error') AS failed FROM events GROUP BY user_id")
+def streamed_maxima(spark, sf):
+    """Host samples as a JSON file stream, folded to maxima per run and written per batch."""
+    from frondlake.streaming.guard import fold_to_table
+
+    source, sink = _folder(spark), _folder(spark)
+    table(spark, sf, "events").select("user_id", "event_type", "value").write.json(source)
+    return fold_to_table(spark, source, sink)
