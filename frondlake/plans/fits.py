@@ -1 +1,42 @@
-"""Registered queries."""
+"""Plane, line and triangulation queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from frondlake.operators import fits as X
+from frondlake.plans.derived import POINT_SQL, points
+from frondlake.plans.registry import query
+from frondlake.session import durable, table
+
+
+@query("plane_fit", "SELECT l_returnflag, count(*) AS n, count(*) FILTER (WHERE abs(z)<0.05) AS on_plane FROM (SELECT l_returnflag, CASE WHEN l_quantity>40 THEN l_quantity/10 ELSE l_tax-0.04 END AS z FROM lineitem) GROUP BY 1")
+def plane_fit(spark, sf):
+    """A planted plane: lines above quantity 40 are lifted off it and must not bend the fit."""
+    li = table(spark, sf, "lineitem").select("l_returnflag", (F.col("l_extendedprice") / 10000).alias("x"), F.col("l_quantity").alias("y"),
+                                             F.when(F.col("l_quantity") > 40, F.col("l_quantity") / 10).otherwise(F.col("l_tax") - 0.04).alias("z"))
+    normal, centre, _ = X.ransac_plane(li, 0.05, 64, 7)
+    return li.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.abs(X.off_plane(normal, centre)) < 0.05).alias("on_plane"))
+
+
+@query("triangulated_points", f"WITH {POINT_SQL} SELECT id AS label, round(x,5)+0.0 AS x, round(y,5)+0.0 AS y, round(z,5)+0.0 AS z, 6 AS views FROM pts")
+def triangulated_points(spark, sf):
+    """Points seen by six turned cameras are recovered from their pixels."""
+    a = F.radians(F.col("n_nationkey") * 12.0 - 30)
+    cams = table(spark, sf, "nation").filter("n_nationkey < 6").select(
+        F.cos(a).alias("r00"), F.lit(0.0).alias("r01"), F.sin(a).alias("r02"), F.lit(0.0).alias("r10"), F.lit(1.0).alias("r11"), F.lit(0.0).alias("r12"),
+        (-F.sin(a)).alias("r20"), F.lit(0.0).alias("r21"), F.cos(a).alias("r22"), F.lit(0.0).alias("t0"), (F.col("n_nationkey") * 0.05).alias("t1"), F.lit(3.0).alias("t2"),
+        (500.0 + F.col("n_nationkey")).alias("f"), F.lit(320.0).alias("cx"), F.lit(240.0).alias("cy"))
+    j = points(spark, sf).crossJoin(F.broadcast(cams))
+    p = [F.col(f"r{i}0") * F.col("x") + F.col(f"r{i}1") * F.col("y") + F.col(f"r{i}2") * F.col("z") + F.col(f"t{i}") for i in range(3)]
+    obs = durable(j.select(F.col("id").alias("label"), (F.col("f") * p[0] / p[2] + F.col("cx")).alias("u"), (F.col("f") * p[1] / p[2] + F.col("cy")).alias("v"), *cams.columns))
+    return X.triangulate(obs, 2).select("label", *[(F.round(c, 5) + 0.0).alias(c) for c in "xyz"], F.col("views").cast("int").alias("views"))
+
+
+@query("leave_one_out", """WITH g AS (SELECT l_suppkey AS k, l_quantity AS x, l_extendedprice AS y FROM lineitem), s AS (SELECT k, count(*) n, sum(x) sx, sum(y) sy, sum(x*y) sxy, sum(x*x) sxx FROM g GROUP BY 1),
+w AS (SELECT g.k, regr AS slope, ((sxy-x*y)-(sx-x)*(sy-y)/(n-1))/((sxx-x*x)-(sx-x)*(sx-x)/(n-1)) AS wo FROM g JOIN s USING (k) JOIN (SELECT k, regr_slope(y,x) AS regr FROM g GROUP BY 1) r USING (k))
+SELECT k, round(any_value(slope),3) AS slope, round(min(wo),3) AS low, round(max(wo),3) AS high FROM w GROUP BY 1""")
+def leave_one_out(spark, sf):
+    g = table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("k"), F.col("l_quantity").alias("x"), F.col("l_extendedprice").alias("y"))
+    w = X.leave_one_out(g, "k", "x", "y")
+    return w.groupBy("k").agg(F.round(F.max("slope"), 3).alias("slope"), F.round(F.min("slope_without"), 3).alias("low"), F.round(F.max("slope_without"), 3).alias("high"))
