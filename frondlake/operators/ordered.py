@@ -44,9 +44,10 @@ def attach(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left"
     return joined.drop(*[f"__r_{k}" for k in keys])
 
 
-def hot_groups(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | None:
-    """Keys with more than hot_rows rows (at most rows / hot_rows of them), or None."""
-    if df.count() <= hot_rows:
+def hot_groups(df: DataFrame, keys: list[str], hot_rows: int, rows: int | None = None) -> DataFrame | None:
+    """Keys with more than hot_rows rows (at most rows / hot_rows of them), or None. ``rows`` is a
+    known upper bound of the row count; a small one saves the look."""
+    if (df.count() if rows is None else rows) <= hot_rows:
         return None
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_rows)
     sizes = durable(sizes)
@@ -67,9 +68,9 @@ def _below(splits: Column, value: Column, limit: int) -> Column:
 
 
 def order_blocks(df: DataFrame, keys: list[str], order: list[str],
-                 hot_rows: int = HOT_ROWS) -> DataFrame | None:
+                 hot_rows: int = HOT_ROWS, rows: int | None = None) -> DataFrame | None:
     """df plus ``__block`` (0 for ordinary keys) and ``__hot``, or None when no key is hot."""
-    hot = hot_groups(df, keys, hot_rows)
+    hot = hot_groups(df, keys, hot_rows, rows)
     if hot is None:
         return None
     biggest = hot.agg(F.max("__n")).first()[0]
@@ -126,9 +127,9 @@ def _filled(columns: dict[str, Column] | None) -> dict[str, Column]:
 
 
 def ordered(df: DataFrame, keys: list[str], order: list[str], want: Ordered,
-            hot_rows: int = HOT_ROWS) -> DataFrame:
+            hot_rows: int = HOT_ROWS, rows: int | None = None) -> DataFrame:
     """df with the wanted columns. ``order`` are ascending columns; make them a total order."""
-    cut = order_blocks(df, keys, order, hot_rows)
+    cut = order_blocks(df, keys, order, hot_rows, rows)
     if cut is None:
         return df.select("*", *_window_columns(keys, order, want))
     return _blocked(cut, keys, order, want)
@@ -223,7 +224,7 @@ def _blocked(cut: DataFrame, keys: list[str], order: list[str], want: Ordered) -
 
 
 def quantiles(df: DataFrame, keys: list[str], values: dict[str, Column],
-              probs: dict[str, float], hot_rows: int = HOT_ROWS) -> DataFrame:
+              probs: dict[str, float], hot_rows: int = HOT_ROWS, rows: int | None = None) -> DataFrame:
     """Exact linearly interpolated quantiles per key: one row per key, columns
     ``<value>_<prob>``. Equal values are counted before anything is ordered, so only the distinct
     values of a key are sorted, and a key with very many of them is cut into blocks.
@@ -235,7 +236,7 @@ def quantiles(df: DataFrame, keys: list[str], values: dict[str, Column],
               .groupBy(*keys, "metric", "value").agg(F.count(F.lit(1)).alias("__n")))
     ranked = ordered(counts, [*keys, "metric"], ["value"],
                      Ordered(sums={"__upto": F.col("__n")}, totals={"__all": F.col("__n")}),
-                     hot_rows)
+                     hot_rows, (df.count() if rows is None else rows) * len(values))
     first, last = F.col("__upto") - F.col("__n"), F.col("__upto") - 1
 
     def pick(n, p, floor):
@@ -267,7 +268,7 @@ def weighted_median(df: DataFrame, keys: list[str], value: Column, weight: Colum
               .groupBy(*keys, "__v").agg(F.sum("__w").alias("__w")))
     ranked = ordered(points, keys, ["__v"],
                      Ordered(sums={"__c": F.col("__w")}, totals={"__t": F.col("__w")},
-                             leads={"__next": F.col("__v")}), hot_rows)
+                             leads={"__next": F.col("__v")}), hot_rows, df.count())
     half = F.col("__t") / 2
     tie = F.abs(F.col("__c") - half) <= 1e-12 * F.greatest(F.abs("__c"), F.abs(half))
     level = F.when(tie & F.col("__next").isNotNull(), (F.col("__v") + F.col("__next")) / 2)
@@ -303,9 +304,10 @@ def step_discontinuity(df: DataFrame, keys: list[str], order: list[str], name: C
     """Per key: median and largest distance between consecutive rows, where the largest is (first
     one on a tie), its ratio to the median and whether it deserves a look."""
     at = F.array(*[c.cast("double") for c in coords])
+    rows = df.count()
     moved = ordered(df, keys, order,
                     Ordered(lags={"__from": F.struct(name.alias("name"), at.alias("at"))}),
-                    hot_rows).filter("__from is not null")
+                    hot_rows, rows).filter("__from is not null")
     squares = F.zip_with(at, F.col("__from.at"), lambda a, b: (a - b) * (a - b))
     moved = moved.withColumn(
         "__step", F.sqrt(F.aggregate(squares, F.lit(0.0), lambda acc, v: acc + v)))
@@ -314,7 +316,7 @@ def step_discontinuity(df: DataFrame, keys: list[str], order: list[str], name: C
         F.max("__step").alias("largest_step"),
         F.min_by(F.struct(F.col("__from.name").alias("a"), name.alias("b")),
                  F.struct((-F.col("__step")).alias("s"), *order)).alias("__peak"))
-    mid = quantiles(moved, keys, {"step": F.col("__step")}, {"p50": 0.5}, hot_rows)
+    mid = quantiles(moved, keys, {"step": F.col("__step")}, {"p50": 0.5}, hot_rows, rows)
     joined = attach(steps, mid, keys, "inner") if keys else steps.crossJoin(mid)
     med = F.col("step_p50")
     times = F.when(med > 0, F.col("largest_step") / med)
@@ -359,9 +361,10 @@ def catmull_rom(df: DataFrame, keys: list[str], order: list[str], values: list[s
     through them; ends repeat the first and last control row. Every control row emits the frames
     of the segment that starts at it, so no lookup join is needed."""
     row = F.struct(*values)
+    rows = df.count()
     near = ordered(df, keys, order, Ordered(
-        rank="__rn", totals={"__n": F.lit(1)}, lags={"__p0": row}, leads={"__p2": row}), hot_rows)
-    near = ordered(near, keys, order, Ordered(leads={"__p3": F.col("__p2")}), hot_rows)
+        rank="__rn", totals={"__n": F.lit(1)}, lags={"__p0": row}, leads={"__p2": row}), hot_rows, rows)
+    near = ordered(near, keys, order, Ordered(leads={"__p3": F.col("__p2")}), hot_rows, rows)
     i, last = F.col("__rn") - 1, F.col("__n") - 1
     if frames < 2:
         raise ValueError("at least two frames are needed")
@@ -393,11 +396,12 @@ def cumulative_arc(df: DataFrame, keys: list[str], order: list[str], coords: lis
                    name: str = "arc_length", hot_rows: int = HOT_ROWS) -> DataFrame:
     """Distance travelled along each key's rows, 0 at the first."""
     at = F.array(*[c.cast("double") for c in coords])
-    lagged = ordered(df, keys, order, Ordered(lags={"__from": at}), hot_rows)
+    rows = df.count()
+    lagged = ordered(df, keys, order, Ordered(lags={"__from": at}), hot_rows, rows)
     squares = F.zip_with(at, F.col("__from"), lambda a, b: (a - b) * (a - b))
     step = F.coalesce(F.sqrt(F.aggregate(squares, F.lit(0.0), lambda acc, v: acc + v)), F.lit(0.0))
     lagged = lagged.withColumn("__step", step)
-    return ordered(lagged, keys, order, Ordered(sums={name: F.col("__step")}), hot_rows) \
+    return ordered(lagged, keys, order, Ordered(sums={name: F.col("__step")}), hot_rows, rows) \
         .drop("__from", "__step")
 
 
@@ -414,7 +418,7 @@ def tolerance_rank(df: DataFrame, keys: list[str], value: str, tolerance: float,
         .select(*keys, "m.*")
     placed = ordered(marks, keys, ["__at", "__probe", "__v"],
                      Ordered(sums={"__upto": F.col("__w")}, totals={"__all": F.col("__w")}),
-                     hot_rows)
+                     hot_rows, 2 * df.count())
     ranks = placed.filter("__probe = 1").select(
         *keys, F.col("__v").alias(value), (1 + F.col("__all") - F.col("__upto")).alias(name))
     return attach(df, ranks, [*keys, value], "inner")
@@ -433,7 +437,7 @@ def asof(left: DataFrame, right: DataFrame, keys: list[str], at: str, columns: l
     # two orders: a right row at the same position counts for both directions
     placed = ordered(both.withColumn("__tie", F.xxhash64("__left")), keys, [at, "__side", "__tie"],
                      Ordered(carries={"__prev": F.col("__right")}, nexts={"__next": F.col("__right")}),
-                     hot_rows).filter("__side = 1")
+                     hot_rows, left.count() + right.count()).filter("__side = 1")
     same = F.col("__prev")[at] == F.col("__left")[at]
     nxt = F.when(same, F.col("__prev")).otherwise(F.col("__next"))
     placed = placed.withColumn("__nx", nxt)
@@ -477,7 +481,7 @@ def pair_period(df: DataFrame, keys: list[str], at: str, period: float,
         F.struct((F.col(at) + F.lit(period)).alias("__p"), F.lit(0).alias("__row"),
                  F.col(at).alias("__at")))).alias("m")).select(*keys, "m.*")
     placed = ordered(marks, keys, ["__p", "__row", "__at"], Ordered(
-        nexts={"__to": F.when(F.col("__row") == 1, F.col("__at"))}), hot_rows)
+        nexts={"__to": F.when(F.col("__row") == 1, F.col("__at"))}), hot_rows, 2 * df.count())
     jump = placed.filter("__row = 0").select(*keys, F.col("__at").alias("__a"), F.col("__to").alias("__b"))
     kept = df.groupBy(*keys).agg(F.min(at).alias("__a"))
     jump, kept = durable(jump.filter("__b is not null")), durable(kept)

@@ -58,7 +58,7 @@ def summary(df: DataFrame, group: str, value: str, note: str, fp: str, fn: str,
         r6(F.avg("fp")).alias("mean_fp"), r6(F.avg("fn")).alias("mean_fn"), r6(F.avg("fpr")).alias("mean_fp_rate"),
         F.count_if(F.col("note") != "").alias("count_note_nonempty"))
     q = O.quantiles(base, ["dataset_id"], {"v": F.col("v"), "fp": F.col("fp")},
-                    {"p05": 0.05, "q1": 0.25, "p50": 0.5, "q3": 0.75, "p95": 0.95}, hot_rows)
+                    {"p05": 0.05, "q1": 0.25, "p50": 0.5, "q3": 0.75, "p95": 0.95}, hot_rows, 2 * df.count())
     q = q.select("dataset_id", *[r6(F.col(c)).alias(c) for c in ("v_p05", "v_q1", "v_p50", "v_q3", "v_p95", "fp_p50")])
     return stats.join(q, "dataset_id", "left")
 
@@ -250,12 +250,13 @@ def slice_profile(df: DataFrame, height: str, a: str, b: str, step: float, min_p
     """Per height slice from the lowest row: rows, median position and the radius holding ``share``."""
     low = df.agg(F.min(height).alias("h0"))
     s = df.crossJoin(F.broadcast(low)).withColumn("slice", F.floor((F.col(height) - F.col("h0")) / F.lit(step)).cast("bigint"))
-    mid = O.quantiles(s, ["slice"], {"a": F.col(a), "b": F.col(b)}, {"p50": 0.5}, hot_rows)
+    rows = df.count()
+    mid = O.quantiles(s, ["slice"], {"a": F.col(a), "b": F.col(b)}, {"p50": 0.5}, hot_rows, rows)
     n = s.groupBy("slice").agg(F.count(F.lit(1)).alias("points"), F.first("h0").alias("h0")).filter(F.col("points") >= min_points)
     axis = n.join(mid, "slice")
     away = s.drop("h0").join(axis, "slice")
     dist = F.sqrt((F.col(a) - F.col("a_p50")) * (F.col(a) - F.col("a_p50")) + (F.col(b) - F.col("b_p50")) * (F.col(b) - F.col("b_p50")))
-    rad = O.quantiles(away, ["slice"], {"r": dist}, {"q": share}, hot_rows)
+    rad = O.quantiles(away, ["slice"], {"r": dist}, {"q": share}, hot_rows, rows)
     return axis.join(rad, "slice").select("slice", "points", (F.col("h0") + F.col("slice") * step + step / 2).alias("height_center"),
                                           F.col("a_p50").alias("a"), F.col("b_p50").alias("b"), F.col("r_q").alias("radius"))
 

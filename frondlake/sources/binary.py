@@ -97,10 +97,10 @@ class PlyRange(InputPartition):
 
 class PlyReader(DataSourceReader):
     def __init__(self, options, schema: T.StructType):
-        self.options, self.schema = dict(options), schema
+        self.options, self.schema = {k.lower(): v for k, v in options.items()}, schema
         self.strict = self.options.get("mode", "PERMISSIVE").upper() == "FAILFAST"
-        self.step = int(self.options.get("rowsPerPartition", 2_000_000))
-        self.batch = int(self.options.get("rowsPerBatch", 65_536))
+        self.step = int(self.options.get("rowsperpartition", 2_000_000))
+        self.batch = int(self.options.get("rowsperbatch", 65_536))
 
     def partitions(self):
         parts, base = [], 0

@@ -50,7 +50,11 @@ def png_size(content: Column) -> Column:
     return F.when(ok & (F.hex(F.substring(content, 13, 4)) == "49484452"), F.struct(number(17).alias("width"), number(21).alias("height")))
 
 
-@F.pandas_udf("struct<width: int, height: int>")
+SIZE = T.StructType([T.StructField("width", T.IntegerType()), T.StructField("height", T.IntegerType())])
+RUNS = T.ArrayType(T.StructType([T.StructField(n, T.IntegerType()) for n in ("y", "x0", "x1")]))
+
+
+@F.pandas_udf(SIZE)
 def jpeg_size(content: pd.Series) -> pd.DataFrame:
     """Size from the first start-of-frame segment of each JPEG, null when there is none."""
     frames = set(range(0xC0, 0xD0)) - {0xC4, 0xC8, 0xCC}
@@ -76,7 +80,7 @@ def jpeg_size(content: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([one(c) for c in content], columns=["width", "height"]).astype("Int32")
 
 
-@F.pandas_udf("array<struct<y: int, x0: int, x1: int>>")
+@F.pandas_udf(RUNS)
 def png_runs(content: pd.Series, threshold: pd.Series) -> pd.Series:
     """Foreground runs (value > threshold) of 8-bit gray PNG masks, one entry per run."""
     def one(data, limit):
@@ -176,7 +180,7 @@ def poses(spark: SparkSession, path: str) -> DataFrame:
 def settings(spark: SparkSession, path: str) -> DataFrame:
     """(file, section, key, value) of INI files: each file's lines become runs that start at a
     section heading. A settings file is a page of text, read whole; files are spread over tasks."""
-    text = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    text = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
     blocks = text.select("file", F.explode(F.split("value", r"(?m)^(?=\s*\[)")).alias("block"))
     blocks = blocks.select("file", F.regexp_extract("block", r"^\s*\[([^\]]+)\]", 1).alias("section"), F.explode(F.split("block", r"\r?\n")).alias("line"))
     rows = blocks.filter(F.col("line").rlike(r"^[^#;\[\s][^=:]*[=:]") & (F.col("section") != ""))
