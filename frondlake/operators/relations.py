@@ -61,29 +61,33 @@ def agglomerate(instances: DataFrame, pairs: DataFrame) -> DataFrame:
     pair that is the heaviest left at both of its clusters; the result equals the sequential one."""
     cluster = instances.select("instance", F.col("instance").alias("cluster"))
     views = durable(instances.select(F.col("instance").alias("cluster"), "photo").distinct())
-    live = durable(pairs.select(F.col("a").alias("ca"), F.col("b").alias("cb"), F.struct(F.col("overlap").alias("w"), "a", "b").alias("e")))
+    live = pairs.select(F.col("a").alias("ca"), F.col("b").alias("cb"), F.struct(F.col("overlap").alias("w"), "a", "b").alias("e"))
     turn = 0
-    while not live.isEmpty():
+    while True:
+        # photos only accumulate, so a pair that clashes now clashes whenever its turn comes
+        va, vb = views.withColumnRenamed("cluster", "ca"), views.withColumnRenamed("cluster", "cb")
+        clash = live.join(va, "ca").join(vb, ["cb", "photo"]).select("ca", "cb").distinct()
+        live = durable(live.join(clash, ["ca", "cb"], "left_anti").groupBy(F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb"))
+                       .agg(F.max("e").alias("e")))
+        if live.isEmpty():
+            return cluster
         turn += 1
         ends = live.select(F.col("ca").alias("c"), "e").union(live.select(F.col("cb").alias("c"), "e"))
         top = ends.groupBy("c").agg(F.max("e").alias("e"))
         twice = top.groupBy("e").agg(F.count(F.lit(1)).alias("n")).filter("n = 2").select("e")
-        settled = durable(live.join(twice, "e"))
-        va, vb = views.withColumnRenamed("cluster", "ca"), views.withColumnRenamed("cluster", "cb")
-        clash = settled.join(va, "ca").join(vb, ["cb", "photo"]).select("e").distinct()
-        merge = durable(settled.join(clash, "e", "left_anti").select("ca", "cb"))
-        into = merge.select(F.col("cb").alias("cluster"), F.col("ca").alias("into"))
+        # the cluster of the pair's first instance gives the merged cluster its name
+        first = cluster.select(F.col("instance").alias("__i"), F.col("cluster").alias("into"))
+        merge = live.join(twice, "e").withColumn("__i", F.col("e.a")).join(first, "__i")
+        into = durable(merge.select(F.when(F.col("ca") == F.col("into"), F.col("cb")).otherwise(F.col("ca")).alias("cluster"), "into"))
 
-        def moved(df: DataFrame, col: str) -> DataFrame:
+        def moved(df: DataFrame, col: str, into: DataFrame = into) -> DataFrame:
             return df.join(into.withColumnRenamed("cluster", col), col, "left").withColumn(col, F.coalesce("into", col)).drop("into")
 
         cluster = moved(cluster, "cluster")
         if turn % 4 == 0:
             cluster = durable(cluster)
         views = durable(moved(views, "cluster").distinct())
-        rest = moved(moved(live.join(settled.select("e"), "e", "left_anti"), "ca"), "cb").filter("ca <> cb")
-        live = durable(rest)
-    return cluster
+        live = moved(moved(live, "ca"), "cb").filter("ca <> cb")
 
 
 def vote_argmax(votes: DataFrame, key: str, choice: str) -> DataFrame:

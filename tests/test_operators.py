@@ -19,7 +19,7 @@ from frondlake.streaming import guard
 
 def test_overlap_and_agglomerate(spark):
     rng = random.Random(4)
-    sets = {i: (i % 7, {0} | set(rng.sample(range(1, 25), rng.randint(2, 6)))) for i in range(40)}
+    sets = {i: (i % 7, {0} | set(rng.sample(range(1, 25), rng.randint(2, 6)))) for i in range(24)}
     rows = [(i, p, g) for i, (p, s) in sets.items() for g in s]
     m = spark.createDataFrame(rows, "instance long, photo long, item long")
     want = {}
