@@ -143,8 +143,8 @@ def nearest(left: DataFrame, right: DataFrame, k: int = 1, exclude_self: bool =
     for level in range(1, depth + 1):
         a, b = _side(la[level], "a"), _side(lb[level], "b")
         if pairs is None:
-            # all cells of the first level share one parent: at most 8 x 8 pairs
-            joined = a.join(b, F.lit(0) == F.col("a_cell") * 0)
+            # the first level's cells meet under their common parent: at most 8 x 8 pairs
+            joined = a.join(b, coarser(F.col("a_cell")) == coarser(F.col("b_cell")))
         else:
             joined = pairs.join(a, F.col("pa") == coarser(F.col("a_cell"))).join(b, F.col("pb") == coarser(F.col("b_cell")))
         joined = joined.withColumn("near", _gap2()).withColumn("far", _reach2())
