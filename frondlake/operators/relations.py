@@ -149,3 +149,57 @@ def fingerprint(df: DataFrame, keys: list[str], order: list[str], line: Column,
     rest = fingerprint(done.filter("__parts > 1").select(*keys, F.col("__rn").alias("__o"), F.col("__line").alias("__t")),
                        keys, ["__o"], F.col("__t"), block, hot_rows)
     return final.unionByName(rest)
+
+
+def coverage_candidates(instances: DataFrame, visible: DataFrame, cluster: DataFrame, labels: DataFrame, merge: float,
+                        min_visible: int = 10, min_size: int = 20, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(a, b, cover, photos): clusters a whose instances cover the visible rows of cluster b in photos
+    b has no instance in, with a median cover of at least ``merge`` over at least two instances."""
+    from frondlake.operators.ordered import quantiles
+
+    ids = labels.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_size).select("cluster")
+    held = instances.join(cluster, "instance").join(ids, "cluster", "left_semi")
+    of = held.select("instance", "photo", F.col("cluster").alias("a")).distinct()
+    own = held.select(F.col("cluster").alias("b"), "photo").distinct()
+    seen = visible.join(labels.join(ids, "cluster", "left_semi").select("item", F.col("cluster").alias("b")), "item")
+    seen = durable(seen.join(own, ["b", "photo"], "left_anti"))
+    base = durable(seen.groupBy("photo", "b").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_visible))
+    hits = held.select("instance", "photo", "item", F.col("cluster").alias("a")).join(seen, ["photo", "item"]).filter("a <> b") \
+        .groupBy("a", "b", "instance", "photo").agg(F.count(F.lit(1)).alias("k"))
+    hits = durable(hits)
+    # instances of a touched pair that miss b count as cover 0
+    every = hits.select("a", "b").distinct().join(of, "a").join(base, ["photo", "b"])
+    cover = every.join(hits, ["a", "b", "instance", "photo"], "left").select("a", "b", (F.coalesce("k", F.lit(0)) / F.col("n")).alias("cover"))
+    cover = durable(cover)
+    count = cover.groupBy("a", "b").agg(F.count(F.lit(1)).alias("photos")).filter("photos >= 2")
+    mid = quantiles(cover, ["a", "b"], {"cover": F.col("cover")}, {"p50": 0.5}, hot_rows)
+    return count.join(mid, ["a", "b"]).select("a", "b", F.col("cover_p50").alias("cover"), "photos").filter(F.col("cover") >= merge)
+
+
+def merge_by_coverage(instances: DataFrame, visible: DataFrame, cluster: DataFrame, points: DataFrame, merge: float, touch: float,
+                      touch_share: float, min_visible: int = 10, min_size: int = 20) -> tuple[DataFrame, list[tuple[int, int]]]:
+    """Fold cluster b into cluster a, best (cover, photos, a, b) first, as long as some pair covers
+    and also touches in space (share of b's rows with a row of a within ``touch``). Every fold
+    changes the votes, so folds follow one another; each one is a round of joins and aggregates.
+    Returns (instance, cluster) and the folds as (a, b)."""
+    from frondlake.operators.spatial import nearest
+
+    folds: list[tuple[int, int]] = []
+    while True:
+        votes = instances.join(cluster, "instance")
+        labels = durable(vote_argmax(votes, "item", "cluster").select("item", "cluster"))
+        todo = durable(coverage_candidates(instances, visible, cluster, labels, merge, min_visible, min_size))
+        best = None
+        while best is None:
+            top = todo.agg(F.max(F.struct("cover", "photos", "a", "b")).alias("m")).first()["m"]
+            if top is None:
+                return cluster, folds
+            a, b = top["a"], top["b"]
+            side = {c: labels.filter(F.col("cluster") == c).select(F.col("item").alias("id")).join(points, "id") for c in (a, b)}
+            share = nearest(side[b], side[a]).agg(F.avg((F.col("distance") < touch).cast("double"))).first()[0] or 0.0
+            if share >= touch_share:
+                best = (a, b)
+            else:
+                todo = todo.filter(~((F.col("a") == a) & (F.col("b") == b)))
+        folds.append(best)
+        cluster = durable(cluster.withColumn("cluster", F.when(F.col("cluster") == best[1], best[0]).otherwise(F.col("cluster"))))
