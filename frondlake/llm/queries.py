@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from frondlake.llm import sharding, topk, warc
+from frondlake.llm import repeats, sharding, topk, warc
 from frondlake.session import table
 
 QUERIES: dict = {}
@@ -81,3 +81,8 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
 @query("op9_shards")
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf, "documents"))
+
+
+@query("op10_substring_dedup")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    return repeats.removal_digest(table(spark, sf, "documents"))
