@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from frondlake.llm import repeats, sharding, topk, warc
+from frondlake.llm import jaccard, repeats, sharding, topk, warc
 from frondlake.session import table
 
 QUERIES: dict = {}
@@ -86,3 +86,8 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_substring_dedup")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return repeats.removal_digest(table(spark, sf, "documents"))
+
+
+@query("op4_jaccard_join")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.jaccard_classes(table(spark, sf, "documents")).drop("set_key")
