@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from frondlake.llm import jaccard, repeats, sharding, topk, warc
+from frondlake.llm import jaccard, licences, mixing, packing, repeats, sharding, topk, warc
 from frondlake.session import table
 
 QUERIES: dict = {}
@@ -91,3 +91,19 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
 @query("op4_jaccard_join")
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.jaccard_classes(table(spark, sf, "documents")).drop("set_key")
+
+
+@query("op1_license_scan")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    return licences.licence_digest(table(spark, sf, "documents"))
+
+
+@query("op3_mix_sources")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    mixed = mixing.mix_corpus(table(spark, sf, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source")
+
+
+@query("op5_best_fit_packing")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf, "documents"))
