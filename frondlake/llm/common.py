@@ -6,6 +6,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,7 +62,7 @@ class _Tables:
 class Words:
     """Words of a batch of texts: byte offsets into ``data``, 64-bit hashes, words per text."""
 
-    def __init__(self, texts, lower: bool = False, separators: bytes = SPACES, hashes: bool = True):
+    def __init__(self, texts, lower: bool = False, separators: bytes = SPACES, hashes: bool = True, clean=None):
         if isinstance(texts, pa.ChunkedArray):
             texts = texts.combine_chunks()
             if isinstance(texts, pa.ChunkedArray):
@@ -71,6 +72,8 @@ class Words:
         self.n = len(texts)
         self.offsets = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + self.n + 1] if self.n else np.zeros(1, np.int64)
         self.data = np.frombuffer(data, np.uint8) if data is not None and self.offsets[-1] else np.zeros(0, np.uint8)
+        if clean is not None and len(self.data):
+            self.data = clean(self.data.copy())
         lo, hi = int(self.offsets[0]), int(self.offsets[-1])
         sep = np.zeros(256, bool)
         sep[list(separators)] = True
@@ -157,6 +160,17 @@ def unpack(blob: bytes, rising: bool = False) -> np.ndarray:
     return np.cumsum(rest, dtype=np.uint64) + base if rising else rest + base
 
 
+def pieces(batch: pa.RecordBatch, text: int, limit: int = 2 << 20):
+    """Slices of a batch of about so many bytes of text in its column number ``text``."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        upto = int(np.searchsorted(size, (size[at - 1] if at else 0) + limit, "right"))
+        upto = max(at + 1, upto)
+        yield batch.slice(at, upto - at)
+        at = upto
+
+
 def column(df: DataFrame, name: str) -> Column:
     """A column by its literal name, dots and backticks included."""
     return df["`" + name.replace("`", "``") + "`"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from frondlake.llm import jaccard, licences, mixing, packing, repeats, sharding, topk, warc
+from frondlake.llm import jaccard, licences, mixing, packing, repeats, sharding, topk, toxicity, warc
 from frondlake.session import table
 
 QUERIES: dict = {}
@@ -107,3 +107,8 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
 @query("op5_best_fit_packing")
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf, "documents"))
+
+
+@query("op6_toxicity")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.toxic_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
