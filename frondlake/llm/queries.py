@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from frondlake.llm import jaccard, licences, mixing, packing, repeats, sharding, topk, toxicity, warc
+from frondlake.llm import jaccard, licences, mixing, packing, repeats, sharding, sketches, topk, toxicity, warc
 from frondlake.session import table
 
 QUERIES: dict = {}
@@ -112,3 +112,10 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
 @query("op6_toxicity")
 def op6(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.toxic_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op7_fingerprints")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    out = sketches.version_fingerprints(table(spark, sf, "documents"))
+    return out.withColumn("n_before", F.size("only_before").cast("long")).withColumn("n_after", F.size("only_after").cast("long")) \
+        .drop("only_before", "only_after")

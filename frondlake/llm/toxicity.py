@@ -25,9 +25,11 @@ QUOTES = '"“”„‟«»‹›'
 REPORTS = frozenset("said says say wrote writes called calls quote quoted quoting quotes word words term terms insult insults slur slurs "
                     "dit disait mot mots terme citation sagte sagt schrieb wort zitat nannte dijo dice palabra cita llamado".split())
 ADDRESS = frozenset("you your yours youre u ur du dich dir dein tu te toi ton vous votre usted tus ti".split())
+#: misspelled hits that are evidence of their own kind
+MANY = 3
 #: kinds of evidence, strongest first, and what is assumed of each before labels are counted
-KINDS = ("exact", "near", "exact_quoted", "near_quoted", "none")
-PRIOR = {"exact": 0.9, "near": 0.4, "exact_quoted": 0.3, "near_quoted": 0.1, "none": 0.03}
+KINDS = ("exact", "near_many", "near", "exact_quoted", "near_quoted", "none")
+PRIOR = {"exact": 0.9, "near_many": 0.6, "near": 0.4, "exact_quoted": 0.3, "near_quoted": 0.1, "none": 0.03}
 
 
 def _plain_marks(data: np.ndarray) -> np.ndarray:
@@ -168,6 +170,9 @@ def _evidence(texts, matcher: Matcher) -> tuple[list[str], np.ndarray]:
     for i in np.flatnonzero(verdict):
         kind = "exact" if verdict[i] == 2 else "near"
         found[words.doc[i]][kind + "_quoted" * _quoted(words, i)] += 1
+    for c in found:
+        if c["near"] >= MANY:
+            c["near_many"] = c["near"]
     kinds = [next((k for k in KINDS if c[k]), "none") for c in found]
     return kinds, np.array([c[k] for c, k in zip(found, kinds)])
 
