@@ -204,3 +204,12 @@ def batched(docs: DataFrame, batches: int, id_col: str = "doc_id", text: str = "
     spread over the batches and a retried task deals the same way."""
     i, t = column(docs, id_col).cast("long"), column(docs, text)
     return docs.select(i.alias("doc_id"), t.alias("text"), F.pmod(F.xxhash64(i, t), F.lit(batches)).cast("int").alias("batch"))
+
+
+#: rows of a side that may be sent whole to every executor: about 40 MB of keys
+BROADCAST_ROWS = 1_000_000
+
+
+def bounded(side: DataFrame) -> DataFrame:
+    """A written side of a join, marked for broadcast if it has few rows; else the join shuffles."""
+    return F.broadcast(side) if side.count() <= BROADCAST_ROWS else side

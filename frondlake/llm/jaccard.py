@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from frondlake.llm.common import Words, batch_count, column, inside, mix, ngrams, pack, text_bytes, unpack
+from frondlake.llm.common import Words, batch_count, bounded, column, inside, mix, ngrams, pack, spare, text_bytes, unpack
 from frondlake.operators.graph import connected_components
 from frondlake.session import durable
 
@@ -25,9 +25,9 @@ BUCKETS = 32
 _SEED = 0x9E3779B97F4A7C15
 _SENT = pa.schema([("range", pa.int32()), ("batch", pa.int32()), ("keys", pa.binary()), ("n", pa.binary())])
 _BACK = pa.schema([("batch", pa.int32()), ("keys", pa.binary()), ("n", pa.binary())])
-_SETS = pa.schema([("doc_id", pa.int64()), ("batch", pa.int32()), ("n", pa.int64()), ("key", pa.int64()), ("alone", pa.int64()),
+_SETS = pa.schema([("doc_id", pa.int64()), ("row_key", pa.int64()), ("batch", pa.int32()), ("n", pa.int64()), ("key", pa.int64()), ("alone", pa.int64()),
                    ("prefix", pa.int32()), ("tokens", pa.list_(pa.int64())), ("spread", pa.list_(pa.int8()))])
-_SETS_DDL = "doc_id long, batch int, n long, key long, alone long, prefix int, tokens array<long>, spread array<byte>"
+_SETS_DDL = "doc_id long, row_key long, batch int, n long, key long, alone long, prefix int, tokens array<long>, spread array<byte>"
 
 
 class _Sets:
@@ -117,7 +117,7 @@ def _index(k: int, num: int, den: int):
         use = prefix > 0
         tokens = sh.view(np.int64)
         return pa.table([
-            docs.column("doc_id").combine_chunks(), docs.column("batch").combine_chunks(), s.n.astype(np.int64), s.key.view(np.int64),
+            docs.column("doc_id").combine_chunks(), docs.column("row_key").combine_chunks(), docs.column("batch").combine_chunks(), s.n.astype(np.int64), s.key.view(np.int64),
             alone.astype(np.int64), prefix.astype(np.int32),
             pa.array([tokens[first[d]:first[d + 1]] if use[d] else None for d in range(len(s.n))], pa.list_(pa.int64())),
             pa.array([spread[d] if use[d] else None for d in range(len(s.n))], pa.list_(pa.int8()))], schema=_SETS)
@@ -156,18 +156,19 @@ def _pairs(left: DataFrame, right: DataFrame, on: Column) -> DataFrame:
 
 
 def jaccard_classes(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, set_key): one row per row of docs. Two documents link when
+    """(doc_id, n_shingles, component_id, class_key, row_key): one row per row of docs. Two documents link when
     den * |intersection| >= num * |union| of their sets of distinct k-word shingles (A-Z lower-cased,
     words between ASCII white space; fewer than k words: the whole sequence is the one shingle). The
     component is named by its smallest document id.
 
     Null, empty and blank texts have no shingle and link with nothing, each its own component (of a
     null id: null). Rows of one set are one vertex, so copies never pair. Null ids are members but
-    never name a component with other ids. set_key is a 64-bit digest of the set, by which equal sets
-    are recognised; an empty table gives no rows."""
+    never name a component with other ids. Sets are recognised by a 64-bit digest; class_key is that of one set
+    of the component, null without shingles; row_key is a hash of id and text; an empty table gives no rows."""
     batches = batch_count(text_bytes(docs, text))
     i, t = column(docs, id_col).cast("long"), column(docs, text)
-    base = docs.select(i.alias("doc_id"), t.alias("text"), F.pmod(F.xxhash64(i, t), F.lit(batches)).cast("int").alias("batch"))
+    base = docs.select(i.alias("doc_id"), t.alias("text"), F.xxhash64(i, t).alias("row_key")) \
+        .withColumn("batch", F.pmod("row_key", F.lit(batches)).cast("int"))
     by = base.groupBy("batch")
     sent = by.applyInArrow(_send(k, batches), "range int, batch int, keys binary, n binary")
     back = sent.groupBy("range").applyInArrow(_frequencies, "batch int, keys binary, n binary")
@@ -194,7 +195,26 @@ def jaccard_classes(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100,
     whole = connected_components(ends).select(F.col("id").alias("key"), F.col("component").alias("root"))
     named_groups = groups.select("key", "least").join(whole, "key", "left").withColumn("root", F.coalesce("root", "key"))
     smallest = named_groups.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = named_groups.join(smallest, "root").select("key", "component_id")
-    linked = filled.join(of, "key").select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("key").alias("set_key"))
-    lone = rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("set_key"))
+    of = named_groups.join(smallest, "root").select("key", "component_id", "root")
+    linked = filled.join(of, "key").select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("root").alias("class_key"), "row_key")
+    lone = rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("class_key"), "row_key")
     return linked.union(lone)
+
+
+def keep_one(docs: DataFrame, k: int, num: int, den: int, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """docs, all columns unchanged, with one document of each component of ``jaccard_classes``: the one
+    of the smallest id (null ids last, ties by a hash of the text). Documents without shingles stay.
+    Of rows equal in id and text one stays."""
+    (key,) = spare(docs, "row_key")
+    classes = durable(jaccard_classes(docs, k, num, den, id_col, text).filter("class_key is not null"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key"))
+    lead = classes.groupBy("class_key").agg(first["row_key"].alias("lead"))
+    seen = classes.groupBy("class_key", "row_key").agg(F.count("*").alias("n")).join(lead, "class_key")
+    gone = durable(seen.filter("row_key <> lead").select(F.col("row_key").alias(key)).distinct())
+    keyed = docs.withColumn(key, F.xxhash64(column(docs, id_col).cast("long"), column(docs, text)))
+    left = keyed.join(bounded(gone), key, "left_anti")
+    again = durable(seen.filter("row_key = lead and n > 1").select(F.col("row_key").alias(key)).distinct())
+    if again.isEmpty():
+        return left.drop(key)
+    again = bounded(again)
+    return left.join(again, key, "left_anti").drop(key).unionByName(left.join(again, key, "left_semi").dropDuplicates([key]).drop(key))

@@ -6,10 +6,10 @@ from itertools import product
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from frondlake.llm.common import column
+from frondlake.llm.common import bounded, column, spare
 from frondlake.operators.ordered import Ordered, ordered
 from frondlake.session import durable
 
@@ -156,3 +156,20 @@ def mix_corpus(docs: DataFrame, **options) -> DataFrame:
     """The documents table mixed by source, sizes in words."""
     i, t = column(docs, "doc_id"), column(docs, "text")
     return mix_documents(docs, i, column(docs, "source"), words_of(t), F.xxhash64(i.cast("long"), t), **options)
+
+
+def take(docs: DataFrame, **options) -> DataFrame:
+    """docs with each row as often as the mix takes it, all columns unchanged. Rows of one id and text
+    share their copies evenly, the first of them one more each."""
+    mixed = mix_corpus(docs, **options)
+    key, copies, at = spare(docs, "__mix", "__copies", "__at")
+    drawn = durable(mixed.groupBy(F.col("mix").alias(key)).agg(F.sum("copies").cast("int").alias(copies), F.count("*").alias(at)))
+    keyed = docs.withColumn(key, F.xxhash64(column(docs, "doc_id").cast("long"), column(docs, "text")))
+    joined = keyed.join(bounded(drawn), key)
+    single = joined.filter(F.col(at) == 1)
+    if not drawn.filter(F.col(at) > 1).isEmpty():
+        rank = F.row_number().over(Window.partitionBy(key).orderBy(key)) - 1
+        shared = joined.filter(F.col(at) > 1).withColumn(copies, F.floor((F.col(copies) + F.col(at) - 1 - rank) / F.col(at)).cast("int"))
+        single = single.unionByName(shared)
+    times = F.explode(F.array_repeat(F.lit(1), F.col(copies)))
+    return single.filter(F.col(copies) > 0).withColumn(copies, times).drop(key, copies, at)

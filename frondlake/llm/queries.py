@@ -90,7 +90,7 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("op4_jaccard_join")
 def op4(spark: SparkSession, sf: str) -> DataFrame:
-    return jaccard.jaccard_classes(table(spark, sf, "documents")).drop("set_key")
+    return jaccard.jaccard_classes(table(spark, sf, "documents")).drop("class_key", "row_key")
 
 
 @query("op1_license_scan")
