@@ -73,7 +73,8 @@ def exact_topk(vectors: DataFrame, vec_id: Column, embedding: Column, is_query:
     Candidates form blocks in vertical layout; each block meets the queries in blocks of at most
     QUERY_BLOCK, and only its k best per query leave the task. A vector that is null or holds a null
     or non-finite component, and a row without id, takes no part; vectors of different length are
-    never compared; fewer than k other rows are all returned; an empty table gives no rows."""
+    never compared; fewer than k other rows are all returned; an empty table gives no rows. Sums are
+    exact in 64 bits, beyond the range where doubles are; a score must fit there."""
     whole = vectors.select(vec_id.cast("long").alias("vec_id"), embedding.cast("array<double>").alias("e"), is_query.alias("q")) \
         .filter("vec_id is not null and e is not null and forall(e, x -> x is not null and not isnan(x) and abs(x) < double('infinity'))")
     rows = whole.select("vec_id", "q", F.transform("e", lambda x: F.floor(x * scale)).alias("v"), F.size("e").alias("dims"))
