@@ -6,7 +6,6 @@ driver sees only counts. Vertices are bigint ids.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -176,80 +175,56 @@ def insertions(hung: DataFrame, targets: DataFrame, stem: DataFrame) -> DataFram
                                            (F.col("end") - F.col("s.dist")).alias("branch_length"))
 
 
-def _replay(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Join radii inside one bounded interval: Kruskal order, a tag set per piece."""
-    parent: dict[int, int] = {}
-    tags: dict[int, set] = {}
-    for r in pdf[pdf["kind"] == 0].itertuples():
-        tags.setdefault(int(r.a), set()).add(r.tag)
-
-    def find(v):
-        while parent.get(v, v) != v:
-            parent[v] = parent.get(parent[v], parent[v])
-            v = parent[v]
-        return v
-
-    found: dict[tuple, float] = {}
-    for held in tags.values():
-        found.update({(x, y): 0.0 for x in held for y in held if x < y})
-    for r in pdf[pdf["kind"] == 1].sort_values(["w", "a", "b"]).itertuples():
-        ra, rb = find(int(r.a)), find(int(r.b))
-        if ra == rb:
-            continue
-        parent[rb] = ra
-        ta, tb = tags.get(ra, set()), tags.pop(rb, set())
-        for x in ta:
-            for y in tb:
-                if x != y:
-                    found.setdefault((min(x, y), max(x, y)), float(r.w))
-        if ta or tb:
-            tags[ra] = ta | tb
-    # pairs together from the start belong to a lighter interval (or share a member)
-    return pd.DataFrame([(x, y, w) for (x, y), w in found.items() if w > 0],
-                        columns=["ga", "gb", "radius"])
-
-
-def join_radii(tree: DataFrame, groups: DataFrame, replay_edges: int = 100_000) -> DataFrame:
+def join_radii(tree: DataFrame, groups: DataFrame, ways: int = 8) -> DataFrame:
     """(ga, gb, radius): for every two groups(id, tag) the smallest r at which some member of each
     falls into one component of tree(a, b, w) with w <= r (0 when they share a member).
 
-    Weights are halved: pairs already together below the middle weight are solved on the light
-    edges, the rest on the heavy edges between the components the light ones form. Intervals of at
-    most ``replay_edges`` edges are finished in one task each."""
-    out = []
-    todo = [(durable(tree.select("a", "b", "w")), durable(groups.select("id", "tag").distinct()))]
-    while todo:
-        edges, held = todo.pop()
-        size = edges.count()
-        low, mid, high = edges.agg(F.min("w"), F.percentile_approx("w", 0.5, 1000), F.max("w")).first() if size else (0, 0, 0)
-        if size <= replay_edges or mid == high and low == high:
-            both = edges.select(F.lit(1).alias("kind"), "a", "b", "w", F.lit(None).cast("string").alias("tag")).unionByName(
-                held.select(F.lit(0).alias("kind"), F.col("id").alias("a"), F.lit(None).cast("long").alias("b"),
-                            F.lit(0.0).alias("w"), F.col("tag").cast("string").alias("tag")))
-            out.append(durable(both.groupBy(F.lit(0).alias("g")).applyInPandas(
-                lambda pdf: _replay(pdf), "ga string, gb string, radius double")))
-            continue
-        if mid == high:
-            light, heavy = edges.filter(F.col("w") < mid), edges.filter(F.col("w") >= mid)
-        else:
-            light, heavy = edges.filter(F.col("w") <= mid), edges.filter(F.col("w") > mid)
-        comp = durable(connected_components(light))
-        # members of untouched vertices stand for themselves
-        lifted = durable(held.join(comp, "id", "left").select(F.coalesce("component", "id").alias("id"), "tag").distinct())
-        many = lifted.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        useful = comp.join(many.select(F.col("id").alias("component")), "component", "left_semi")
-        part = light.join(useful.select(F.col("id").alias("a")), "a", "left_semi")
-        todo.append((durable(part), durable(held.join(
-            useful.select("id").union(many.select("id")).distinct(), "id", "left_semi"))))
-        na = comp.select(F.col("id").alias("a"), F.col("component").alias("ca"))
-        nb = comp.select(F.col("id").alias("b"), F.col("component").alias("cb"))
-        up = heavy.join(na, "a", "left").join(nb, "b", "left").select(
-            F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"), "w")
-        todo.append((durable(up), lifted))
-    tags = F.array_sort(F.collect_set(F.col("tag").cast("string")))
-    shared = groups.groupBy("id").agg(tags.alias("t")).filter(F.size("t") > 1)
-    shared = shared.select(F.explode("t").alias("ga"), "t").select("ga", F.explode("t").alias("gb")) \
-        .filter("ga < gb").select("ga", "gb", F.lit(0.0).alias("radius"))
-    for o in out:
-        shared = shared.union(o)
-    return shared.groupBy("ga", "gb").agg(F.min("radius").alias("radius"))
+    The range of weights is cut into bands, in all open ranges at once. A band's edges are kept
+    between the components that the lighter edges of its range form, and tags move to those
+    components. A band of one weight is done: tags that its edges bring together have that radius at
+    most, and each pair keeps the smallest it was given. Rounds grow with the logarithm of the number
+    of different weights; nothing is solved in one task."""
+    tags = groups.select("id", F.col("tag").cast("string").alias("tag")).distinct()
+    held = durable(tags.select(F.lit(0).cast("long").alias("k"), "id", "tag"))
+    edges = durable(tree.filter("a <> b").select(F.lit(0).cast("long").alias("k"), "a", "b", F.col("w").cast("double").alias("w")))
+    pair = (F.col("l.tag") < F.col("r.tag"))
+
+    def met(df: DataFrame, spot: list[str], radius: Column) -> DataFrame:
+        same = pair
+        for c in spot:
+            same = same & (F.col(f"l.{c}") == F.col(f"r.{c}"))
+        return df.alias("l").join(df.alias("r"), same).select(
+            F.col("l.tag").alias("ga"), F.col("r.tag").alias("gb"), radius.alias("radius")).distinct()
+
+    out = [met(held, ["id"], F.lit(0.0))]
+    share = F.array(*[F.lit(i / ways) for i in range(1, ways)])
+    while not edges.isEmpty():
+        marks = edges.groupBy("k").agg(F.max("w").alias("hi"), F.percentile_approx("w", share, F.lit(1000)).alias("cut"))
+        ends = F.array_sort(F.array_distinct(F.concat(F.filter("cut", lambda c: c < F.col("hi")), F.array("hi"))))
+        bands = durable(marks.select("k", F.posexplode(ends).alias("j", "top"), F.size(ends).alias("of")))
+        here = edges.join(bands, "k").filter(F.col("w") <= F.col("top"))
+
+        def at(v: str) -> Column:
+            return F.struct("k", "j", F.col(v).alias("v"))
+
+        # pieces that the edges up to each band's top form, within their range
+        comp = connected_components(here.select(at("a").alias("a"), at("b").alias("b")))
+        comp = durable(comp.select(F.col("id.k").alias("k"), F.col("id.j").alias("j"), F.col("id.v").alias("id"), F.col("component.v").alias("piece")))
+        flat = edges.groupBy("k").agg(F.min("w").alias("lo"), F.max("w").alias("hi")).filter("lo = hi").select("k", "hi")
+        done = held.join(comp.filter("j = 0"), ["k", "id"]).join(flat, "k").select("k", "piece", "tag", "hi").distinct()
+        out.append(durable(met(done, ["k", "piece"], F.col("l.hi"))))
+        under = comp.withColumn("j", F.col("j") + 1)
+        band = here.groupBy("k", "a", "b", "w").agg(F.min("j").alias("j")).join(flat.select("k"), "k", "left_anti")
+        ua, ub = (under.select("k", "j", F.col("id").alias(v), F.col("piece").alias(f"p{v}")) for v in "ab")
+        lifted = band.join(ua, ["k", "j", "a"], "left").join(ub, ["k", "j", "b"], "left").select(
+            (F.col("k") * ways + F.col("j")).alias("k"), F.coalesce("pa", "a").alias("a"), F.coalesce("pb", "b").alias("b"), "w").filter("a <> b")
+        open_ = bands.join(flat.select("k"), "k", "left_anti").select("k", "j")
+        moved = held.join(open_, "k").join(under, ["k", "j", "id"], "left").select(
+            (F.col("k") * ways + F.col("j")).alias("k"), F.coalesce("piece", "id").alias("id"), "tag").distinct()
+        edges = durable(lifted)
+        touched = edges.select("k", F.col("a").alias("id")).union(edges.select("k", F.col("b").alias("id"))).distinct()
+        held = durable(moved.join(touched, ["k", "id"], "left_semi"))
+    found = out[0]
+    for o in out[1:]:
+        found = found.union(o)
+    return found.groupBy("ga", "gb").agg(F.min("radius").alias("radius"))

@@ -109,12 +109,12 @@ def test_euclidean_tree(points, dist, block):
     assert {(x["a"], x["b"]) for x in got} == {(i, j) for i, j, _ in want}
 
 
-@pytest.mark.parametrize("cut", [100_000, 20])
-def test_join_radii(spark, points, dist, cut):
+@pytest.mark.parametrize("ways", [8, 2])
+def test_join_radii(spark, points, dist, ways):
     tree = spark.createDataFrame([(i, j, float(w)) for i, j, w in kruskal(dist, range(160))], "a long, b long, w double")
     sets = {"a": range(0, 5), "b": range(60, 70), "c": range(110, 120), "d": range(140, 150), "e": [4, 150]}
     groups = spark.createDataFrame([(i, g) for g, ids in sets.items() for i in ids], "id long, tag string")
-    got = {(x["ga"], x["gb"]): x["radius"] for x in G.join_radii(tree, groups, cut).collect()}
+    got = {(x["ga"], x["gb"]): x["radius"] for x in G.join_radii(tree, groups, ways).collect()}
     M = dist[:160, :160].copy()
     for k in range(160):
         M = np.minimum(M, np.maximum(M[:, k:k + 1], M[k:k + 1, :]))
@@ -122,6 +122,14 @@ def test_join_radii(spark, points, dist, cut):
         assert np.isclose(got[g, h], M[np.ix_(list(sets[g]), list(sets[h]))].min()), (g, h)
 
 
+def test_join_radii_of_weight_zero_and_ties(spark):
+    tree = spark.createDataFrame([(0, 1, 0.0), (1, 2, 1.0), (2, 3, 1.0), (5, 6, 2.0)], "a long, b long, w double")
+    groups = spark.createDataFrame([(0, "p"), (1, "q"), (2, "r"), (3, "s"), (3, "t"), (5, "u"), (6, "v"), (9, "p")], "id long, tag string")
+    got = {(x["ga"], x["gb"]): x["radius"] for x in G.join_radii(tree, groups).collect()}
+    want = {("p", "q"): 0.0, ("s", "t"): 0.0, ("u", "v"): 2.0} | {(a, b): 1.0 for a in "pq" for b in "rst"} | {("r", "s"): 1.0, ("r", "t"): 1.0}
+    assert got == want
+
+
 def test_sweep(spark, points, dist):
     tree = S.euclidean_tree(points)
     got = {x["mult"]: x for x in S.radius_sweep(tree, points, {"1": 0.3, "2": 0.8}, 10, 3).collect()}
