@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from frondlake.llm.common import Words, batch_count, column, inside, ngrams, pack, text_bytes, unpack
+from frondlake.llm.common import Words, batch_count, column, inside, mix, ngrams, pack, text_bytes, unpack
 
 ANCHOR = 5
 
@@ -42,7 +42,8 @@ def _windows(words: Words, k: int, known: np.ndarray) -> tuple[np.ndarray, np.nd
     m = min(ANCHOR, k)
     if len(words.hash) < k:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    anchors = _span_min(ngrams(words.hash, m), k - m + 1) >> np.uint64(16)
+    # smallest values crowd at the low end: mixed again, they spread over the ranges
+    anchors = mix(_span_min(ngrams(words.hash, m), k - m + 1)) >> np.uint64(16)
     doc = words.doc[:len(anchors)]
     return np.flatnonzero(inside(words.doc, k) & known[doc]), anchors
 
