@@ -232,9 +232,21 @@ def eval_token(mode: Column, fraction: Column, interval: Column) -> Column:
 
 
 def base26(n: Column) -> Column:
-    """a, b, ..., z, aa, ab, ... for 0, 1, ... (two letters cover 702)."""
-    one = F.chr(F.lit(97) + F.pmod(n, F.lit(26)))
-    return F.when(n < 26, one).otherwise(F.concat(F.chr(F.lit(96) + F.floor(n / 26)), one))
+    """a, b, ..., z, aa, ab, ..., zz, aaa, ... for 0, 1, ...; 14 letters name every bigint."""
+    start = F.struct(n.cast("long").alias("left"), F.lit("").alias("name"))
+
+    def letter(acc, _):
+        left = acc["left"]
+        more = F.struct((F.floor(left / 26).cast("long") - 1).alias("left"), F.concat(F.chr(F.lit(97) + F.pmod(left, F.lit(26))), acc["name"]).alias("name"))
+        return F.when(left < 0, acc).otherwise(more)
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(14)), start, letter, lambda acc: acc["name"])
+
+
+def padded(n: Column, width: int) -> Column:
+    """A whole number with leading zeros up to width; longer numbers keep all their digits."""
+    digits = n.cast("string")
+    return F.concat(F.repeat(F.lit("0"), F.greatest(F.lit(0), F.lit(width) - F.length(digits))), digits)
 
 
 def register(spark: SparkSession) -> None:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass, replace
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from frondlake.operators.ordered import HOT_ROWS, Ordered, ordered
@@ -90,57 +93,80 @@ def ransac_plane(points: DataFrame, tolerance: float, trials: int, seed: int, mi
     return normal, centre, inliers
 
 
-def soil_plane(points: DataFrame, base, toward, params: dict) -> dict:
-    """Plane of the rows voted soil near ``base``, its normal turned toward ``toward``; points has
-    x, y, z, hits, seen. Refusals carry a reason."""
-    share = F.col("hits") / F.greatest(F.col("seen"), F.lit(1))
-    soil = points.filter((F.col("hits") >= params["soil_min_hits"]) & (share >= params["soil_hit_share"]))
-    near = F.sqrt(sum(((F.col(c) - F.lit(float(b))) * (F.col(c) - F.lit(float(b))) for c, b in zip(AXES[1:], base[1:])),
-                      (F.col("x") - F.lit(float(base[0]))) * (F.col("x") - F.lit(float(base[0])))))
-    local = durable(soil.filter(near < params["soil_local_radius"]).select(*AXES).distinct())
-    n = local.count()
-    if n < params["min_plane_points"]:
-        return {"status": "refused", "reason": f"{n} candidate points", "candidates": n}
-    normal, centre, inliers = ransac_plane(local, params["plane_tol"], params["ransac_trials"], params["ransac_seed"], params["min_inliers"])
+@dataclass(frozen=True)
+class GroundLimits:
+    """Which rows may be ground and what a fit must reach."""
+
+    min_hits: int
+    hit_share: float
+    radius: float
+    tolerance: float
+    trials: int
+    seed: int
+    min_rows: int
+    min_inliers: int
+
+
+@dataclass(frozen=True)
+class GroundFit:
+    """A fitted plane, or the first rule it broke (``rows``, ``inliers`` or ``side``)."""
+
+    rows: int
+    broken: str | None = None
+    normal: np.ndarray | None = None
+    centre: np.ndarray | None = None
+    offset: float | None = None
+    inliers: DataFrame | None = None
+    same_rows: bool = False
+
+
+def ground_plane(points: DataFrame, base, toward, limits: GroundLimits) -> GroundFit:
+    """Plane of the rows of points(x, y, z, hits, seen) voted ground within a radius of ``base``, its
+    normal on the side of ``toward``; ``offset`` is the base's height above it."""
+    base, toward = np.asarray(base, float), np.asarray(toward, float)
+    away = sum(((F.col(c) - F.lit(float(b))) ** 2 for c, b in zip(AXES, base)), F.lit(0.0))
+    voted = (F.col("hits") >= limits.min_hits) & (F.try_divide("hits", "seen") >= limits.hit_share)
+    near = durable(points.filter(voted & (away < limits.radius ** 2)).select(*AXES).distinct())
+    rows = near.count()
+    if rows < limits.min_rows:
+        return GroundFit(rows, "rows")
+    normal, centre, inliers = ransac_plane(near, limits.tolerance, limits.trials, limits.seed, limits.min_inliers)
     if normal is None:
-        return {"status": "refused", "reason": "too few inliers", "candidates": n}
-    side = float((np.asarray(toward) - np.asarray(base)) @ normal)
-    if side == 0:
-        return {"status": "refused", "reason": "sign undefined", "candidates": n}
-    normal = normal if side > 0 else -normal
-    return {"status": "ok", "normal": normal, "point": centre, "inliers": inliers, "candidates": n,
-            "offset": float((np.asarray(base) - centre) @ normal)}
-
-
-def soil_plane_iterative(points: DataFrame, base_along, toward, up, params: dict) -> dict:
-    """Refit with the base taken along the previous normal until the inlier set stays the same.
-    ``base_along(up)`` gives the base point for a direction."""
-    previous, rec = None, {}
-    for turn in range(params["max_soil_iterations"]):
-        rec = soil_plane(points, base_along(up), toward, params)
-        rec["iterations"] = turn + 1
-        if rec["status"] != "ok":
-            return rec
-        current = durable(rec["inliers"])
-        if previous is not None and current.exceptAll(previous).isEmpty() and previous.exceptAll(current).isEmpty():
-            return {**rec, "converged": True}
-        previous, up = current, rec["normal"]
-    return {**rec, "converged": False}
-
-
-def choose_up(soil: dict | None, camera: dict | None, disagreement: float) -> dict:
-    """The soil normal when it exists, else the cameras' mean up, else a refusal; a large angle
-    between the two is flagged, never acted on."""
-    s = soil is not None and soil["status"] == "ok"
-    c = camera is not None and camera["status"] == "ok"
-    angle = None
-    if s and c:
-        a, b = np.asarray(soil["normal"], float), np.asarray(camera["normal"], float)
-        angle = float(np.degrees(np.arccos(np.clip(a @ b / np.linalg.norm(a) / np.linalg.norm(b), -1, 1))))
-    method = "soil_plane" if s else "camera_mean_image_up" if c else None
-    return {"method": method, "status": "primary" if s else "fallback" if c else "refused", "angle": angle,
-            "up": soil["normal"] if s else camera["normal"] if c else None,
-            "disagreement": bool(angle is not None and angle > disagreement)}
+        return GroundFit(rows, "inliers")
+    side = float(np.sign((toward - base) @ normal))
+    return GroundFit(rows, None if side else "side", side * normal, centre, side * float((base - centre) @ normal), inliers)
+
+
+def settle_ground(points: DataFrame, base_along, toward, up, limits: GroundLimits, rounds: int) -> Iterator[GroundFit]:
+    """The fits of successive rounds, each with the base that ``base_along`` gives for the normal before
+    it; ends with a broken fit, with one whose inliers are those before it, or after ``rounds``. Sets
+    of inliers are compared by their count and the sum of their row hashes."""
+    mark = None
+    for _ in range(rounds):
+        fit = ground_plane(points, base_along(up), toward, limits)
+        if fit.broken:
+            yield fit
+            return
+        last, mark = mark, tuple(fit.inliers.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*AXES).cast("decimal(38,0)"))).first())
+        yield replace(fit, same_rows=mark == last)
+        if mark == last:
+            return
+        up = fit.normal
+
+
+def up_direction(spark: SparkSession, candidates, apart: float) -> DataFrame:
+    """(place, source, x, y, z, use, angle, apart): candidate directions (source, vector or None) in order
+    of trust. The first one that exists is used; the others only show by how many degrees they differ
+    and whether that is more than ``apart``."""
+    rows = [(i, s, *(map(float, v) if v is not None else (None,) * 3)) for i, (s, v) in enumerate(candidates)]
+    df = spark.createDataFrame(rows, "place int, source string, x double, y double, z double")
+    first = df.filter("x is not null").agg(F.min_by(F.struct("place", *AXES), "place").alias("u"))
+    j = df.crossJoin(first)  # one row
+    size = lambda p: F.sqrt(sum((F.col(p + c) * F.col(p + c) for c in AXES), F.lit(0.0)))
+    cos = sum((F.col(c) * F.col(f"u.{c}") for c in AXES), F.lit(0.0)) / size("") / size("u.")
+    j = j.withColumn("angle", F.when(F.col("x").isNotNull(), F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cos))))))
+    return j.select("place", "source", *AXES, F.coalesce(F.col("place") == F.col("u.place"), F.lit(False)).alias("use"), "angle",
+                    F.when(F.col("x").isNotNull(), F.col("angle") > apart).alias("apart")).orderBy("place")
 
 
 def _solve3(a: dict[str, Column], r: list[Column]) -> list[Column]:

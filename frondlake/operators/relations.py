@@ -129,26 +129,28 @@ def same_columns(a: DataFrame, b: DataFrame, key: str, columns: list[str]) -> Da
 
 def fingerprint(df: DataFrame, keys: list[str], order: list[str], line: Column, block: int = 4096,
                 hot_rows: int = HOT_ROWS) -> DataFrame:
-    """sha256 over a key's ordered lines. Up to ``block`` lines it is the digest of their text;
-    a longer key is the digest of its blocks' digests, so no task holds a whole key."""
+    """sha256 over a key's ordered lines as a tree of digests: ``block`` lines make a digest, ``block``
+    digests the digest above, until one is left. There are two levels at least, so a key of any
+    length has the same definition and no task holds a whole key."""
+
+    def level(rows: DataFrame) -> DataFrame:
+        """rows(keys, __rn, __line) -> the digests of runs of ``block`` of them."""
+        run = F.floor((F.col("__rn") - 1) / F.lit(block))
+        parts = rows.groupBy(*keys, run.alias("__c")).agg(F.array_sort(F.collect_list(F.struct(F.col("__rn").alias("i"), F.col("__line").alias("t")))).alias("__rows"))
+        text = F.concat_ws("", F.transform("__rows", lambda r: r["t"]))
+        return parts.select(*keys, (F.col("__c") + 1).alias("__rn"), F.sha2(text, 256).alias("__line"))
+
     placed = ordered(df.select(*keys, *order, line.alias("__line")), keys, order, Ordered(rank="__rn"), hot_rows)
-    chunk = F.floor((F.col("__rn") - 1) / F.lit(block))
-
-    def text(rows: str) -> Column:
-        return F.concat_ws("", F.transform(F.array_sort(rows), lambda r: r["t"]))
-
-    parts = placed.groupBy(*keys, chunk.alias("__c")).agg(F.collect_list(F.struct(F.col("__rn").alias("i"), F.col("__line").alias("t"))).alias("__rows"))
-    parts = durable(parts.select(*keys, (F.col("__c") + 1).alias("__rn"), F.sha2(text("__rows"), 256).alias("__line")))
-    more = parts.groupBy(*keys).agg(F.max("__rn").alias("m")).agg(F.max("m")).first()[0] or 1
-    if more == 1:
-        return parts.select(*keys, F.col("__line").alias("sha256"))
-    single = parts.groupBy(*keys).agg(F.count(F.lit(1)).alias("__parts"))
-    done = attach(parts, single, keys, "inner") if keys else parts.crossJoin(single)
-    # finished keys pass through unchanged: the digest of one digest is not taken again
-    final = done.filter("__parts = 1").select(*keys, F.col("__line").alias("sha256"))
-    rest = fingerprint(done.filter("__parts > 1").select(*keys, F.col("__rn").alias("__o"), F.col("__line").alias("__t")),
-                       keys, ["__o"], F.col("__t"), block, hot_rows)
-    return final.unionByName(rest)
+    done, rest = None, level(placed)
+    while True:
+        rest = durable(level(rest))
+        many = rest.filter("__rn > 1").select(*keys).distinct()
+        top = attach(rest, many.withColumn("__more", F.lit(True)), keys) if keys else rest.crossJoin(rest.agg((F.max("__rn") > 1).alias("__more")))
+        ready = top.filter("not coalesce(__more, false)").select(*keys, F.col("__line").alias("sha256"))
+        done = ready if done is None else done.unionByName(ready)
+        rest = top.filter("__more").drop("__more")
+        if rest.isEmpty():
+            return done
 
 
 def coverage_candidates(instances: DataFrame, visible: DataFrame, cluster: DataFrame, labels: DataFrame, merge: float,

@@ -36,10 +36,14 @@ def distance2(a: str, b: str) -> Column:
 
 
 def bounds(*sets: DataFrame) -> tuple[list[float], float, int]:
-    """(minimum corner, longest side, largest row count) over all sets."""
+    """(minimum corner, longest side, largest row count) over all sets. Rows without finite
+    coordinates lie nowhere; they are refused rather than lost in a join."""
     lows, highs, rows = [], [], 0
+    placed = " and ".join(f"coalesce(abs({c}) < double('infinity'), false)" for c in AXES)
     for s in sets:
-        r = s.agg(*[F.min(c) for c in AXES], *[F.max(c) for c in AXES], F.count(F.lit(1))).first()
+        r = s.agg(*[F.min(c) for c in AXES], *[F.max(c) for c in AXES], F.count(F.lit(1)), F.count_if(F.expr(f"not ({placed})"))).first()
+        if r[7]:
+            raise ValueError(f"{r[7]} rows have a null or non-finite coordinate")
         if r[6]:
             lows.append(r[:3])
             highs.append(r[3:6])

@@ -19,11 +19,11 @@ def plane_fit(spark, sf):
     return li.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.abs(X.off_plane(normal, centre)) < 0.05).alias("on_plane"))
 
 
-@query("triangulated_points", f"WITH {POINT_SQL} SELECT id AS label, round(x,5)+0.0 AS x, round(y,5)+0.0 AS y, round(z,5)+0.0 AS z, 6 AS views FROM pts")
+@query("triangulated_points", f"WITH {POINT_SQL} SELECT id AS label, round(x,5)+0.0 AS x, round(y,5)+0.0 AS y, round(z,5)+0.0 AS z, CAST((SELECT count(*) FROM nation) AS INT) AS views FROM pts")
 def triangulated_points(spark, sf):
-    """Points seen by six turned cameras are recovered from their pixels."""
+    """Points seen by turned cameras are recovered from their pixels."""
     a = F.radians(F.col("n_nationkey") * 12.0 - 30)
-    cams = table(spark, sf, "nation").filter("n_nationkey < 6").select(
+    cams = table(spark, sf, "nation").select(
         F.cos(a).alias("r00"), F.lit(0.0).alias("r01"), F.sin(a).alias("r02"), F.lit(0.0).alias("r10"), F.lit(1.0).alias("r11"), F.lit(0.0).alias("r12"),
         (-F.sin(a)).alias("r20"), F.lit(0.0).alias("r21"), F.cos(a).alias("r22"), F.lit(0.0).alias("t0"), (F.col("n_nationkey") * 0.05).alias("t1"), F.lit(3.0).alias("t2"),
         (500.0 + F.col("n_nationkey")).alias("f"), F.lit(320.0).alias("cx"), F.lit(240.0).alias("cy"))

@@ -208,12 +208,12 @@ def held_out_count(spark, sf):
 
 
 @query("next_run_count", """WITH b AS (SELECT p_type AS prefix, CAST(regexp_extract(p_brand,'#(\\d+)$',1) AS INT) AS k FROM part UNION ALL SELECT p_type, p_size FROM part)
-SELECT prefix, lpad(CAST(coalesce(max(k),0)+1 AS VARCHAR), 2, '0') AS next_run FROM b GROUP BY prefix""")
+SELECT prefix, repeat('0', greatest(0, 2 - length(k))) || k AS next_run FROM (SELECT prefix, CAST(coalesce(max(k),0)+1 AS VARCHAR) AS k FROM b GROUP BY prefix)""")
 def next_run_count(spark, sf):
     p = table(spark, sf, "part")
     both = p.select(F.col("p_type").alias("prefix"), F.regexp_extract("p_brand", r"#(\d+)$", 1).cast("int").alias("k")) \
         .union(p.select("p_type", F.col("p_size")))
-    return both.groupBy("prefix").agg(F.lpad((F.coalesce(F.max("k"), F.lit(0)) + 1).cast("string"), 2, "0").alias("next_run"))
+    return both.groupBy("prefix").agg(C.padded(F.coalesce(F.max("k"), F.lit(0)) + 1, 2).alias("next_run"))
 
 
 @query("status_counts", "SELECT o_orderstatus AS status, count(*) AS n, round(sum(o_totalprice),2) AS total FROM orders GROUP BY 1")

@@ -133,12 +133,12 @@ def asof_price(spark, sf):
     return O.asof(e, d, [], "at", ["price"]).select("event_id", F.round("prev_price", 2).alias("price"))
 
 
-@query("axis_interpolate", """WITH ax AS (SELECT CAST(p_size AS DOUBLE)*40 AS h, avg(p_retailprice) AS v FROM part WHERE p_size%3=0 GROUP BY 1), q AS (SELECT event_id, value*5 AS h FROM events),
+@query("axis_interpolate", """WITH ax AS (SELECT CAST(p_size AS DOUBLE)*40 AS h, avg(p_retailprice) AS v FROM part GROUP BY 1), q AS (SELECT event_id, value*5 AS h FROM events),
 b AS (SELECT q.*, (SELECT max(h) FROM ax WHERE ax.h<=q.h) AS lo, (SELECT min(h) FROM ax WHERE ax.h>=q.h) AS hi FROM q)
 SELECT event_id, round(CASE WHEN lo IS NULL THEN c.v WHEN hi IS NULL OR hi=lo THEN a.v ELSE a.v+(c.v-a.v)*(b.h-lo)/(hi-lo) END,6) AS v, CASE WHEN lo IS NULL OR hi IS NULL THEN 'nearest_slice' WHEN lo=hi THEN 'exact' ELSE 'interpolated' END AS lookup
 FROM b LEFT JOIN ax a ON a.h=lo LEFT JOIN ax c ON c.h=hi""")
 def axis_interpolate(spark, sf):
-    ax = table(spark, sf, "part").filter("p_size % 3 = 0").groupBy((F.col("p_size").cast("double") * 40).alias("h")).agg(F.avg("p_retailprice").alias("v"))
+    ax = table(spark, sf, "part").groupBy((F.col("p_size").cast("double") * 40).alias("h")).agg(F.avg("p_retailprice").alias("v"))
     q = table(spark, sf, "events").select("event_id", (F.col("value") * 5).alias("h"))
     return O.interpolate(q, ax, [], "h", ["v"]).select("event_id", r6(F.col("v")).alias("v"), "lookup")
 
@@ -152,11 +152,11 @@ def latest_per_key(spark, sf):
 LADDER = ("signup", "view", "click", "purchase", "error")  # fixed values, first step first
 
 
-@query("milestone_ladder", """WITH p AS (SELECT user_id, list_position(['signup','view','click','purchase','error'], event_type) AS p, ts FROM events WHERE value>100)
+@query("milestone_ladder", """WITH p AS (SELECT user_id, list_position(['signup','view','click','purchase','error'], event_type) AS p, ts FROM events)
 SELECT user_id, ['signup','view','click','purchase','error'][max(p)] AS milestone, CAST(max(p) AS INT) AS step, arg_min(ts, (-p, ts)) AS reached FROM p GROUP BY 1""")
 def milestone_ladder(spark, sf):
     steps = F.array(*[F.lit(s) for s in LADDER])
-    p = table(spark, sf, "events").filter("value > 100").select("user_id", F.array_position(steps, F.col("event_type")).cast("int").alias("p"), "ts")
+    p = table(spark, sf, "events").select("user_id", F.array_position(steps, F.col("event_type")).cast("int").alias("p"), "ts")
     return p.groupBy("user_id").agg(F.element_at(steps, F.max("p")).alias("milestone"), F.max("p").alias("step"), F.min_by("ts", F.struct(-F.col("p"), "ts")).alias("reached"))
 
 
@@ -170,10 +170,10 @@ def latest_completed(spark, sf):
         F.max_by("o_orderkey", F.when(ok, at)).alias("completed"), F.when(F.count_if(ok) == 0, F.max_by(why, at)).alias("reason"))
 
 
-@query("id_runs", """WITH d AS (SELECT DISTINCT l_returnflag AS g, l_partkey AS v FROM lineitem WHERE l_quantity>=45), n AS (SELECT *, v-row_number() OVER (PARTITION BY g ORDER BY v) AS r FROM d)
+@query("id_runs", """WITH d AS (SELECT DISTINCT l_returnflag AS g, l_partkey AS v FROM lineitem), n AS (SELECT *, v-row_number() OVER (PARTITION BY g ORDER BY v) AS r FROM d)
 SELECT g, min(v) AS low, max(v) AS high, CASE WHEN min(v)=max(v) THEN CAST(min(v) AS VARCHAR) ELSE min(v)||'-'||max(v) END AS run FROM n GROUP BY g, r""")
 def id_runs(spark, sf):
-    d = table(spark, sf, "lineitem").filter("l_quantity >= 45").select(F.col("l_returnflag").alias("g"), F.col("l_partkey").alias("v")).distinct()
+    d = table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("g"), F.col("l_partkey").alias("v")).distinct()
     n = O.ordered(d, ["g"], ["v"], O.Ordered(rank="rn")).withColumn("r", F.col("v") - F.col("rn"))
     g = n.groupBy("g", "r").agg(F.min("v").alias("low"), F.max("v").alias("high"))
     return g.select("g", "low", "high", F.when(F.col("low") == F.col("high"), F.col("low").cast("string")).otherwise(F.concat_ws("-", "low", "high")).alias("run"))

@@ -55,10 +55,10 @@ def extension_list(spark, sf):
     return p.groupBy("p_brand").agg(F.array_join(F.sort_array(F.collect_set("e")), ",").alias("exts"))
 
 
-@query("run_ids", "SELECT o_orderkey, strftime(o_orderdate,'%y%m%d')||'-'||lpad(CAST(row_number() OVER (PARTITION BY o_orderdate ORDER BY o_orderkey) AS VARCHAR),3,'0') AS run_id FROM orders")
+@query("run_ids", "SELECT o_orderkey, strftime(o_orderdate,'%y%m%d')||'-'||repeat('0', greatest(0, 3 - length(n))) || n AS run_id FROM (SELECT *, CAST(row_number() OVER (PARTITION BY o_orderdate ORDER BY o_orderkey) AS VARCHAR) AS n FROM orders)")
 def run_ids(spark, sf):
     o = O.ordered(table(spark, sf, "orders").select("o_orderkey", "o_orderdate"), ["o_orderdate"], ["o_orderkey"], O.Ordered(rank="n"))
-    return o.select("o_orderkey", F.concat_ws("-", F.date_format("o_orderdate", "yyMMdd"), F.lpad(F.col("n").cast("string"), 3, "0")).alias("run_id"))
+    return o.select("o_orderkey", F.concat_ws("-", F.date_format("o_orderdate", "yyMMdd"), C.padded(F.col("n"), 3)).alias("run_id"))
 
 
 @query("export_names", "SELECT o_orderkey, concat_ws('_', lower(o_orderstatus), CASE WHEN o_custkey%3=0 THEN NULL ELSE 'ds'||o_custkey%8 END, CASE WHEN o_orderpriority LIKE '1%' THEN 'evalall' WHEN o_orderpriority LIKE '2%' THEN 'evalint'||o_custkey%9 ELSE 'evalfrac'||(CASE WHEN o_custkey%2=0 THEN '90' ELSE '87p5' END) END) AS name FROM orders")
@@ -69,15 +69,15 @@ def export_names(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", F.concat_ws("_", F.lower("o_orderstatus"), scale, token).alias("name"))
 
 
-@query("frame_estimates", "SELECT event_id, CAST(floor((CAST(value AS DECIMAL(18,2))-0.04)/0.25)+1 AS BIGINT) AS frames FROM events WHERE value>1")
+@query("frame_estimates", "SELECT event_id, CAST(floor((CAST(value AS DECIMAL(18,2))-0.04)/0.25)+1 AS BIGINT) AS frames FROM events")
 def frame_estimates(spark, sf):
     v = F.col("value").cast("decimal(18,2)")
-    return table(spark, sf, "events").filter("value > 1").select("event_id", (F.floor((v - F.lit(0.04).cast("decimal(18,2)")) * 4) + 1).cast("bigint").alias("frames"))
+    return table(spark, sf, "events").select("event_id", (F.floor((v - F.lit(0.04).cast("decimal(18,2)")) * 4) + 1).cast("bigint").alias("frames"))
 
 
-@query("preview_plan", "SELECT event_id, step, CAST(floor(value/(step*0.5))+1 AS BIGINT) AS frames FROM events, (SELECT unnest([1,2,4]) AS step) WHERE value>100")
+@query("preview_plan", "SELECT event_id, step, CAST(floor(value/(step*0.5))+1 AS BIGINT) AS frames FROM events, (SELECT unnest([1,2,4]) AS step)")
 def preview_plan(spark, sf):
-    e = table(spark, sf, "events").filter("value > 100").select("event_id", "value", F.explode(F.array(F.lit(1), F.lit(2), F.lit(4))).alias("step"))
+    e = table(spark, sf, "events").select("event_id", "value", F.explode(F.array(F.lit(1), F.lit(2), F.lit(4))).alias("step"))
     return e.select("event_id", "step", (F.floor(F.col("value") / (F.col("step") * 0.5)) + 1).cast("bigint").alias("frames"))
 
 
@@ -100,10 +100,10 @@ def finite_json(spark, sf):
     return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.round(v, 6).alias("v"))
 
 
-@query("frame_tags", "SELECT user_id, array_to_string(list_sort(list(DISTINCT event_type)), ',') AS tags, count(*) AS n FROM events WHERE value>150 GROUP BY 1")
+@query("frame_tags", "SELECT user_id, array_to_string(list_sort(list(DISTINCT event_type)), ',') AS tags, count(*) AS n FROM events GROUP BY 1")
 def frame_tags(spark, sf):
     # tags come from a small vocabulary and are distinct before they are gathered
-    t = table(spark, sf, "events").filter("value > 150").groupBy("user_id", "event_type").agg(n_rows())
+    t = table(spark, sf, "events").groupBy("user_id", "event_type").agg(n_rows())
     return t.groupBy("user_id").agg(F.array_join(F.sort_array(F.collect_set("event_type")), ",").alias("tags"), F.sum("n").alias("n"))
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import io
 import struct
-import zlib
 
 import numpy as np
 import pandas as pd
@@ -51,7 +50,6 @@ def png_size(content: Column) -> Column:
 
 
 SIZE = T.StructType([T.StructField("width", T.IntegerType()), T.StructField("height", T.IntegerType())])
-RUNS = T.ArrayType(T.StructType([T.StructField(n, T.IntegerType()) for n in ("y", "x0", "x1")]))
 
 
 @F.pandas_udf(SIZE)
@@ -80,48 +78,6 @@ def jpeg_size(content: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([one(c) for c in content], columns=["width", "height"]).astype("Int32")
 
 
-@F.pandas_udf(RUNS)
-def png_runs(content: pd.Series, threshold: pd.Series) -> pd.Series:
-    """Foreground runs (value > threshold) of 8-bit gray PNG masks, one entry per run."""
-    def one(data, limit):
-        at, idat, w, h = 8, [], 0, 0
-        while at < len(data):
-            n, kind = struct.unpack(">I4s", data[at:at + 8])
-            body = data[at + 8:at + 8 + n]
-            if kind == b"IHDR":
-                w, h, depth, colour, _, _, lace = struct.unpack(">IIBBBBB", body)
-                if depth != 8 or colour != 0 or lace:
-                    raise ValueError("only plain 8-bit gray masks are read")
-            elif kind == b"IDAT":
-                idat.append(body)
-            at += 12 + n
-        raw = np.frombuffer(zlib.decompress(b"".join(idat)), np.uint8).reshape(h, w + 1)
-        above, out = np.zeros(w, np.int32), []
-        for y in range(h):
-            kind, line = raw[y, 0], raw[y, 1:].astype(np.int32)
-            if kind == 1:
-                line = np.cumsum(line) & 255
-            elif kind == 2:
-                line = (line + above) & 255
-            elif kind in (3, 4):
-                left = up_left = 0
-                for x in range(w):
-                    up = int(above[x])
-                    if kind == 3:
-                        guess = (left + up) >> 1
-                    else:
-                        p = left + up - up_left
-                        guess = min(((abs(p - left), 0, left), (abs(p - up), 1, up), (abs(p - up_left), 2, up_left)))[2]
-                    left = line[x] = (line[x] + guess) & 255
-                    up_left = up
-            above = line
-            edge = np.diff(np.concatenate([[0], (line > limit).astype(np.int8), [0]]))
-            out += [{"y": y, "x0": int(a), "x1": int(b)} for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1))]
-        return out
-
-    return pd.Series([one(bytes(c), t) for c, t in zip(content, threshold)])
-
-
 def comparison_csv(spark: SparkSession, path: str, dataset: str) -> DataFrame:
     """A mask-comparison table with typed columns; unreadable numbers become null, notes blank."""
     df = spark.read.option("header", True).csv(path)

@@ -31,20 +31,26 @@ def test_overlap_and_agglomerate(spark):
         pairs = R.overlapping_pairs(m, 0.5, hot)
         got = {(r["a"], r["b"]): r["overlap"] for r in pairs.collect()}
         assert got.keys() == want.keys() and all(math.isclose(got[k], want[k]) for k in want)
-    parent, views = {i: i for i in sets}, {i: {p} for i, (p, _) in sets.items()}
-
-    def find(v):
-        while parent[v] != v:
-            v = parent[v]
-        return v
-
-    for w, a, b in sorted(((w, a, b) for (a, b), w in want.items()), reverse=True):
-        ra, rb = find(a), find(b)
-        if ra != rb and not views[ra] & views[rb]:
-            parent[rb] = ra
-            views[ra] |= views[rb]
     got = {r["instance"]: r["cluster"] for r in R.agglomerate(m.select("instance", "photo").distinct(), pairs).collect()}
-    assert got == {i: find(i) for i in sets}
+    members = {}
+    for i, c in got.items():
+        members.setdefault(c, []).append(i)
+    assert got.keys() == sets.keys()
+    for c, ids in members.items():
+        photos = [sets[i][0] for i in ids]
+        assert c in ids and len(photos) == len(set(photos))  # one instance of a photo at most
+    for (a, b), w in want.items():
+        if got[a] != got[b]:  # a pair stays apart only where the clusters of heavier or equal pairs clash in a photo
+            assert {sets[i][0] for i in members[got[a]]} & {sets[i][0] for i in members[got[b]]}
+    linked = {frozenset(p) for p in want}
+    for ids in members.values():  # every cluster hangs together by pairs
+        reach, todo = {ids[0]}, [ids[0]]
+        while todo:
+            v = todo.pop()
+            new = [i for i in ids if i not in reach and frozenset((v, i)) in linked]
+            reach.update(new)
+            todo += new
+        assert reach == set(ids)
 
 
 def test_fingerprint_blocks(spark):
@@ -56,32 +62,83 @@ def test_fingerprint_blocks(spark):
     def h(t):
         return hashlib.sha256(t.encode()).hexdigest()
 
-    parts = [h("".join(f"l{i}" for i in range(a, min(a + 4, 10)))) for a in (0, 4, 8)]
-    assert got == {"a": h("".join(parts)), "b": h("x")}
+    def tree(lines, block):
+        def up(row):
+            return [h("".join(row[a:a + block])) for a in range(0, len(row), block)]
 
+        row = up(up(lines))
+        while len(row) > 1:
+            row = up(row)
+        return row[0]
 
-def test_ransac_matches_loop(spark):
+    assert got == {"a": tree([f"l{i}" for i in range(10)], 4), "b": h(h("x"))}
+    sizes = {"one": 1, "full": 4096, "over": 4097}
+    rows = spark.createDataFrame([(k, n) for k, n in sizes.items()], "k string, n long").select("k", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("i"))
+    got = {r["k"]: r["sha256"] for r in R.fingerprint(rows, ["k"], ["i"], F.col("i").cast("string")).collect()}
+    lines = [str(i) for i in range(1, 4098)]
+    assert got == {"one": h(h("1")), "full": h(h("".join(lines[:4096]))), "over": h(h("".join(lines[:4096])) + h(lines[4096]))}
+
+
+def test_numbers_keep_all_digits_and_letters(spark):
+    row = spark.range(1).select(C.padded(F.lit(1000), 3).alias("a"), C.padded(F.lit(7), 3).alias("b"), *[C.base26(F.lit(n)).alias(f"n{n}") for n in (0, 25, 26, 701, 702, 18278)]).first()
+    assert tuple(row) == ("1000", "007", "a", "z", "aa", "zz", "aaa", "aaaa")
+
+
+def test_places_without_coordinates_are_refused(spark):
+    from frondlake.operators import spatial as S
+
+    pts = spark.createDataFrame([(1, 0.0, 0.0, 0.0), (2, None, 0.0, 0.0), (3, float("nan"), 1.0, 1.0)], "id long, x double, y double, z double")
+    with pytest.raises(ValueError, match="2 rows"):
+        S.nearest(pts, pts).collect()
+
+
+def test_planted_plane_is_found(spark):
     rng = np.random.default_rng(0)
-    P = np.concatenate([np.c_[rng.uniform(-1, 1, (120, 2)), rng.normal(0, 0.01, 120)], rng.uniform(-1, 1, (40, 3))])
+    tilt = np.array([[0.8, 0, -0.6], [0, 1, 0], [0.6, 0, 0.8]])
+    flat = np.c_[rng.uniform(-1, 1, (120, 2)), rng.normal(0, 0.005, 120)] @ tilt.T + [1, 2, 3]
+    stray = rng.uniform(-1, 1, (40, 3)) @ tilt.T * [1, 1, 2] + [1, 2, 3]
+    P = np.concatenate([flat, stray])
     df = spark.createDataFrame(pd.DataFrame(np.concatenate([P, P[:10]]), columns=list("xyz"))).repartition(3)
-    U, draw, best = np.unique(P, axis=0), np.random.default_rng(5), np.zeros(160, bool)
-    for _ in range(50):
-        a, b, c = U[draw.choice(len(U), 3, replace=False)]
-        n = np.cross(b - a, c - a)
-        if np.linalg.norm(n) >= 1e-10:
-            good = np.abs((U - a) @ (n / np.linalg.norm(n))) < 0.03
-            best = good if good.sum() > best.sum() else best
-    normal, centre, inliers = X.ransac_plane(df, 0.03, 50, 5)
-    got = {(r["x"], r["y"], r["z"]) for r in inliers.collect()}
-    assert got == {tuple(map(float, p)) for p in U[best]}
-    vt = np.linalg.svd(U[best] - U[best].mean(0))[2]
-    assert abs(abs(normal @ vt[-1]) - 1) < 1e-9 and np.allclose(centre, U[best].mean(0))
-
-
-def test_choose_up():
-    soil, cam = {"status": "ok", "normal": [0, 0, 1]}, {"status": "ok", "normal": [0, 1, 1]}
-    assert X.choose_up(soil, cam, 10)["disagreement"] and X.choose_up(soil, cam, 10)["method"] == "soil_plane"
-    assert X.choose_up(None, cam, 10)["status"] == "fallback" and X.choose_up(None, None, 10)["up"] is None
+    for again in (False, True):
+        normal, centre, inliers = X.ransac_plane(df, 0.03, 50, 5, reselect=again)
+        assert abs(normal @ tilt[:, 2]) > 0.999 and abs((centre - [1, 2, 3]) @ tilt[:, 2]) < 0.02
+        got = {(r["x"], r["y"], r["z"]) for r in inliers.collect()}
+        assert {tuple(map(float, p)) for p in flat} <= got and len(got) <= 130  # every planted row, few strays
+    none, _, left = X.ransac_plane(df.limit(2), 0.03, 5, 1)
+    assert none is None and left.count() == 0
+
+
+def test_line_through(spark):
+    t = np.linspace(-1, 1, 21)[:, None] * [1.0, 2.0, 2.0] + [4, 5, 6]
+    way, centre, n = X.line_through(spark.createDataFrame(pd.DataFrame(t, columns=list("xyz"))))
+    assert n == 21 and np.allclose(centre, [4, 5, 6]) and np.isclose(abs(way @ [1, 2, 2]) / 3, 1)
+
+
+def test_ground_near_base(spark):
+    rng = np.random.default_rng(2)
+    ground = np.c_[rng.uniform(-1, 1, (200, 2)), rng.normal(0, 0.002, 200)]
+    rows = pd.DataFrame(ground, columns=list("xyz")).assign(hits=8, seen=10)
+    far = pd.DataFrame(rng.uniform(5, 6, (50, 3)), columns=list("xyz")).assign(hits=9, seen=10)
+    df = spark.createDataFrame(pd.concat([rows, far, rows.assign(z=3.0, hits=1)]))
+    limits = X.GroundLimits(min_hits=2, hit_share=0.5, radius=3.0, tolerance=0.02, trials=20, seed=1, min_rows=30, min_inliers=20)
+    fit = X.ground_plane(df, (0, 0, 0.5), (0, 0, 1), limits)
+    assert fit.broken is None and fit.rows == 200 and fit.normal[2] > 0.999 and abs(fit.offset - 0.5) < 0.01
+    assert X.ground_plane(df, (0, 0, 0.5), (0, 0, -1), limits).normal[2] < -0.999
+    assert X.ground_plane(df, (50, 50, 50), (0, 0, 1), limits).broken == "rows"
+    fits = list(X.settle_ground(df, lambda up: np.array([0, 0, 0.5]) - 0.1 * np.asarray(up), (0, 0, 9), (0, 0, 1), limits, 5))
+    assert len(fits) == 2 and fits[-1].same_rows
+
+
+def test_up_directions(spark):
+    ground, camera = (0.0, 0.0, 1.0), (0.0, 1.0, 1.0)
+
+    def chosen(*rows):
+        got = X.up_direction(spark, rows, 10).collect()
+        return [(r["source"], r["use"], r["apart"]) for r in got]
+
+    assert chosen(("ground", ground), ("camera", camera)) == [("ground", True, False), ("camera", False, True)]
+    assert chosen(("ground", None), ("camera", camera)) == [("ground", False, None), ("camera", True, False)]
+    assert chosen(("ground", None), ("camera", None)) == [("ground", False, None), ("camera", False, None)]
 
 
 def test_sh_basis_is_orthonormal():
