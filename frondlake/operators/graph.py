@@ -54,7 +54,8 @@ def connected_components(edges: DataFrame, vertices: DataFrame | None = None) ->
         right = up.select(F.col("v").alias("b"), F.col("p").alias("pb"))
         live = durable(live.join(left, "a").join(right, "b").filter("pa <> pb")
                        .select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct())
-    names = roots.groupBy("root").agg(F.min("id").alias("component"))
+    # written, so that the join of a very large component is between two shuffles and can be split
+    names = durable(roots.groupBy("root").agg(F.min("id").alias("component")))
     return roots.join(names, "root").select("id", "component")
 
 
