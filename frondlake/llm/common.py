@@ -71,10 +71,12 @@ class Words:
         _, offsets, data = texts.buffers()
         self.n = len(texts)
         self.offsets = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + self.n + 1] if self.n else np.zeros(1, np.int64)
-        self.data = np.frombuffer(data, np.uint8) if data is not None and self.offsets[-1] else np.zeros(0, np.uint8)
+        # a slice shares the buffer of its whole batch: only its own part is looked at
+        base, hi = int(self.offsets[0]), int(self.offsets[-1])
+        self.data = np.frombuffer(data, np.uint8)[base:hi] if data is not None and hi > base else np.zeros(0, np.uint8)
+        self.offsets, lo, hi = self.offsets - base, 0, hi - base
         if clean is not None and len(self.data):
             self.data = clean(self.data.copy())
-        lo, hi = int(self.offsets[0]), int(self.offsets[-1])
         sep = np.zeros(256, bool)
         sep[list(separators)] = True
         gap = sep[self.data[lo:hi]]

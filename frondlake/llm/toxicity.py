@@ -198,9 +198,9 @@ def _terms(text: str) -> set[str]:
 
 def _count_terms(wanted: frozenset | None):
     def run(batches):
-        for b in batches:
+        for part in (p for b in batches for p in pieces(b, 0, 256 << 10)):  # a count of many texts is large
             count: Counter = Counter()
-            for t in b.column(0).to_pylist():
+            for t in part.column(0).to_pylist():
                 terms = _terms(t)
                 count.update(terms if wanted is None else terms & wanted)
             yield pa.RecordBatch.from_arrays([pa.array(list(count), pa.string()), pa.array(list(count.values()), pa.int64())], ["term", "n"])
