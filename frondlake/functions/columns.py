@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 SH_C0 = 0.28209479177387814
 IMAGE_SUFFIXES = (".jpg", ".jpeg", ".png")
 MASK_SUFFIXES = (".png",)
-PALETTE = ((0.90, 0.10, 0.10), (0.10, 0.60, 0.10), (0.10, 0.30, 0.90), (0.95, 0.60, 0.05),
-           (0.60, 0.10, 0.70), (0.05, 0.70, 0.75), (0.85, 0.85, 0.10), (0.55, 0.35, 0.15))
 
 
 def finite(c: Column) -> Column:

@@ -173,13 +173,17 @@ def sh_energy(spark, sf):
     return p.select("id", *[r6(v).alias(f"b{k}") for k, v in enumerate(bands)])
 
 
-@query("palette_recolor", f"""WITH {SPLAT_SQL}, c AS (SELECT row_id, label, greatest(0,least(1,0.5+0.28209479177387814*f_dc_0)) r, greatest(0,least(1,0.5+0.28209479177387814*f_dc_1)) g, greatest(0,least(1,0.5+0.28209479177387814*f_dc_2)) b FROM splat)
-SELECT row_id, round(CASE WHEN label IN (1,2,9) THEN ([0.90,0.10,0.10,0.95,0.60,0.05,0.85,0.55])[label%8+1] ELSE 0.2126*r+0.7152*g+0.0722*b END,6) AS red FROM c""")
+#: colours of the recolour query
+SHADES = ((0.9, 0.2, 0.1), (0.2, 0.7, 0.3), (0.1, 0.4, 0.8))
+
+
+@query("palette_recolor", f"""WITH {SPLAT_SQL}, c AS (SELECT row_id, label, greatest(0,least(1,0.5+0.28209479177387814*f_dc_0)) r, greatest(0,least(1,0.5+0.28209479177387814*f_dc_1)) g, greatest(0,least(1,0.5+0.28209479177387814*f_dc_2)) b FROM splat),
+t AS (SELECT row_id, label, label IN (1,2,9) AS chosen, 0.2126*r+0.7152*g+0.0722*b AS gray FROM c)
+SELECT row_id, round(CASE WHEN chosen THEN ([0.9,0.2,0.1])[label%3+1] ELSE gray END,6) AS red, round(CASE WHEN chosen THEN ([0.2,0.7,0.4])[label%3+1] ELSE gray END,6) AS green, round(CASE WHEN chosen THEN ([0.1,0.3,0.8])[label%3+1] ELSE gray END,6) AS blue FROM t""")
 def palette_recolor(spark, sf):
-    rgb = [C.dc_to_rgb(F.col(f"f_dc_{i}")) for i in range(3)]
-    reds = F.array(*[F.lit(c[0]) for c in C.PALETTE])
-    pick = F.element_at(reds, F.pmod("label", F.lit(8)) + 1)
-    return splats(spark, sf).select("row_id", r6(F.when(F.col("label").isin(1, 2, 9), pick).otherwise(C.luminance(*rgb))).alias("red"))
+    s = splats(spark, sf)
+    painted = recolor(s, s.select("row_id", "label"), [1, 2, 9], SHADES, gray_rest=True)
+    return painted.select("row_id", *[r6(C.dc_to_rgb(F.col(f"f_dc_{i}"))).alias(n) for i, n in enumerate(("red", "green", "blue"))])
 
 
 @query("stem_projection", f"""WITH {POINT_SQL}, n AS (SELECT label AS i, avg(x) x, avg(y) y, avg(z) z FROM pts GROUP BY 1), s AS (SELECT a.i, a.x ax, a.y ay, a.z az, b.x-a.x dx, b.y-a.y dy, b.z-a.z dz FROM n a JOIN n b ON b.i=a.i+1),
