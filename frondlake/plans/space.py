@@ -9,6 +9,7 @@ from frondlake.operators import graph as G
 from frondlake.operators import ordered as O
 from frondlake.operators import skeleton as K
 from frondlake.operators import spatial as S
+from frondlake.operators.splat import recolor, transform
 from frondlake.plans.derived import POINT_SQL, SPLAT_SQL, points, splats
 from frondlake.plans.registry import query
 from frondlake.session import durable, table
@@ -242,7 +243,6 @@ def linearity(xx, xy, xz, yy, yz, zz):
 
 @query("splat_transform", f"WITH {SPLAT_SQL} SELECT row_id, round(2*(0.6*(x-0.1)-0.8*y),6)+0.0 AS x, round(2*(0.8*(x-0.1)+0.6*y),6)+0.0 AS y, round(2*z,6)+0.0 AS z, round(scale_0+ln(2),6) AS scale_0, round(2*rot_0/sqrt(5)-rot_3/sqrt(5),6)+0.0 AS rot_0, round(2*rot_3/sqrt(5)+rot_0/sqrt(5),6)+0.0 AS rot_3 FROM splat")
 def splat_transform(spark, sf):
-    from frondlake.operators.splat import transform
 
     t = transform(splats(spark, sf), [[0.6, -0.8, 0], [0.8, 0.6, 0], [0, 0, 1]], [0.1, 0, 0], 2.0)
     return t.select("row_id", *[(r6(F.col(c)) + 0.0).alias(c) for c in ("x", "y", "z", "rot_0", "rot_3")], r6(F.col("scale_0")).alias("scale_0"))
