@@ -83,6 +83,23 @@ def depth_for(rows: int, leaf: int) -> int:
     return max(1, min(_BITS - 1, math.ceil(math.log(max(rows, 1) / leaf, 8)) if rows > leaf else 1))
 
 
+#: distinct rows in the fullest cell of a grid, in leaves
+CROWD = 8
+
+
+def settled_depth(rows: int, leaf: int, low: list[float], size: float, *sets: tuple[DataFrame, list[str]]) -> int:
+    """Depth at which no cell (per the keys given with each set) holds more than CROWD leaves: that for
+    evenly spread rows, and deeper where they cluster, down to the finest grid. Only counts come back."""
+    depth = depth_for(rows, leaf)
+    while depth < _BITS - 1:
+        cell = fine_cell(low, size, depth)
+        most = max(df.groupBy(*by, cell.alias("__cell")).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0 for df, by in sets)
+        if most <= CROWD * leaf:
+            break
+        depth = min(_BITS - 1, depth + max(1, math.ceil(math.log(most / leaf, 8))))
+    return depth
+
+
 def _boxes(nodes: DataFrame, by: list[str], weight: str = "n") -> DataFrame:
     return nodes.groupBy(*by).agg(F.sum(weight).alias("n"), *[F.min(f"lo_{c}").alias(f"lo_{c}") for c in AXES],
                                   *[F.max(f"hi_{c}").alias(f"hi_{c}") for c in AXES])
@@ -139,7 +156,7 @@ def nearest(left: DataFrame, right: DataFrame, k: int = 1, exclude_self: bool =
     low, size, rows = bounds(spots, copies)
     if not rows:
         return left.select("id").limit(0).select("id", F.lit(0).cast("long").alias("neighbour"), F.lit(0.0).alias("distance"), F.lit(1).alias("rank"))
-    depth = depth_for(rows, leaf)
+    depth = settled_depth(rows, leaf, low, size, (spots, []), (copies, []))
     cell = fine_cell(low, size, depth)
     la = node_levels(spots, [], cell, depth, F.lit(1))
     lb = node_levels(copies, [], cell, depth, F.lit(1))
@@ -234,7 +251,7 @@ def closest_between(points: DataFrame, label: str, pairs: DataFrame | None = Non
         pairs = names.select(F.explode("ls").alias("la"), "ls").select("la", F.explode("ls").alias("lb")).filter("la < lb")
     pairs = durable(pairs.select("la", "lb"))
     biggest = spots.groupBy("label").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1
-    depth = depth_for(biggest, leaf)
+    depth = settled_depth(biggest, leaf, low, size, (spots, ["label"]))
     cell = fine_cell(low, size, depth)
     levels = node_levels(spots, ["label"], cell, depth, F.lit(1))
     live = pairs.select("la", "lb", F.lit(0).cast("long").alias("pa"), F.lit(0).cast("long").alias("pb"))

@@ -215,7 +215,13 @@ def project_to_polyline(p, segments, chunk=512):
     return best.groupBy("id").agg(F.min("m").alias("m")).select("id", "m.*")
 
 
-@query("local_linearity")
+@query("local_linearity", f"""WITH {POINT_SQL}, d AS (SELECT a.id, b.x, b.y, b.z, row_number() OVER (PARTITION BY a.id ORDER BY (a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)+(a.z-b.z)*(a.z-b.z), b.id) AS k FROM pts a, pts b),
+c AS (SELECT id, covar_pop(x,x) xx, covar_pop(x,y) xy, covar_pop(x,z) xz, covar_pop(y,y) yy, covar_pop(y,z) yz, covar_pop(z,z) zz FROM d WHERE k<=16 GROUP BY 1),
+m AS (SELECT *, (xx+yy+zz)/3 AS m FROM c), p AS (SELECT *, sqrt(((xx-m)*(xx-m)+(yy-m)*(yy-m)+(zz-m)*(zz-m)+2*(xy*xy+xz*xz+yz*yz))/6) AS p FROM m),
+q AS (SELECT *, (xx-m)/p AS a, (yy-m)/p AS b, (zz-m)/p AS c, xy/p AS d, xz/p AS e, yz/p AS f FROM p),
+r AS (SELECT *, acos(greatest(-1,least(1,(a*(b*c-f*f)-d*(d*c-f*e)+e*(d*f-b*e))/2)))/3 AS phi FROM q),
+e AS (SELECT id, m, m+2*p*cos(phi) AS e1, m+2*p*cos(phi+2.0943951023931953) AS e3 FROM r)
+SELECT id, round(1-sqrt(greatest(3*m-e1-e3,0))/sqrt(e1),6) AS linearity FROM e""")
 def local_linearity(spark, sf):
     """(s1 - s2) / s1 of the 16 nearest points' covariance, eigenvalues in closed form."""
     p = points(spark, sf)

@@ -122,6 +122,22 @@ def test_join_radii(spark, points, dist, ways):
         assert np.isclose(got[g, h], M[np.ix_(list(sets[g]), list(sets[h]))].min()), (g, h)
 
 
+def test_clustered_points_with_a_far_one(spark):
+    rng = np.random.default_rng(8)
+    P = np.concatenate([rng.normal(0, 0.01, (700, 3)), [[500.0, 500.0, 500.0]]])
+    df = spark.createDataFrame([(i, int(i % 2), *map(float, p)) for i, p in enumerate(P)], "id long, label int, x double, y double, z double")
+    low, size, rows = S.bounds(df)
+    depth = S.settled_depth(rows, 16, low, size, (df, []))
+    cells = df.groupBy(S.fine_cell(low, size, depth).alias("c")).count().collect()
+    assert max(r["count"] for r in cells) <= S.CROWD * 16 < rows  # no cell holds the cluster
+    D = np.linalg.norm(P[:, None] - P[None], axis=2)
+    np.fill_diagonal(D, np.inf)
+    got = {r["id"]: r["distance"] for r in S.nearest(df, df, 1, exclude_self=True, leaf=16).collect()}
+    assert len(got) == 701 and all(np.isclose(got[i], D[i].min()) for i in got)
+    (gap,) = S.closest_between(df, "label", leaf=16).collect()
+    assert np.isclose(gap["distance"], D[::2, 1::2].min())
+
+
 def test_join_radii_of_weight_zero_and_ties(spark):
     tree = spark.createDataFrame([(0, 1, 0.0), (1, 2, 1.0), (2, 3, 1.0), (5, 6, 2.0)], "a long, b long, w double")
     groups = spark.createDataFrame([(0, "p"), (1, "q"), (2, "r"), (3, "s"), (3, "t"), (5, "u"), (6, "v"), (9, "p")], "id long, tag string")
