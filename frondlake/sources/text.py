@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import io
 import struct
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F

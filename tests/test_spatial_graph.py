@@ -4,7 +4,6 @@ import itertools
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from frondlake.operators import graph as G
 from frondlake.operators import spatial as S
