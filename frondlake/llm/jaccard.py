@@ -194,7 +194,8 @@ def jaccard_classes(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100,
     ends = durable(links.union(more))
     whole = connected_components(ends).select(F.col("id").alias("key"), F.col("component").alias("root"))
     named_groups = groups.select("key", "least").join(whole, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    smallest = named_groups.groupBy("root").agg(F.min("least").alias("component_id"))
+    # written, so that the join of a very large component is between two shuffles and can be split
+    smallest = durable(named_groups.groupBy("root").agg(F.min("least").alias("component_id")))
     of = named_groups.join(smallest, "root").select("key", "component_id", "root")
     linked = filled.join(of, "key").select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("root").alias("class_key"), "row_key")
     lone = rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("class_key"), "row_key")
