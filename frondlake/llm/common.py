@@ -201,13 +201,6 @@ def batch_count(total: int) -> int:
     return max(1, math.ceil(total / size))
 
 
-def batched(docs: DataFrame, batches: int, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, text, batch): rows are dealt out by a hash of id and text, so copies of one text
-    spread over the batches and a retried task deals the same way."""
-    i, t = column(docs, id_col).cast("long"), column(docs, text)
-    return docs.select(i.alias("doc_id"), t.alias("text"), F.pmod(F.xxhash64(i, t), F.lit(batches)).cast("int").alias("batch"))
-
-
 #: rows of a side that may be sent whole to every executor: about 40 MB of keys
 BROADCAST_ROWS = 1_000_000
 
