@@ -68,12 +68,19 @@ def radius_sweep(spark, sf):
     return S.radius_sweep(S.euclidean_tree(p), p, {"1": 0.03, "2": 0.05}, 10)
 
 
-@query("mst_edges")
+#: Prim's algorithm: rows are the points not in the tree yet, each with its closest tree point; a step takes the closest of all
+PRIM = f"""{POINT_SQL}, s AS (SELECT min(id) AS id FROM pts), grow AS (SELECT 1 AS step, a.id, a.x, a.y, a.z, {D} AS w, b.id AS via, b.id AS last FROM pts a JOIN pts b ON b.id=(SELECT id FROM s) AND a.id<>b.id UNION ALL
+SELECT step+1, id, x, y, z, CASE WHEN d<w THEN d ELSE w END, CASE WHEN d<w THEN m.id ELSE via END, m.id FROM (SELECT *, sqrt(pow(x-m.x,2)+pow(y-m.y,2)+pow(z-m.z,2)) AS d FROM (SELECT *, first_value({{'id': id, 'x': x, 'y': y, 'z': z}}) OVER (ORDER BY w, id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS m FROM grow) q) p WHERE id<>m.id),
+tree AS (SELECT step, arg_min(id, (w,id)) AS id, arg_min(via, (w,id)) AS via, min(w) AS w FROM grow GROUP BY 1)"""
+
+
+@query("mst_edges", f"WITH RECURSIVE {PRIM} SELECT least(id,via) AS a, greatest(id,via) AS b, round(w,6) AS w FROM tree")
 def mst_edges(spark, sf):
     return S.euclidean_tree(points(spark, sf)).select("a", "b", r6(F.col("w")).alias("w"))
 
 
-@query("join_radius")
+@query("join_radius", f"""WITH RECURSIVE {PRIM}, v AS (SELECT 0 AS step, pts.id, CAST(label AS VARCHAR) AS tag FROM pts JOIN s USING (id) UNION ALL SELECT step, id, CAST(label AS VARCHAR) FROM tree JOIN pts USING (id)), l AS (SELECT list(w ORDER BY step) AS ws FROM tree)
+SELECT least(a.tag,b.tag) AS ga, greatest(a.tag,b.tag) AS gb, round(min(list_max(ws[a.step+1:b.step])),6) AS radius FROM v a JOIN v b ON a.step<b.step AND a.tag<>b.tag, l GROUP BY 1,2""")
 def join_radius(spark, sf):
     """Tags are the labels; ties and copies of a coordinate are carried by its smallest id."""
     p = points(spark, sf)
@@ -109,7 +116,11 @@ def touch_share(spark, sf):
     return near.agg(F.count(F.lit(1)).alias("n"), r6(F.avg((F.col("distance") < 0.05).cast("double"))).alias("share"))
 
 
-@query("geodesic_levels")
+@query("geodesic_levels", f"""WITH RECURSIVE {POINT_SQL}, {closure(0.07)}, big AS (SELECT id FROM k WHERE component=(SELECT component FROM k GROUP BY 1 ORDER BY count(*) DESC, component LIMIT 1)),
+el AS (SELECT a.id AS a, b.id AS b, {D} AS w FROM pts a JOIN pts b ON {D}<=0.07 WHERE a.id IN (SELECT id FROM big) AND a.id<>b.id), g AS (SELECT 0 AS step, id, CASE WHEN id=(SELECT arg_min(id,(z,id)) FROM pts JOIN big USING (id)) THEN 0.0::DOUBLE ELSE 'inf'::DOUBLE END AS dist, true AS moved FROM big UNION ALL
+SELECT step+1, id, n, bool_or(n<dist) OVER () FROM (SELECT t.step, t.id, t.dist, least(t.dist, coalesce(min(o.dist+el.w),'inf'::DOUBLE)) AS n FROM g t LEFT JOIN el ON el.b=t.id LEFT JOIN g o ON o.id=el.a WHERE t.moved GROUP BY 1,2,3) q),
+f AS (SELECT id, CAST(floor(dist/0.05) AS BIGINT) AS bin FROM g WHERE step=(SELECT max(step) FROM g)), pe AS (SELECT el.a, el.b FROM el JOIN f x ON x.id=el.a JOIN f y ON y.id=el.b WHERE x.bin=y.bin),
+c2 AS (SELECT id, id AS c FROM f UNION SELECT pe.b, c2.c FROM c2 JOIN pe ON pe.a=c2.id), nn AS (SELECT id, min(c) AS node FROM c2 GROUP BY 1) SELECT bin, node, count(*) AS points FROM f JOIN nn USING (id) GROUP BY 1,2""")
 def geodesic_levels(spark, sf):
     p = points(spark, sf)
     edges = durable(S.radius_pairs(p, 0.07))
