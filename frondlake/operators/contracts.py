@@ -118,14 +118,13 @@ def document_differences(stored: DataFrame, rebuilt: DataFrame, key: str) -> Dat
 
 def cycle_members(links: DataFrame) -> DataFrame:
     """(id) of every vertex on a cycle of links(id, to), at most one link per id. Pointers are doubled
-    until they reach further than there are vertices: what they then point at lies on a cycle."""
+    until they reach further than there are links: what they then point at lies on a cycle."""
     jump = durable(links.filter("to is not null").select("id", "to"))
     reach, count = 1, jump.count()
-    while reach < count:
+    while reach <= count:
         on = jump.select(F.col("id").alias("to"), F.col("to").alias("far"))
         jump = durable(jump.join(on, "to").select("id", F.col("far").alias("to")))
         reach *= 2
-        count = min(count, jump.count())
     return jump.select(F.col("to").alias("id")).distinct()
 
 
