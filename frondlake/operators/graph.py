@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from frondlake.operators.ordered import Ordered, ordered
 from frondlake.session import durable
 
 
@@ -62,8 +63,6 @@ def connected_components(edges: DataFrame, vertices: DataFrame | None = None) ->
 def number_by_size(labels: DataFrame, component: str = "component", member: str = "id") -> DataFrame:
     """(component, size, label): labels count from 0 by decreasing size, then first member.
     Sizes are counted first, so only one row per component is ordered."""
-    from frondlake.operators.ordered import Ordered, ordered
-
     sizes = labels.groupBy(component).agg(F.count(F.lit(1)).alias("size"), F.min(member).alias("first"))
     ranked = ordered(sizes.withColumn("__neg", -F.col("size")), [], ["__neg", "first"], Ordered(rank="__rank"))
     return ranked.select(component, "size", (F.col("__rank") - 1).alias("label"))
@@ -129,51 +128,70 @@ def level_nodes(edges: DataFrame, dist: DataFrame, width: float) -> DataFrame:
 
 
 def rooted(tree: DataFrame, root: DataFrame) -> DataFrame:
-    """(id, parent, depth, dist) of a tree(a, b, w) hung from root.id; one round per level."""
-    both = durable(undirected(tree, "w"))
-    seen = durable(root.select("id", F.lit(None).cast("long").alias("parent"), F.lit(0).alias("depth"), F.lit(0.0).alias("dist")))
-    parts, front, depth = [seen], seen, 0
-    while True:
-        depth += 1
-        step = front.select(F.col("id").alias("a"), F.col("parent").alias("__up"), F.col("dist").alias("__d")).join(both, "a") \
-            .filter("__up is null or b <> __up")
-        front = durable(step.select(F.col("b").alias("id"), F.col("a").alias("parent"), F.lit(depth).alias("depth"),
-                                    (F.col("__d") + F.col("w")).alias("dist")))
-        if front.isEmpty():
-            break
-        parts.append(front)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.union(p)
-    return out
-
-
-def ancestors(hung: DataFrame, targets: DataFrame) -> DataFrame:
-    """(target, id): every vertex on the way from each targets.id up to the root, both ends
-    included. Pointer doubling, so long stems take logarithmically many rounds."""
+    """(id, parent, depth, dist) of a tree(a, b, w) hung from root.id, for the vertices it reaches.
+
+    The arcs of both directions form one tour, in which the arc u-v is followed by v's next
+    neighbour after u. Pointer doubling ranks the tour from the root's first arc, and of the two arcs of an edge
+    the earlier one leads down. Depth and distance then double along the parents. Rounds grow with the logarithm of the vertices, whatever
+    the shape of the tree."""
+    arcs = durable(undirected(tree.filter("a <> b"), "w"))
+    start = root.select(F.col("id").alias("a")).limit(1)
+    first = arcs.groupBy("a").agg(F.min("b").alias("first"))
+    # the neighbour after each neighbour, in a window that survives a hub
+    turn = ordered(arcs.select("a", "b"), ["a"], ["b"], Ordered(leads={"then": F.col("b")})).join(first, "a") \
+        .select(F.col("b").alias("ta"), F.col("a").alias("tb"), F.coalesce("then", "first").alias("tn"))
+    begin = first.join(start, "a").select(F.col("a").alias("sa"), F.col("first").alias("sb"))
+    ends = durable(turn.join(begin, (F.col("tb") == F.col("sa")) & (F.col("tn") == F.col("sb")), "left_anti")
+                   .select(F.col("ta").alias("a"), F.col("tb").alias("b"), F.col("tb").alias("na"), F.col("tn").alias("nb")))
+    # steps to the end of the tour; arcs of other trees go round for ever and are left out
+    jump = durable(arcs.select("a", "b").join(ends, ["a", "b"], "left")
+                   .select("a", "b", "na", "nb", F.when(F.col("na").isNull(), 0).otherwise(1).cast("long").alias("rank")))
+    reach, arcs_in_all = 1, jump.count()
+    while reach < arcs_in_all and not jump.filter("na is not null").isEmpty():
+        on = jump.select(F.col("a").alias("na"), F.col("b").alias("nb"), F.col("na").alias("fa"), F.col("nb").alias("fb"), F.col("rank").alias("far"))
+        jump = durable(jump.join(on, ["na", "nb"], "left").select("a", "b", F.col("fa").alias("na"), F.col("fb").alias("nb"),
+                                                                  (F.col("rank") + F.coalesce("far", F.lit(0))).alias("rank")))
+        reach *= 2
+    ranked = jump.filter("na is null").select("a", "b", "rank")
+    back = ranked.select(F.col("b").alias("a"), F.col("a").alias("b"), F.col("rank").alias("back"))
+    down = ranked.join(back, ["a", "b"]).filter("rank > back").join(arcs, ["a", "b"]) \
+        .select(F.col("b").alias("id"), F.col("a").alias("parent"), "w")
+    hung = root.select("id", F.lit(None).cast("long").alias("parent"), F.lit(0.0).alias("w")).unionByName(down)
+    up = durable(hung.select("id", "parent", F.col("parent").alias("to"), F.when(F.col("parent").isNull(), 0).otherwise(1).alias("depth"), F.col("w").alias("dist")))
+    while not up.filter("to is not null").isEmpty():
+        on = up.select(F.col("id").alias("to"), F.col("to").alias("far"), F.col("depth").alias("d"), F.col("dist").alias("s"))
+        up = durable(up.join(on, "to", "left").select(
+            "id", "parent", F.col("far").alias("to"), (F.col("depth") + F.coalesce("d", F.lit(0))).alias("depth"),
+            (F.col("dist") + F.coalesce("s", F.lit(0.0))).alias("dist")))
+    return up.select("id", "parent", "depth", "dist")
+
+
+def on_the_way(hung: DataFrame, targets: DataFrame) -> DataFrame:
+    """(id): every vertex on the way from any targets.id up to the root, both ends included, each
+    once. Pointer doubling over the set, so long stems take logarithmically many rounds."""
     jump = durable(hung.filter("parent is not null").select("id", F.col("parent").alias("to")))
-    found = durable(targets.select(F.col("id").alias("target"), "id"))
-    count = found.count()
-    while True:
-        more = found.join(jump, "id").select("target", F.col("to").alias("id"))
-        found = durable(found.union(more).distinct())
-        now = found.count()
-        if now == count:
-            return found
-        count = now
-        nxt = jump.select(F.col("id").alias("to"), F.col("to").alias("far"))
-        jump = durable(jump.join(nxt, "to").select("id", F.col("far").alias("to")))
+    found = durable(targets.select("id").distinct())
+    while not jump.isEmpty():
+        found = durable(found.union(found.join(jump, "id").select(F.col("to").alias("id"))).distinct())
+        on = jump.select(F.col("id").alias("to"), F.col("to").alias("far"))
+        jump = durable(jump.join(on, "to").select("id", F.col("far").alias("to")))
+    return found
 
 
 def insertions(hung: DataFrame, targets: DataFrame, stem: DataFrame) -> DataFrame:
     """Per target: the last stem vertex on its root path, that vertex's distance from the root and
-    the path length from there to the target."""
-    way = ancestors(hung, targets).join(stem.select("id"), "id", "left_semi")
-    place = way.join(hung.select("id", "depth", "dist"), "id")
-    last = place.groupBy("target").agg(F.max_by(F.struct("id", "dist"), "depth").alias("s"))
+    the path length from there to the target. Every vertex points at itself on the stem, else at its
+    parent; doubled pointers arrive at the stem, one row per vertex at any time."""
+    on_stem = stem.select("id").distinct().withColumn("stop", F.lit(True))
+    base = hung.join(on_stem, "id", "left").withColumn("stop", F.coalesce("stop", F.lit(False)))
+    jump = durable(base.select("id", F.when(F.col("stop"), F.col("id")).otherwise(F.col("parent")).alias("to"), "stop").filter("to is not null"))
+    while not jump.filter("not stop").isEmpty():
+        on = jump.select(F.col("id").alias("to"), F.col("to").alias("far"), F.col("stop").alias("there"))
+        jump = durable(jump.join(on, "to").select("id", F.col("far").alias("to"), F.col("there").alias("stop")))
+    place = hung.select(F.col("id").alias("insertion"), F.col("dist").alias("along_stem"))
     end = hung.select(F.col("id").alias("target"), F.col("dist").alias("end"))
-    return last.join(end, "target").select("target", F.col("s.id").alias("insertion"), F.col("s.dist").alias("along_stem"),
-                                           (F.col("end") - F.col("s.dist")).alias("branch_length"))
+    return targets.select(F.col("id").alias("target")).join(jump.select(F.col("id").alias("target"), F.col("to").alias("insertion")), "target") \
+        .join(place, "insertion").join(end, "target").select("target", "insertion", "along_stem", (F.col("end") - F.col("along_stem")).alias("branch_length"))
 
 
 def join_radii(tree: DataFrame, groups: DataFrame, ways: int = 8) -> DataFrame:

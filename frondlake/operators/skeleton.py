@@ -53,8 +53,7 @@ def degrees(tree: DataFrame) -> DataFrame:
 
 def path_edges(hung: DataFrame, targets: DataFrame) -> DataFrame:
     """Tree edges (a < b) on the way from each target to the root."""
-    way = G.ancestors(hung, targets).select("id").distinct()
-    return way.join(hung.filter("parent is not null"), "id").select(
+    return G.on_the_way(hung, targets).join(hung.filter("parent is not null"), "id").select(
         F.least("id", "parent").alias("a"), F.greatest("id", "parent").alias("b"))
 
 

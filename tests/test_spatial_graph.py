@@ -173,15 +173,49 @@ def test_graph_spanning_tree_and_paths(spark, dist):
     assert all(np.isclose(far[i], short[0, i]) for i in far) and len(far) == int(np.isfinite(short[0]).sum())
     hung = G.rooted(got, root)
     up = {x["id"]: (x["parent"], x["dist"]) for x in hung.collect()}
-    way = {}
-    for x in G.ancestors(hung, spark.createDataFrame([(41,), (17,)], "id long")).collect():
-        way.setdefault(x["target"], set()).add(x["id"])
+    paths = {}
     for t in (41, 17):
-        path, v = set(), t
+        path, v = [], t
         while v is not None:
-            path.add(v)
+            path.append(v)
             v = up[v][0]
-        assert way[t] == path
+        paths[t] = path
+        assert {x["id"] for x in G.on_the_way(hung, spark.createDataFrame([(t,)], "id long")).collect()} == set(path)
+    both = G.on_the_way(hung, spark.createDataFrame([(41,), (17,), (17,)], "id long"))
+    assert sorted(x["id"] for x in both.collect()) == sorted({*paths[41], *paths[17]})
+    stem = spark.createDataFrame([(v,) for v in paths[41]], "id long")
+    for x in G.insertions(hung, spark.createDataFrame([(41,), (17,)], "id long"), stem).collect():
+        last = next(v for v in paths[x["target"]] if v in paths[41])
+        assert x["insertion"] == last and np.isclose(x["along_stem"], up[last][1]) and np.isclose(x["branch_length"], up[x["target"]][1] - up[last][1])
+
+
+def _hang(edges, root):
+    near = {}
+    for a, b, w in edges:
+        near.setdefault(a, []).append((b, w))
+        near.setdefault(b, []).append((a, w))
+    out, todo = {root: (None, 0, 0.0)}, [root]
+    while todo:
+        v = todo.pop()
+        for u, w in near.get(v, []):
+            if u not in out:
+                out[u] = (v, out[v][1] + 1, out[v][2] + w)
+                todo.append(u)
+    return out
+
+
+@pytest.mark.parametrize("edges,root", [
+    ([(i, i + 1, 1.0) for i in range(3000)], 1200), ([(0, i, i / 2) for i in range(1, 300)], 7),
+    ([(i, (i - 1) // 2, 0.25 * i) for i in range(1, 64)] + [(100, 101, 1.0)], 5), ([], 3)])
+def test_rooted_in_logarithmic_rounds(spark, monkeypatch, edges, root):
+    writes = []
+    monkeypatch.setattr(G, "durable", lambda df, keep=G.durable: writes.append(1) or keep(df))
+    e = spark.createDataFrame(edges, "a long, b long, w double")
+    got = {x["id"]: (x["parent"], x["depth"], x["dist"]) for x in G.rooted(e, spark.createDataFrame([(root,)], "id long")).collect()}
+    want = _hang(edges, root)
+    assert got.keys() == want.keys()
+    assert all(got[v][:2] == want[v][:2] and np.isclose(got[v][2], want[v][2]) for v in want)
+    assert len(writes) <= 4 + 2 * max(1, 2 * len(edges)).bit_length()
 
 
 def test_long_path_components(spark):
