@@ -98,23 +98,23 @@ def spanning_tree(edges: DataFrame) -> DataFrame:
     return tree
 
 
-def geodesic(edges: DataFrame, sources: DataFrame) -> DataFrame:
+def geodesic(edges: DataFrame, sources: DataFrame, fold: int = 8) -> DataFrame:
     """(id, dist): shortest path length over undirected edges(a, b, w) from any sources.id.
-    Only vertices improved in a round relax their edges in the next."""
+    Only vertices improved in a round relax their edges in the next, and a round writes only what it
+    improved; every ``fold`` rounds the improvements are folded into one table."""
     both = durable(undirected(edges, "w"))
-    dist = durable(sources.select("id", F.lit(0.0).alias("dist"), F.lit(0).alias("turn")))
-    turn = 0
+    front = durable(sources.select("id", F.lit(0.0).alias("dist")).distinct())
+    known, pieces = front, 1
     while True:
-        turn += 1
-        front = dist.filter(F.col("turn") == turn - 1)
-        reach = front.join(both, front["id"] == both["a"]).groupBy(F.col("b").alias("id")) \
-            .agg(F.min(F.col("dist") + F.col("w")).alias("via"))
-        joined = dist.join(reach, "id", "full_outer")
-        better = F.col("dist").isNull() | (F.col("via") < F.col("dist"))
-        dist = durable(joined.select("id", F.when(better, F.col("via")).otherwise(F.col("dist")).alias("dist"),
-                                     F.when(better, F.lit(turn)).otherwise(F.col("turn")).alias("turn")))
-        if dist.filter(F.col("turn") == turn).isEmpty():
-            return dist.select("id", "dist")
+        step = front.join(both, front["id"] == both["a"]).select(F.col("b").alias("id"), (F.col("dist") + F.col("w")).alias("via"), F.lit(None).cast("double").alias("dist"))
+        held = known.select("id", F.lit(None).cast("double").alias("via"), "dist")
+        front = durable(step.union(held).groupBy("id").agg(F.min("via").alias("via"), F.min("dist").alias("dist"))
+                        .filter("via is not null and (dist is null or via < dist)").select("id", F.col("via").alias("dist")))
+        if front.isEmpty():
+            return known.groupBy("id").agg(F.min("dist").alias("dist"))
+        known, pieces = known.union(front), pieces + 1
+        if pieces == fold:
+            known, pieces = durable(known.groupBy("id").agg(F.min("dist").alias("dist"))), 1
 
 
 def level_nodes(edges: DataFrame, dist: DataFrame, width: float) -> DataFrame:
