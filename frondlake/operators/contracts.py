@@ -216,3 +216,20 @@ def reference_status(references: DataFrame, known: DataFrame) -> DataFrame:
     k = known.select("target", F.col("digest").alias("now"), F.lit(True).alias("__known"))
     status = F.when(F.col("__known").isNull(), "missing").when(~F.col("digest").eqNullSafe(F.col("now")), "changed").otherwise("ok")
     return references.join(k, "target", "left").select("owner", "target", status.alias("status"))
+
+
+def assign_detached(clusters: DataFrame, plants: DataFrame, accept: float, clear: float, slack: float) -> DataFrame:
+    """(cluster, plant) for clusters(cluster, at, height) and plants(plant, at, radius, low, high): the plant within
+    ``accept`` radii whose height range, widened by ``slack``, holds the cluster, when no other plant is within
+    ``clear`` (not below ``accept``) radii; else null. A plant meets only the clusters in the cells that its reach touches."""
+    widest = plants.agg(F.max("radius")).first()[0]
+    if not widest:
+        return clusters.select("cluster", F.lit(None).cast(plants.schema["plant"].dataType).alias("plant"))
+    width = 2.0 * clear * float(widest)
+    reach = F.col("radius") * (clear * (1 + 1e-9))
+    cells = plants.select("plant", F.col("at").alias("m"), "radius", "low", "high", F.explode(F.sequence(
+        F.floor((F.col("at") - reach) / width), F.floor((F.col("at") + reach) / width))).alias("cell"))
+    near = clusters.withColumn("cell", F.floor(F.col("at") / width)).join(cells, "cell").withColumn("ratio", F.abs(F.col("at") - F.col("m")) / F.col("radius"))
+    good = (F.col("ratio") <= accept) & F.col("height").between(F.col("low") - slack, F.col("high") + slack)
+    found = near.filter(F.col("ratio") < clear).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.min(F.when(good, F.col("plant"))).alias("plant"))
+    return clusters.select("cluster").join(found.filter("n = 1").select("cluster", "plant"), "cluster", "left")

@@ -27,7 +27,7 @@ def triangulated_points(spark, sf):
         F.cos(a).alias("r00"), F.lit(0.0).alias("r01"), F.sin(a).alias("r02"), F.lit(0.0).alias("r10"), F.lit(1.0).alias("r11"), F.lit(0.0).alias("r12"),
         (-F.sin(a)).alias("r20"), F.lit(0.0).alias("r21"), F.cos(a).alias("r22"), F.lit(0.0).alias("t0"), (F.col("n_nationkey") * 0.05).alias("t1"), F.lit(3.0).alias("t2"),
         (500.0 + F.col("n_nationkey")).alias("f"), F.lit(320.0).alias("cx"), F.lit(240.0).alias("cy"))
-    j = points(spark, sf).crossJoin(F.broadcast(cams))
+    j = points(spark, sf).crossJoin(cams)
     p = [F.col(f"r{i}0") * F.col("x") + F.col(f"r{i}1") * F.col("y") + F.col(f"r{i}2") * F.col("z") + F.col(f"t{i}") for i in range(3)]
     obs = durable(j.select(F.col("id").alias("label"), (F.col("f") * p[0] / p[2] + F.col("cx")).alias("u"), (F.col("f") * p[1] / p[2] + F.col("cy")).alias("v"), *cams.columns))
     return X.triangulate(obs, 2).select("label", *[(F.round(c, 5) + 0.0).alias(c) for c in "xyz"], F.col("views").cast("int").alias("views"))

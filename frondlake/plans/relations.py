@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from frondlake.functions import columns as C
 from frondlake.operators import ordered as O
+from frondlake.operators import contracts
 from frondlake.operators import relations as R
 from frondlake.plans.derived import FRAME_SQL, frames
 from frondlake.plans.registry import query
@@ -292,19 +293,12 @@ d AS (SELECT s_suppkey AS cl, s_acctbal AS c, CAST(s_suppkey*7%500 AS DOUBLE) AS
 g AS (SELECT cl, plant, ratio<=0.5 AND inr AS good, (SELECT count(*) FROM x y WHERE y.cl=x.cl AND y.plant<>x.plant AND y.ratio<0.55)=0 AS clear FROM x)
 SELECT cl, min(plant) FILTER (WHERE good AND clear) AS assignment FROM g GROUP BY 1""")
 def assign_detached(spark, sf):
-    """Plants are a bounded table, gathered once per row; the test against every other plant is an
-    array predicate rather than a join of all pairs."""
-    pl = table(spark, sf, "customer").groupBy(F.col("c_nationkey").alias("plant")).agg(
-        F.avg("c_acctbal").alias("m"), F.min(F.col("c_custkey") % 500).alias("lo"), F.max(F.col("c_custkey") % 500).alias("hi"))
-    pl = pl.agg(F.sort_array(F.collect_list(F.struct("plant", "m", (400.0 + F.col("plant") * 20).alias("r"), "lo", "hi"))).alias("plants"))
-    d = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("cl"), F.col("s_acctbal").alias("c"), (F.col("s_suppkey") * 7 % 500).cast("double").alias("h"))
-    j = d.crossJoin(F.broadcast(pl))
-    scored = F.transform("plants", lambda p: F.struct(p["plant"].alias("plant"), (F.abs(F.col("c") - p["m"]) / p["r"]).alias("ratio"),
-                                                      F.col("h").between(p["lo"] - 5, p["hi"] + 5).alias("inr")))
-    j = j.select("cl", scored.alias("s"))
-    close = F.filter("s", lambda p: p["ratio"] < 0.55)
-    good = F.filter("s", lambda p: (p["ratio"] <= 0.5) & p["inr"] & F.forall("s", lambda q: (q["plant"] == p["plant"]) | (q["ratio"] >= 0.55)))
-    return j.select("cl", F.array_min(F.transform(good, lambda p: p["plant"])).alias("assignment"))
+    """Nations as plants on the axis of balances, suppliers as detached clusters."""
+    pl = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).groupBy(F.col("c_nationkey").alias("plant")).agg(
+        F.avg("c_acctbal").alias("at"), F.min(F.col("c_custkey") % 500).alias("low"), F.max(F.col("c_custkey") % 500).alias("high"))
+    d = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("cluster"), F.col("s_acctbal").alias("at"), (F.col("s_suppkey") * 7 % 500).cast("double").alias("height"))
+    out = contracts.assign_detached(d, pl.withColumn("radius", 400.0 + F.col("plant") * 20), 0.5, 0.55, 5.0)
+    return out.select(F.col("cluster").alias("cl"), F.col("plant").alias("assignment"))
 
 
 @query("content_fingerprint", """WITH l AS (SELECT source, doc_id, doc_id||chr(9)||n_chars||chr(9)||sha256(text)||chr(10) AS line FROM documents) SELECT source, sha256(string_agg(h, '' ORDER BY b)) AS sha256 FROM (SELECT source, (n - 1) // 4096 AS b, sha256(string_agg(line, '' ORDER BY doc_id)) AS h FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS n FROM l) GROUP BY 1, 2) GROUP BY 1""")

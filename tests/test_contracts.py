@@ -146,3 +146,10 @@ def test_exports_reload(spark):
     out = R.leaf_exports(leaves, stalks, joints).union(frame(spark, [("l8", "not json")], "leaf string, document string"))
     assert dict(rows(R.reload_faults(out))) == {"l1": "ok", "l2": "ok", "l3": "count", "l4": "attachment_missing", "l5": "off_attachment", "l6": "other_petiole",
                                                 "l7": "attachment_without_petiole", "l8": "unreadable"}
+
+
+def test_assign_detached(spark):
+    plants = frame(spark, [(1, 0.0, 10.0, 0.0, 50.0), (2, 8.0, 10.0, 0.0, 50.0), (3, 100.0, 2.0, 0.0, 10.0)], "plant int, at double, radius double, low double, high double")
+    clusters = frame(spark, [("a", -4.0, 20.0), ("b", 4.0, 20.0), ("c", 101.0, 14.0), ("d", 101.0, 15.5), ("e", 500.0, 1.0), ("f", None, 1.0), ("g", 98.95, 5.0)], "cluster string, at double, height double")
+    assert rows(R.assign_detached(clusters, plants, 0.5, 0.55, 5.0)) == [("a", 1), ("b", None), ("c", 3), ("d", None), ("e", None), ("f", None), ("g", None)]
+    assert rows(R.assign_detached(clusters, plants.limit(0), 0.5, 0.55, 5.0)) == [(c, None) for c in "abcdefg"]
