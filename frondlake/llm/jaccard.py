@@ -8,7 +8,11 @@ A pair is a candidate where an index row of both passes the length, positional a
 Groups of near copies would pair with each other without end, so pairs are made in two rounds: every
 index list first joins its members to one hub, the one with the fewest rarer shingles; then only lists
 that still touch more than one component pair members of different components. Nothing that could
-link two components is left untried, and a list that one component covers is done."""
+link two components is left untried, and a list that one component covers is done. That finds the
+components, which is all that ``keep_one`` needs.
+
+The whole join (``jaccard_pairs``, ``jaccard_links``) then compares all sets of a component with each other: every
+link lies inside one. Components of more than BLOCK sets are cut into blocks and each two blocks meet in a task."""
 
 from __future__ import annotations
 
@@ -22,6 +26,8 @@ from frondlake.operators.graph import connected_components
 from frondlake.session import durable
 
 BUCKETS = 32
+#: sets of one component that a task compares with as many others; shingles that it looks at together
+BLOCK, WIDE = 512, 4096
 _SEED = 0x9E3779B97F4A7C15
 _SENT = pa.schema([("range", pa.int32()), ("batch", pa.int32()), ("keys", pa.binary()), ("n", pa.binary())])
 _BACK = pa.schema([("batch", pa.int32()), ("keys", pa.binary()), ("n", pa.binary())])
@@ -155,16 +161,100 @@ def _pairs(left: DataFrame, right: DataFrame, on: Column) -> DataFrame:
         pick("key", "r", "l").alias("b"), pick("batch", "r", "l").alias("b_batch")).distinct()
 
 
-def jaccard_classes(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, class_key, row_key): one row per row of docs. Two documents link when
-    den * |intersection| >= num * |union| of their sets of distinct k-word shingles (A-Z lower-cased,
-    words between ASCII white space; fewer than k words: the whole sequence is the one shingle). The
-    component is named by its smallest document id.
+def _common(tokens: np.ndarray, owner: np.ndarray, m: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many shingles each left set shares with each right one, of m sets. Shingles that many sets hold
+    are counted by matrix products, rare ones by listing their holders."""
+    out = np.zeros((len(left), len(right)), np.float64)
+    _, code, df = np.unique(tokens, return_inverse=True, return_counts=True)
+    many = (df > 1) & (df * 16 >= m)
+    place = np.cumsum(many) - 1
+    use = many[code]
+    at, who = place[code[use]], owner[use]
+    order = np.argsort(at, kind="stable")
+    at, who = at[order], who[order]
+    for lo in range(0, int(many.sum()), WIDE):
+        x, y = np.searchsorted(at, (lo, lo + WIDE))
+        held = np.zeros((m, WIDE), np.float32)
+        held[who[x:y], at[x:y] - lo] = 1
+        out += held[left] @ held[right].T
+    use = ((df > 1) & ~many)[code]
+    at, who = code[use], owner[use]
+    order = np.argsort(at, kind="stable")
+    at, who = at[order], who[order]
+    row, col = np.full(m, -1), np.full(m, -1)
+    row[left], col[right] = np.arange(len(left)), np.arange(len(right))
+    first, size = np.searchsorted(at, at), df[at]
+    done = np.append(0, np.cumsum(size))
+    lo = 0
+    while lo < len(at):
+        hi = max(lo + 1, int(np.searchsorted(done, done[lo] + (1 << 22), "right")) - 1)
+        n = size[lo:hi]
+        other = who[np.repeat(first[lo:hi] - (done[lo:hi] - done[lo]), n) + np.arange(n.sum())]
+        r, c = row[np.repeat(who[lo:hi], n)], col[other]
+        ok = (r >= 0) & (c >= 0)
+        out += np.bincount(r[ok] * len(right) + c[ok], minlength=out.size).reshape(out.shape)
+        lo = hi
+    return out.astype(np.int64)
 
-    Null, empty and blank texts have no shingle and link with nothing, each its own component (of a
-    null id: null). Rows of one set are one vertex, so copies never pair. Null ids are members but
-    never name a component with other ids. Sets are recognised by a 64-bit digest; class_key is that of one set
-    of the component, null without shingles; row_key is a hash of id and text; an empty table gives no rows."""
+
+_NEAR = pa.schema([("key", pa.int64()), ("near", pa.int64())])
+_PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("common", pa.int64())])
+
+
+def _joined(num: int, den: int, pairs: bool):
+    """The links between the sets of two blocks of each component: the pairs, or per set the rows at their other ends."""
+
+    def run(t: pa.Table) -> pa.Table:
+        root, key, n, copies, own = (t.column(c).to_numpy() for c in ("root", "key", "n", "copies", "own"))
+        i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
+        lists = t.column("tokens").combine_chunks()
+        lists = pa.concat_arrays(lists.chunks) if isinstance(lists, pa.ChunkedArray) else lists
+        values, cuts = lists.values.to_numpy(), lists.offsets.to_numpy()
+        order = np.argsort(root, kind="stable")
+        found = []
+        for mine in np.split(order, np.flatnonzero(np.diff(root[order])) + 1):
+            tokens = np.concatenate([values[cuts[x]:cuts[x + 1]] for x in mine])
+            owner = np.repeat(np.arange(len(mine)), cuts[mine + 1] - cuts[mine])
+            left, right = np.flatnonzero(own[mine] == i), np.flatnonzero(own[mine] == j)
+            if not len(left) or not len(right):
+                continue
+            common = _common(tokens, owner, len(mine), left, right)
+            left, right = mine[left], mine[right]
+            close = den * common >= num * (n[left][:, None] + n[right][None, :] - common)
+            close &= key[left][:, None] != key[right][None, :]
+            if pairs:
+                x, y = np.nonzero(close & (key[left][:, None] < key[right][None, :]) if i == j else close)
+                a, b = key[left[x]], key[right[y]]
+                found.append((np.minimum(a, b), np.maximum(a, b), common[x, y]))
+            else:
+                found.append((key[left], close @ copies[right]))
+                if i != j:
+                    found.append((key[right], close.T @ copies[left]))
+        kind = _PAIRS if pairs else _NEAR
+        return pa.table([pa.array(np.concatenate(c), f.type) for c, f in zip(zip(*found), kind)], schema=kind) if found else kind.empty_table()
+
+    return run
+
+
+def _links(filled: DataFrame, groups: DataFrame, whole: DataFrame, batches: int, num: int, den: int, pairs: bool) -> DataFrame:
+    """All links between different sets, as ``_joined`` gives them."""
+    large = durable(whole.groupBy("root").agg(F.count("*").alias("of")).filter(F.col("of") > BLOCK)
+                    .select("root", F.ceil(F.col("of") / BLOCK).cast("int").alias("blocks")))
+    # the narrow side is made ready first, so that the shingles move once, to their cells
+    members = durable(groups.join(whole, "key").join(bounded(large), "root", "left")
+                      .select("key", "batch", "root", "copies", F.coalesce("blocks", F.lit(1)).alias("blocks")))
+    cut = filled.filter("tokens is not null").select("key", "batch", "n", "tokens").join(bounded(members), ["key", "batch"])
+    own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
+    dealt = cut.withColumn("own", own).select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
+        # small components share a task
+        F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("root"), F.lit(batches))).otherwise(F.col("root")).alias("bin"),
+        F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "root", "key", "n", "copies", "own", "tokens")
+    made = "a long, b long, common long" if pairs else "key long, near long"
+    return dealt.groupBy("bin", "i", "j").applyInArrow(_joined(num, den, pairs), made)
+
+
+def _components(docs: DataFrame, k: int, num: int, den: int, id_col: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+    """(rows, one row per set, (set, root) of the sets that link with another, number of batches)."""
     batches = batch_count(text_bytes(docs, text))
     i, t = column(docs, id_col).cast("long"), column(docs, text)
     base = docs.select(i.alias("doc_id"), t.alias("text"), F.xxhash64(i, t).alias("row_key")) \
@@ -174,7 +264,7 @@ def jaccard_classes(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100,
     back = sent.groupBy("range").applyInArrow(_frequencies, "batch int, keys binary, n binary")
     rows = durable(by.cogroup(back.groupBy("batch")).applyInArrow(_index(k, num, den), _SETS_DDL))
     filled = rows.filter("n > 0")
-    groups = filled.groupBy("key").agg(F.min("doc_id").alias("least"), F.min(F.when(F.col("tokens").isNotNull(), F.col("batch"))).alias("batch"))
+    groups = filled.groupBy("key").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"), F.min(F.when(F.col("tokens").isNotNull(), F.col("batch"))).alias("batch"))
     sets = rows.filter("tokens is not null")
     one = sets.select("key", "batch", "n", "alone", "spread", F.slice("tokens", F.lit(1), "prefix").alias("lead")) \
         .join(groups.select("key", "batch"), ["key", "batch"])
@@ -193,15 +283,50 @@ def jaccard_classes(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100,
     more = _verified(_pairs(open_, open_, meet & (F.col("l.component") < F.col("r.component")) & close), sets, num, den)
     ends = durable(links.union(more))
     whole = connected_components(ends).select(F.col("id").alias("key"), F.col("component").alias("root"))
-    named_groups = groups.select("key", "least").join(whole, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    return rows, groups, whole, batches
+
+
+def jaccard_classes(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, id_col: str = "doc_id", text: str = "text", links: bool = False) -> DataFrame:
+    """(doc_id, n_shingles, component_id, class_key, row_key): one row per row of docs. Two documents link when
+    den * |intersection| >= num * |union| of their sets of distinct k-word shingles (A-Z lower-cased,
+    words between ASCII white space; fewer than k words: the whole sequence is the one shingle). The
+    component is named by its smallest document id.
+
+    Null, empty and blank texts have no shingle and link with nothing, each its own component (of a
+    null id: null). Rows of one set are one vertex, so copies never pair. Null ids are members but
+    never name a component with other ids. Sets are recognised by a 64-bit digest; class_key is that of one set
+    of the component, null without shingles; row_key is a hash of id and text; an empty table gives no rows.
+    With ``links`` there is also n_links: how many other rows link with the row, those of equal sets included."""
+    rows, groups, whole, batches = _components(docs, k, num, den, id_col, text)
+    filled = rows.filter("n > 0")
+    named_groups = groups.select("key", "least", "copies").join(whole, "key", "left").withColumn("root", F.coalesce("root", "key"))
     # written, so that the join of a very large component is between two shuffles and can be split
     smallest = durable(named_groups.groupBy("root").agg(F.min("least").alias("component_id")))
-    of = named_groups.join(smallest, "root").select("key", "component_id", "root")
-    linked = filled.join(of, "key").select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("root").alias("class_key"), "row_key")
-    lone = rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("class_key"), "row_key")
+    of = named_groups.join(smallest, "root")
+    if links:
+        near = _links(filled, groups, whole, batches, num, den, False).groupBy("key").agg(F.sum("near").alias("near"))
+        of = of.join(near, "key", "left").withColumn("n_links", F.col("copies") - 1 + F.coalesce("near", F.lit(0)))
+    more = ["n_links"] if links else []
+    linked = filled.join(of.select("key", "component_id", "root", *more), "key") \
+        .select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("root").alias("class_key"), "row_key", *more)
+    lone = rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("class_key"), "row_key",
+                                     *[F.lit(0).cast("long").alias(c) for c in more])
     return linked.union(lone)
 
 
+def jaccard_links(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id, n_links), one row per row of docs: ``jaccard_classes`` with the whole join."""
+    return jaccard_classes(docs, k, num, den, id_col, text, links=True).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
+def jaccard_pairs(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, id_col: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """((a, b, common), (key, doc_id)): every link between different sets, a < b, with the shingles they share, and the
+    rows of each set. Rows of one set all link with each other and are not listed as pairs."""
+    rows, groups, whole, batches = _components(docs, k, num, den, id_col, text)
+    filled = rows.filter("n > 0")
+    return _links(filled, groups, whole, batches, num, den, True), filled.select("key", "doc_id")
+
+
 def keep_one(docs: DataFrame, k: int, num: int, den: int, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """docs, all columns unchanged, with one document of each component of ``jaccard_classes``: the one
     of the smallest id (null ids last, ties by a hash of the text). Documents without shingles stay.

@@ -93,6 +93,11 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.jaccard_classes(table(spark, sf, "documents")).drop("class_key", "row_key")
 
 
+@query("op4_jaccard_links")
+def op4_links(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.jaccard_links(table(spark, sf, "documents"))
+
+
 @query("op1_license_scan")
 def op1(spark: SparkSession, sf: str) -> DataFrame:
     return licences.licence_digest(table(spark, sf, "documents"))

@@ -196,3 +196,42 @@ def test_sketch_likeness_against_multisets(spark, sf_dir, make_docs):
     assert sketches.version_fingerprints(make_docs([]).limit(0)).count() == 0
     (one,) = sketches.version_fingerprints(make_docs([(3, "ab")])).collect()
     assert one.edited_sha256 == hashlib.sha256(b"aa").hexdigest()
+
+
+def brute_links(rows, k, num, den):
+    sets = []
+    for _, text in rows:
+        w = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "").encode().split()
+        sets.append(frozenset(tuple(w[j:j + k]) for j in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)] if w else []))
+    close = lambda x, y: x and y and den * len(x & y) >= num * len(x | y)
+    counts = [sum(bool(close(x, y)) for b, y in enumerate(sets) if a != b) for a, x in enumerate(sets)]
+    pairs = {frozenset((x, y)) for x in sets for y in sets if x != y and close(x, y)}
+    return sorted(((i, len(x), n) for (i, _), x, n in zip(rows, sets, counts)), key=str), len(pairs)
+
+
+def test_every_link_is_found(word, make_docs, monkeypatch):
+    # a chain whose ends do not link, a clique of three, and mixed groups, in blocks of five sets
+    base = [word(("c", j)) for j in range(200)]
+    chain = [(2000 + i, " ".join(base[i * 6:i * 6 + 100])) for i in range(8)]
+    clique = [(2100 + i, " ".join([*(word(("q", j)) for j in range(90)), word(("q", "end", i))])) for i in range(3)]
+    rows = near_rows(word, 1, 3, 8) + chain + clique + ODD
+    docs = make_docs(rows).coalesce(1)
+    want, pairs = brute_links(rows, 3, 90, 100)
+    monkeypatch.setattr(jaccard, "BLOCK", 5)
+    got = jaccard.jaccard_links(docs).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.n_links) for r in got), key=str) == want
+    found, members = jaccard.jaccard_pairs(docs)
+    found = [(r.a, r.b) for r in found.collect()]
+    assert len(set(found)) == len(found) == pairs
+    assert {x for p in found for x in p} <= {r.key for r in members.collect()}
+
+
+def test_shared_shingles_are_counted_exactly():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 3000, rng.integers(1, 400))) for _ in range(90)] + [np.arange(5000)] * 2
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    left, right = np.arange(0, 92, 2), np.arange(1, 92, 3)
+    want = [[len(np.intersect1d(sets[a], sets[b])) for b in right] for a in left]
+    assert (jaccard._common(np.concatenate(sets), owner, len(sets), left, right) == np.array(want)).all()
