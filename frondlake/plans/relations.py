@@ -115,9 +115,7 @@ def overlap_pairs(spark, sf):
 @query("agglomerate_instances")
 def agglomerate_instances(spark, sf):
     m = durable(_baskets(spark, sf))
-    # an instance of one item says nothing about shape: two common items are the rule of this merge
-    pairs = R.overlapping_pairs(m, 0.6).filter("common >= 2")
-    c = R.agglomerate(m.select("instance", "photo").distinct(), pairs)
+    c = R.agglomerate(m.select("instance", "photo").distinct(), R.overlapping_pairs(m, 0.6))
     return c.groupBy("cluster").agg(n_rows("instances")).filter("instances > 1")
 
 
