@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from frondlake.llm import jaccard, licences, mixing, packing, repeats, sharding, sketches, topk, toxicity, warc
+from frondlake.llm import jaccard, licences, middle, mixing, nearest, packing, repeats, sharding, sketches, topk, toxicity, trie, warc
 from frondlake.session import table
 
 QUERIES: dict = {}
@@ -124,3 +124,62 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
     out = sketches.version_fingerprints(table(spark, sf, "documents"))
     return out.withColumn("n_before", F.size("only_before").cast("long")).withColumn("n_after", F.size("only_after").cast("long")) \
         .drop("only_before", "only_after")
+
+
+_CRC_TABLE = ("list_transform(range(256), lambda n: list_reduce(list_prepend(CAST(n AS BIGINT), [0, 0, 0, 0, 0, 0, 0, 0]), "
+              "lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END))")
+
+
+def _sql_crc32(c: str) -> str:
+    """crc32 of the ASCII text c; ``crc`` is the table of the 256 byte values."""
+    return (f"xor(list_reduce(list_prepend(4294967295, list_transform(string_split({c}, ''), lambda x: CAST(ascii(x) AS BIGINT))), "
+            "lambda a, b: xor(a // 256, crc[CAST(xor(a % 256, b) AS INTEGER) + 1])), 4294967295)")
+
+
+@query("op11_conversation_trie", f"""WITH t AS (SELECT {_CRC_TABLE} AS crc),
+c AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos, coalesce(role, '') AS role, coalesce(text, '') AS txt
+ FROM conversations WHERE conv_id IS NOT NULL),
+k AS (SELECT c, c - c % 100 AS base, {_sql_crc32("CAST(c AS VARCHAR)")} % 6 AS h FROM (SELECT DISTINCT c FROM c), t),
+r AS (SELECT k.c, pos, 0 AS part, role, txt FROM k JOIN c ON c.c = k.base AND pos <= h UNION ALL
+ SELECT k.c, pos, 1, role, txt FROM k JOIN c ON c.c = k.c AND pos > h),
+d AS (SELECT c, length(txt) AS chars, row_number() OVER w AS depth, string_agg(md5(length(role) || ':' || role || txt), '') OVER w AS path FROM r
+ WINDOW w AS (PARTITION BY c ORDER BY part, pos ROWS UNBOUNDED PRECEDING)),
+m AS (SELECT c, depth, path, chars FROM d UNION ALL SELECT c, 0, '', 0 FROM k),
+n AS (SELECT path, min(depth) AS depth, min(c) AS conv_id, count(*) AS n_convs, min(chars) AS chars FROM m GROUP BY 1),
+l AS (SELECT c, max_by(path, depth) AS path FROM m GROUP BY 1),
+e AS (SELECT path, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS ends FROM l GROUP BY 1),
+p AS (SELECT n.*, p.conv_id AS parent_conv_id, (SELECT count(*) FROM n x WHERE x.depth = n.depth + 1 AND starts_with(x.path, n.path)) AS n_children
+ FROM n LEFT JOIN n p ON n.depth > 0 AND p.path = substr(n.path, 1, length(n.path) - 32)),
+s AS (SELECT a.path, count(*) FILTER (WHERE b.n_children = 0) AS n_leaves, CAST(sum((b.n_convs - 1) * b.chars) AS BIGINT) AS saved_tokens
+ FROM p a JOIN p b ON starts_with(b.path, a.path) GROUP BY 1)
+SELECT conv_id, CAST(depth AS BIGINT) AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, coalesce(ends, sha256('')) AS ends_sha256
+FROM p JOIN s USING (path) LEFT JOIN e USING (path)""")
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return trie.conversation_trie(table(spark, sf, "conversations"))
+
+
+def _sql_draw(j: int) -> str:
+    return f"CAST('0x' || substr(digest, {8 * j - 7}, 8) AS BIGINT)"
+
+
+@query("op12_fill_in_middle", f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest FROM documents),
+u AS (SELECT doc_id, t, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS lines, {", ".join(f"{_sql_draw(j)} AS h{j}" for j in (1, 2, 3, 4))} FROM d),
+n AS (SELECT *, CAST(len(lines) AS BIGINT) AS n FROM u),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS lo, greatest(h1 % (n + 1), h2 % (n + 1)) AS hi,
+ CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM n),
+p AS (SELECT *, array_to_string(lines[1:lo], '') AS pre, array_to_string(lines[lo + 1:hi], '') AS mid, array_to_string(lines[hi + 1:n], '') AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+ sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+ sha256(t) AS restored_sha256 FROM p""")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return middle.fill_in_middle(table(spark, sf, "documents"), output=False)
+
+
+@query("op13_one_bit_neighbours", """WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+ WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+s AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, sqrt(list_reduce(list_transform(list_zip(c.e, q.e), lambda z: (z[1] - z[2]) * (z[1] - z[2])), lambda a, b: a + b)) AS score
+ FROM v q JOIN v c ON c.r <> q.r AND len(c.e) = len(q.e) WHERE q.vec_id % 100 = 0),
+k AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM k WHERE rank <= 10""")
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return nearest.nearest(table(spark, sf, "embeddings"), F.col("vec_id"), F.col("embedding"), F.col("vec_id") % 100 == 0, 10)
