@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import heapq
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+
+from frondlake.operators.graph import connected_components
 
 from frondlake.operators.ordered import HOT_ROWS, Ordered, attach, ordered
 from frondlake.session import durable
@@ -53,41 +58,130 @@ def overlapping_pairs(members: DataFrame, share: float, hot_rows: int = HOT_ROWS
     return kept.select(F.least("small", "large").alias("a"), F.greatest("small", "large").alias("b"), "common", "overlap")
 
 
-def agglomerate(instances: DataFrame, pairs: DataFrame) -> DataFrame:
+#: pairs that one task settles
+MERGE_PAIRS = 200_000
+
+
+def _reciprocal_merges(first: list, second: list, names: list, photos: list[int]) -> dict:
+    """{cluster: name after merging} for pairs given heaviest first by the numbers of their clusters.
+
+    Each cluster keeps a heap of its pairs. From any cluster the way leads to the partner of its
+    heaviest pair that does not clash, on to that one's partner, over ever heavier pairs, until a pair
+    is the heaviest at both ends. Such a pair merges at once: no pair that touches either end comes
+    before it. Photo sets are bitmaps, and the smaller heap moves into the larger."""
+    heaps: list[list[int]] = [[] for _ in names]
+    for i, (x, y) in enumerate(zip(first, second)):
+        heaps[x].append(i)
+        heaps[y].append(i)
+    slot, title = list(range(len(names))), list(range(len(names)))
+
+    def home(c: int) -> int:
+        while slot[c] != c:
+            slot[c] = slot[slot[c]]
+            c = slot[c]
+        return c
+
+    def heaviest(c: int) -> tuple[int, int] | None:
+        """Number of the pair and the cluster at its other end; pairs that cannot merge any more go."""
+        heap = heaps[c]
+        while heap:
+            x, y = home(first[heap[0]]), home(second[heap[0]])
+            if x != y and not photos[x] & photos[y]:
+                return heap[0], y if x == c else x
+            heapq.heappop(heap)
+        return None
+
+    for start in range(len(names)):
+        way = [start] if slot[start] == start else []
+        while way:
+            here = heaviest(way[-1])
+            if here is None:
+                way.pop()
+                continue
+            pair, there = here
+            if heaviest(there)[0] != pair:
+                way.append(there)
+                continue
+            here_slot = way.pop()
+            if way and way[-1] == there:
+                way.pop()
+            keep, gone = (here_slot, there) if len(heaps[here_slot]) >= len(heaps[there]) else (there, here_slot)
+            named = title[home(first[pair])]
+            for i in heaps[gone]:
+                heapq.heappush(heaps[keep], i)
+            heaps[gone], slot[gone] = [], keep
+            photos[keep] |= photos[gone]
+            title[keep] = named
+            way.append(keep)
+    return {names[c]: names[title[home(c)]] for c in range(len(names)) if title[home(c)] != c}
+
+
+def _settle_block(kind: pa.DataType):
+    schema = pa.schema([("cluster", kind), ("into", kind)])
+
+    def run(pairs: pa.Table, views: pa.Table) -> pa.Table:
+        pairs = pairs.sort_by([("w", "descending"), ("a", "descending"), ("b", "descending")])
+        number: dict = {}
+        x, y = ([number.setdefault(c, len(number)) for c in pairs.column(end).to_pylist()] for end in ("ca", "cb"))
+        bit: dict = {}
+        photos = [0] * len(number)
+        for c, p in zip(views.column("cluster").to_pylist(), views.column("photo").to_pylist()):
+            if c in number:
+                photos[number[c]] |= 1 << bit.setdefault(p, len(bit))
+        moved = _reciprocal_merges(x, y, list(number), photos)
+        return pa.table([pa.array(list(moved), kind), pa.array(list(moved.values()), kind)], schema=schema)
+
+    return run
+
+
+def _settle(pairs: DataFrame, held: DataFrame, limit: int) -> DataFrame:
+    """held(instance, photo, cluster) after all of pairs(w, a, b) had their turn. Components of the pair
+    graph do not see each other and are settled side by side; one of more than ``limit`` pairs is cut:
+    first its heavier half, which mostly falls into small components, then the rest."""
+    where = held.select("instance", "cluster").distinct()
+    live = durable(pairs.join(where.toDF("a", "ca"), "a").join(where.toDF("b", "cb"), "b").filter("ca <> cb"))
+    n = live.count()
+    if not n:
+        return held
+    kind, long = held.schema["cluster"].dataType, None
+    if n <= limit:
+        work, views = live.withColumn("block", F.lit(0)), held.withColumn("block", F.lit(0))
+    else:
+        part = connected_components(live.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+        part = durable(part.select(F.col("id").alias("cluster"), "component"))
+        live = durable(live.join(part.withColumnRenamed("cluster", "ca"), "ca"))
+        long = durable(live.groupBy("component").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit).select("component"))
+        block = F.pmod(F.xxhash64("component"), F.lit(-(-n // limit))).cast("int")
+        small = part.join(long, "component", "left_anti")
+        work = live.join(long, "component", "left_anti").withColumn("block", block)
+        views = held.join(small, "cluster").withColumn("block", block)
+    views = views.select("block", "cluster", "photo").distinct()
+    name = kind.simpleString()
+    into = durable(work.select("block", "w", "a", "b", "ca", "cb").groupBy("block").cogroup(views.groupBy("block"))
+                   .applyInArrow(_settle_block(to_arrow_type(kind)), f"cluster {name}, into {name}"))
+    held = durable(held.join(into, "cluster", "left").select("instance", "photo", F.coalesce("into", "cluster").alias("cluster")))
+    if long is None or long.isEmpty():
+        return held
+    # ascending rank, so the upper half is the heavier one
+    rest = durable(ordered(live.join(long, "component").select("component", "w", "a", "b"), ["component"], ["w", "a", "b"],
+                           Ordered(rank="k", totals={"n": F.lit(1)})))
+    held = _settle(rest.filter("k > n div 2").select("w", "a", "b"), held, limit)
+    return _settle(rest.filter("k <= n div 2").select("w", "a", "b"), held, limit)
+
+
+def agglomerate(instances: DataFrame, pairs: DataFrame, limit: int = MERGE_PAIRS) -> DataFrame:
     """(instance, cluster): merge pairs(a, b, overlap) in descending (overlap, a, b), never joining
-    clusters that share a photo.
-
-    The order matters only between pairs that touch a common cluster, so each round settles every
-    pair that is the heaviest left at both of its clusters; the result equals the sequential one."""
-    cluster = instances.select("instance", F.col("instance").alias("cluster"))
-    views = durable(instances.select(F.col("instance").alias("cluster"), "photo").distinct())
-    live = pairs.select(F.col("a").alias("ca"), F.col("b").alias("cb"), F.struct(F.col("overlap").alias("w"), "a", "b").alias("e"))
-    turn = 0
-    while True:
-        # photos only accumulate, so a pair that clashes now clashes whenever its turn comes
-        va, vb = views.withColumnRenamed("cluster", "ca"), views.withColumnRenamed("cluster", "cb")
-        clash = live.join(va, "ca").join(vb, ["cb", "photo"]).select("ca", "cb").distinct()
-        live = durable(live.join(clash, ["ca", "cb"], "left_anti").groupBy(F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb"))
-                       .agg(F.max("e").alias("e")))
-        if live.isEmpty():
-            return cluster
-        turn += 1
-        ends = live.select(F.col("ca").alias("c"), "e").union(live.select(F.col("cb").alias("c"), "e"))
-        top = ends.groupBy("c").agg(F.max("e").alias("e"))
-        twice = top.groupBy("e").agg(F.count(F.lit(1)).alias("n")).filter("n = 2").select("e")
-        # the cluster of the pair's first instance gives the merged cluster its name
-        first = cluster.select(F.col("instance").alias("__i"), F.col("cluster").alias("into"))
-        merge = live.join(twice, "e").withColumn("__i", F.col("e.a")).join(first, "__i")
-        into = durable(merge.select(F.when(F.col("ca") == F.col("into"), F.col("cb")).otherwise(F.col("ca")).alias("cluster"), "into"))
-
-        def moved(df: DataFrame, col: str, into: DataFrame = into) -> DataFrame:
-            return df.join(into.withColumnRenamed("cluster", col), col, "left").withColumn(col, F.coalesce("into", col)).drop("into")
-
-        cluster = moved(cluster, "cluster")
-        if turn % 4 == 0:
-            cluster = durable(cluster)
-        views = durable(moved(views, "cluster").distinct())
-        live = moved(moved(live, "ca"), "cb").filter("ca <> cb")
+    clusters that share a photo; the cluster of the pair's first instance gives the name.
+
+    The order matters only between pairs that touch a common cluster. So components of the pair graph
+    are independent, and inside one a pair may merge as soon as it is the heaviest left at both of its
+    clusters. A task settles at most ``limit`` pairs with the photo sets of their clusters; jobs grow
+    with the logarithm of the largest component over ``limit``, and only for a component that stays in
+    one piece at every weight with their quotient. Instances in no pair keep their own name; pairs of
+    unknown instances, or without overlap, take no part."""
+    held = durable(instances.select("instance", "photo", F.col("instance").alias("cluster")).distinct())
+    able = pairs.filter("overlap is not null").select(F.col("overlap").alias("w"), "a", "b")
+    return _settle(durable(able), held, limit).select("instance", "cluster").distinct()
 
 
 def vote_argmax(votes: DataFrame, key: str, choice: str) -> DataFrame:

@@ -112,7 +112,23 @@ def overlap_pairs(spark, sf):
     return R.overlapping_pairs(_baskets(spark, sf), 0.6).select("a", "b", "common", r6(F.col("overlap")).alias("overlap"))
 
 
-@query("agglomerate_instances")
+# Rounds over typed rows: kind 0 is an instance with its cluster, kind 1 a pair of clusters that may still merge.
+AGGLOMERATE_SQL = f"""WITH RECURSIVE {OVERLAP_SQL},
+s AS (SELECT 0 AS turn, 0 AS kind, i AS x, ph AS p, i AS ca, CAST(NULL AS BIGINT) AS cb, CAST(NULL AS DOUBLE) AS w, CAST(NULL AS BIGINT) AS a, CAST(NULL AS BIGINT) AS b FROM (SELECT DISTINCT i, ph FROM m)
+ UNION ALL SELECT 0, 1, NULL, NULL, a, b, overlap, a, b FROM ov
+ UNION ALL (WITH l AS (SELECT ca, cb, w, a, b FROM s WHERE kind=1 AND ca<>cb), v AS (SELECT DISTINCT ca AS c, p FROM s WHERE kind=0),
+  clash AS (SELECT DISTINCT l.ca, l.cb FROM l JOIN v x ON x.c=l.ca JOIN v y ON y.c=l.cb AND y.p=x.p), live AS (SELECT * FROM l ANTI JOIN clash USING (ca, cb)),
+  e AS (SELECT ca AS c, w, a, b FROM live UNION ALL SELECT cb, w, a, b FROM live),
+  t AS (SELECT c, w, a, b FROM e QUALIFY row_number() OVER (PARTITION BY c ORDER BY w DESC, a DESC, b DESC)=1),
+  two AS (SELECT a, b, min(c) AS c1, max(c) AS c2 FROM t GROUP BY a, b HAVING count(*)=2),
+  go AS (SELECT two.*, n.ca AS name FROM two JOIN s n ON n.kind=0 AND n.x=two.a),
+  f AS (SELECT CASE WHEN name=c1 THEN c2 ELSE c1 END AS c, name FROM go)
+  SELECT s.turn+1, 0, s.x, s.p, coalesce(f.name, s.ca), NULL, NULL, NULL, NULL FROM s LEFT JOIN f ON f.c=s.ca WHERE s.kind=0 AND EXISTS (SELECT 1 FROM live)
+  UNION ALL SELECT (SELECT max(turn) FROM s)+1, 1, NULL, NULL, coalesce(f.name, live.ca), coalesce(g.name, live.cb), w, a, b FROM live LEFT JOIN f ON f.c=live.ca LEFT JOIN f g ON g.c=live.cb))
+SELECT ca AS cluster, count(*) AS instances FROM s WHERE kind=0 AND turn=(SELECT max(turn) FROM s) GROUP BY 1 HAVING count(*)>1"""
+
+
+@query("agglomerate_instances", AGGLOMERATE_SQL)
 def agglomerate_instances(spark, sf):
     m = durable(_baskets(spark, sf))
     c = R.agglomerate(m.select("instance", "photo").distinct(), R.overlapping_pairs(m, 0.6))
