@@ -73,13 +73,16 @@ def sketch(doc: np.ndarray, key: np.ndarray, n: int, cells: int) -> tuple[np.nda
 
 
 def peel(count: np.ndarray, xor: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(whether each row peeled empty, row, digest, sign) of subtracted sketches."""
+    """(whether each row peeled empty, row, digest, sign) of subtracted sketches. A cell is pure when one
+    digest is left, its check fits and the digest maps to that cell; a sketch that is not empty after
+    as many rounds as it has cells counts as not peeled."""
     n, cells = count.shape
     count, xor, check = count.reshape(-1).copy(), xor.reshape(-1).copy(), check.reshape(-1).copy()
     rows, keys, signs = [], [], []
-    while True:
+    for _ in range(cells):
         at = np.flatnonzero(np.abs(count) == 1)
         at = at[_check(xor[at]) == check[at]]
+        at = at[(np.stack(_cells(xor[at], cells)) == at % cells).any(0)]
         if not len(at):
             break
         row, key, sign = at // cells, xor[at], count[at]

@@ -3,6 +3,8 @@
 import hashlib
 import random
 
+import numpy as np
+
 from frondlake.llm import jaccard, queries, repeats, sketches
 from frondlake.session import table
 
@@ -235,3 +237,13 @@ def test_shared_shingles_are_counted_exactly():
     left, right = np.arange(0, 92, 2), np.arange(1, 92, 3)
     want = [[len(np.intersect1d(sets[a], sets[b])) for b in right] for a in left]
     assert (jaccard._common(np.concatenate(sets), owner, len(sets), left, right) == np.array(want)).all()
+
+
+def test_a_false_pure_cell_ends_and_does_not_peel():
+    key = np.array([0x1234567890ABCDEF], np.uint64)
+    mapped = {int(c[0]) for c in sketches._cells(key, sketches.CELLS)}
+    other = next(c for c in range(sketches.CELLS) if c not in mapped)
+    count, xor, check = np.zeros((1, sketches.CELLS), np.int64), np.zeros((1, sketches.CELLS), np.uint64), np.zeros((1, sketches.CELLS), np.uint64)
+    count[0, other], xor[0, other], check[0, other] = 1, key[0], sketches._check(key)[0]
+    clear, rows, keys, _ = sketches.peel(count, xor, check)
+    assert not clear[0] and not len(rows) and not len(keys)
