@@ -13,9 +13,10 @@ from frondlake.session import durable
 
 def interleave(docs: DataFrame, shards: int, stratum: Column, row_id: Column, text: Column, seed: int = 1) -> DataFrame:
     """(doc_id, size, text_crc32, stratum, shard, slot): rows are shuffled by a seeded hash within
-    their stratum, sorted over all strata by fractional rank (rank + 1/2) / rows of the stratum, and
-    cut into ``shards`` runs whose row counts differ by at most one; so every shard holds each
-    stratum's share to within a row or two. ``slot`` counts from 0 in each shard.
+    their stratum, sorted over all strata by fractional rank (rank + u) / rows of the stratum, u being
+    a seeded fraction of the stratum's own, and cut into ``shards`` runs whose row counts differ by at
+    most one; so every shard holds each stratum's share to within a row or two, and strata of few rows
+    spread over all shards. ``slot`` counts from 0 in each shard.
 
     Two levels of about sqrt(rows) rows keep every group small: hash buckets of a stratum give the
     rank, slices of the fractional rank the position, and only their counts are summed up in order.
@@ -36,7 +37,8 @@ def interleave(docs: DataFrame, shards: int, stratum: Column, row_id: Column, te
         .withColumn("before", F.sum("n").over(in_order) - F.col("n")) \
         .withColumn("of", F.sum("n").over(Window.partitionBy("stratum"))).drop("n")
     rank = F.col("before") + F.row_number().over(Window.partitionBy("stratum", "bucket").orderBy(*order)) - 1
-    ranked = slim.join(sums, ["stratum", "bucket"]).withColumn("share", (rank + F.lit(0.5)) / F.col("of")) \
+    offset = (F.pmod(F.xxhash64(F.lit(seed), F.lit("offset"), "stratum"), F.lit(1 << 20)) + F.lit(0.5)) / F.lit(float(1 << 20))
+    ranked = slim.join(sums, ["stratum", "bucket"]).withColumn("share", (rank + offset) / F.col("of")) \
         .withColumn("slice", F.floor(F.col("share") * cells).cast("int")).drop("before", "of", "bucket")
     # about sqrt(rows) slices, so one task can sum their counts
     steps = ranked.groupBy("slice").agg(F.count("*").alias("n")) \

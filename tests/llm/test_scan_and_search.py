@@ -99,6 +99,19 @@ def test_topk_against_brute_force(spark, n, dims):
     assert {tuple(r) for r in got} == want and len(got) == len(want)
 
 
+def test_topk_repeated_ids(spark):
+    # two equal rows of one id, a third of the same id, and ties: each row is a query, its copies are candidates
+    rows = [(50, [1.0])] * 2 + [(50, [2.0])] + [(i, [float(i)]) for i in range(6, 12)] + [(12, [11.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").select("*", *[F.lit(1).alias(c) for c in ("key", "copies", "q", "v", "block")])
+    got = sorted(tuple(r) for r in topk.exact_topk(df, F.col("vec_id"), F.col("embedding"), F.col("vec_id") % 50 == 0, 9).collect())
+    want = []
+    for a, (i, q) in enumerate(rows):
+        if i % 50 == 0:
+            best = sorted((-int(q[0] * 256) * int(v[0] * 256), j) for b, (j, v) in enumerate(rows) if b != a)[:9]
+            want += [(i, r + 1, j, -s) for r, (s, j) in enumerate(best)]
+    assert got == sorted(want) and len(got) == 27
+
+
 def test_topk_large_components(spark):
     rows = [(i, [float(2 ** 20 + i), float(-(2 ** 15) * i)]) for i in range(60)]
     got = topk.exact_topk(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id"), F.col("embedding"), F.col("vec_id") == 50, 2).collect()
@@ -122,6 +135,10 @@ def test_shards_match_the_mixture(make_docs):
         assert sorted(r.slot for r in v) == list(range(len(v)))
         for s, want in share.items():
             assert abs(sum(r.source == s for r in v) - want) <= 2
+    # very many sources of one row spread evenly, and so do their ranks
+    many = sharding.interleave(make_docs([(i, f"t{i}", f"s{i}") for i in range(4000)]), 16, F.col("source"), F.col("doc_id"), F.col("text"))
+    counts = [r["n"] for r in many.groupBy(F.substring("stratum", 2, 1).alias("k"), "shard").agg(F.count("*").alias("n")).collect()]
+    assert max(counts) < 3 * sum(counts) / len(counts)
     null = next(r for r in got if r.doc_id is None)
     assert (null.size, null.text_crc32, null.law, null.grown_shard) == (1, 0, "rows", None)
     assert sharding.shard_documents(make_docs([]).limit(0)).count() == 0
