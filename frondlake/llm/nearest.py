@@ -51,12 +51,10 @@ def estimate(codes: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 
 def distances(x: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Euclidean distances of q to the columns of x (dimensions first), summed dimension by dimension."""
-    total = np.zeros(x.shape[1])
-    for d in range(x.shape[0]):
-        step = x[d] - q[d]
-        total += step * step
-    return np.sqrt(total)
+    """Euclidean distances of q to the columns of x (dimensions first), summed dimension by dimension:
+    a sum over the outer axis adds row after row."""
+    step = x - q[:, None]
+    return np.sqrt(np.add.reduce(step * step, axis=0))
 
 
 def _search(q: np.ndarray, turned: np.ndarray, size: float, x: np.ndarray, codes: np.ndarray, length: np.ndarray, a: np.ndarray,
@@ -78,7 +76,7 @@ def _search(q: np.ndarray, turned: np.ndarray, size: float, x: np.ndarray, codes
         some = order[at:at + CHUNK]
         if low[some[0]] > best:
             break
-        far = distances(x[:, some], q)
+        far = distances(x.take(some, axis=1), q)
         got, near = np.append(got, some), np.append(near, far)
         by = np.lexsort((ids[got], near))
         got, near = got[by], near[by]
