@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from frondlake.functions import columns as C
 from frondlake.operators import graph as G
 from frondlake.operators import ordered as O
 from frondlake.operators import relations as R
+from frondlake.operators.segments import nearest_group
 from frondlake.plans.derived import POINT_SQL, points
 from frondlake.plans.registry import query
 from frondlake.session import durable, table
@@ -75,17 +75,26 @@ def lineage_components(spark, sf):
     return G.connected_components(e)
 
 
-@query("nearest_leaf_by_median", f"""WITH {POINT_SQL}, t AS (SELECT id, label, greatest(0,least(1,((x-0.1)*(-0.3)+(y-0.1)*0.2+(z+0.1)*0.4)/(0.09+0.04+0.16))) AS f, x, y, z FROM pts)
-SELECT label, round(median(sqrt(pow(x-0.1+0.3*f,2)+pow(y-0.1-0.2*f,2)+pow(z+0.1-0.4*f,2))),6) AS median_distance, count(*) AS points FROM t GROUP BY 1""")
+# one segment from each label's mean to the next label's
+LEAF_SEGMENTS_SQL = """n AS (SELECT label AS i, avg(x) x, avg(y) y, avg(z) z FROM pts GROUP BY 1),
+s AS (SELECT a.i AS segment, a.x ax, a.y ay, a.z az, b.x-a.x dx, b.y-a.y dy, b.z-a.z dz FROM n a JOIN n b ON b.i=a.i+1)"""
+
+
+@query("nearest_leaf_by_median", f"""WITH {POINT_SQL}, {LEAF_SEGMENTS_SQL},
+t AS (SELECT segment, label, greatest(0,least(1,((x-ax)*dx+(y-ay)*dy+(z-az)*dz)/(dx*dx+dy*dy+dz*dz))) AS f, x, y, z, ax, ay, az, dx, dy, dz FROM pts, s),
+m AS (SELECT segment, label, median(sqrt(pow(x-ax-f*dx,2)+pow(y-ay-f*dy,2)+pow(z-az-f*dz,2))) AS d, count(*) AS points FROM t GROUP BY 1,2),
+r AS (SELECT *, row_number() OVER (PARTITION BY segment ORDER BY d, label) AS k FROM m)
+SELECT a.segment, a.label AS leaf, round(a.d,6) AS median_distance, a.points, b.label AS second, round(b.d-a.d,6) AS margin FROM r a LEFT JOIN r b ON b.segment=a.segment AND b.k=2 WHERE a.k=1""")
 def nearest_leaf_by_median(spark, sf):
-    """Median distance of every leaf's points to one base-tip segment."""
-    a, ab = (0.1, 0.1, -0.1), (-0.3, 0.2, 0.4)
-    o = [F.col(c) - F.lit(v) for c, v in zip("xyz", a)]
-    d = [F.lit(v) for v in ab]
-    f = C.clip(C.dot(o, d) / F.lit(sum(v * v for v in ab)), 0.0, 1.0)
-    p = points(spark, sf).select("label", C.length([x - f * y for x, y in zip(o, d)]).alias("d"))
-    q = O.quantiles(p, ["label"], {"d": F.col("d")}, {"p50": 0.5})
-    return q.join(p.groupBy("label").agg(n_rows("points")), "label").select("label", F.round("d_p50", 6).alias("median_distance"), "points")
+    """For every segment the label whose points have the smallest median distance to it, the second one and its margin."""
+    p = points(spark, sf)
+    n = p.groupBy(F.col("label").alias("segment")).agg(*[F.avg(c).alias(c) for c in "xyz"])
+    s = O.ordered(n, [], ["segment"], O.Ordered(leads={f"b{c}": F.col(c) for c in "xyz"})).filter("bx is not null")
+    best = durable(nearest_group(p.withColumnRenamed("label", "group"), s))
+    second = best.filter("rank = 2").select("segment", F.col("group").alias("second"), F.col("median_distance").alias("next"))
+    return best.filter("rank = 1").join(second, "segment", "left").select(
+        "segment", F.col("group").alias("leaf"), F.round("median_distance", 6).alias("median_distance"), "points", "second",
+        F.round(F.col("next") - F.col("median_distance"), 6).alias("margin"))
 
 
 @query("bounded_listing", "WITH l AS (SELECT url FROM pages ORDER BY url LIMIT 51) SELECT url, (SELECT count(*) FROM l)>50 AS truncated FROM (SELECT url FROM l ORDER BY url LIMIT 50)")

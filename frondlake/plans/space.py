@@ -9,6 +9,7 @@ from frondlake.operators import graph as G
 from frondlake.operators import ordered as O
 from frondlake.operators import skeleton as K
 from frondlake.operators import spatial as S
+from frondlake.operators.segments import nearest_segment
 from frondlake.operators.splat import recolor, transform
 from frondlake.plans.derived import POINT_SQL, SPLAT_SQL, points, splats
 from frondlake.plans.registry import query
@@ -205,25 +206,7 @@ def stem_projection(spark, sf):
     p = points(spark, sf)
     n = p.groupBy(F.col("label").alias("i")).agg(*[F.avg(c).alias(c) for c in "xyz"])
     s = O.ordered(n, [], ["i"], O.Ordered(leads={f"b{c}": F.col(c) for c in "xyz"})).filter("bx is not null")
-    return project_to_polyline(p, s).select("id", r6(F.col("segment") + F.col("fraction")).alias("along"), r6(F.col("distance")).alias("distance"))
-
-
-def project_to_polyline(p, segments, chunk=512):
-    """Closest segment, fraction along it and distance for every point. Segments travel as arrays of
-    at most ``chunk``, so a long polyline becomes several rows rather than one growing broadcast."""
-    packed = segments.groupBy(F.floor(F.col("i") / chunk).alias("c")).agg(
-        F.sort_array(F.collect_list(F.struct("i", "x", "y", "z", "bx", "by", "bz"))).alias("segs")).drop("c")
-
-    def measure(s):
-        d = [s[f"b{c}"] - s[c] for c in "xyz"]
-        o = [F.col(f"p{c}") - s[c] for c in "xyz"]
-        f = F.coalesce(C.clip(F.try_divide(C.dot(o, d), C.dot(d, d)), 0.0, 1.0), F.lit(0.0))
-        rest = [a - f * b for a, b in zip(o, d)]
-        return F.struct(C.length(rest).alias("distance"), s["i"].alias("segment"), f.alias("fraction"))
-
-    named = p.select("id", *[F.col(c).alias(f"p{c}") for c in "xyz"])
-    best = named.crossJoin(packed).select("id", F.array_min(F.transform("segs", measure)).alias("m"))
-    return best.groupBy("id").agg(F.min("m").alias("m")).select("id", "m.*")
+    return nearest_segment(p, s.withColumnRenamed("i", "segment")).select("id", r6(F.col("segment") + F.col("fraction")).alias("along"), r6(F.col("distance")).alias("distance"))
 
 
 @query("local_linearity", f"""WITH {POINT_SQL}, d AS (SELECT a.id, b.x, b.y, b.z, row_number() OVER (PARTITION BY a.id ORDER BY (a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)+(a.z-b.z)*(a.z-b.z), b.id) AS k FROM pts a, pts b),
