@@ -272,30 +272,66 @@ def coverage_candidates(instances: DataFrame, visible: DataFrame, cluster: DataF
     return count.join(mid, ["a", "b"]).select("a", "b", F.col("cover_p50").alias("cover"), "photos").filter(F.col("cover") >= merge)
 
 
+def touching_share(pairs: DataFrame, labels: DataFrame, points: DataFrame, touch: float) -> DataFrame:
+    """(a, b, touching): the share of the items labelled b that have an item labelled a nearer than
+    ``touch``. Items of a pair meet within grid cells as wide as ``touch`` and their neighbours only."""
+    placed = labels.join(points.withColumnRenamed("id", "item"), "item")
+    cell = [F.floor(F.col(c) / F.lit(touch)) for c in "xyz"]
+    spots = durable(placed.select("cluster", "item", "x", "y", "z", *[c.alias(f"c{n}") for n, c in zip("xyz", cell)]))
+    mine = pairs.join(spots.withColumnRenamed("cluster", "b"), "b")
+    near = [F.explode(F.sequence(F.col(f"c{n}") - 1, F.col(f"c{n}") + 1)).alias(f"c{n}") for n in "xyz"]
+    other = spots.select(F.col("cluster").alias("a"), *[F.col(n).alias(f"o{n}") for n in "xyz"], *[f"c{n}" for n in "xyz"])
+    for n, spread in zip("xyz", near):
+        other = other.select(*[c for c in other.columns if c != f"c{n}"], spread)
+    gap = F.sqrt(sum(((F.col(n) - F.col(f"o{n}")) * (F.col(n) - F.col(f"o{n}")) for n in "yz"), (F.col("x") - F.col("ox")) * (F.col("x") - F.col("ox"))))
+    hit = mine.join(other, ["a", "cx", "cy", "cz"]).filter(gap < touch).select("a", "b", "item").distinct()
+    of = mine.groupBy("a", "b").agg(F.count(F.lit(1)).alias("of"))
+    hits = hit.groupBy("a", "b").agg(F.count(F.lit(1)).alias("hits"))
+    return of.join(hits, ["a", "b"], "left").select("a", "b", (F.coalesce("hits", F.lit(0)) / F.col("of")).alias("touching"))
+
+
+def fold_clusters(instances: DataFrame, visible: DataFrame, cluster: DataFrame, points: DataFrame, merge: float, touch: float,
+                  touch_share: float, min_visible: int = 10, min_size: int = 20, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
+    """(instance, cluster) and the folds (turn, a, b, cover, photos): as long as some cluster a covers
+    another one b and touches it in space (at least ``touch_share`` of b's items have one of a nearer
+    than ``touch``), the best pair by (cover, photos, a, b) is folded, b into a.
+
+    A fold changes votes, covers and sizes only among clusters that share items, directly or over
+    others. Those are components, found once; each turn folds the best pair of every component at the
+    same time, and only components that folded are voted and measured again. So turns number the folds
+    of the busiest component, not of the table."""
+    named = durable(instances.select("instance", "photo", "item").join(cluster, "instance"))
+    # a star per item: its smallest cluster with every other one
+    first = named.groupBy("item").agg(F.min("cluster").alias("a"))
+    links = named.select("item", F.col("cluster").alias("b")).distinct().join(first, "item").filter("a <> b").select("a", "b").distinct()
+    part = durable(connected_components(links, cluster.select(F.col("cluster").alias("id")).distinct()).select(F.col("id").alias("cluster"), "component"))
+    kind = cluster.schema["cluster"].dataType.simpleString()
+    folds, turn = None, 0
+    now, live = durable(cluster.select("instance", "cluster")), part
+    while True:
+        mine = now.join(live.select("cluster"), "cluster", "left_semi")
+        held = named.drop("cluster").join(mine, "instance")
+        labels = durable(vote_argmax(held, "item", "cluster").select("item", "cluster"))
+        todo = durable(coverage_candidates(held.select("instance", "photo", "item"), visible, mine, labels, merge, min_visible, min_size, hot_rows))
+        if todo.isEmpty():
+            break
+        fit = todo.join(touching_share(todo.select("a", "b"), labels, points, touch), ["a", "b"]).filter(F.col("touching") >= touch_share)
+        best = fit.join(live.withColumnRenamed("cluster", "a"), "a").groupBy("component").agg(F.max(F.struct("cover", "photos", "a", "b")).alias("m"))
+        best = durable(best.select("component", F.lit(turn).alias("turn"), "m.a", "m.b", "m.cover", "m.photos"))
+        if best.isEmpty():
+            break
+        done = best.drop("component")
+        folds, turn = done if folds is None else folds.unionByName(done), turn + 1
+        into = best.select(F.col("b").alias("cluster"), F.col("a").alias("into"))
+        now = durable(now.join(into, "cluster", "left").select("instance", F.coalesce("into", "cluster").alias("cluster")))
+        live = durable(live.join(best.select("component"), "component", "left_semi").join(into.select("cluster"), "cluster", "left_anti"))
+    if folds is None:
+        folds = cluster.sparkSession.createDataFrame([], f"turn int, a {kind}, b {kind}, cover double, photos bigint")
+    return now, folds
+
+
 def merge_by_coverage(instances: DataFrame, visible: DataFrame, cluster: DataFrame, points: DataFrame, merge: float, touch: float,
                       touch_share: float, min_visible: int = 10, min_size: int = 20) -> tuple[DataFrame, list[tuple[int, int]]]:
-    """Fold cluster b into cluster a, best (cover, photos, a, b) first, as long as some pair covers
-    and also touches in space (share of b's rows with a row of a within ``touch``). Every fold
-    changes the votes, so folds follow one another; each one is a round of joins and aggregates.
-    Returns (instance, cluster) and the folds as (a, b)."""
-    from frondlake.operators.spatial import nearest
-
-    folds: list[tuple[int, int]] = []
-    while True:
-        votes = instances.join(cluster, "instance")
-        labels = durable(vote_argmax(votes, "item", "cluster").select("item", "cluster"))
-        todo = durable(coverage_candidates(instances, visible, cluster, labels, merge, min_visible, min_size))
-        best = None
-        while best is None:
-            top = todo.agg(F.max(F.struct("cover", "photos", "a", "b")).alias("m")).first()["m"]
-            if top is None:
-                return cluster, folds
-            a, b = top["a"], top["b"]
-            side = {c: labels.filter(F.col("cluster") == c).select(F.col("item").alias("id")).join(points, "id") for c in (a, b)}
-            share = nearest(side[b], side[a]).agg(F.avg((F.col("distance") < touch).cast("double"))).first()[0] or 0.0
-            if share >= touch_share:
-                best = (a, b)
-            else:
-                todo = todo.filter(~((F.col("a") == a) & (F.col("b") == b)))
-        folds.append(best)
-        cluster = durable(cluster.withColumn("cluster", F.when(F.col("cluster") == best[1], best[0]).otherwise(F.col("cluster"))))
+    """fold_clusters with the folds as a list of (a, b) by turn: at most one per cluster."""
+    now, folds = fold_clusters(instances, visible, cluster, points, merge, touch, touch_share, min_visible, min_size)
+    return now, [(r["a"], r["b"]) for r in folds.orderBy("turn", F.desc("cover"), F.desc("photos"), F.desc("a"), F.desc("b")).collect()]

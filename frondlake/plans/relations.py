@@ -8,7 +8,7 @@ from frondlake.functions import columns as C
 from frondlake.operators import ordered as O
 from frondlake.operators import contracts
 from frondlake.operators import relations as R
-from frondlake.plans.derived import FRAME_SQL, frames
+from frondlake.plans.derived import FRAME_SQL, POINT_SQL, frames, points
 from frondlake.plans.registry import query
 from frondlake.session import durable, table
 
@@ -135,6 +135,39 @@ def agglomerate_instances(spark, sf):
     return c.groupBy("cluster").agg(n_rows("instances")).filter("instances > 1")
 
 
+# embeddings as items seen in eight photos: components 4 to 11 say in which, 13 to 20 which half of its label an instance holds
+FOLDS_SQL = f"""WITH RECURSIVE {POINT_SQL}, e AS (SELECT vec_id AS g, label, unnest(range(8)) AS k, embedding FROM embeddings),
+vis AS (SELECT k AS photo, g FROM e WHERE embedding[k+5]>-0.05), inst AS (SELECT k*100+label*2+CAST(embedding[k+14]>0 AS INT) AS i, k AS photo, g FROM e WHERE embedding[k+5]>-0.05),
+ph AS (SELECT DISTINCT i, photo FROM inst),
+s AS (SELECT 0 AS turn, i, (i%100)//2*10+photo//4*2+i%2 AS c, CAST(NULL AS BIGINT) AS a, CAST(NULL AS BIGINT) AS b, CAST(NULL AS DOUBLE) AS cover, CAST(NULL AS BIGINT) AS photos FROM ph
+ UNION ALL (WITH now AS (SELECT turn, s.i, s.c, ph.photo FROM s JOIN ph ON ph.i=s.i),
+  v AS (SELECT g, c, count(*) AS n FROM inst JOIN now ON now.i=inst.i GROUP BY 1,2), l AS (SELECT g, c FROM v QUALIFY row_number() OVER (PARTITION BY g ORDER BY n DESC, c)=1),
+  big AS (SELECT c FROM l GROUP BY 1 HAVING count(*)>=5), own AS (SELECT DISTINCT c, photo FROM now),
+  seen AS (SELECT vis.photo, vis.g, l.c AS b FROM vis JOIN l ON l.g=vis.g JOIN big ON big.c=l.c ANTI JOIN own ON own.c=l.c AND own.photo=vis.photo),
+  base AS (SELECT photo, b, count(*) AS n FROM seen GROUP BY 1,2 HAVING count(*)>=3), hits AS (SELECT inst.i, seen.b, count(*) AS k FROM seen JOIN inst ON inst.photo=seen.photo AND inst.g=seen.g GROUP BY 1,2),
+  cov AS (SELECT now.c AS a, base.b, coalesce(hits.k,0)/base.n AS cover FROM now JOIN big ON big.c=now.c JOIN base ON base.photo=now.photo AND base.b<>now.c LEFT JOIN hits ON hits.i=now.i AND hits.b=base.b),
+  cand AS (SELECT a, b, median(cover) AS cover, count(*) AS photos FROM cov GROUP BY 1,2 HAVING count(*)>=2 AND median(cover)>=0.4),
+  pt AS (SELECT l.g, l.c, x, y, z FROM l JOIN pts ON pts.id=l.g),
+  far AS (SELECT a, b, p.g, min(sqrt(pow(p.x-q.x,2)+pow(p.y-q.y,2)+pow(p.z-q.z,2))) AS d FROM cand JOIN pt p ON p.c=b JOIN pt q ON q.c=a GROUP BY 1,2,3),
+  best AS (SELECT cand.* FROM cand JOIN (SELECT a, b FROM far GROUP BY 1,2 HAVING avg(CAST(d<0.15 AS INT))>=0.5) t ON t.a=cand.a AND t.b=cand.b ORDER BY cover DESC, photos DESC, cand.a DESC, cand.b DESC LIMIT 1)
+  SELECT now.turn+1, now.i, CASE WHEN now.c=best.b THEN best.a ELSE now.c END, best.a, best.b, best.cover, best.photos FROM now, best))
+SELECT DISTINCT a, b, round(cover,6) AS cover, photos FROM s WHERE turn>0"""
+
+
+@query("coverage_folds", FOLDS_SQL)
+def coverage_folds(spark, sf):
+    """Which clusters of instances are folded into which, by the photos that cover them and their distance."""
+    e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("item"), F.col("label").cast("long").alias("label"), "embedding",
+                                              F.explode(F.expr("sequence(0L, 7L)")).alias("photo"))
+    e = e.filter(F.get("embedding", (F.col("photo") + 4).cast("int")) > -0.05)
+    side = (F.get("embedding", (F.col("photo") + 13).cast("int")) > 0).cast("long")
+    rows = durable(e.select((F.col("photo") * 100 + F.col("label") * 2 + side).alias("instance"), "photo", "item"))
+    name = F.expr("instance % 100 div 2 * 10 + photo div 4 * 2 + instance % 2")
+    start = rows.select("instance", name.alias("cluster")).distinct()
+    _, folds = R.fold_clusters(rows, rows.select("photo", "item"), start, points(spark, sf).select("id", "x", "y", "z"), 0.4, 0.15, 0.5, 3, 5)
+    return folds.select("a", "b", r6(F.col("cover")).alias("cover"), "photos")
+
+
 @query("vote_argmax", """WITH v AS (SELECT l_partkey, l_suppkey, count(*) AS n FROM lineitem GROUP BY 1,2), r AS (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY n DESC, l_suppkey) AS k, sum(n) OVER (PARTITION BY l_partkey) AS t FROM v)
 SELECT l_partkey, l_suppkey, n AS votes, CAST(t AS BIGINT) AS total, round(n/t,6) AS conf FROM r WHERE k=1""")
 def vote_argmax(spark, sf):
