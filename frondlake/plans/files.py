@@ -34,6 +34,50 @@ def ply_roundtrip(spark, sf):
                        F.round(F.col("opacity").cast("double"), 4).alias("opacity"))
 
 
+def _pose(key):
+    """Four and three exact numbers from a key."""
+    return F.array(*[(key % m).cast("double") for m in (3, 5, 7, 11)]), F.array(*[(key % m).cast("double") for m in (13, 17, 19)])
+
+
+@query("colmap_points_roundtrip", """SELECT p_partkey AS point_id, CAST(p_retailprice AS DOUBLE) AS x, CAST(p_size AS DOUBLE) AS error, p_size%256 AS r, count(l_orderkey) AS seen,
+ coalesce(CAST(sum(l_orderkey*l_linenumber) AS BIGINT),0) AS check_sum FROM part LEFT JOIN lineitem ON l_partkey=p_partkey GROUP BY 1,2,3,4""")
+def colmap_points_roundtrip(spark, sf):
+    """Parts as points with the lines that hold them as tracks, written, and read back by several tasks a file."""
+    binary.register(spark)
+    path = _folder(spark)
+    seen = F.struct(F.col("l_orderkey").cast("int").alias("image_id"), F.col("l_linenumber").cast("int").alias("point2d_idx"))
+    tracks = table(spark, sf, "lineitem").groupBy(F.col("l_partkey").alias("point_id")).agg(F.array_sort(F.collect_list(seen)).alias("track"))
+    p = table(spark, sf, "part").select(
+        F.col("p_partkey").alias("point_id"), F.col("p_retailprice").cast("double").alias("x"), F.lit(0.5).alias("y"), F.lit(-0.5).alias("z"),
+        *[(F.col("p_size") % 256).cast("int").alias(c) for c in "rgb"], F.col("p_size").cast("double").alias("error"))
+    none = F.array().cast("array<struct<image_id:int,point2d_idx:int>>")
+    p.join(tracks, "point_id", "left").withColumn("track", F.coalesce("track", none)).write.format("colmap_points").option("path", path).mode("append").save()
+    back = spark.read.format("colmap_points").option("path", path).option("bytesPerPartition", 1 << 20) \
+        .schema("point_id bigint, x double, error double, r int, track array<struct<image_id:int,point2d_idx:int>>").load()
+    total = F.aggregate("track", F.lit(0).cast("bigint"), lambda t, i: t + i["image_id"].cast("bigint") * i["point2d_idx"])
+    return back.select("point_id", "x", "error", "r", F.size("track").cast("bigint").alias("seen"), total.alias("check_sum"))
+
+
+@query("colmap_images_roundtrip", """SELECT CAST(o_orderkey AS INT) AS image_id, 'photo_'||o_orderkey||'.jpg' AS name, count(l_partkey) AS keypoints, coalesce(max(l_partkey),-1) AS last_point,
+ round(coalesce(sum(l_extendedprice),0),2) AS total_y FROM orders LEFT JOIN lineitem ON l_orderkey=o_orderkey GROUP BY 1,2""")
+def colmap_images_roundtrip(spark, sf):
+    """Orders as images with their lines as keypoints; names and keypoints only are decoded again."""
+    binary.register(spark)
+    path = _folder(spark)
+    key = F.struct(F.col("l_quantity").cast("double").alias("x"), F.col("l_extendedprice").cast("double").alias("y"), F.col("l_partkey").alias("point_id"))
+    points = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.collect_list(key).alias("keypoints"))
+    q, t = _pose(F.col("o_orderkey"))
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), q.alias("qvec"), t.alias("tvec")).join(points, "k", "left")
+    none = F.array().cast("array<struct<x:double,y:double,point_id:bigint>>")
+    o.select(F.col("k").cast("int").alias("image_id"), "qvec", "tvec", F.lit(1).alias("camera_id"), F.concat(F.lit("photo_"), "k", F.lit(".jpg")).alias("name"),
+             F.coalesce("keypoints", none).alias("keypoints")).write.format("colmap_images").option("path", path).mode("append").save()
+    back = spark.read.format("colmap_images").option("path", path).option("bytesPerPartition", 1 << 20) \
+        .schema("image_id int, name string, keypoints array<struct<x:double,y:double,point_id:bigint>>").load()
+    return back.select("image_id", "name", F.size("keypoints").cast("bigint").alias("keypoints"),
+                       F.coalesce(F.array_max(F.transform("keypoints", lambda k: k["point_id"])), F.lit(-1)).alias("last_point"),
+                       F.round(F.aggregate("keypoints", F.lit(0.0), lambda t, k: t + k["y"]), 2).alias("total_y"))
+
+
 @query("csv_roundtrip", "SELECT event_type AS dataset_id, count(*) AS n, count(*) FILTER (WHERE user_id%5=0) AS noted, round(sum(value),4) AS total FROM events GROUP BY 1")
 def csv_roundtrip(spark, sf):
     path = _folder(spark)

@@ -3,8 +3,7 @@
 ``splat_ply``: little-endian PLY vertex tables. Records have a fixed width, so a file is read in row
 ranges, each partition seeking to its own bytes and decoding only the columns asked for. Writing
 produces one complete PLY per partition; coalesce first where a single file is wanted.
-``colmap_points``, ``colmap_images``, ``colmap_cameras``: COLMAP binary models. Their records vary in
-length, so one file is one partition, streamed record by record.
+``colmap_cameras``: COLMAP camera tables, a record per lens and small. Points and images are in ``models``.
 """
 
 from __future__ import annotations
@@ -259,55 +258,12 @@ class ModelReader(DataSourceReader):
             if f.read(1):
                 raise ValueError(f"{part.path}: unexpected trailing bytes")
 
-    def _points3D(self, f, take):
-        pid, x, y, z, r, g, b, error, n = take("<Q3d3BdQ")
-        track = np.frombuffer(f.read(8 * n), "<i4").reshape(n, 2)
-        return pid, x, y, z, r, g, b, error, [(int(i), int(k)) for i, k in track]
-
-    def _images(self, f, take):
-        iid, qw, qx, qy, qz, tx, ty, tz, camera = take("<i7di")
-        name = bytearray()
-        while (c := f.read(1)) != b"\0":
-            if not c:
-                raise ValueError("truncated name")
-            name += c
-        (n,) = take("<Q")
-        keys = np.frombuffer(f.read(24 * n), [("x", "<f8"), ("y", "<f8"), ("p", "<i8")])
-        return (iid, [qw, qx, qy, qz], [tx, ty, tz], camera, name.decode(),
-                [(float(k["x"]), float(k["y"]), int(k["p"])) for k in keys])
-
     def _cameras(self, f, take):
         cid, model, width, height = take("<iiQQ")
         name, n = CAMERA_MODELS[model]
         return cid, name, width, height, list(take(f"<{n}d"))
 
 
-class ColmapPoints(DataSource):
-    @classmethod
-    def name(cls):
-        return "colmap_points"
-
-    def schema(self):
-        return ("point_id bigint, x double, y double, z double, r int, g int, b int, error double, "
-                "track array<struct<image_id:int,point2d_idx:int>>")
-
-    def reader(self, schema):
-        return ModelReader(self.options, "points3D")
-
-
-class ColmapImages(DataSource):
-    @classmethod
-    def name(cls):
-        return "colmap_images"
-
-    def schema(self):
-        return ("image_id int, qvec array<double>, tvec array<double>, camera_id int, name string, "
-                "keypoints array<struct<x:double,y:double,point_id:bigint>>")
-
-    def reader(self, schema):
-        return ModelReader(self.options, "images")
-
-
 class ColmapCameras(DataSource):
     @classmethod
     def name(cls):
@@ -321,5 +277,7 @@ class ColmapCameras(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    from frondlake.sources.models import ColmapImages, ColmapPoints
+
     for source in (SplatPly, ColmapPoints, ColmapImages, ColmapCameras):
         spark.dataSource.register(source)
