@@ -6,6 +6,7 @@ driver sees only counts. Vertices are bigint ids.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -247,3 +248,101 @@ def join_radii(tree: DataFrame, groups: DataFrame, ways: int = 8) -> DataFrame:
     for o in out[1:]:
         found = found.union(o)
     return found.groupBy("ga", "gb").agg(F.min("radius").alias("radius"))
+
+
+#: edges whose merges one task replays
+REPLAY = 200_000
+
+
+def _replay(tag_kind: pa.DataType):
+    schema = pa.schema([("w", pa.float64()), ("ea", pa.int64()), ("eb", pa.int64()), ("size", pa.int64()), ("large", pa.list_(tag_kind)), ("small", pa.list_(tag_kind))])
+
+    def run(edges: pa.Table, parts: pa.Table) -> pa.Table:
+        """Merges of one range in weight order. Every part keeps its members, size, smallest id and tags;
+        the side with fewer members is renamed, so a member is renamed log times at most."""
+        edges = edges.sort_by([("w", "ascending"), ("ea", "ascending"), ("eb", "ascending")])
+        part = {i: i for i in parts.column("id").to_pylist()}
+        inside = {i: [i] for i in part}
+        facts = {i: (-n, i, set(t)) for i, n, t in zip(parts.column("id").to_pylist(), parts.column("n").to_pylist(), parts.column("tags").to_pylist())}
+        rows = []
+        for w, ea, eb, a, b in zip(*(edges.column(c).to_pylist() for c in ("w", "ea", "eb", "a", "b"))):
+            into, gone = sorted((part[a], part[b]), key=lambda p: len(inside[p]), reverse=True)
+            large, small = sorted((facts[into], facts.pop(gone)), key=lambda f: f[:2])
+            both = large[2] | small[2]
+            if both != large[2] and both != small[2]:
+                rows.append((w, ea, eb, -large[0] - small[0], sorted(large[2]), sorted(small[2])))
+            for v in inside[gone]:
+                part[v] = into
+            inside[into] += inside.pop(gone)
+            facts[into] = (large[0] + small[0], min(large[1], small[1]), both)
+        return pa.table([pa.array([r[j] for r in rows], f.type) for j, f in enumerate(schema)], schema=schema)
+
+    return run
+
+
+def merge_tree(tree: DataFrame, groups: DataFrame, limit: int = REPLAY) -> DataFrame:
+    """(w, ea, eb, size, large, small): the merges of the forest tree(a, b, w), by ascending (w, a, b), in
+    which each side holds a tag of groups(id, tag) that the other one lacks: the edge, the number of
+    vertices after it and the sorted tags of the larger and of the smaller side (of equal sides, the
+    one with the smallest id counts as larger). Other merges bring no two tags together.
+
+    Edges are cut into ranges of the order, all ranges in two at once: the lighter half keeps its
+    vertices, the heavier half runs between the pieces that the lighter one forms, which carry sizes
+    and tags. Ranges of at most ``limit`` edges are replayed side by side."""
+    tags = groups.select("id", F.col("tag").cast("string").alias("tag")).distinct()
+    edges = durable(tree.filter("a <> b").select(F.lit(0).cast("long").alias("k"), "a", "b", F.col("w").cast("double").alias("w"),
+                                                     F.least("a", "b").alias("ea"), F.greatest("a", "b").alias("eb")))
+    ends = edges.select("k", F.col("a").alias("id")).union(edges.select("k", F.col("b").alias("id"))).distinct()
+    sizes = durable(ends.withColumn("n", F.lit(1).cast("long")))
+    held = durable(ends.join(tags, "id").select("k", "id", "tag"))
+    out = None
+    while True:
+        count = durable(edges.groupBy("k").agg(F.count(F.lit(1)).alias("of")))
+        ready = count.filter(F.col("of") <= limit).select("k")
+        mine = held.join(ready, "k").groupBy("k", "id").agg(F.collect_set("tag").alias("tags"))
+        parts = sizes.join(ready, "k").join(mine, ["k", "id"], "left").withColumn("tags", F.coalesce("tags", F.array().cast("array<string>")))
+        found = durable(edges.join(ready, "k").select("k", "w", "ea", "eb", "a", "b").groupBy("k").cogroup(parts.select("k", "id", "n", "tags").groupBy("k"))
+                        .applyInArrow(_replay(pa.string()), "w double, ea long, eb long, size long, large array<string>, small array<string>"))
+        out = found if out is None else out.unionByName(found)
+        rest = edges.join(ready, "k", "left_anti")
+        if rest.isEmpty():
+            return out
+        rank = durable(ordered(rest, ["k"], ["w", "ea", "eb"], Ordered(rank="rn", totals={"of": F.lit(1)})))
+        light, heavy = rank.filter("rn <= of div 2"), rank.filter("rn > of div 2")
+        at = [F.struct("k", F.col(v).alias("v")).alias(v) for v in ("a", "b")]
+        comp = connected_components(light.select(*at))
+        comp = durable(comp.select(F.col("id.k").alias("k"), F.col("id.v").alias("id"), F.col("component.v").alias("piece")))
+        lifted = heavy
+        for v in ("a", "b"):
+            lifted = lifted.join(comp.select("k", F.col("id").alias(v), F.col("piece").alias(f"p{v}")), ["k", v], "left")
+        edges = durable(light.select((F.col("k") * 2).alias("k"), "a", "b", "w", "ea", "eb").unionByName(
+            lifted.select((F.col("k") * 2 + 1).alias("k"), F.coalesce("pa", "a").alias("a"), F.coalesce("pb", "b").alias("b"), "w", "ea", "eb")))
+        met = edges.select("k", F.col("a").alias("id")).union(edges.select("k", F.col("b").alias("id"))).distinct()
+        met = durable(met)
+
+        def halves(df: DataFrame, extra: str, comp: DataFrame = comp, ready: DataFrame = ready) -> DataFrame:
+            live = df.join(ready, "k", "left_anti")
+            up = live.join(comp, ["k", "id"], "left").select((F.col("k") * 2 + 1).alias("k"), F.coalesce("piece", "id").alias("id"), extra)
+            return live.select((F.col("k") * 2).alias("k"), "id", extra).unionByName(up)
+
+        sizes = durable(halves(sizes, "n").groupBy("k", "id").agg(F.sum("n").alias("n")).join(met, ["k", "id"], "left_semi"))
+        held = durable(halves(held, "tag").distinct().join(met, ["k", "id"], "left_semi"))
+
+
+def first_meetings(merges: DataFrame, groups: DataFrame) -> DataFrame:
+    """(ga, gb, radius, ea, eb): for every two tags the weight and edge of the first merge of merge_tree
+    that brings them together; 0 and no edge if they share a member."""
+    tags = groups.select("id", F.col("tag").cast("string").alias("tag")).distinct()
+    none = F.lit(None).cast("long")
+    same = tags.join(tags.withColumnRenamed("tag", "other"), "id").filter("tag < other").select(
+        F.col("tag").alias("ga"), F.col("other").alias("gb"), F.struct(F.lit(0.0).alias("w"), none.alias("ea"), none.alias("eb")).alias("m"))
+    # tags on both sides have met before
+    new = merges.select("w", "ea", "eb", F.explode(F.array_except("large", "small")).alias("x"), F.array_except("small", "large").alias("ys"))
+    met = new.select(F.struct("w", "ea", "eb").alias("m"), "x", F.explode("ys").alias("y"))
+    both = same.unionByName(met.select(F.least("x", "y").alias("ga"), F.greatest("x", "y").alias("gb"), "m"))
+    return both.groupBy("ga", "gb").agg(F.min("m").alias("m")).select("ga", "gb", F.col("m.w").alias("radius"), "m.ea", "m.eb")
+
+
+def merge_events(merges: DataFrame, meetings: DataFrame) -> DataFrame:
+    """The merges of merge_tree that bring some two tags together for the first time, as first_meetings has them."""
+    return merges.join(meetings.select("ea", "eb").distinct(), ["ea", "eb"], "left_semi")

@@ -84,10 +84,29 @@ def mst_edges(spark, sf):
 SELECT least(a.tag,b.tag) AS ga, greatest(a.tag,b.tag) AS gb, round(min(list_max(ws[a.step+1:b.step])),6) AS radius FROM v a JOIN v b ON a.step<b.step AND a.tag<>b.tag, l GROUP BY 1,2""")
 def join_radius(spark, sf):
     """Tags are the labels; ties and copies of a coordinate are carried by its smallest id."""
+    tree, groups = _tagged_tree(spark, sf)
+    return G.first_meetings(G.merge_tree(tree, groups), groups).select("ga", "gb", r6(F.col("radius")).alias("radius"))
+
+
+def _tagged_tree(spark, sf):
     p = points(spark, sf)
     spot = S.distinct_points(p).select(*S.AXES, F.col("id").alias("spot"))
-    groups = p.join(spot, list(S.AXES)).select(F.col("spot").alias("id"), F.col("label").cast("string").alias("tag"))
-    return G.join_radii(S.euclidean_tree(p), groups).select("ga", "gb", r6(F.col("radius")).alias("radius"))
+    groups = durable(p.join(spot, list(S.AXES)).select(F.col("spot").alias("id"), F.col("label").cast("string").alias("tag")))
+    return durable(S.euclidean_tree(p)), groups
+
+
+# a step of Prim's algorithm joins the runs of lighter steps before and after it
+@query("merge_events", f"""WITH RECURSIVE {PRIM}, v AS (SELECT 0 AS step, pts.id, CAST(label AS VARCHAR) AS tag FROM pts JOIN s USING (id) UNION ALL SELECT step, id, CAST(label AS VARCHAR) FROM tree JOIN pts USING (id)), l AS (SELECT list(w ORDER BY step) AS ws FROM tree),
+r AS (SELECT least(a.tag,b.tag) AS ga, greatest(a.tag,b.tag) AS gb, min(list_max(ws[a.step+1:b.step])) AS w FROM v a JOIN v b ON a.step<b.step AND a.tag<>b.tag, l GROUP BY 1,2),
+e AS (SELECT t.step, t.w, coalesce((SELECT max(q.step) FROM tree q WHERE q.step<t.step AND q.w>t.w),0) AS lo, coalesce((SELECT min(q.step) FROM tree q WHERE q.step>t.step AND q.w>t.w),(SELECT max(step)+1 FROM tree)) AS hi FROM tree t WHERE w IN (SELECT w FROM r)),
+side AS (SELECT e.step, v.step<e.step AS l, count(*) AS n, min(v.id) AS least, string_agg(DISTINCT v.tag, ',' ORDER BY v.tag) AS tags FROM e JOIN v ON v.step>=lo AND v.step<hi GROUP BY 1,2)
+SELECT round(e.w,6) AS w, a.n+b.n AS size, a.tags AS large, b.tags AS small FROM e JOIN side a ON a.step=e.step JOIN side b ON b.step=e.step AND a.l<>b.l AND (a.n>b.n OR (a.n=b.n AND a.least<b.least))""")
+def merge_events(spark, sf):
+    """The merges of the spanning tree that bring two labels together for the first time."""
+    tree, groups = _tagged_tree(spark, sf)
+    merges = durable(G.merge_tree(tree, groups))
+    e = G.merge_events(merges, G.first_meetings(merges, groups))
+    return e.select(r6(F.col("w")).alias("w"), "size", F.array_join("large", ",").alias("large"), F.array_join("small", ",").alias("small"))
 
 
 @query("expand_unclustered", f"WITH {POINT_SQL}, l AS (SELECT id,x,y,z, CASE WHEN label<5 THEN label ELSE -1 END AS label FROM pts), d AS (SELECT a.id, a.label, min({D}) AS d FROM l a JOIN l b ON a.label<>1 AND b.label=1 GROUP BY 1,2) SELECT label, count(*) AS near, label=-1 AS added FROM d WHERE d<=0.03 GROUP BY 1")
