@@ -8,7 +8,8 @@ from frondlake.functions import columns as C
 from frondlake.operators import ordered as O
 from frondlake.operators import contracts
 from frondlake.operators import relations as R
-from frondlake.plans.derived import FRAME_SQL, POINT_SQL, frames, points
+from frondlake.operators.splat import recolor
+from frondlake.plans.derived import FRAME_SQL, POINT_SQL, SPLAT_SQL, frames, points, splats
 from frondlake.plans.registry import query
 from frondlake.session import durable, table
 
@@ -321,12 +322,14 @@ def referential_violations(spark, sf):
         "ship_before_order": dated.filter("l_shipdate < o_orderdate").select("o_orderkey")}, "subject")
 
 
-@query("recolor_check", """SELECT count(*) AS rows, bool_and(a.l_quantity IS NOT DISTINCT FROM b.l_quantity) AS l_quantity, bool_and(a.l_tax IS NOT DISTINCT FROM b.t) AS l_tax FROM (SELECT l_orderkey, sum(l_quantity) AS l_quantity, min(l_tax) AS l_tax FROM lineitem GROUP BY 1) a JOIN (SELECT l_orderkey, sum(l_quantity) AS l_quantity, max(l_tax) AS t FROM lineitem GROUP BY 1) b USING (l_orderkey)""")
+@query("recolor_check", f"""WITH {SPLAT_SQL}, a AS (SELECT * REPLACE (CASE WHEN label IN (1,2,9) THEN (([0.9,0.2,0.1])[label%3+1]-0.5)/0.28209479177387814 ELSE f_dc_0 END AS f_dc_0) FROM splat)
+SELECT count(*) AS rows, bool_and(a.x IS NOT DISTINCT FROM b.x) AS x, bool_and(a.opacity IS NOT DISTINCT FROM b.opacity) AS opacity, bool_and(a.scale_2 IS NOT DISTINCT FROM b.scale_2) AS scale_2,
+ bool_and(a.rot_3 IS NOT DISTINCT FROM b.rot_3) AS rot_3, bool_and(a.f_dc_0 IS NOT DISTINCT FROM b.f_dc_0) AS f_dc_0 FROM splat b JOIN a USING (row_id)""")
 def recolor_check(spark, sf):
-    li = table(spark, sf, "lineitem")
-    a = li.groupBy("l_orderkey").agg(F.sum("l_quantity").alias("l_quantity"), F.min("l_tax").alias("l_tax"))
-    b = li.groupBy("l_orderkey").agg(F.sum("l_quantity").alias("l_quantity"), F.max("l_tax").alias("l_tax"))
-    return R.same_columns(a, b, "l_orderkey", ["l_quantity", "l_tax"])
+    """A recoloured table beside its source: everything but colour is untouched."""
+    before = splats(spark, sf)
+    after = recolor(before, before.select("row_id", "label"), [1, 2, 9], ((0.9, 0.2, 0.1), (0.2, 0.7, 0.3), (0.1, 0.4, 0.8)))
+    return R.same_columns(before, after, "row_id", ["x", "opacity", "scale_2", "rot_3", "f_dc_0"])
 
 
 @query("grouped_candidates", f"""WITH {FRAME_SQL} SELECT clip, CAST(k AS INT) AS arc, count(*) AS candidates, min(event_id) AS first_id, max(value) AS best FROM frm WHERE event_type='view' GROUP BY 1,2""")
@@ -355,6 +358,15 @@ def content_fingerprint(spark, sf):
     return R.fingerprint(d, ["source"], ["doc_id"], line)
 
 
-@query("sources_unchanged", "SELECT lang, count(*) AS files, count(*) FILTER (WHERE sha256(text)=sha256(trim(text))) AS unchanged FROM documents GROUP BY 1")
+@query("sources_unchanged", "SELECT lang, count(*) AS files, count(*) AS unchanged, count(*) FILTER (WHERE text<>upper(text)) AS touched FROM documents GROUP BY 1")
 def sources_unchanged(spark, sf):
-    return table(spark, sf, "documents").groupBy("lang").agg(n_rows("files"), F.count_if(F.sha2("text", 256) == F.sha2(F.trim("text"), 256)).alias("unchanged"))
+    """Digests taken before a step that writes the documents, one copy as it is and one in capitals, and after it."""
+    d = table(spark, sf, "documents").select("doc_id", "lang", F.sha2("text", 256).alias("value"), "text")
+    before = durable(d.drop("text"))
+    copy = durable(d.select("doc_id", "text", F.upper("text").alias("capitals")))
+    kept = R.changed_settings(before.select("doc_id", "value"), copy.select("doc_id", F.sha2("text", 256).alias("value")), ["doc_id"]).select("doc_id", F.lit(1).alias("lost"))
+    other = R.changed_settings(before.select("doc_id", "value"), copy.select("doc_id", F.sha2("capitals", 256).alias("value")), ["doc_id"]).select("doc_id", F.lit(1).alias("moved"))
+    j = before.join(kept, "doc_id", "left").join(other, "doc_id", "left")
+    return j.groupBy("lang").agg(n_rows("files"), F.count_if(F.col("lost").isNull()).alias("unchanged"), F.count("moved").alias("touched"))
+
+

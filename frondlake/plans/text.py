@@ -49,10 +49,11 @@ def cpu_sets(spark, sf):
     return table(spark, sf, "supplier").select("s_suppkey", F.array_join(C.cpu_list(text), ",").alias("cpus"))
 
 
-@query("extension_list", "SELECT p_brand, array_to_string(list_sort(list(DISTINCT '.'||lower(split_part(p_name,' ',2)))),',') AS exts FROM part GROUP BY 1")
+@query("extension_list", "SELECT p_brand, array_to_string(list_sort(list(DISTINCT '.'||lower(w))),',') AS exts FROM (SELECT p_brand, unnest(string_split(p_name,' ')) AS w FROM part) WHERE w<>'' GROUP BY 1")
 def extension_list(spark, sf):
-    p = table(spark, sf, "part").select("p_brand", C.extension(F.element_at(F.split("p_name", " "), 2)).alias("e")).distinct()
-    return p.groupBy("p_brand").agg(F.array_join(F.sort_array(F.collect_set("e")), ",").alias("exts"))
+    """Every word of every name as an extension, listed per brand."""
+    p = table(spark, sf, "part").select("p_brand", F.explode(F.split("p_name", " ")).alias("w")).filter("w <> ''")
+    return p.select("p_brand", C.extension(F.col("w")).alias("e")).distinct().groupBy("p_brand").agg(F.array_join(F.sort_array(F.collect_set("e")), ",").alias("exts"))
 
 
 @query("run_ids", "SELECT o_orderkey, strftime(o_orderdate,'%y%m%d')||'-'||repeat('0', greatest(0, 3 - length(n))) || n AS run_id FROM (SELECT *, CAST(row_number() OVER (PARTITION BY o_orderdate ORDER BY o_orderkey) AS VARCHAR) AS n FROM orders)")
@@ -86,12 +87,14 @@ def elapsed_text(spark, sf):
     return table(spark, sf, "events").select("event_id", C.elapsed(F.col("value") * 30).alias("elapsed"))
 
 
-@query("typed_settings", "SELECT part, count(*) AS n, count(b) AS booleans, count(i) AS integers FROM (SELECT lower(role) AS part, CASE WHEN lower(split_part(text,' ',1)) IN ('un','la','de','1','true','yes','on') THEN true WHEN lower(split_part(text,' ',1)) IN ('le','0','false','no','off') THEN false END AS b, TRY_CAST(split_part(text,' ',2) AS INT) AS i FROM conversations) GROUP BY 1")
+@query("typed_settings", """SELECT role AS section, count(*) AS n, count(*) FILTER (WHERE w IN ('1','true','yes','on')) AS yes, count(*) FILTER (WHERE w IN ('0','false','no','off')) AS no,
+ count(*) FILTER (WHERE regexp_full_match(w,'[0-9]{1,9}')) AS integers, CAST(sum(length(w)) AS BIGINT) AS chars FROM (SELECT role, unnest(string_split(lower(text),' ')) AS w FROM conversations) GROUP BY 1""")
 def typed_settings(spark, sf):
-    first = F.lower(F.element_at(F.split("text", " "), 1))
-    word = F.when(first.isin("un", "la", "de"), "yes").when(first == "le", "off").otherwise(first)
-    c = table(spark, sf, "conversations").select(F.lower("role").alias("part"), C.truth(word).alias("b"), F.try_element_at(F.split("text", " "), F.lit(2)).try_cast("int").alias("i"))
-    return c.groupBy("part").agg(n_rows(), F.count("b").alias("booleans"), F.count("i").alias("integers"))
+    """Every word of every text as the value of a setting, typed."""
+    w = table(spark, sf, "conversations").select(F.col("role").alias("section"), F.explode(F.split(F.lower("text"), " ")).alias("w"))
+    b = C.truth(F.col("w"))
+    return w.groupBy("section").agg(n_rows(), F.count_if(b).alias("yes"), F.count_if(~b).alias("no"),
+                                    F.count(F.when(F.col("w").rlike("^[0-9]{1,9}$"), F.col("w").try_cast("int"))).alias("integers"), F.sum(F.length("w")).alias("chars"))
 
 
 @query("finite_json", """SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_tax=0 THEN NULL ELSE round(l_discount/l_tax,6) END AS v FROM lineitem""")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from frondlake.operators.ordered import Ordered, ordered
+from frondlake.session import durable
 
 COMPARISON = "relpath STRING, identical STRING, tp STRING, fp STRING, fn STRING, tn STRING, iou STRING, dice STRING, note STRING"
 JOB = ("kind STRING, id STRING, capture_id STRING, status STRING, started_at STRING, "
@@ -28,9 +29,24 @@ def listing(spark: SparkSession, path: str, suffixes: tuple[str, ...] = (), cont
     return df.select(*keep, *(["content"] if content else []))
 
 
-def manifest(spark: SparkSession, path: str) -> DataFrame:
-    """sha256 per file; the hash runs where the bytes are read."""
-    return listing(spark, path, content=True).select("path", "name", "length", F.sha2("content", 256).alias("sha256"))
+def manifest(spark: SparkSession, path: str, chunk: int = 4 << 20) -> DataFrame:
+    """(path, name, length, sha256) per file below path: a task hashes a file in chunks, so no content
+    is ever a value and a file may have any size."""
+    from frondlake.sources.digests import FileDigests
+
+    spark.dataSource.register(FileDigests)
+    return spark.read.format("file_digests").option("path", path).option("chunk", chunk).load()
+
+
+def tree_digest(spark: SparkSession, path: str) -> DataFrame:
+    """One row: files, bytes and a digest of a folder, the sha256 over the sorted lines "digest  relative path"
+    in blocks, so that two folders with the same files at the same places have the same digest."""
+    from frondlake.operators.relations import fingerprint
+
+    m = manifest(spark, path)
+    lines = m.select(F.lit(0).alias("k"), "relative", F.concat("sha256", F.lit("  "), "relative", F.lit("\n")).alias("line"))
+    total = m.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
+    return total.join(fingerprint(lines, ["k"], ["relative"], F.col("line")).select("sha256"), F.lit(True), "left")
 
 
 def folder_size(spark: SparkSession, path: str) -> DataFrame:
@@ -117,6 +133,32 @@ def run_log(spark: SparkSession, paths: list[str]) -> DataFrame:
     return out.groupBy("run_id").agg(F.max_by(row, "__pos").alias("r")).select("run_id", "r.*")
 
 
+def evolving_log(spark: SparkSession, paths: list[str], key: str = "run_id", widest: int = 256) -> DataFrame:
+    """A log whose header changes within a file: each row is read under the last header above it, the
+    headers of all files are united (columns in order of first appearance) and the last row per key is
+    kept; later paths count as later. A line whose first cell is ``key`` is a header. NUL bytes go, rows
+    above any header and empty lines are left out, cells beyond the header are dropped, missing ones
+    and columns a header lacks are null. At most ``widest`` cells a line are read."""
+    cells = ", ".join(f"c{i} STRING" for i in range(widest))
+    every = None
+    for turn, p in enumerate(paths):
+        lines = spark.read.text(p).select(F.lit(turn).alias("turn"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
+                                          F.monotonically_increasing_id().alias("n"), F.translate("value", "\0", "").alias("line"))
+        every = lines if every is None else every.unionByName(lines)
+    every = durable(every.filter("trim(line) <> ''").withColumn("cells", F.from_csv("line", cells))
+                    .withColumn("cells", F.array(*[F.col(f"cells.c{i}") for i in range(widest)])))
+    header = F.when(F.trim(F.get("cells", F.lit(0))) == key, F.transform(F.filter("cells", lambda c: c.isNotNull()), F.trim))
+    placed = ordered(every.withColumn("header", header), ["turn", "file"], ["at", "n"], Ordered(carries={"under": F.col("header")}))
+    rows = durable(placed.filter("header is null and under is not null").select("turn", "file", "at", "n", "under", "cells"))
+    seen = placed.filter("header is not null").select(F.struct("turn", "file", "at", "n").alias("o"), F.posexplode("header").alias("i", "name"))
+    # the names are the columns of the result: as many as its schema has
+    names = [r["name"] for r in seen.groupBy("name").agg(F.min(F.struct("o", "i")).alias("first")).orderBy("first").collect() if r["name"]]
+    value = F.map_from_entries(F.transform(F.array_distinct("under"), lambda h: F.struct(h, F.get("cells", (F.array_position("under", h) - 1).cast("int")))))
+    mapped = rows.withColumn("m", value)
+    last = mapped.groupBy(F.try_element_at("m", F.lit(key)).alias(key)).agg(F.max_by("m", F.struct("turn", "file", "at", "n")).alias("m"))
+    return last.select(key, *[F.try_element_at("m", F.lit(n)).alias(n) for n in names if n != key])
+
+
 def jobs(spark: SparkSession, path: str) -> DataFrame:
     """Catalog jobs: unreadable records and other kinds dropped, absent progress read as version 0."""
     df = spark.read.schema(JOB).option("mode", "DROPMALFORMED").option("multiLine", True).option("recursiveFileLookup", True).json(path)
