@@ -17,8 +17,8 @@ from frondlake.operators.spatial import (AXES, LEAF, _boxes, _gap2, _reach2, _si
                                          settled_depth)
 from frondlake.session import durable
 
-#: pieces may number this many times the points and segments together
-PIECES = 8
+#: pieces beside whole segments, in parts of the points and segments together
+PIECES = 1
 
 
 def to_segment(point: list[Column], start: list[Column], end: list[Column]) -> tuple[Column, Column]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from frondlake.functions import columns as C
+from frondlake.operators import attach as A
 from frondlake.operators import graph as G
 from frondlake.operators import ordered as O
 from frondlake.operators import skeleton as K
@@ -228,6 +229,44 @@ def stem_projection(spark, sf):
     return nearest_segment(p, s.withColumnRenamed("i", "segment")).select("id", r6(F.col("segment") + F.col("fraction")).alias("along"), r6(F.col("distance")).alias("distance"))
 
 
+def _res(t):
+    q = [f"(p{c}-{c}-({t})*d{c})" for c in "xyz"]
+    g = [f"((1-({t}))*t{c}+({t})*u{c})" for c in "xyz"]
+    dot = "+".join(f"{a}*{b}" for a, b in zip(q, g))
+    size = "*".join("sqrt(" + "+".join(f"{a}*{a}" for a in v) + ")" for v in (q, g))
+    return f"(acos(greatest(-1,least(1,({dot})/({size}))))-theta)"
+
+
+# the curve through the labels' means; label i is a known leaf at node i with an angle of 50 + 3 i degrees
+ATTACH_SQL = f"""WITH RECURSIVE {POINT_SQL}, n AS (SELECT label AS i, avg(x) x, avg(y) y, avg(z) z FROM pts GROUP BY 1),
+w AS (SELECT *, coalesce(lead(x) OVER o,x)-coalesce(lag(x) OVER o,x) AS wx, coalesce(lead(y) OVER o,y)-coalesce(lag(y) OVER o,y) AS wy, coalesce(lead(z) OVER o,z)-coalesce(lag(z) OVER o,z) AS wz FROM n WINDOW o AS (ORDER BY i)),
+t AS (SELECT i, x, y, z, wx/sqrt(wx*wx+wy*wy+wz*wz) AS tx, wy/sqrt(wx*wx+wy*wy+wz*wz) AS ty, wz/sqrt(wx*wx+wy*wy+wz*wz) AS tz FROM w),
+g AS (SELECT a.i, a.x, a.y, a.z, b.x-a.x AS dx, b.y-a.y AS dy, b.z-a.z AS dz, a.tx, a.ty, a.tz, b.tx AS ux, b.ty AS uy, b.tz AS uz, sqrt(pow(b.x-a.x,2)+pow(b.y-a.y,2)+pow(b.z-a.z,2)) AS len FROM t a JOIN t b ON b.i=a.i+1),
+s AS (SELECT *, sum(len) OVER (ORDER BY i)-len AS arc FROM g), known AS (SELECT i AS leaf, arc, radians(50+3*i) AS angle FROM s),
+pr AS (SELECT id, p.x AS px, p.y AS py, p.z AS pz, s.*, greatest(0,least(1,((p.x-s.x)*dx+(p.y-s.y)*dy+(p.z-s.z)*dz)/(len*len))) AS f FROM pts p, s),
+near AS (SELECT id, arg_min(arc+f*len, pow(px-x-f*dx,2)+pow(py-y-f*dy,2)+pow(pz-z-f*dz,2)) AS want FROM pr GROUP BY 1),
+two AS (SELECT id, any_value(want) AS want, avg(angle) AS theta FROM (SELECT id, want, angle, row_number() OVER (PARTITION BY id ORDER BY abs(arc-want), leaf) AS k FROM near, known) WHERE k<=2 GROUP BY 1),
+c AS (SELECT pr.*, want, theta, h, {_res("h/32")} AS r FROM pr JOIN two USING (id), (SELECT unnest(range(33)) AS h)),
+b AS (SELECT *, lead(r) OVER (PARTITION BY id, i ORDER BY h) AS nxt FROM c),
+q AS (SELECT 0 AS k, b.* EXCLUDE (h, nxt, r, f), h/32 AS lo, (h+1)/32 AS hi, r FROM b WHERE r*nxt<0 UNION ALL
+ SELECT k+1, * EXCLUDE (k, lo, hi, m, r), CASE WHEN m*r>0 THEN (lo+hi)/2 ELSE lo END, CASE WHEN m*r>0 THEN hi ELSE (lo+hi)/2 END, r FROM (SELECT * EXCLUDE (r), {_res("(lo+hi)/2")} AS m, r FROM q) WHERE k<50),
+e AS (SELECT id, i, arc+(lo+hi)/2*len AS at, (lo+hi)/2 AS t, want FROM q WHERE k=50 QUALIFY row_number() OVER (PARTITION BY id ORDER BY abs(arc+(lo+hi)/2*len-want), i)=1)
+SELECT two.id, e.i AS segment, round(e.t,6) AS fraction, round(e.at,6) AS arc, round(abs(e.at-two.want),6) AS shift, CASE WHEN e.i IS NOT NULL THEN true END AS exact FROM two LEFT JOIN e ON e.id=two.id"""
+
+
+@query("stem_attachment", ATTACH_SQL)
+def stem_attachment(spark, sf):
+    """Every point attached to the curve through the labels' means, at the mean angle of the two known leaves nearest along it."""
+    p = points(spark, sf)
+    nodes = p.groupBy(F.col("label").alias("i")).agg(*[F.avg(c).alias(c) for c in "xyz"]).withColumn("plant", F.lit(0))
+    s = durable(A.stem_segments(nodes))
+    known = s.select("plant", F.col("segment").alias("leaf"), "arc", F.radians(50.0 + 3 * F.col("segment")).alias("angle"))
+    place = nearest_segment(p, s.select("segment", "x", "y", "z", "bx", "by", "bz")).join(s.select("plant", "segment", F.col("arc").alias("start"), "length"), "segment")
+    anchors = p.join(place.select("id", "plant", (F.col("start") + F.col("fraction") * F.col("length")).alias("arc")), "id")
+    at = A.attach(durable(A.reference_angles(anchors.select("plant", "id", "x", "y", "z", "arc"), known)), s)
+    return at.select("id", "segment", *[r6(F.col(c)).alias(c) for c in ("fraction", "arc", "shift")], (F.col("residual") < 1e-12).alias("exact"))
+
+
 @query("local_linearity", f"""WITH {POINT_SQL}, d AS (SELECT a.id, b.x, b.y, b.z, row_number() OVER (PARTITION BY a.id ORDER BY (a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)+(a.z-b.z)*(a.z-b.z), b.id) AS k FROM pts a, pts b),
 c AS (SELECT id, covar_pop(x,x) xx, covar_pop(x,y) xy, covar_pop(x,z) xz, covar_pop(y,y) yy, covar_pop(y,z) yz, covar_pop(z,z) zz FROM d WHERE k<=16 GROUP BY 1),
 m AS (SELECT *, (xx+yy+zz)/3 AS m FROM c), p AS (SELECT *, sqrt(((xx-m)*(xx-m)+(yy-m)*(yy-m)+(zz-m)*(zz-m)+2*(xy*xy+xz*xz+yz*yz))/6) AS p FROM m),
