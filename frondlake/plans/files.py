@@ -122,3 +122,35 @@ def streamed_maxima(spark, sf):
     source, sink = _folder(spark), _folder(spark)
     table(spark, sf, "events").select("user_id", "event_type", "value").write.json(source)
     return fold_to_table(spark, source, sink)
+
+
+@query("guarded_runs", """WITH RECURSIVE e AS (SELECT user_id AS run, CAST(epoch_us(ts) AS DOUBLE)/1e6 AS ts, event_id AS seq, CASE WHEN event_type<>'error' THEN value END AS value, value AS memory, event_type FROM events),
+x AS (SELECT run, min(struct_pack(ts:=ts, seq:=seq)) FILTER (WHERE value<0.5) AS stop FROM e GROUP BY 1),
+s AS (SELECT e.*, x.stop, x.stop IS NOT NULL AND struct_pack(ts:=e.ts, seq:=e.seq)>x.stop AS past FROM e JOIN x ON x.run=e.run),
+c AS (SELECT run, ts FROM s WHERE NOT past AND value>=0.5 AND value<120),
+k AS (SELECT run, min(ts) AS ts FROM c GROUP BY 1 UNION ALL SELECT k.run, (SELECT min(ts) FROM c WHERE c.run=k.run AND c.ts>=k.ts+86400) FROM k WHERE k.ts IS NOT NULL),
+r AS (SELECT run, count(ts) AS releases, max(ts) AS last_release FROM k GROUP BY 1)
+SELECT s.run, max(memory) FILTER (WHERE NOT past AND event_type NOT IN ('signup','click')) AS peak, count(*) FILTER (WHERE NOT past AND value IS NULL) AS failed,
+ coalesce(max(r.releases),0) AS releases, max(r.last_release) AS last_release, max(s.stop.ts) AS stop_at, count(*) FILTER (WHERE past) AS ended,
+ arg_max(event_type NOT IN ('signup','click'), struct_pack(ts:=s.ts, seq:=s.seq)) FILTER (WHERE NOT past) AS dedicated
+FROM s LEFT JOIN r ON r.run=s.run GROUP BY 1""")
+def guarded_runs(spark, sf):
+    """Events as samples of the runs of their users, arriving in three slices of time; signups share the
+    guard's scope and clicks have none, so neither raises a peak. States come from the stream's table."""
+    from frondlake.streaming.runs import GuardTable, Limits
+
+    source, sink = _folder(spark), _folder(spark)
+    t = F.unix_micros(F.col("ts").cast("timestamp")) / 1e6
+    scope = F.when(F.col("event_type") == "signup", "guard").when(F.col("event_type") != "click", F.concat(F.lit("run-"), "user_id"))
+    e = table(spark, sf, "events").select(
+        F.col("user_id").alias("run"), t.alias("ts"), F.col("event_id").alias("seq"), F.when(F.col("event_type") != "error", F.col("value")).alias("value"),
+        scope.alias("scope"), F.lit("guard").alias("own_scope"), F.col("value").alias("memory"), F.lit(0).cast("bigint").alias("oom"))
+    span = e.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
+    a, b = span["a"] or 0.0, span["b"] or 0.0
+    slice_ = F.least(F.lit(2), F.floor((F.col("ts") - a) * 3 / max(b - a, 1.0)))
+    guard = GuardTable(spark, sink, Limits(0.5, 120.0, 86400.0))
+    for i in range(3):
+        e.filter(slice_ == i).repartition("run").write.mode("append").json(source)
+        guard.follow(source, files=4096)
+    ended = guard.actions().groupBy("run").agg(F.count_if(F.col("action") == "ended").alias("ended"))
+    return guard.state().join(ended, "run").select("run", "peak", "failed", "releases", "last_release", "stop_at", "ended", "dedicated")

@@ -18,18 +18,17 @@ def folded(samples: DataFrame) -> DataFrame:
 
 
 def fold_to_table(spark: SparkSession, source: str, sink: str, checkpoint: str | None = None) -> DataFrame:
-    """Run the stream over what source holds now; each batch replaces the result under its own id."""
+    """Run the stream over what source holds now; a batch writes the runs that it changed, under its own id."""
     stream = spark.readStream.schema(SAMPLE).option("maxFilesPerTrigger", 64).json(source)
 
     def put(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{sink}/batch={batch_id:09d}")
 
-    q = (folded(stream).writeStream.outputMode("complete").foreachBatch(put)
+    q = (folded(stream).writeStream.outputMode("update").foreachBatch(put)
          .option("checkpointLocation", checkpoint or f"{sink}-state").trigger(availableNow=True).start())
     q.awaitTermination()
-    every = spark.read.parquet(sink)
-    last = every.agg(F.max("batch").alias("batch"))
-    return every.join(F.broadcast(last), "batch").drop("batch")
+    latest = F.max_by(F.struct("peak", "failed"), "batch").alias("last")
+    return spark.read.parquet(sink).groupBy("user_id").agg(latest).select("user_id", "last.*")
 
 
 def decide(samples: DataFrame, stop_below: float, relief_below: float, period: float) -> DataFrame:
