@@ -154,3 +154,24 @@ def guarded_runs(spark, sf):
         guard.follow(source, files=4096)
     ended = guard.actions().groupBy("run").agg(F.count_if(F.col("action") == "ended").alias("ended"))
     return guard.state().join(ended, "run").select("run", "peak", "failed", "releases", "last_release", "stop_at", "ended", "dedicated")
+
+
+@query("ply_derivative", f"""WITH {SPLAT_SQL} SELECT row_number() OVER (ORDER BY row_id)-1 AS row_id, row_id AS source_row, round(CAST(CAST(x AS FLOAT) AS DOUBLE),5) AS x,
+ round(CAST(CAST(f_dc_1 AS FLOAT) AS DOUBLE),4) AS f_dc_1, true AS digest_held FROM splat WHERE 1/(1+exp(-opacity))>0.5""")
+def ply_derivative(spark, sf):
+    """Rows above the opacity cutoff copied byte for byte from a PLY of all rows, and read from the copy."""
+    from frondlake.sources.derivative import write_derivative
+
+    binary.register(spark)
+    whole, dest = _folder(spark), _folder(spark)
+    s = splats(spark, sf).select("row_id", *[F.col(c).cast("float").alias(c) for c in COLUMNS], F.col("row_id").cast("int").alias("source_row"))
+    s.coalesce(1).sortWithinPartitions("row_id").write.format("splat_ply").option("path", whole).mode("append").save()
+    source = f"{whole}/part-000000.ply"
+    read = spark.read.format("splat_ply").option("path", source).schema("row_id bigint, opacity float, source_row int").load()
+    opacity = splats(spark, sf).filter(1 / (1 + F.exp(-F.col("opacity"))) > 0.5).select(F.col("row_id").cast("int").alias("source_row"))
+    parts = write_derivative(spark, source, read.join(opacity, "source_row", "left_semi"), dest)
+    again = spark.read.format("file_digests").option("path", dest).load().select("relative", F.col("sha256").alias("after"))
+    held = parts.join(again, "relative", "full").agg(F.bool_and(F.col("sha256").eqNullSafe(F.col("after"))).alias("digest_held"))
+    back = spark.read.format("splat_ply").option("path", dest).option("mode", "FAILFAST").schema("row_id bigint, source_row int, x float, f_dc_1 float").load()
+    return back.crossJoin(held).select("row_id", F.col("source_row").cast("bigint").alias("source_row"), F.round(F.col("x").cast("double"), 5).alias("x"),
+                                       F.round(F.col("f_dc_1").cast("double"), 4).alias("f_dc_1"), "digest_held")

@@ -65,7 +65,8 @@ class PlyHeader:
                 if not piece and at < 0:
                     raise ValueError(f"{path}: truncated PLY header")
         end = head.index(b"\n", at) + 1
-        self.lines = head[:end].decode("ascii").splitlines()
+        self.raw = head[:end]
+        self.lines = self.raw.decode("ascii").splitlines()
         self.offset = end
         words = [l.split() for l in self.lines if l.strip()]
         if words[0] != ["ply"] or ["format", "binary_little_endian", "1.0"] not in words:
@@ -84,9 +85,16 @@ class PlyHeader:
             raise ValueError(f"{path}: duplicate or missing properties {sorted(set(REQUIRED) - set(names))}")
         self.dtype = np.dtype([(n, "<" + t) for n, t in self.fields])
         self.present = min(self.declared, (self.size - self.offset) // self.dtype.itemsize)
+        self.only = len(elements) == 1
         if strict and self.size != self.offset + self.declared * self.dtype.itemsize:
             raise ValueError(f"{path}: extra or missing bytes after the vertex block")
 
+    def counted(self, rows: int) -> bytes:
+        """The header as it stands, for another number of rows."""
+        line = b"element vertex %d" % rows
+        ends = lambda l: l[len(l.rstrip(b"\r\n")):]
+        return b"".join(line + ends(l) if l.split()[:2] == [b"element", b"vertex"] else l for l in self.raw.splitlines(keepends=True))
+
 
 class PlyRange(InputPartition):
     def __init__(self, path: str, offset: int, first: int, base: int, rows: int):
@@ -121,9 +129,17 @@ class PlyReader(DataSourceReader):
             done = 0
             while done < part.rows:
                 n = min(self.batch, part.rows - done)
-                rows = np.frombuffer(f.read(n * head.dtype.itemsize), head.dtype, count=n)
+                data = f.read(n * head.dtype.itemsize)
+                rows = np.frombuffer(data, head.dtype, count=n)
                 columns = []
                 for field in arrow.fields:
+                    if field.name == "record":
+                        places = np.arange(n + 1, dtype=np.int32) * np.int32(head.dtype.itemsize)
+                        columns.append(pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(places), pa.py_buffer(data)]))
+                        continue
+                    if field.name == "short":
+                        columns.append(pa.array(np.full(n, head.present < head.declared)))
+                        continue
                     if field.name == "row_id":
                         columns.append(pa.array(np.arange(part.base + done, part.base + done + n), pa.int64()))
                         continue
@@ -153,6 +169,13 @@ class PlyWriter(DataSourceArrowWriter):
         if there.type != fs.FileType.NotFound and not overwrite and _files(self.path, ".ply"):
             raise ValueError(f"{self.path} already holds PLY files")
         self.names = [f.name for f in schema.fields if f.name != "row_id"]
+        self.like = None
+        if self.names == ["record"]:
+            self.like = PlyHeader(dict(options)["like"], False)
+            if not self.like.only:
+                raise ValueError(f"{self.like.path}: records of a file with further elements are not a file of their own")
+            self.kinds = []
+            return
         self.kinds = [WRITE_TYPES[schema[n].dataType.simpleString()] for n in self.names]
 
     def write(self, batches):
@@ -161,11 +184,18 @@ class PlyWriter(DataSourceArrowWriter):
         index = TaskContext.get().partitionId()
         system, inner = _open(self.path)
         system.create_dir(inner, recursive=True)
-        dtype = np.dtype([(n, "<" + PLY_TYPES[k]) for n, k in zip(self.names, self.kinds)])
+        dtype = self.like.dtype if self.like else np.dtype([(n, "<" + PLY_TYPES[k]) for n, k in zip(self.names, self.kinds)])
         temporary = f"{inner}/.body-{uuid.uuid4().hex}"
         rows = 0
         with system.open_output_stream(temporary) as out:
             for batch in batches:
+                if self.like:
+                    records = batch.column(batch.schema.get_field_index("record")).to_pylist()
+                    if any(r is None or len(r) != dtype.itemsize for r in records):
+                        raise ValueError(f"a record of {self.like.path} has {dtype.itemsize} bytes")
+                    out.write(b"".join(records))
+                    rows += batch.num_rows
+                    continue
                 block = np.empty(batch.num_rows, dtype)
                 for n in self.names:
                     column = batch.column(batch.schema.get_field_index(n))
@@ -181,7 +211,7 @@ class PlyWriter(DataSourceArrowWriter):
                  *[f"property {k} {n}" for n, k in zip(self.names, self.kinds)], "end_header"]
         ready = f"{inner}/.ready-{uuid.uuid4().hex}"
         with system.open_output_stream(ready) as out, system.open_input_stream(temporary) as body:
-            out.write(("\n".join(lines) + "\n").encode("ascii"))
+            out.write(self.like.counted(rows) if self.like else ("\n".join(lines) + "\n").encode("ascii"))
             while piece := body.read(4 << 20):
                 out.write(piece)
         system.delete_file(temporary)
@@ -206,7 +236,10 @@ class PlyWriter(DataSourceArrowWriter):
 
 class SplatPly(DataSource):
     """Options: path, mode (PERMISSIVE keeps the readable rows of a short file, FAILFAST refuses),
-    rowsPerPartition, rowsPerBatch. Pass a schema to decode only some of the columns."""
+    rowsPerPartition, rowsPerBatch. Pass a schema to decode only some of the columns; beside those of the
+    file it may hold row_id, ``record`` (the row's bytes as they stand) and ``short`` (whether the row's
+    file has fewer rows than it declares). A table of row_id and ``record`` is written byte for byte
+    under the header of the file that the option ``like`` names, with the number of rows changed."""
 
     @classmethod
     def name(cls):
