@@ -10,7 +10,7 @@ from frondlake.llm.common import column
 
 #: fixed values: phrases whose every place counts, and their labels
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
-#: fixed values: opening passages of public licences and of the notices that name them
+#: fixed values: public licence texts, their opening passages and the notices that name them
 TEMPLATES = {
     "mit-text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions",
     "bsd-text": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
@@ -26,6 +26,9 @@ TEMPLATES = {
     "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0",
     "cc-by-sa-4.0": "Licensed under CC BY-SA 4.0",
     "cc-by-text": "This work is licensed under a Creative Commons Attribution 4.0 International License",
+    "mit-whole": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    "bsd-2-clause-whole": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+    "isc-whole": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
     "unlicense-text": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software",
 }
 _LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -101,73 +104,95 @@ class Automaton:
 
 class Scanner:
     """Phrases and templates in one automaton. ``shortest``: words of a match that may join a chain;
-    ``gap``: words between two matches of a chain; ``cover``: share of a template that makes a span."""
+    ``gap``: words between two matches of a chain; ``cover``: share of a template that makes a span.
+    A template of up to ``whole`` words must be there whole, and every template's words with digits
+    (its version) must be among the covered ones."""
 
-    def __init__(self, phrases: dict[str, str], templates: dict[str, str], shortest: int = 3, gap: int = 16, cover: float = 0.6):
+    def __init__(self, phrases: dict[str, str], templates: dict[str, str], shortest: int = 3, gap: int = 16, cover: float = 0.6, whole: int = 16):
         self.labels = [*phrases.values(), *templates]
         self.sequences = [tokens(t.encode()) for t in (*phrases, *templates.values())]
-        self.n_phrases, self.shortest, self.gap, self.cover = len(phrases), shortest, gap, cover
-        self.automaton = Automaton(self.sequences)
+        self.n_phrases, self.shortest, self.gap, self.cover, self.whole = len(phrases), shortest, gap, cover, whole
+        self.automaton = a = Automaton(self.sequences)
+        # words with digits, as a bit per place
+        self.versions = [sum(1 << i for i, w in enumerate(s) if any(48 <= c <= 57 for c in w)) for s in self.sequences]
         # a phrase ends wherever its state or one that has it as a suffix is met
         own: dict[int, list] = {}
         for t, seq in enumerate(self.sequences[:self.n_phrases]):
             v = 0
             for word in seq:
-                v = self.automaton.next[v][self.automaton.vocabulary[word]]
+                v = a.next[v][a.vocabulary[word]]
             own.setdefault(v, []).append((t, len(seq)))
-        self.phrase_at: list[list] = [[] for _ in self.automaton.size]
-        for v in sorted(range(1, len(self.phrase_at)), key=self.automaton.size.__getitem__):
-            self.phrase_at[v] = own.get(v, []) + self.phrase_at[self.automaton.link[v]]
-
-    def scan(self, text: bytes) -> tuple[int, list[tuple[int, int]], list[tuple[int, int, int, int]]]:
-        """(words, places of phrases as (phrase, start), spans as (template, start, end, covered))."""
+        self.phrase_at: list[list] = [[] for _ in a.size]
+        # the places of a state's last ``shortest`` words: those of the suffix state that stands for them
+        self.places: list[list] = [[] for _ in a.size]
+        for v in sorted(range(1, len(a.size)), key=a.size.__getitem__):
+            self.phrase_at[v] = own.get(v, []) + self.phrase_at[a.link[v]]
+            if a.size[v] >= shortest:
+                up = a.link[v]
+                self.places[v] = self.places[up] if a.size[up] >= shortest else [(t, e) for t, e in a.ends[v] if t >= self.n_phrases]
+
+    def scan(self, text: bytes) -> tuple[int, list[tuple[int, int]], list[tuple[int, int, int, int, int]]]:
+        """(words, places of phrases as (phrase, start), spans as (template, start, end, covered, versions))."""
         words = tokens(text)
-        places, matches, held = [], [], None
+        places, matches = [], []
+        # per place of a template that a match has reached: the length of that match
+        held, at = {}, -1
         for i, v, n in self.automaton.statistics(words):
             for t, size in self.phrase_at[v]:
                 if n >= size:
                     places.append((t, i - size + 1))
-            if held and not (i == held[0] + 1 and n == held[2] + 1):
-                matches.append(held)
-            held = (i, v, n) if n >= self.shortest else None
-        if held:
-            matches.append(held)
+            if n < self.shortest and not held:
+                continue
+            now = {}
+            if n >= self.shortest:
+                near = held if at == i - 1 else {}
+                now = {(t, e): near.get((t, e - 1), self.shortest - 1) + 1 for t, e in self.places[v]}
+            matches.extend((at, t, e, m) for (t, e), m in held.items() if at != i - 1 or (t, e + 1) not in now)
+            held, at = now, i
+        matches.extend((at, t, e, m) for (t, e), m in held.items())
         return len(words), places, self._chains(matches) if matches else []
 
-    def _chains(self, matches: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
+    def _chains(self, matches: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int, int]]:
         """Chains of matches that run through one template in order, the best of overlapping ones.
         A chain is open while a match can still follow within the gap, so few are at any time."""
-        open_: dict[int, list[tuple[int, int, int, int]]] = {}
+        open_: dict[int, list[tuple[int, int, int, int, int]]] = {}
         best: dict[int, list[list[int]]] = {}
-        for end, v, n in matches:
-            for t, e in self.automaton.ends[v]:
-                if t < self.n_phrases:
-                    continue
-                start, covered = end - n + 1, n
-                near = [c for c in open_.get(t, ()) if start - c[1] <= self.gap]
-                for s, last, at, got in near:  # (start, end, template end, covered)
-                    add = n - max(0, last + 1 - start, at + 1 - (e - n + 1))
-                    if end > last and e > at and add > 0 and got + add > covered:
-                        start, covered = s, got + add
-                near.append((start, end, e, covered))
-                open_[t] = near
-                spans = best.setdefault(t, [])
-                if spans and spans[-1][1] >= start:
-                    if covered > spans[-1][2]:
-                        spans[-1] = [start, end, covered]
-                else:
-                    spans.append([start, end, covered])
+        for end, t, e, n in matches:
+            start, covered = end - n + 1, n
+            seen = ((1 << n) - 1 << e - n + 1) & self.versions[t]
+            here = seen
+            near = [c for c in open_.get(t, ()) if end - n + 1 - c[1] <= self.gap]
+            for s, last, at, got, had in near:  # (start, end, template end, covered, versions)
+                add = n - max(0, last + 1 - (end - n + 1), at + 1 - (e - n + 1))
+                if end > last and e > at and add > 0 and got + add > covered:
+                    start, covered, seen = s, got + add, had | here
+            near.append((start, end, e, covered, seen))
+            open_[t] = near
+            spans = best.setdefault(t, [])
+            if spans and spans[-1][1] >= start:
+                if (covered, seen) > tuple(spans[-1][2:]):
+                    spans[-1] = [start, end, covered, seen]
+            else:
+                spans.append([start, end, covered, seen])
         return [(t, *s) for t, spans in best.items() for s in spans]
 
     def row(self, text: bytes):
         n, places, spans = self.scan(text)
         starts = [p for _, p in places]
         base = {self.labels[t] for t, _ in places}
-        share = [min(1.0, c / len(self.sequences[t])) for t, _, _, c in spans]
-        found = [(self.labels[t], s, e + 1, round(x, 6)) for (t, s, e, _), x in zip(spans, share) if x >= self.cover]
+        found, most = [], 0.0
+        for t, s, e, c, seen in spans:
+            size = len(self.sequences[t])
+            share = min(1.0, c / size)
+            whole = c >= size if size <= self.whole else share >= self.cover
+            if whole and seen == self.versions[t]:
+                found.append((self.labels[t], s, e + 1, round(share, 6)))
+                most = max(most, share)
+            else:
+                most = max(most, share / 2)
         every = base | {f[0] for f in found}
         return (n, len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(every)),
-                1.0 if base else max(share, default=0.0), [dict(zip(("label", "first_word", "end_word", "cover"), f)) for f in sorted(found)])
+                1.0 if base else most, [dict(zip(("label", "first_word", "end_word", "cover"), f)) for f in sorted(found)])
 
 
 _SPAN = pa.struct([("label", pa.string()), ("first_word", pa.int64()), ("end_word", pa.int64()), ("cover", pa.float64())])
@@ -179,11 +204,15 @@ def licence_spans(docs: DataFrame, phrases: dict[str, str] | None = None, templa
                   id_col: str = "doc_id", text: str = "text", **limits) -> DataFrame:
     """One row per document: (doc_id, n_words, n_base, first_word, last_word, base_labels, labels,
     score, spans). Every place of a phrase counts; ``spans`` are the stretches of the text that follow
-    a template over at least ``cover`` of its words, holes of up to ``gap`` words allowed; score is 1
-    with a phrase, else the largest share of a template that a chain follows.
+    a template over at least ``cover`` of its words, holes of up to ``gap`` words allowed, its version
+    numbers included; short templates only whole. A template inside a longer match of another one
+    counts too. Score is 1 with a phrase, else the largest share of a template that makes a span, else
+    half the largest share that a chain follows.
 
     One pass without a shuffle; the automaton is a few hundred states. Null and empty texts give no
-    words, null positions and empty labels; repeated rows give repeated rows; a null id stays null."""
+    words, null positions and empty labels; repeated rows give repeated rows; a null id stays null; an
+    empty table gives none. A text of any length is one pass with the open chains as memory. Columns of
+    other names are ignored, whatever they are called."""
     scanner = Scanner(PHRASES if phrases is None else phrases, TEMPLATES if templates is None else templates, **limits)
 
     def run(batches):

@@ -51,6 +51,43 @@ def test_licence_spans_chain_over_edits(make_docs):
     assert licences.licence_spans(make_docs([]).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("text,labels", [
+    ("the album was released under the name of the band", ""), ("Released under the Apache License", "apache"),
+    ("This work is licensed under the GNU General Public License, version 2", "gpl"), ("This work is licensed under the GNU General Public License, version 3", "gpl,gpl-3.0"),
+    ("Licensed under the Apache License, Version 2.0. The license text follows", "apache,apache-2.0"),
+    (licences.TEMPLATES["apache-2.0-notice"], "apache,apache-2.0,apache-2.0-notice"), (licences.TEMPLATES["apache-2.0-notice"].replace("2.0", "1.1"), "apache"),
+    ("Released under the MIT License", "mit,mit-notice"), (licences.TEMPLATES["mit-whole"], "mit-text,mit-whole"), (licences.TEMPLATES["isc-whole"], "isc-text,isc-whole"),
+    ("released under the mit and other terms; a mit license", "mit")])
+def test_labels_of_texts(text, labels):
+    scanner = licences.Scanner(licences.PHRASES, licences.TEMPLATES)
+    for whole in (text, "zz " * 50_000 + text + " zz" * 50_000, ("w" * (1 << 20)) + " " + text):
+        row = scanner.row(whole.encode())
+        assert row[5] == labels and (labels != "" or row[6] < 0.5)
+
+
+def test_template_matches_against_brute_force():
+    rng = np.random.default_rng(9)
+    seqs = {str(t): " ".join("abc"[i] for i in rng.integers(0, 3, 12)) for t in range(3)}
+    scanner = licences.Scanner({}, seqs, shortest=2)
+    for _ in range(200):
+        words = ["abcx"[i] for i in rng.integers(0, 4, 20)]
+        want = set()
+        for t, s in enumerate(seqs.values()):
+            s = s.split()
+            same = lambda i, e: 0 <= i < len(words) and 0 <= e < len(s) and words[i] == s[e]
+            for i in range(len(words)):
+                for e in range(len(s)):
+                    n = 0
+                    while same(i - n, e - n):
+                        n += 1
+                    if n >= 2 and not same(i + 1, e + 1):
+                        want.add((i, t, e, n))
+        got = []
+        scanner._chains = lambda m: got.extend(m) or []
+        scanner.scan(" ".join(words).encode())
+        assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_matching_statistics():
     a = licences.Automaton([b"a b c a b d".split(), b"c a d".split()])
     seqs = [b"a b c a b d".split(), b"c a d".split()]
