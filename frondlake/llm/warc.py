@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 LINE = r"(?i)</?(p|div|br|li|ul|ol|h1|h2|h3|h4|h5|h6|tr|table|article|section|nav|footer|header|main|body|head|html)([ \t\r\n/][^>]*)?>"
 TAG = r"(?s)<[a-zA-Z/!?][^>]*>"
 #: named character references by rule from the standard table, a hard blank as a plain one
-NAMES = {n: chr(c) for n, c in name2codepoint.items()} | {"apos": "'", "nbsp": " "}
+NAMES = {"amp": "&", "apos": "'"} | {n: chr(c) for n, c in name2codepoint.items()} | {"nbsp": " "}
+CLOSING_TITLE = r"(?i)</title[ \t\r\n\f]*>"
 #: numbers 128 to 159 mean the characters that the Windows code page has there
 WINDOWS = {i: c for i in range(128, 160) if (c := bytes([i]).decode("cp1252", "ignore"))}
 REFERENCE = r"^(?:([a-zA-Z][a-zA-Z0-9]{1,31})|#([0-9]{1,9})|#[xX]([0-9a-fA-F]{1,7}));"
@@ -33,74 +34,62 @@ def unescape(c: Column) -> Column:
     and hexadecimal numbers. Unknown names stay as they are. One pass over the pieces between '&'."""
 
     def piece(p: Column, i: Column) -> Column:
-        name, decimal, hexa = (F.regexp_extract(p, REFERENCE, g) for g in (1, 2, 3))
+        decimal, hexa = F.regexp_extract(p, REFERENCE, 2), F.regexp_extract(p, REFERENCE, 3)
         code = F.when(decimal != "", decimal.cast("bigint")).when(hexa != "", F.conv(hexa, 16, 10).cast("bigint"))
-        char = F.coalesce(F.element_at(_map(NAMES), name), F.when(code.isNotNull(), _character(code)))
+        number = F.when(F.startswith(p, F.lit("#")), F.when(code.isNotNull(), _character(code)))
+        char = F.coalesce(F.element_at(_map(NAMES), F.regexp_extract(p, REFERENCE, 1)), number)
         rest = F.substr(p, F.locate(";", p) + 1)
         return F.when(i == 0, p).otherwise(F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), p)))
 
-    return F.when(F.contains(c, F.lit("&")), F.array_join(F.transform(F.split(c, "&", -1), piece), "")).otherwise(c)
+    return F.array_join(F.transform(F.split(c, "&", -1), piece), "")
 
 
-def _without(c: Column, opening: str, closing: str) -> Column:
-    """Text without the stretches from an opening to its next closing; one that never closes goes to the
-    end. Linear: each piece between openings is looked through once."""
-    pieces = F.split(c, opening, -1)
-    rest = F.transform(F.slice(pieces, 2, F.size(pieces)), lambda p: F.when(p.rlike(closing), F.concat(F.lit(" "), F.get(F.split(p, closing, 2), F.lit(1)))).otherwise(F.lit(" ")))
-    return F.when(c.rlike(opening), F.concat(F.get(pieces, F.lit(0)), F.array_join(rest, ""))).otherwise(c)
-
-
-def _element(c: Column, name: str) -> Column:
-    return _without(c, rf"(?i)<{name}(?:>|[ \t\r\n\f/])", rf"(?i)</{name}[ \t\r\n\f]*>")
+def _without(pages: DataFrame, name: str, opening: str, closing: str) -> DataFrame:
+    """``name`` without the stretches from an opening to its next closing; one that never closes goes to the
+    end. Linear: each piece between openings is looked through once. ``__pieces`` keeps them."""
+    pages = pages.withColumn("__pieces", F.split(name, opening, -1))
+    rest = F.transform(F.slice("__pieces", F.lit(2), F.size("__pieces")), lambda p: F.concat(F.lit(" "), F.coalesce(F.get(F.split(p, closing, 2), F.lit(1)), F.lit(""))))
+    return pages.withColumn(name, F.concat(F.get("__pieces", F.lit(0)), F.array_join(rest, "")))
 
 
 def with_markup(pages: DataFrame, html: str) -> DataFrame:
-    """``html`` without comments, scripts and styles; a projection a step, so that none is computed twice."""
-    for step in (lambda c: _without(c, "<!--", "-->"), lambda c: _element(c, "script"), lambda c: _element(c, "style")):
-        pages = pages.withColumn(html, step(F.col(html)))
-    return pages
-
-
-def _closed(c: Column) -> tuple[Column, Column]:
-    """What lies up to the last '>' and after it."""
-    tail = F.substring_index(c, ">", -1)
-    return F.substr(c, F.lit(1), F.char_length(c) - F.char_length(tail)), tail
-
-
-def with_plain_text(pages: DataFrame, marked: str, name: str) -> DataFrame:
-    """Adds the visible text of a column of ``with_markup``: the title goes, block tags end lines, other
-    tags vanish, references are decoded, runs of blanks become one and empty lines go. Null stays null."""
-    pages = pages.withColumn(name, _element(F.col(marked), "title"))
-    head, tail = _closed(F.col(name))
-    pages = pages.withColumn(name, F.concat(F.regexp_replace(F.regexp_replace(head, LINE, "\n"), TAG, ""), tail))
-    text = F.regexp_replace(unescape(F.col(name)), "[ \t\r]+", " ")
-    return pages.withColumn(name, F.btrim(F.regexp_replace(text, " ?\n[ \n]*", "\n"), F.lit(" \n")))
-
-
-def attribute(tag: Column, name: str) -> Column:
-    """The decoded value of an attribute, double-quoted, single-quoted or bare; null where a tag has none."""
+    """Replaces ``html`` by the page without comments, scripts, styles and title, up to the last '>', and
+    adds ``__tail``, what lies behind it, and ``__title``, the first title as it stands, if it closes. A
+    projection a step, so that nothing is computed twice."""
+    pages = _without(pages, html, "<!--", "-->")
+    for name in ("script", "style"):
+        pages = _without(pages, html, rf"(?i)<{name}(?:>|[ \t\r\n\f/])", rf"(?i)</{name}[ \t\r\n\f]*>")
+    pages = _without(pages, html, r"(?i)<title(?:[ \t\r\n\f/][^<>]*)?>", CLOSING_TITLE)
+    first = F.split(F.get("__pieces", F.lit(1)), CLOSING_TITLE, 2)
+    pages = pages.withColumn("__title", F.coalesce(F.when(F.size(first) == 2, F.get(first, F.lit(0))), F.lit("")))
+    pages = pages.withColumn("__tail", F.substring_index(html, ">", -1))
+    return pages.withColumn(html, F.substr(html, F.lit(1), F.char_length(html) - F.char_length("__tail"))).drop("__pieces")
+
+
+def plain_text(head: Column, tail: Column) -> Column:
+    """Visible text of ``with_markup``: block tags end lines, other tags vanish, references are decoded, runs
+    of blanks become one and empty lines go. Null stays null."""
+    text = F.concat(F.regexp_replace(F.regexp_replace(head, LINE, "\n"), TAG, ""), tail)
+    text = F.regexp_replace(unescape(text), "[ \t\r]+", " ")
+    return F.btrim(F.regexp_replace(text, " ?\n[ \n]*", "\n"), F.lit(" \n"))
+
+
+def attributes(tags: Column, name: str) -> Column:
+    """The decoded values of an attribute in an array of tags, double-quoted, single-quoted or bare; tags
+    without it give none."""
     form = rf"""(?i)[ \t\r\n\f]{name}[ \t\r\n\f]*=[ \t\r\n\f]*("[^"]*"|'[^']*'|[^ \t\r\n\f"'>]+)"""
-    raw = F.regexp_extract(tag, form, 1)
-    quoted = F.left(raw, F.lit(1)).isin('"', "'")
-    return F.when(raw != "", unescape(F.when(quoted, F.substr(raw, F.lit(2), F.char_length(raw) - 2)).otherwise(raw)))
+    raw = F.filter(F.transform(tags, lambda t: F.regexp_extract(t, form, 1)), lambda r: r != "")
+    return F.transform(raw, lambda r: unescape(F.regexp_replace(r, "^[\"']|[\"']$", "")))
 
 
 def outlinks(marked: Column) -> Column:
     """Targets of the anchors of ``with_markup`` in order of appearance."""
-    tags = F.regexp_extract_all(_closed(marked)[0], F.lit(r"(?i)<a[ \t\r\n\f/][^>]*>"), F.lit(0))
-    return F.filter(F.transform(tags, lambda t: attribute(t, "href")), lambda u: u.isNotNull())
-
-
-def page_title(marked: Column) -> Column:
-    """The decoded content of the first title that closes, blanks as one; empty without one."""
-    inside = F.get(F.split(marked, r"(?i)<title[^<>]*>", 2), F.lit(1))
-    title = F.when(inside.rlike("(?i)</title"), F.get(F.split(inside, "(?i)</title", 2), F.lit(0)))
-    return F.btrim(F.regexp_replace(unescape(F.coalesce(title, F.lit(""))), "[ \t\r\n]+", " "))
+    return attributes(F.regexp_extract_all(marked, F.lit(r"(?i)<a[ \t\r\n\f/][^>]*>"), F.lit(0)), "href")
 
 
 def language(marked: Column) -> Column:
-    tag = F.regexp_extract(_closed(marked)[0], r"(?i)<html[ \t\r\n\f/][^>]*>", 0)
-    return F.coalesce(attribute(tag, "lang"), F.lit(""))
+    tag = F.regexp_extract(marked, r"(?i)<html[ \t\r\n\f/][^>]*>", 0)
+    return F.coalesce(F.get(attributes(F.array(tag), "lang"), F.lit(0)), F.lit(""))
 
 
 def record_id(kind: str, source: Column) -> Column:
@@ -130,16 +119,18 @@ def derivatives(responses: DataFrame, source_id: Column, uri: Column, payload: C
         digest(body).alias("source_payload_digest"), body.alias("body"))
     names = [c for c in base.columns if c != "body"]
     origin = F.coalesce("refers_to", "source_payload_digest")
-    base = with_plain_text(with_markup(base, "body"), "body", "plain")
+    base = with_markup(base, "body")
+    title = F.btrim(F.regexp_replace(unescape(F.col("__title")), "[ \t\r\n]+", " "))
     # a line end in a value would start a field of its own
     flat = lambda c: F.regexp_replace(c, "[\r\n]+", " ")
     made = base.select(
         *names, record_id("metadata", origin).alias("meta_id"), record_id("conversion", origin).alias("conv_id"),
-        F.concat_ws("\r\n", F.concat(F.lit("title: "), page_title(F.col("body"))),
+        F.concat_ws("\r\n", F.concat(F.lit("title: "), title),
                     F.concat(F.lit("language: "), flat(language(F.col("body")))),
                     F.concat(F.lit("conversion: "), record_id("conversion", origin)),
                     F.when(F.col("source_headers") != "", F.concat(F.lit("source-header: "), F.replace("source_headers", F.lit("\r\n"), F.lit("\r\nsource-header: ")))),
-                    F.transform(outlinks(F.col("body")), lambda u: F.concat(F.lit("outlink: "), flat(u))), F.lit("")).alias("fields"), "plain")
+                    F.transform(outlinks(F.col("body")), lambda u: F.concat(F.lit("outlink: "), flat(u))), F.lit("")).alias("fields"),
+        plain_text(F.col("body"), F.col("__tail")).alias("plain"))
 
     def record(kind: str, own: str, other: str, mime: str, block: str) -> Column:
         return F.struct(F.lit(kind).alias("record_type"), F.col(own).alias("record_id"), F.col(other).alias("concurrent_to"),
