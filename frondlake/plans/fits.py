@@ -31,17 +31,22 @@ def _cameras(spark, sf):
         (500.0 + F.col("n_nationkey")).alias("f"), F.lit(320.0).alias("cx"), F.lit(240.0).alias("cy"))
 
 
-def _seen(spark, sf, p, views):
-    """Points with the pixels of the views that see them, ``views`` of the 25 each, found by their number."""
-    j = p.withColumn("view", F.explode(F.transform(F.sequence(F.lit(0), F.lit(views - 1)), lambda i: (F.col("id") * 7 + i * 3) % 25))).join(_cameras(spark, sf), "view")
+def _pixels(j):
+    """Points beside a camera each, with their pixel in it."""
     q = K.in_camera([F.col(c) for c in "xyz"])
     return j.withColumn("u", F.col("f") * q[0] / q[2] + F.col("cx")).withColumn("v", F.col("f") * q[1] / q[2] + F.col("cy"))
 
 
-@query("triangulated_points", f"WITH {POINT_SQL} SELECT id AS label, round(x,5)+0.0 AS x, round(y,5)+0.0 AS y, round(z,5)+0.0 AS z, 20 AS views FROM pts")
+def _seen(spark, sf, p, views):
+    """Points with the pixels of the views that see them, ``views`` of the 25 each, found by their number."""
+    return _pixels(p.withColumn("view", F.explode(F.transform(F.sequence(F.lit(0), F.lit(views - 1)), lambda i: (F.col("id") * 7 + i * 3) % 25))).join(_cameras(spark, sf), "view"))
+
+
+@query("triangulated_points", f"WITH {POINT_SQL} SELECT id AS label, round(x,5)+0.0 AS x, round(y,5)+0.0 AS y, round(z,5)+0.0 AS z, CAST((SELECT count(*) FROM nation) AS INT) AS views FROM pts")
 def triangulated_points(spark, sf):
-    """Points seen by twenty turned cameras each are recovered from their pixels."""
-    obs = durable(_seen(spark, sf, points(spark, sf), 20).select(F.col("id").alias("label"), "u", "v", *K.CAMERA))
+    """Points seen by every turned camera are recovered from their pixels."""
+    seen = _pixels(points(spark, sf).crossJoin(_cameras(spark, sf)))
+    obs = durable(seen.select(F.col("id").alias("label"), "u", "v", *K.CAMERA))
     return X.triangulate(obs, 2).select("label", *[(F.round(c, 5) + 0.0).alias(c) for c in "xyz"], F.col("views").cast("int").alias("views"))
 
 
