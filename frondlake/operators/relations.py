@@ -34,30 +34,62 @@ def compare_trees(pred: DataFrame, ref: DataFrame, key: str) -> DataFrame:
     return j.withColumn("status", status).drop("__p", "__r")
 
 
-def overlapping_pairs(members: DataFrame, share: float, hot_rows: int = HOT_ROWS) -> DataFrame:
+#: items of an instance that travel with each of them
+CARRIED = 64
+
+
+def overlapping_pairs(members: DataFrame, share: float, hot_rows: int = HOT_ROWS, carried: int = CARRIED) -> DataFrame:
     """(a, b, common, overlap) for instances from different photos whose common items reach
     ``share`` of the smaller one. members has instance, photo, item.
 
     Prefix filtering: to reach the share, the smaller instance must have one of its rarest
     n - ceil(share * n) + 1 items in common, so only those meet the other side's items. Items held
-    by very many instances are in almost nobody's prefix."""
+    by very many instances are in almost nobody's prefix. Both sides bring their items, rarest first,
+    so a pair is counted where it meets and kept at its rarest common item only; no candidate is moved.
+    Instances of more than ``carried`` items do not travel: their pairs as the larger side are counted by joins."""
     m = durable(members.select("instance", "photo", "item").distinct())
     freq = m.groupBy("item").agg(F.count(F.lit(1)).alias("freq"))
-    ranked = ordered(m.join(freq, "item"), ["instance"], ["freq", "item"], Ordered(rank="pos", totals={"n": F.lit(1)}), hot_rows)
-    ranked = durable(ranked)
+    ranked = durable(m.join(freq, "item"))
+    sizes = ranked.groupBy("instance").agg(F.count(F.lit(1)).alias("n"), F.min("photo").alias("p0"), F.max("photo").alias("p1"))
+    long = durable(sizes.filter((F.col("n") > carried) | (F.col("p0") != F.col("p1"))).select("instance"))
+    by = F.array_sort(F.collect_list(F.struct("freq", "item")))
+    short = ranked.join(long, "instance", "left_anti").groupBy("instance").agg(F.min("photo").alias("photo"), by.alias("items"))
+    short = durable(short.select("instance", "photo", F.col("items.item").alias("items"), F.size("items").cast("long").alias("n")))
     # a share of n that is whole must not be lifted by rounding
-    prefix = ranked.filter(F.col("pos") <= F.col("n") - F.ceil(F.col("n") * share - 1e-9) + 1)
-    a = prefix.select("item", F.col("instance").alias("small"), F.col("photo").alias("pa"), F.col("n").alias("na"))
-    b = ranked.select("item", F.col("instance").alias("large"), F.col("photo").alias("pb"), F.col("n").alias("nb"))
-    met = a.join(b, "item").filter("small <> large and pa <> pb and (na < nb or (na = nb and small < large))")
-    met = met.select("small", "large", "na").distinct()
-    items = m.select("item", F.col("instance").alias("small"))
-    other = m.select("item", F.col("instance").alias("large"))
-    common = met.join(items, "small").join(other, ["large", "item"]).groupBy("small", "large", "na").agg(F.count(F.lit(1)).alias("common"))
+    need = F.greatest(F.ceil(F.col("n") * share - 1e-9), F.lit(1)).cast("int")
+    a = short.select(F.posexplode(F.slice("items", F.lit(1), (F.col("n") - need + 1).cast("int"))).alias("at", "item"),
+                     F.col("instance").alias("small"), F.col("photo").alias("pa"), F.col("items").alias("ia"), need.alias("need"))
+    b = short.select(F.posexplode("items").alias("bt", "item"), F.col("instance").alias("large"), F.col("photo").alias("pb"), F.col("items").alias("ib"))
+    na, nb = F.size("ia"), F.size("ib")
+    met = a.join(b, "item").filter((F.col("small") != F.col("large")) & (F.col("pa") != F.col("pb")) & ((na < nb) | ((na == nb) & (F.col("small") < F.col("large")))))
+    # what follows the rarest common item on either side must reach the share
+    met = met.filter(nb - F.col("bt") >= F.col("need"))
+    met = met.select("item", "small", "large", na.alias("na"), F.array_intersect("ia", "ib").alias("both")).filter(F.get("both", F.lit(0)) == F.col("item"))
+    common = met.select("small", "large", F.col("na").cast("long").alias("na"), F.size("both").cast("long").alias("common"))
+    if not long.isEmpty():
+        common = common.unionByName(_long_overlaps(ranked, long, share, hot_rows))
     kept = common.withColumn("overlap", F.col("common") / F.col("na")).filter(F.col("overlap") >= share)
     return kept.select(F.least("small", "large").alias("a"), F.greatest("small", "large").alias("b"), "common", "overlap")
 
 
+def _long_overlaps(rows: DataFrame, long: DataFrame, share: float, hot_rows: int) -> DataFrame:
+    """(small, large, na, common) of pairs with an instance of ``long`` at one side at least, by joins on
+    rows(instance, photo, item, freq)."""
+    ranked = durable(ordered(rows, ["instance"], ["freq", "item"], Ordered(rank="pos", totals={"n": F.lit(1)}), hot_rows)
+                     .join(long.withColumn("long", F.lit(True)), "instance", "left").withColumn("long", F.coalesce("long", F.lit(False))))
+    prefix = ranked.filter(F.col("pos") <= F.col("n") - F.ceil(F.col("n") * share - 1e-9) + 1)
+
+    def met_by(small, large):
+        a = small.select("item", F.col("instance").alias("small"), F.col("photo").alias("pa"), F.col("n").alias("na"))
+        b = large.select("item", F.col("instance").alias("large"), F.col("photo").alias("pb"), F.col("n").alias("nb"))
+        return a.join(b, "item").filter("small <> large and pa <> pb and (na < nb or (na = nb and small < large))").select("small", "large", "na")
+
+    met = met_by(prefix, ranked.filter("long")).unionByName(met_by(prefix.filter("long"), ranked.filter("not long"))).distinct()
+    items = rows.select("item", F.col("instance").alias("small"))
+    other = rows.select("item", F.col("instance").alias("large"))
+    return met.join(items, "small").join(other, ["large", "item"]).groupBy("small", "large", "na").agg(F.count(F.lit(1)).alias("common"))
+
+
 #: pairs that one task settles
 MERGE_PAIRS = 200_000
 
