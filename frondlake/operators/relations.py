@@ -90,17 +90,21 @@ def _long_overlaps(rows: DataFrame, long: DataFrame, share: float, hot_rows: int
     return met.join(items, "small").join(other, ["large", "item"]).groupBy("small", "large", "na").agg(F.count(F.lit(1)).alias("common"))
 
 
-#: pairs that one task settles
+#: pairs of small components that one task settles together
 MERGE_PAIRS = 200_000
+#: pairs of one component that a task settles at once
+WHOLE_PAIRS = 2_000_000
 
 
-def _reciprocal_merges(first: list, second: list, names: list, photos: list[int]) -> dict:
+def _reciprocal_merges(first: list, second: list, names: list, photos: list) -> dict:
     """{cluster: name after merging} for pairs given heaviest first by the numbers of their clusters.
 
     Each cluster keeps a heap of its pairs. From any cluster the way leads to the partner of its
     heaviest pair that does not clash, on to that one's partner, over ever heavier pairs, until a pair
     is the heaviest at both ends. Such a pair merges at once: no pair that touches either end comes
-    before it. Photo sets are bitmaps, and the smaller heap moves into the larger."""
+    before it. The smaller heap and the smaller photo set move into the larger. Photos are sets,
+    or bitmaps of a few."""
+    photos = [{i for i in range(p.bit_length()) if p >> i & 1} if isinstance(p, int) else p for p in photos]
     heaps: list[list[int]] = [[] for _ in names]
     for i, (x, y) in enumerate(zip(first, second)):
         heaps[x].append(i)
@@ -118,7 +122,7 @@ def _reciprocal_merges(first: list, second: list, names: list, photos: list[int]
         heap = heaps[c]
         while heap:
             x, y = home(first[heap[0]]), home(second[heap[0]])
-            if x != y and not photos[x] & photos[y]:
+            if x != y and photos[x].isdisjoint(photos[y]):
                 return heap[0], y if x == c else x
             heapq.heappop(heap)
         return None
@@ -142,7 +146,9 @@ def _reciprocal_merges(first: list, second: list, names: list, photos: list[int]
             for i in heaps[gone]:
                 heapq.heappush(heaps[keep], i)
             heaps[gone], slot[gone] = [], keep
-            photos[keep] |= photos[gone]
+            less, more = sorted((photos[keep], photos[gone]), key=len)
+            more |= less
+            photos[keep], photos[gone] = more, set()
             title[keep] = named
             way.append(keep)
     return {names[c]: names[title[home(c)]] for c in range(len(names)) if title[home(c)] != c}
@@ -155,11 +161,10 @@ def _settle_block(kind: pa.DataType):
         pairs = pairs.sort_by([("w", "descending"), ("a", "descending"), ("b", "descending")])
         number: dict = {}
         x, y = ([number.setdefault(c, len(number)) for c in pairs.column(end).to_pylist()] for end in ("ca", "cb"))
-        bit: dict = {}
-        photos = [0] * len(number)
+        photos: list[set] = [set() for _ in number]
         for c, p in zip(views.column("cluster").to_pylist(), views.column("photo").to_pylist()):
             if c in number:
-                photos[number[c]] |= 1 << bit.setdefault(p, len(bit))
+                photos[number[c]].add(p)
         moved = _reciprocal_merges(x, y, list(number), photos)
         return pa.table([pa.array(list(moved), kind), pa.array(list(moved.values()), kind)], schema=schema)
 
@@ -168,28 +173,31 @@ def _settle_block(kind: pa.DataType):
 
 def _settle(pairs: DataFrame, held: DataFrame, limit: int) -> DataFrame:
     """held(instance, photo, cluster) after all of pairs(w, a, b) had their turn. Components of the pair
-    graph do not see each other and are settled side by side; one of more than ``limit`` pairs is cut:
-    first its heavier half, which mostly falls into small components, then the rest."""
+    graph do not see each other and are settled side by side, small ones together; one of more than ``limit``
+    pairs is cut: first its heavier half, which mostly falls into small components, then the rest."""
     where = held.select("instance", "cluster").distinct()
     live = durable(pairs.join(where.toDF("a", "ca"), "a").join(where.toDF("b", "cb"), "b").filter("ca <> cb"))
     n = live.count()
     if not n:
         return held
-    kind, long = held.schema["cluster"].dataType, None
-    if n <= limit:
+    kind, long, pack = held.schema["cluster"].dataType, None, min(limit, MERGE_PAIRS)
+    if n <= pack:
         work, views = live.withColumn("block", F.lit(0)), held.withColumn("block", F.lit(0))
     else:
         part = connected_components(live.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
         part = durable(part.select(F.col("id").alias("cluster"), "component"))
         live = durable(live.join(part.withColumnRenamed("cluster", "ca"), "ca"))
-        long = durable(live.groupBy("component").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit).select("component"))
-        block = F.pmod(F.xxhash64("component"), F.lit(-(-n // limit))).cast("int")
-        small = part.join(long, "component", "left_anti")
-        work = live.join(long, "component", "left_anti").withColumn("block", block)
-        views = held.join(small, "cluster").withColumn("block", block)
-    views = views.select("block", "cluster", "photo").distinct()
+        large = durable(live.groupBy("component").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > pack))
+        long = large.filter(F.col("n") > limit).select("component")
+        # a component above ``pack`` is a block of its own
+        digest = F.xxhash64("component")
+        block = F.when(F.col("n").isNotNull(), digest).otherwise(F.pmod(digest, F.lit(-(-n // pack)))).alias("block")
+        blocks = durable(part.select("component").distinct().join(large, "component", "left").filter(F.col("n").isNull() | (F.col("n") <= limit)).select("component", block))
+        work = live.join(blocks, "component")
+        views = held.join(part.join(blocks, "component"), "cluster")
+    views = views.select(F.col("block").alias("at"), "cluster", "photo").distinct()
     name = kind.simpleString()
-    into = durable(work.select("block", "w", "a", "b", "ca", "cb").groupBy("block").cogroup(views.groupBy("block"))
+    into = durable(work.select("block", "w", "a", "b", "ca", "cb").groupBy("block").cogroup(views.groupBy("at"))
                    .applyInArrow(_settle_block(to_arrow_type(kind)), f"cluster {name}, into {name}"))
     held = durable(held.join(into, "cluster", "left").select("instance", "photo", F.coalesce("into", "cluster").alias("cluster")))
     if long is None or long.isEmpty():
@@ -201,7 +209,7 @@ def _settle(pairs: DataFrame, held: DataFrame, limit: int) -> DataFrame:
     return _settle(rest.filter("k <= n div 2").select("w", "a", "b"), held, limit)
 
 
-def agglomerate(instances: DataFrame, pairs: DataFrame, limit: int = MERGE_PAIRS) -> DataFrame:
+def agglomerate(instances: DataFrame, pairs: DataFrame, limit: int = WHOLE_PAIRS) -> DataFrame:
     """(instance, cluster): merge pairs(a, b, overlap) in descending (overlap, a, b), never joining
     clusters that share a photo; the cluster of the pair's first instance gives the name.
 

@@ -38,3 +38,15 @@ def test_no_candidate_is_shuffled(spark, rows):
     """Pairs are counted where they meet: nothing is exchanged after the join on the item."""
     plan = R.overlapping_pairs(spark.createDataFrame(rows[0], "instance long, photo long, item long"), 0.6)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join") == 1 and "Aggregate" not in plan
+
+
+def test_a_component_above_the_pack_size_stays_whole(spark, monkeypatch):
+    """Components too big to share a task are blocks of their own: nothing is cut below the limit."""
+    pairs = [(1.0 - i / 1000, base + i, base + i + 1) for base in (0, 1000, 2000) for i in range(40)]
+    ids = {v for _, a, b in pairs for v in (a, b)}
+    held = spark.createDataFrame([(v, v % 997) for v in ids], "instance long, photo long")
+    monkeypatch.setattr(R, "MERGE_PAIRS", 10)
+    monkeypatch.setattr(R, "ordered", lambda *a, **k: pytest.fail("a component was cut"))
+    got = R.agglomerate(held, spark.createDataFrame(pairs, "overlap double, a long, b long"), R.WHOLE_PAIRS)
+    sizes = [r["count"] for r in got.groupBy("cluster").count().collect()]
+    assert sizes == [41, 41, 41]
