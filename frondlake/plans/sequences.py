@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from frondlake.operators import ordered as O
 from frondlake.plans.derived import FRAME_SQL, frames
 from frondlake.plans.registry import query
-from frondlake.session import table
+from frondlake.session import durable, table
 
 
 def r6(c):
@@ -118,7 +118,7 @@ c2 AS (SELECT *, sum(w) OVER x AS c, sum(w) OVER (PARTITION BY l_returnflag) AS
 SELECT l_returnflag, round(any_value(m),6) AS scale, round(1.4826*arg_min(CASE WHEN c=t/2 AND nx IS NOT NULL THEN (d+nx)/2 ELSE d END, d),5) AS spread FROM c2 JOIN m USING (l_returnflag) WHERE c>=t/2 GROUP BY 1""")
 def scale_estimate(spark, sf):
     p = table(spark, sf, "lineitem").select("l_returnflag", (F.col("l_extendedprice") / F.col("l_quantity")).alias("e"), F.col("l_quantity").alias("w"))
-    m = O.weighted_median(p, ["l_returnflag"], F.col("e"), F.col("w"), "m")
+    m = durable(O.weighted_median(p, ["l_returnflag"], F.col("e"), F.col("w"), "m"))
     away = O.attach(p, m, ["l_returnflag"], "inner")
     d = O.weighted_median(away, ["l_returnflag"], F.abs(F.col("e") - F.col("m")), F.col("w"), "d")
     return m.join(d, "l_returnflag").select("l_returnflag", r6(F.col("m")).alias("scale"), F.round(1.4826 * F.col("d"), 5).alias("spread"))
