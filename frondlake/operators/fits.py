@@ -54,8 +54,10 @@ def ransac_plane(points: DataFrame, tolerance: float, trials: int, seed: int, mi
     all trial planes over its own rows. Returns (normal, centre, inliers DataFrame), or
     (None, None, inliers) below min_inliers. ``reselect`` takes the inliers of the refined plane
     and refits once more."""
-    spots = durable(ordered(points.select(*AXES).distinct(), [], list(AXES), Ordered(rank="rn"), hot_rows))
-    n = spots.count()
+    # cutting the order into blocks looks at the distinct coordinates several times
+    distinct = durable(points.select(*AXES).distinct())
+    n = distinct.count()
+    spots = durable(ordered(distinct, [], list(AXES), Ordered(rank="rn"), hot_rows, n))
     if n < 3:
         return None, None, spots.limit(0).select(*AXES)
     rng = np.random.default_rng(seed)
