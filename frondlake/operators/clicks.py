@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from frondlake.functions import columns as C
 from frondlake.operators.fits import AXES, MOMENTS, _solve3, triangulate
@@ -236,16 +237,135 @@ def consensus_planes(rows: DataFrame, trials: int, seed: int, hot_rows: int = HO
     return refit.unionByName(plane.join(refit.select("label"), "label", "left_anti").select(*refit.columns))
 
 
-def local_surface(clicks: DataFrame, support: DataFrame, limits: ClickLimits = ClickLimits(), hot_rows: int = HOT_ROWS) -> DataFrame:
-    """(label, status, flags, submethod, x, y, z, depth, radius, support, inliers, sigma) for clicks in one view.
+#: clicks that meet the support around their tile in one task
+TILE_CLICKS = 8_000
+
+#: what a click's support gives: points within the radius, median depth and spread, consensus plane with its depths
+FOUND = ["label", "n", "zmed", "spread", "inliers", "least", *[f"q{a}" for a in AXES], *[f"n{a}" for a in AXES], "z_low", "z_high"]
+
+
+def _plane_of(xyz: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """Centre, direction of least scatter and its variance."""
+    mid = xyz.mean(0)
+    value, vector = np.linalg.eigh((xyz - mid).T @ (xyz - mid) / len(xyz))
+    return mid, vector[:, 0], max(float(value[0]), 0.0)
+
+
+def _consensus(xyz: np.ndarray, tol: float, draws: np.ndarray):
+    """consensus_planes for one click's rows in the order of their points; draws(trial, 3) are its hashes."""
+    of = len(xyz)
+    a, b, c = (draws[:, j] % (of - j) for j in range(3))
+    b = b + (b >= a)
+    low, high = np.minimum(a, b), np.maximum(a, b)
+    c = c + (c >= low)
+    c = c + (c >= high)
+    way = np.cross(xyz[b] - xyz[a], xyz[c] - xyz[a])
+    size = np.sqrt((way * way).sum(1))
+    fit = size >= 1e-15
+    if not fit.any():
+        return None
+    way, at = way[fit] / size[fit, None], xyz[a[fit]]
+    step = max(1, (1 << 20) // of)
+    votes = np.concatenate([(np.abs((xyz[None] - at[i:i + step, None]) @ way[i:i + step, :, None])[..., 0] < tol).sum(1) for i in range(0, len(way), step)])
+    best = int(np.argmax(votes))
+    if votes[best] < 3:
+        return None
+    mine = xyz[np.abs((xyz - at[best]) @ way[best]) < tol]
+    mid, normal, least = _plane_of(mine)
+    again = xyz[np.abs((xyz - mid) @ normal) < tol]
+    if len(again) < 3:
+        return len(mine), least, mid, normal
+    mid, normal, least = _plane_of(again)
+    return len(again), least, mid, normal
+
+
+def _support_of(limits: ClickLimits, r: float, last: bool, kind: pa.DataType):
+    schema = pa.schema([("label", kind), ("n", pa.int64()), *[(c, pa.int64() if c == "inliers" else pa.float64()) for c in FOUND[2:]]])
+
+    def run(clicks: pa.Table, near: pa.Table) -> pa.Table:
+        """FOUND of each click of a tile. Its pairs with the points are never written; a click that is not settled has its count only."""
+        near = near.sort_by([("point", "ascending")])
+        u, v, *xyz = (near.column(c).to_numpy() for c in ("u", "v", *AXES))
+        place = np.ascontiguousarray(np.array(xyz).T)
+        mine = {c: clicks.column(c).to_numpy() for c in ("u", "v", "r20", "r21", "r22", "t2")}
+        rows = []
+        for i, label in enumerate(clicks.column("label").to_pylist()):
+            du, dv = u - mine["u"][i], v - mine["v"][i]
+            inside = np.flatnonzero(np.sqrt(du * du + dv * dv) <= r)
+            row = dict.fromkeys(FOUND) | {"label": label, "n": len(inside)}
+            rows.append(row)
+            if not last and len(inside) < limits.min_plane:
+                continue
+            p = place[inside]
+            z = p[:, 1] * mine["r21"][i] + p[:, 2] * mine["r22"][i] + p[:, 0] * mine["r20"][i] + mine["t2"][i]
+            known = z[np.isfinite(z)]
+            if len(inside) < limits.min_support or not len(known):
+                continue
+            row["zmed"] = float(np.median(known))
+            row["spread"] = float(np.median(np.abs(known - row["zmed"]))) * 1.4826
+            if len(inside) < max(limits.min_plane, 3):
+                continue
+            tol = row["zmed"] * limits.tolerance
+            plane = _consensus(p, tol, clicks.column("draws")[i].values.to_numpy().reshape(-1, 3))
+            if plane:
+                row["inliers"], row["least"], mid, normal = plane
+                row |= {f"q{a}": float(m) for a, m in zip(AXES, mid)} | {f"n{a}": float(w) for a, w in zip(AXES, normal)}
+                on = z[np.abs((p - mid) @ normal) < tol]
+                if len(on):
+                    row["z_low"], row["z_high"] = float(on.min()), float(on.max())
+        return pa.Table.from_pylist(rows, schema)
+
+    return run
+
+
+def _tiles(clicks: DataFrame, support: DataFrame, r: float, hot_rows: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(clicks, support, crowded): clicks with their tile of four radii and, in full tiles, a share of them; support
+    rows in every such share within reach, and the labels whose tile has more than ``hot_rows`` of them."""
+    side = 4 * r
+    home = clicks.select("*", F.floor(F.col("u") / side).alias("cu"), F.floor(F.col("v") / side).alias("cv"))
+    # a hair more than the radius, so that rounding at a tile's edge leaves no point out
+    reach = r * (1 + 1e-9)
+    spread = support.filter((F.abs("u") < float("inf")) & (F.abs("v") < float("inf")))
+    for c, p in (("cu", "u"), ("cv", "v")):
+        slack = F.lit(reach) + F.abs(p) * 1e-12
+        spread = spread.withColumn(c, F.explode(F.sequence(F.floor((F.col(p) - slack) / side), F.floor((F.col(p) + slack) / side))))
+    at = ["view", "cu", "cv"]
+    shares = home.groupBy(*at).agg(F.ceil(F.count(F.lit(1)) / F.lit(TILE_CLICKS)).cast("int").alias("shares"))
+    full = spread.groupBy(*at).agg(F.count(F.lit(1)).alias("rows"))
+    tiles = durable(shares.join(full, at, "left").select(*at, "shares", (F.coalesce("rows", F.lit(0)) > hot_rows).alias("crowded")))
+    home = home.join(tiles, at)
+    crowded = home.filter("crowded").select("label")
+    home = home.filter("not crowded").withColumn("share", F.pmod(F.xxhash64("label"), F.col("shares")).cast("int")).drop("shares", "crowded")
+    spread = spread.join(tiles.filter("not crowded").select(*at, F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share")), at)
+    return home, spread, crowded
+
+
+def tile_surfaces(clicks: DataFrame, support: DataFrame, limits: ClickLimits, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
+    """(found, crowded): FOUND and the radius of clicks(label, view, u, v, r20, r21, r22, t2), as growing_support, the
+    medians and consensus_planes have them, and the labels left to those since more than ``hot_rows`` points are near.
+
+    The points of a view that a click may need meet it in a tile as wide as four radii and every number of
+    the click is taken there, so what is shuffled grows with clicks and points, not with their pairs."""
+    draw = F.transform(F.sequence(F.lit(0), F.lit(limits.trials - 1)), lambda t: F.array(*[F.xxhash64(F.lit(limits.seed), "label", t, F.lit(j)) for j in range(3)]))
+    kind = to_arrow_type(clicks.schema["label"].dataType)
+    out = ", ".join([f"label {clicks.schema['label'].dataType.simpleString()}", "n long", *[f"{c} {'long' if c == 'inliers' else 'double'}" for c in FOUND[2:]]])
+    live, r, found, crowded = clicks, limits.radius, None, None
+    at = ["view", "cu", "cv", "share"]
+    while True:
+        last = 2 * r > limits.max_radius
+        home, near, full = _tiles(live, support, r, hot_rows)
+        home = home.withColumn("draws", F.flatten(draw))
+        met = durable(home.groupBy(*at).cogroup(near.groupBy(*at)).applyInArrow(_support_of(limits, r, last, kind), out))
+        settled = met.filter((F.col("n") >= limits.min_plane) | F.lit(last)).withColumn("radius", F.lit(r))
+        found, crowded = (settled, full) if found is None else (found.unionByName(settled), crowded.unionByName(full))
+        live = durable(live.join(met.filter(F.col("n") < limits.min_plane).select("label"), "label", "left_semi"))
+        if last or live.isEmpty():
+            return found, durable(crowded)
+        r *= 2
 
-    The ray of the click meets a consensus plane through the support points around it (submethod
-    ``plane``), or stops at their median depth where there are too few for a plane, too few inliers, or
-    the plane is seen too flat (``median``). A column ``offset`` of clicks lifts the plane toward the
-    camera. sigma is the spread along the ray. Fewer than limits.min_support points, or a plane behind
-    the camera, refuse the click."""
-    c = clicks if "offset" in clicks.columns else clicks.withColumn("offset", F.lit(0.0))
-    c = durable(c.select("label", "view", "u", "v", F.col("offset").cast("double").alias("offset"), *CAMERA))
+
+def _joined_surfaces(c: DataFrame, support: DataFrame, limits: ClickLimits, hot_rows: int) -> DataFrame:
+    """FOUND and the radius of clicks with crowded surroundings, every step a join or an aggregate of its own."""
     near, radii = growing_support(c, support, limits.radius, limits.max_radius, limits.min_plane)
     near, radii = durable(near.join(c.select("label", "r20", "r21", "r22", "t2"), "label").select(
         "label", "point", *AXES, (C.dot([F.col(f"r2{j}") for j in range(3)], [F.col(a) for a in AXES]) + F.col("t2")).alias("z_in"))), durable(radii)
@@ -261,7 +381,29 @@ def local_surface(clicks: DataFrame, support: DataFrame, limits: ClickLimits = C
     planes = durable(planes.select("label", "inliers", "least", *[F.col(f"c{a}").alias(f"q{a}") for a in AXES], *[f"n{a}" for a in AXES]))
     p_at, p_n = [F.col(f"q{a}") for a in AXES], [F.col(f"n{a}") for a in AXES]
     ends = rows.join(planes, "label").filter(_near_plane(p_n, p_at)).groupBy("label").agg(F.min("z_in").alias("z_low"), F.max("z_in").alias("z_high"))
-    j = c.join(radii, "label").join(mid, "label", "left").join(planes, "label", "left").join(ends, "label", "left")
+    return radii.join(mid, "label", "left").join(planes, "label", "left").join(ends, "label", "left").select(*FOUND, "radius")
+
+
+def local_surface(clicks: DataFrame, support: DataFrame, limits: ClickLimits = ClickLimits(), hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(label, status, flags, submethod, x, y, z, depth, radius, support, inliers, sigma) for clicks in one view.
+
+    The ray of the click meets a consensus plane through the support points around it (submethod
+    ``plane``), or stops at their median depth where there are too few for a plane, too few inliers, or
+    the plane is seen too flat (``median``). A column ``offset`` of clicks lifts the plane toward the
+    camera. sigma is the spread along the ray. Fewer than limits.min_support points, or a plane behind
+    the camera, refuse the click."""
+    c = clicks if "offset" in clicks.columns else clicks.withColumn("offset", F.lit(0.0))
+    c = durable(c.select("label", "view", "u", "v", F.col("offset").cast("double").alias("offset"), *CAMERA))
+    found, crowded = tile_surfaces(c.select("label", "view", "u", "v", "r20", "r21", "r22", "t2"), support, limits, hot_rows)
+    if not crowded.isEmpty():
+        # a click that grew into a crowded tile starts again there, at the first radius
+        found = found.unionByName(_joined_surfaces(c.join(crowded, "label", "left_semi"), support, limits, hot_rows))
+    # a click without a finite pixel lies in no tile
+    most = limits.radius
+    while 2 * most <= limits.max_radius:
+        most *= 2
+    j = c.join(durable(found), "label", "left").withColumn("n", F.coalesce("n", F.lit(0))).withColumn("radius", F.coalesce("radius", F.lit(most)))
+    p_at, p_n = [F.col(f"q{a}") for a in AXES], [F.col(f"n{a}") for a in AXES]
     ray, home = pixel_ray(), centre()
     j = durable(j.select("*", *[r.alias(f"d{a}") for r, a in zip(ray, AXES)], *[h.alias(f"o{a}") for h, a in zip(home, AXES)]))
     d, o = [F.col(f"d{a}") for a in AXES], [F.col(f"o{a}") for a in AXES]

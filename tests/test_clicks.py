@@ -92,6 +92,29 @@ def test_local_surface_against_brute_force(spark):
         assert g.submethod == "median" and g.depth == pytest.approx(np.median(p[d <= 45, 2] + 4))
 
 
+def test_tiles_and_joins_agree_and_pairs_are_not_written(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    cams = [camera(v, 0.1 * v) for v in range(2)]
+    p = np.c_[rng.uniform(-1, 1, (900, 2)), np.where(np.arange(900) % 7 == 0, rng.uniform(0.1, 0.5, 900), 0.0)]
+    support = spark.createDataFrame([(c[0], i, *map(float, pixel(c, q)), *map(float, q)) for c in cams for i, q in enumerate(p)],
+                                    "view long, point long, u double, v double, x double, y double, z double")
+    # tiles on both sides of zero, few and no points around some clicks, one without a pixel
+    clicks = [(i, cams[i % 2], *rng.uniform(-230, 230, 2)) for i in range(60)] + [(90, cams[0], 5000.0, 0.0), (91, cams[1], float("nan"), 1.0)]
+    obs, limits = observations(spark, clicks), K.ClickLimits(radius=6.0, max_radius=24.0, tolerance=0.002, trials=40)
+    seen = []
+    keep = K.durable
+    monkeypatch.setattr(K, "durable", lambda df: seen.append(t := keep(df)) or t)
+    tiles = {r.label: r for r in K.local_surface(obs, support, limits).collect()}
+    # no table of the tiles has a row for each pair of a click and a point
+    assert max(t.count() for t in seen) <= len(clicks) < sum(r.support for r in tiles.values())
+    mixed = {r.label: r for r in K.local_surface(obs, support, limits, hot_rows=20).collect()}
+    assert set(tiles) == set(mixed) == {c[0] for c in clicks} and len({r.radius for r in tiles.values()}) > 1
+    assert {r.submethod for r in tiles.values()} == {"plane", "median", None}
+    for label, t in tiles.items():
+        for c, x in t.asDict().items():
+            assert (mixed[label][c] == pytest.approx(x, abs=1e-9, rel=1e-9)) if isinstance(x, float) else mixed[label][c] == x, (label, c)
+
+
 def test_widest_angle_needs_no_full_pairing(spark):
     rng = np.random.default_rng(1)
     rays = rng.normal(size=(400, 3)) * [0.2, 0.3, 0.1] + [0, 0, 1]
