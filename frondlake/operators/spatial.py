@@ -13,6 +13,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -298,20 +299,21 @@ def closest_between(points: DataFrame, label: str, pairs: DataFrame | None = Non
         .select("la", "lb", F.sqrt("m.d").alias("distance"), "m.a", "m.b")
 
 
-def components_at(points: DataFrame, r: float, pair_work: int = 4_000_000) -> DataFrame:
-    """(id, component): single-linkage pieces at radius r (<=), named by their smallest id.
+def components_at(points: DataFrame, r: float, pair_work: int = 4_000_000, by: tuple[str, ...] = ()) -> DataFrame:
+    """(id, component): single-linkage pieces at radius r (<=), named by their smallest id; with ``by`` only
+    rows equal in these columns are linked.
 
     Cells are so small (side r / sqrt 3) that one cell is always one piece, so cells, not points,
     are the vertices. Neighbouring cells are joined outright when their boxes are near enough,
     dropped when too far, and otherwise decided by their own rows; pairs with too many rows are
     first split into sub-cells."""
-    spots = durable(distinct_points(points).select("id", *AXES))
+    spots = durable(points.groupBy(*by, *AXES).agg(F.min("id").alias("id")))
     low, size, _ = bounds(spots)
     edge = r / math.sqrt(3.0) * (1 - 1e-9)
     # coordinates are bounded by 2**20 cells a side for packing; finer radii use a hash of the cell
     cells = [c.alias(n) for c, n in zip(cell_of(low, edge), ("cx", "cy", "cz"))]
     base = spots.select("*", *cells)
-    boxes = base.groupBy("cx", "cy", "cz").agg(
+    boxes = base.groupBy(*by, "cx", "cy", "cz").agg(
         F.count(F.lit(1)).alias("n"), F.min("id").alias("v"),
         *[F.min(c).alias(f"lo_{c}") for c in AXES], *[F.max(c).alias(f"hi_{c}") for c in AXES])
     boxes = durable(boxes)
@@ -320,12 +322,15 @@ def components_at(points: DataFrame, r: float, pair_work: int = 4_000_000) -> Da
     a = _side(boxes, "a").withColumn("s", F.explode(steps))
     a = a.withColumn("jx", F.col("a_cx") + F.col("s.i")).withColumn("jy", F.col("a_cy") + F.col("s.j")).withColumn("jz", F.col("a_cz") + F.col("s.k")).drop("s")
     b = _side(boxes, "b")
-    met = a.join(b, (F.col("jx") == F.col("b_cx")) & (F.col("jy") == F.col("b_cy")) & (F.col("jz") == F.col("b_cz")))
+    same = (F.col("jx") == F.col("b_cx")) & (F.col("jy") == F.col("b_cy")) & (F.col("jz") == F.col("b_cz"))
+    for c in by:
+        same = same & (F.col(f"a_{c}") == F.col(f"b_{c}"))
+    met = a.join(b, same)
     met = met.filter(_gap2() <= F.lit(r * r) * (1 + 1e-9))
     met = durable(met.select("a_v", "b_v", (_reach2() <= F.lit(r * r)).alias("sure"), (F.col("a_n") * F.col("b_n")).alias("work")))
     sure = met.filter("sure").select(F.col("a_v").alias("a"), F.col("b_v").alias("b"))
     open_pairs = met.filter("not sure").select("a_v", "b_v")
-    member = base.join(boxes.select("cx", "cy", "cz", "v"), ["cx", "cy", "cz"]).select("id", "v", *AXES)
+    member = base.join(boxes.select(*by, "cx", "cy", "cz", "v"), [*by, "cx", "cy", "cz"]).select("id", "v", *by, *AXES)
     heavy = met.filter(~F.col("sure")).agg(F.max("work")).first()[0] or 0
     if heavy > pair_work:
         # crowded cells: what the sure edges already connect needs no closer look
@@ -335,10 +340,10 @@ def components_at(points: DataFrame, r: float, pair_work: int = 4_000_000) -> Da
         open_pairs = durable(open_pairs.join(ka, "a_v").join(kb, "b_v").filter("ca <> cb").select("a_v", "b_v"))
     found = _touching(member, open_pairs, r, pair_work, heavy > pair_work)
     pieces = connected_components(sure.union(found), boxes.select(F.col("v").alias("id")))
-    labelled = member.join(pieces.withColumnRenamed("id", "v"), "v").select(*AXES, F.col("id").alias("spot"), F.col("component").alias("c"))
+    labelled = member.join(pieces.withColumnRenamed("id", "v"), "v").select(*by, *AXES, F.col("id").alias("spot"), F.col("component").alias("c"))
     names = labelled.groupBy("c").agg(F.min("spot").alias("component"))
-    labelled = labelled.join(names, "c").select(*AXES, "component")
-    return points.select("id", *AXES).join(labelled, list(AXES)).select("id", "component")
+    labelled = labelled.join(names, "c").select(*by, *AXES, "component")
+    return points.select("id", *by, *AXES).join(labelled, [*by, *AXES]).select("id", "component")
 
 
 def _touching(member: DataFrame, pairs: DataFrame, r: float, pair_work: int, crowded: bool) -> DataFrame:
@@ -375,6 +380,93 @@ def _touching(member: DataFrame, pairs: DataFrame, r: float, pair_work: int, cro
     return out.select(F.col("a_v").alias("a"), F.col("b_v").alias("b"))
 
 
+#: rows of a cell that one task holds against the rows around it
+SHARE = 20_000
+
+
+def _cells_and_steps(points: DataFrame, r: float) -> tuple[list[Column], Column]:
+    """Cell numbers of side r, and the 27 steps to a cell and its neighbours."""
+    low, size, _ = bounds(points)
+    edge = max(r, size / (1 << (_BITS - 2))) * (1 + 1e-9)
+    steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(k).alias("k")) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1)])
+    return cell_of([l - edge for l in low], edge), steps
+
+
+def _shares(points: DataFrame, cells: list[Column], share: int) -> tuple[DataFrame, DataFrame]:
+    """(rows, tiles): points with their cell, in shares of a bounded number of rows, and (cell, shares)."""
+    rows = points.withColumn("cell", pack(*cells))
+    tiles = durable(rows.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(share)).cast("int").alias("shares")))
+    return rows.join(tiles, "cell").withColumn("share", F.pmod(F.xxhash64("id"), F.col("shares")).cast("int")).drop("shares"), tiles
+
+
+def _around(rows: DataFrame, cells: list[Column], steps: Column, tiles: DataFrame) -> DataFrame:
+    """rows once in every share of their own and the neighbouring cells that hold points."""
+    out = rows.select("*", *[c.alias(n) for c, n in zip(cells, ("cx", "cy", "cz"))], F.explode(steps).alias("s"))
+    out = out.select(*rows.columns, pack(F.col("cx") + F.col("s.i"), F.col("cy") + F.col("s.j"), F.col("cz") + F.col("s.k")).alias("cell"))
+    return out.join(tiles, "cell").withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))).drop("shares")
+
+
+def _xyz(t: pa.Table, side: str = "") -> list[np.ndarray]:
+    return [t.column(side + c).to_numpy() for c in AXES]
+
+
+def _blocks(mine: list[np.ndarray], other: list[np.ndarray], size: int = 1 << 21):
+    """(from, to, distances) of bounded blocks of the other rows against all of mine."""
+    step = max(1, size // max(1, len(mine[0])))
+    for i in range(0, len(other[0]), step):
+        d = [o[i:i + step, None] - m[None] for m, o in zip(mine, other)]
+        yield i, i + step, np.sqrt(d[0] * d[0] + d[1] * d[1] + d[2] * d[2])
+
+
+def geodesic_within(points: DataFrame, sources: DataFrame, r: float, share: int = SHARE) -> DataFrame:
+    """(id, dist): shortest path length from any sources.id in the graph that links points(id, x, y, z) at
+    distance <= r, for the points it reaches. As graph.geodesic on radius_pairs, but links are never
+    written: the points improved in a round go to the cells around them and are measured there, so what
+    is shuffled and written grows with the points."""
+    points = durable(points.select("id", *AXES))
+    cells, steps = _cells_and_steps(points, r)
+    rows, tiles = _shares(points, cells, share)
+    begin = sources.select("id").distinct().withColumn("moved", F.lit(True))
+    state = durable(rows.join(begin, "id", "left").select("cell", "share", "id", *AXES, F.when(F.col("moved"), 0.0).otherwise(float("inf")).alias("dist"), F.coalesce("moved", F.lit(False)).alias("moved")))
+
+    def relax(mine: pa.Table, front: pa.Table) -> pa.Table:
+        dist, at, there, far = mine.column("dist").to_numpy(), _xyz(mine), _xyz(front, "b_"), front.column("far").to_numpy()
+        best = dist
+        for i, j, w in _blocks(at, there):
+            best = np.minimum(best, np.where(w <= r, far[i:j, None] + w, np.inf).min(0))
+        return mine.set_column(mine.schema.get_field_index("dist"), "dist", pa.array(best)).set_column(
+            mine.schema.get_field_index("moved"), "moved", pa.array(best < dist))
+
+    while True:
+        front = state.filter("moved").select("id", *AXES, "dist")
+        if front.isEmpty():
+            return state.filter("dist < double('infinity')").select("id", "dist")
+        near = _around(front, cells, steps, tiles).select("cell", "share", *[F.col(c).alias(f"b_{c}") for c in AXES], F.col("dist").alias("far"))
+        state = durable(state.groupBy("cell", "share").cogroup(near.groupBy("cell", "share")).applyInArrow(relax, state.schema))
+
+
+def linked_groups(points: DataFrame, group: str, r: float, share: int = SHARE) -> DataFrame:
+    """(a, b), a < b: two values of a bigint column of points(id, x, y, z, group) with some members within r of each other."""
+    points = durable(points.select("id", *AXES, F.col(group).cast("long").alias("g")))
+    cells, steps = _cells_and_steps(points, r)
+    rows, tiles = _shares(points, cells, share)
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def pairs(mine: pa.Table, other: pa.Table) -> pa.Table:
+        g, o, found = mine.column("g").to_numpy(), other.column("b_g").to_numpy(), set()
+        # only other groups are measured, each value against the rest
+        for v in np.unique(o):
+            theirs, own = [c[o == v] for c in _xyz(other, "b_")], [c[g > v] for c in _xyz(mine)]
+            names, hit = g[g > v], np.zeros(int((g > v).sum()), bool)
+            for _, _, w in _blocks(own, theirs) if len(names) else ():
+                hit |= (w <= r).any(0)
+            found |= {(int(v), int(n)) for n in np.unique(names[hit])}
+        return pa.table([pa.array([f[k] for f in sorted(found)], pa.int64()) for k in (0, 1)], schema=schema)
+
+    near = _around(points, cells, steps, tiles).select("cell", "share", *[F.col(c).alias(f"b_{c}") for c in (*AXES, "g")])
+    return rows.groupBy("cell", "share").cogroup(near.groupBy("cell", "share")).applyInArrow(pairs, "a long, b long").distinct()
+
+
 def _block_tree(pdf: pd.DataFrame) -> pd.DataFrame:
     """Spanning-tree edges one bounded block can be sure of. A block edge is certain when, for one
     of the two pieces it joins, it is the shortest way out and no longer than the distance from

@@ -143,12 +143,7 @@ SELECT step+1, id, n, bool_or(n<dist) OVER () FROM (SELECT t.step, t.id, t.dist,
 f AS (SELECT id, CAST(floor(dist/0.05) AS BIGINT) AS bin FROM g WHERE step=(SELECT max(step) FROM g)), pe AS (SELECT el.a, el.b FROM el JOIN f x ON x.id=el.a JOIN f y ON y.id=el.b WHERE x.bin=y.bin),
 c2 AS (SELECT id, id AS c FROM f UNION SELECT pe.b, c2.c FROM c2 JOIN pe ON pe.a=c2.id), nn AS (SELECT id, min(c) AS node FROM c2 GROUP BY 1) SELECT bin, node, count(*) AS points FROM f JOIN nn USING (id) GROUP BY 1,2""")
 def geodesic_levels(spark, sf):
-    p = points(spark, sf)
-    edges = durable(S.radius_pairs(p, 0.07))
-    keep = durable(K.largest_component(edges, p.select("id")))
-    edges = durable(edges.join(keep.select(F.col("id").alias("a")), "a"))
-    lowest = p.join(keep, "id").agg(F.min_by("id", F.struct("z", "id")).alias("id"))
-    level = G.level_nodes(edges, G.geodesic(edges, lowest), 0.05)
+    level, _ = K.level_sets(points(spark, sf), 0.07, 0.05)
     return level.groupBy("bin", "node").agg(F.count(F.lit(1)).alias("points"))
 
 

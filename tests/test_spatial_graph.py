@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from frondlake.operators import graph as G
+from frondlake.operators import skeleton as K
 from frondlake.operators import spatial as S
 
 
@@ -229,3 +230,33 @@ def test_level_nodes(spark):
     d = G.geodesic(e, spark.createDataFrame([(0,)], "id long"))
     got = {x["id"]: (x["bin"], x["node"]) for x in G.level_nodes(e, d, 2.0).collect()}
     assert got == {0: (0, 0), 1: (0, 0), 2: (1, 2), 4: (1, 2), 3: (1, 3), 5: (1, 3)}
+
+
+def test_level_sets_measure_links_without_writing_them(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    xyz = np.vstack([rng.normal(size=(260, 3)) * [0.05, 0.05, 0.2], [[0.0, 0.0, 0.0]] * 120, rng.normal(size=(15, 3)) * 0.02 + 3])
+    pts = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(xyz)], "id long, x double, y double, z double").localCheckpoint()
+    edges = S.radius_pairs(pts, 0.07).localCheckpoint()
+    sizes, keep = [], S.durable
+
+    def noted(df):
+        sizes.append((t := keep(df)).count())
+        return t
+
+    for m in (S, K):
+        monkeypatch.setattr(m, "durable", noted)
+    level, low = K.level_sets(pts, 0.07, 0.05)
+    level = {r.id: (r.bin, r.node) for r in level.collect()}
+    assert max(sizes) < edges.count() / 4
+    # the same by paths and pieces over the written links of the largest component
+    ids = {r.id for r in K.largest(G.connected_components(edges, pts.select("id"))).collect()}
+    main = edges.filter(S.F.col("a").isin(list(ids))).localCheckpoint()
+    root = pts.filter(S.F.col("id").isin(list(ids))).orderBy("z", "id").select("id").limit(1).localCheckpoint()
+    dist = G.geodesic(main, root).localCheckpoint()
+    assert low.first().id == root.first().id
+    assert level == {r.id: (r.bin, r.node) for r in G.level_nodes(main, dist, 0.05).collect()} and len(level) == len(ids)
+    got = {r.id: r.dist for r in S.geodesic_within(pts, root, 0.07, share=16).collect()}
+    assert got == {r.id: r.dist for r in dist.collect()}
+    df = spark.createDataFrame([(i, *map(float, xyz[i]), n) for i, (_, n) in level.items()], "id long, x double, y double, z double, node long")
+    near = {tuple(sorted((level[r.a][1], level[r.b][1]))) for r in main.collect()}
+    assert {(r.a, r.b) for r in S.linked_groups(df, "node", 0.07, share=16).collect()} == {p for p in near if p[0] != p[1]}
