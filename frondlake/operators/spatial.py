@@ -143,6 +143,71 @@ def distinct_points(points: DataFrame) -> DataFrame:
     return points.groupBy(*AXES).agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
 
 
+#: rows that one task sorts
+ROWS = 500_000
+#: rows of a tile that one task holds, and candidates it measures them against
+TILE, CANDIDATES = 20_000, 200_000
+
+
+def _in_tasks(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """df by keys in as many tasks as ``rows`` rows need. The number is given, since small tasks are
+    merged by their bytes otherwise, and rows of few distinct values have next to none."""
+    return df.repartition(max(1, math.ceil(rows / ROWS)), *keys)
+
+
+def _nearest_in_tiles(spots: DataFrame, copies: DataFrame, pairs: DataFrame, cell: Column, need: int) -> DataFrame:
+    """spot, distance, neighbour, rank: the ``need`` nearest copies of every spot among the cells paired with its own.
+
+    4 x 4 x 4 cells form a tile. A copy comes once to every tile that has a cell paired with its own, with
+    a bit for each of these cells, so candidates meet inside a task and are neither sorted nor shuffled.
+    Fuller tiles go in shares, whose results are ranked once more."""
+    tile = coarser(coarser(F.col("pa")))
+    low2 = [F.shiftright("pa", shift * _BITS).bitwiseAND(F.lit(3)) for shift in (2, 1, 0)]
+    child = (low2[0] * 16 + low2[1] * 4 + low2[2]).cast("int")
+    a = spots.select("spot", cell.alias("pa"), *AXES).select("spot", tile.alias("tile"), child.alias("child"), *AXES)
+    b = copies.select(F.col("id").alias("neighbour"), cell.alias("pb"), *[F.col(c).alias(f"b_{c}") for c in AXES])
+    calls = durable(pairs.groupBy(tile.alias("tile"), "pb").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), child)).alias("cells")))
+    rows = b.groupBy("pb").agg(F.count(F.lit(1)).alias("n"))
+    shares = durable(a.groupBy("tile").agg(F.ceil(F.count(F.lit(1)) / F.lit(TILE)).cast("int").alias("sa"))
+                     .join(calls.join(rows, "pb").groupBy("tile").agg(F.sum("n").alias("n")), "tile")
+                     .select("tile", "sa", F.ceil(F.col("n") / F.lit(CANDIDATES)).cast("int").alias("sb"), "n"))
+    total, most = shares.agg(F.sum(F.col("n") * F.col("sa")), F.max("sb")).first()
+    every = {s: F.explode(F.sequence(F.lit(0), F.col(s) - 1)) for s in ("sa", "sb")}
+    a = a.join(shares, "tile").withColumn("i", F.pmod(F.xxhash64("spot"), F.col("sa")).cast("int")).withColumn("j", every["sb"])
+    b = calls.join(b, "pb").join(shares, "tile").withColumn("j", F.pmod(F.xxhash64("neighbour"), F.col("sb")).cast("int")).withColumn("i", every["sa"])
+    schema = pa.schema([("spot", pa.int64()), ("distance", pa.float64()), ("neighbour", pa.int64()), ("rank", pa.int32())])
+
+    def measure(mine: pa.Table, theirs: pa.Table) -> pa.Table:
+        spot, kids, at = mine.column("spot").to_numpy(), mine.column("child").to_numpy(), _xyz(mine)
+        name, cells, there = theirs.column("neighbour").to_numpy(), theirs.column("cells").to_numpy(), _xyz(theirs, "b_")
+        out = [(np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int32))]
+        for kid in np.unique(kids):
+            own, called = np.nonzero(kids == kid)[0], np.nonzero(cells >> int(kid) & 1)[0]
+            if not len(called):
+                continue
+            for i, j, d in _blocks([c[called] for c in there], [c[own] for c in at]):
+                if len(called) > need:
+                    r, c = np.nonzero(d <= np.partition(d, need - 1, axis=1)[:, need - 1:need])
+                else:
+                    r, c = (v.ravel() for v in np.indices(d.shape))
+                order = np.lexsort((name[called[c]], d[r, c], r))
+                r, c = r[order], c[order]
+                rank = np.arange(len(r)) - np.searchsorted(r, r)
+                r, c, rank = (v[rank < need] for v in (r, c, rank))
+                out.append((spot[own[i:j]][r], d[r, c], name[called[c]], (rank + 1).astype(np.int32)))
+        return pa.table([np.concatenate(v) for v in zip(*out)], schema=schema)
+
+    tasks = max(total or 0, ROWS * spots.sparkSession.sparkContext.defaultParallelism)
+    keys = ["tile", "i", "j"]
+    a = _in_tasks(a.select(*keys, "spot", "child", *AXES), tasks, *keys)
+    b = _in_tasks(b.select(*keys, "neighbour", "cells", *[f"b_{c}" for c in AXES]), tasks, *keys)
+    best = a.groupBy(*keys).cogroup(b.groupBy(*keys)).applyInArrow(measure, "spot long, distance double, neighbour long, rank int")
+    if (most or 0) > 1:
+        again = Window.partitionBy("spot").orderBy("distance", "neighbour")
+        best = best.withColumn("rank", F.row_number().over(again)).filter(F.col("rank") <= need)
+    return best
+
+
 def nearest(left: DataFrame, right: DataFrame, k: int = 1, exclude_self: bool = False,
             leaf: int = LEAF) -> DataFrame:
     """left.id, neighbour, distance, rank for the k nearest right points (ties to the smaller id).
@@ -161,7 +226,7 @@ def nearest(left: DataFrame, right: DataFrame, k: int = 1, exclude_self: bool =
     cell = fine_cell(low, size, depth)
     la = node_levels(spots, [], cell, depth, F.lit(1))
     lb = node_levels(copies, [], cell, depth, F.lit(1))
-    pairs = None
+    pairs, met = None, 1
     for level in range(1, depth + 1):
         a, b = _side(la[level], "a"), _side(lb[level], "b")
         if pairs is None:
@@ -169,20 +234,15 @@ def nearest(left: DataFrame, right: DataFrame, k: int = 1, exclude_self: bool =
             joined = a.join(b, coarser(F.col("a_cell")) == coarser(F.col("b_cell")))
         else:
             joined = pairs.join(a, F.col("pa") == coarser(F.col("a_cell"))).join(b, F.col("pb") == coarser(F.col("b_cell")))
-        joined = joined.withColumn("near", _gap2()).withColumn("far", _reach2())
+        joined = joined.select("a_cell", "b_cell", "b_n", _gap2().alias("near"), _reach2().alias("far"))
+        joined = _in_tasks(joined, 64 * met, "a_cell")
         by_far = Window.partitionBy("a_cell").orderBy("far", "b_cell").rowsBetween(Window.unboundedPreceding, 0)
         joined = joined.withColumn("__upto", F.sum("b_n").over(by_far))
         bound = F.min(F.when(F.col("__upto") >= need, F.col("far"))).over(Window.partitionBy("a_cell"))
         joined = joined.withColumn("__bound", bound).filter("__bound is null or near <= __bound")
         pairs = durable(joined.select(F.col("a_cell").alias("pa"), F.col("b_cell").alias("pb")))
-    a = spots.select("spot", cell.alias("pa"), *[F.col(c).alias(f"a_{c}") for c in AXES])
-    b = copies.select(F.col("id").alias("neighbour"), cell.alias("pb"), *[F.col(c).alias(f"b_{c}") for c in AXES])
-    found = a.join(pairs, "pa").join(b, "pb").select("spot", F.struct(F.sqrt(distance2("a_", "b_")).alias("distance"), "neighbour").alias("m"))
-    if need == 1:
-        best = found.groupBy("spot").agg(F.min("m").alias("m")).select("spot", "m.*", F.lit(1).alias("rank"))
-    else:
-        order = Window.partitionBy("spot").orderBy("m")
-        best = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= need).select("spot", "m.*", "rank")
+        met = pairs.count()
+    best = _nearest_in_tiles(spots, copies, pairs, cell, need)
     best = best.join(spots, "spot").drop("spot")
     rows_out = left.select("id", *AXES).join(best, list(AXES)).select("id", "neighbour", "distance", "rank")
     if exclude_self:

@@ -56,6 +56,26 @@ def test_nearest(points, dist, k, self_out):
         assert np.allclose([got[i][m + 1][1] for m in range(k)], [d for d, _ in order])
 
 
+@pytest.mark.parametrize("shared", [False, True])
+def test_nearest_candidates_are_neither_sorted_nor_held_by_one_task(points, dist, monkeypatch, shared):
+    if shared:
+        monkeypatch.setattr(S, "TILE", 7)
+        monkeypatch.setattr(S, "CANDIDATES", 11)
+        monkeypatch.setattr(S, "ROWS", 50)
+    near = S.nearest(points, points, 3, leaf=6)
+    # the only window ranks the results of a tile's shares, not the candidates
+    assert ("Window" in near._jdf.queryExecution().executedPlan().toString()) == shared
+    got = {(x["id"], x["rank"]): (x["neighbour"], x["distance"]) for x in near.collect()}
+    want = {(i, m + 1): (j, d) for i in range(len(dist)) for m, (d, j) in enumerate(sorted((d, j) for j, d in enumerate(dist[i]))[:3])}
+    assert {k: j for k, (j, _) in got.items()} == {k: j for k, (j, _) in want.items()}
+    assert np.allclose([got[k][1] for k in sorted(got)], [want[k][1] for k in sorted(want)])
+
+
+def test_rows_of_few_values_get_their_tasks(spark):
+    rows = S._in_tasks(spark.range(40).selectExpr("id % 8 k"), 4 * S.ROWS, "k")
+    assert rows.groupBy("k").count().rdd.getNumPartitions() == 4
+
+
 def test_nearest_two_sets(points, dist):
     a, b = points.filter("label = 0"), points.filter("label <> 0")
     got = {x["id"]: x["distance"] for x in S.nearest(a, b, leaf=4).collect()}
