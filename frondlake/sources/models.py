@@ -47,7 +47,7 @@ class Records:
         system, inner = _open(path)
         self.file = system.open_input_file(inner)
         self.file.seek(start)
-        self.held = b""
+        self.held, self.spot = b"", 0
 
     def _record(self, data: bytes, at: int) -> tuple[int, int, int] | None:
         """(place of the count, count, end) of the record at a place, None if its end is not in data."""
@@ -62,23 +62,24 @@ class Records:
         return spot, n, spot + 8 + n * self.layout.item.itemsize
 
     def skip(self) -> int | None:
-        """Length of the next record, over which the stream moves; its items are not read."""
+        """Length of the next record, over which the stream moves; its items are not read. Bytes read stay in
+        place until they are used up, so a pass costs as much per record in a block of any size."""
         if self.at >= self.end:
             return None
-        while (found := self._record(self.held, 0)) is None:
+        while (found := self._record(self.held, self.spot)) is None:
             more = self.file.read(min(READ, max(0, self.end - self.file.tell())))
             if not more:
                 raise ValueError(f"{self.path}: truncated record")
-            self.held += more
-        size = found[2]
+            self.held, self.spot = self.held[self.spot:] + more, 0
+        size = found[2] - self.spot
         self.at += size
         if self.at > self.end:
             raise ValueError(f"{self.path}: truncated record")
-        if size <= len(self.held):
-            self.held = self.held[size:]
+        if found[2] <= len(self.held):
+            self.spot = found[2]
         else:
             self.file.seek(self.at)
-            self.held = b""
+            self.held, self.spot = b"", 0
         return size
 
     def batches(self, rows: int):
