@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from frondlake.operators.ordered import Ordered, ordered
-from frondlake.session import durable
+from frondlake.session import durable, shuffled
 
 
 def edge_key(a: Column, b: Column) -> Column:
@@ -47,18 +47,18 @@ def connected_components(edges: DataFrame, vertices: DataFrame | None = None) ->
                          .otherwise(F.col("m.b")).alias("p"))
         up = durable(up)
         over = up.select(F.col("v").alias("p"), F.col("p").alias("q"))
-        up = up.join(over, "p").select("v", F.col("q").alias("p"))
-        roots = roots.join(up.select(F.col("v").alias("root"), "p"), "root", "left") \
+        up = up.join(shuffled(over), "p").select("v", F.col("q").alias("p"))
+        roots = roots.join(shuffled(up.select(F.col("v").alias("root"), "p")), "root", "left") \
             .select("id", F.coalesce("p", "root").alias("root"))
         if turn % 4 == 0:
             roots = durable(roots)
         left = up.select(F.col("v").alias("a"), F.col("p").alias("pa"))
         right = up.select(F.col("v").alias("b"), F.col("p").alias("pb"))
-        live = durable(live.join(left, "a").join(right, "b").filter("pa <> pb")
+        live = durable(live.join(shuffled(left), "a").join(shuffled(right), "b").filter("pa <> pb")
                        .select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct())
     # written, so that the join of a very large component is between two shuffles and can be split
     names = durable(roots.groupBy("root").agg(F.min("id").alias("component")))
-    return roots.join(names, "root").select("id", "component")
+    return roots.join(shuffled(names), "root").select("id", "component")
 
 
 def number_by_size(labels: DataFrame, component: str = "component", member: str = "id") -> DataFrame:
@@ -294,13 +294,13 @@ def merge_tree(tree: DataFrame, groups: DataFrame, limit: int = REPLAY) -> DataF
                                                      F.least("a", "b").alias("ea"), F.greatest("a", "b").alias("eb")))
     ends = edges.select("k", F.col("a").alias("id")).union(edges.select("k", F.col("b").alias("id"))).distinct()
     sizes = durable(ends.withColumn("n", F.lit(1).cast("long")))
-    held = durable(ends.join(tags, "id").select("k", "id", "tag"))
+    held = durable(ends.join(shuffled(tags), "id").select("k", "id", "tag"))
     out = None
     while True:
         count = durable(edges.groupBy("k").agg(F.count(F.lit(1)).alias("of")))
         ready = count.filter(F.col("of") <= limit).select("k")
         mine = held.join(ready, "k").groupBy("k", "id").agg(F.collect_set("tag").alias("tags"))
-        parts = sizes.join(ready, "k").join(mine, ["k", "id"], "left").withColumn("tags", F.coalesce("tags", F.array().cast("array<string>")))
+        parts = sizes.join(ready, "k").join(shuffled(mine), ["k", "id"], "left").withColumn("tags", F.coalesce("tags", F.array().cast("array<string>")))
         found = durable(edges.join(ready, "k").select("k", "w", "ea", "eb", "a", "b").groupBy("k").cogroup(parts.select("k", "id", "n", "tags").groupBy("k"))
                         .applyInArrow(_replay(pa.string()), "w double, ea long, eb long, size long, large array<string>, small array<string>"))
         out = found if out is None else out.unionByName(found)
@@ -314,7 +314,7 @@ def merge_tree(tree: DataFrame, groups: DataFrame, limit: int = REPLAY) -> DataF
         comp = durable(comp.select(F.col("id.k").alias("k"), F.col("id.v").alias("id"), F.col("component.v").alias("piece")))
         lifted = heavy
         for v in ("a", "b"):
-            lifted = lifted.join(comp.select("k", F.col("id").alias(v), F.col("piece").alias(f"p{v}")), ["k", v], "left")
+            lifted = lifted.join(shuffled(comp.select("k", F.col("id").alias(v), F.col("piece").alias(f"p{v}"))), ["k", v], "left")
         edges = durable(light.select((F.col("k") * 2).alias("k"), "a", "b", "w", "ea", "eb").unionByName(
             lifted.select((F.col("k") * 2 + 1).alias("k"), F.coalesce("pa", "a").alias("a"), F.coalesce("pb", "b").alias("b"), "w", "ea", "eb")))
         met = edges.select("k", F.col("a").alias("id")).union(edges.select("k", F.col("b").alias("id"))).distinct()
@@ -322,11 +322,11 @@ def merge_tree(tree: DataFrame, groups: DataFrame, limit: int = REPLAY) -> DataF
 
         def halves(df: DataFrame, extra: str, comp: DataFrame = comp, ready: DataFrame = ready) -> DataFrame:
             live = df.join(ready, "k", "left_anti")
-            up = live.join(comp, ["k", "id"], "left").select((F.col("k") * 2 + 1).alias("k"), F.coalesce("piece", "id").alias("id"), extra)
+            up = live.join(shuffled(comp), ["k", "id"], "left").select((F.col("k") * 2 + 1).alias("k"), F.coalesce("piece", "id").alias("id"), extra)
             return live.select((F.col("k") * 2).alias("k"), "id", extra).unionByName(up)
 
-        sizes = durable(halves(sizes, "n").groupBy("k", "id").agg(F.sum("n").alias("n")).join(met, ["k", "id"], "left_semi"))
-        held = durable(halves(held, "tag").distinct().join(met, ["k", "id"], "left_semi"))
+        sizes = durable(halves(sizes, "n").groupBy("k", "id").agg(F.sum("n").alias("n")).join(shuffled(met), ["k", "id"], "left_semi"))
+        held = durable(halves(held, "tag").distinct().join(shuffled(met), ["k", "id"], "left_semi"))
 
 
 def first_meetings(merges: DataFrame, groups: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from frondlake.operators.graph import connected_components
 from frondlake.operators.ordered import quantiles
-from frondlake.session import durable
+from frondlake.session import durable, shuffled
 
 AXES = ("x", "y", "z")
 _BITS = 20
@@ -602,7 +602,7 @@ def euclidean_tree(points: DataFrame, block: int = BLOCK) -> DataFrame:
     local = spots.select("id", *AXES, cell.alias("cell"), (room - F.lit(size * 1e-9)).alias("room"))
     solved = durable(local.groupBy("cell").applyInPandas(_block_tree, "kind string, a long, b long, w double"))
     trees = [solved.filter("kind = 'edge'").select("a", "b", "w")]
-    piece = durable(spots.join(solved.filter("kind = 'point'").select(F.col("a").alias("id"), F.col("b").alias("piece")), "id"))
+    piece = durable(spots.join(shuffled(solved.filter("kind = 'point'").select(F.col("a").alias("id"), F.col("b").alias("piece"))), "id"))
     # a cell of this side holds no more rows than a block does
     reach = side / 4
     while not piece.agg(F.min("piece") == F.max("piece")).first()[0]:
@@ -613,11 +613,11 @@ def euclidean_tree(points: DataFrame, block: int = BLOCK) -> DataFrame:
         # the shortest way out of each piece, ties by (w, a, b)
         ends = found.select(F.col("la").alias("p"), "e").union(found.select(F.col("lb").alias("p"), "e"))
         chosen = durable(ends.groupBy("p").agg(F.min("e").alias("e")).select("e").distinct())
-        picks = found.join(chosen, "e", "left_semi")
+        picks = found.join(shuffled(chosen), "e", "left_semi")
         merged = connected_components(picks.select(F.col("la").alias("a"), F.col("lb").alias("b")))
         merged = merged.select(F.col("id").alias("piece"), F.col("component").alias("np"))
         trees.append(chosen.select("e.a", "e.b", "e.w"))
-        piece = durable(piece.join(merged, "piece", "left").select("id", *AXES, F.coalesce("np", "piece").alias("piece")))
+        piece = durable(piece.join(shuffled(merged), "piece", "left").select("id", *AXES, F.coalesce("np", "piece").alias("piece")))
     out = trees[0]
     for t in trees[1:]:
         out = out.union(t)
@@ -639,32 +639,32 @@ def _closest_pieces(piece: DataFrame, low: list[float], size: float, reach: floa
     near = box.select(F.explode(steps).alias("s"), "*").select(
         (F.col("cx") + F.col("s.i")).alias("cx"), (F.col("cy") + F.col("s.j")).alias("cy"), (F.col("cz") + F.col("s.k")).alias("cz"), "piece")
     mixed = near.groupBy("cx", "cy", "cz").agg(F.min("piece").alias("p0"), F.max("piece").alias("p1")).filter("p0 <> p1").select("cx", "cy", "cz")
-    border = box.join(mixed, ["cx", "cy", "cz"], "left_semi")
+    border = box.join(shuffled(mixed), ["cx", "cy", "cz"], "left_semi")
     a = _side(border, "a").withColumn("s", F.explode(steps))
     a = a.withColumn("jx", F.col("a_cx") + F.col("s.i")).withColumn("jy", F.col("a_cy") + F.col("s.j")).withColumn("jz", F.col("a_cz") + F.col("s.k")).drop("s")
     b = _side(border, "b")
     limit = F.lit(reach * reach)
-    met = a.join(b, (F.col("jx") == F.col("b_cx")) & (F.col("jy") == F.col("b_cy")) & (F.col("jz") == F.col("b_cz")) & (F.col("a_piece") < F.col("b_piece")))
+    met = a.join(shuffled(b), (F.col("jx") == F.col("b_cx")) & (F.col("jy") == F.col("b_cy")) & (F.col("jz") == F.col("b_cz")) & (F.col("a_piece") < F.col("b_piece")))
     met = met.withColumn("near", _gap2()).withColumn("far", _reach2()).filter(F.col("near") <= limit)
     met = durable(met.select(F.col("a_piece").alias("la"), F.col("b_piece").alias("lb"), "near", "far",
                              *[F.col(f"a_{c}") for c in ("cx", "cy", "cz")], *[F.col(f"b_{c}") for c in ("cx", "cy", "cz")]))
     best = met.groupBy("la", "lb").agg(F.min("far").alias("best"))
-    met = met.join(best, ["la", "lb"]).filter(F.col("near") <= F.col("best") * (1 + 1e-12))
+    met = met.join(shuffled(best), ["la", "lb"]).filter(F.col("near") <= F.col("best") * (1 + 1e-12))
     # finer cells inside each side, again bounded by the pair's certain distance
     sub = F.xxhash64(*[F.floor((F.col(c) - F.lit(l)) / F.lit(edge / 8)).cast("long") for c, l in zip(AXES, low)])
     rows = rows.withColumn("sub", sub)
     fine = rows.groupBy("piece", "cx", "cy", "cz", "sub").agg(*[F.min(c).alias(f"lo_{c}") for c in AXES], *[F.max(c).alias(f"hi_{c}") for c in AXES])
     fa = _side(fine, "a").withColumnRenamed("a_piece", "la")
     fb = _side(fine, "b").withColumnRenamed("b_piece", "lb")
-    deep = met.drop("near", "far").join(fa, ["la", "a_cx", "a_cy", "a_cz"]).join(fb, ["lb", "b_cx", "b_cy", "b_cz"])
+    deep = met.drop("near", "far").join(shuffled(fa), ["la", "a_cx", "a_cy", "a_cz"]).join(shuffled(fb), ["lb", "b_cx", "b_cy", "b_cz"])
     deep = durable(deep.withColumn("near", _gap2()).withColumn("far", _reach2()).filter((F.col("near") <= F.col("best") * (1 + 1e-12)) & (F.col("near") <= limit))
                    .select("la", "lb", "near", "far", "a_cx", "a_cy", "a_cz", "b_cx", "b_cy", "b_cz", "a_sub", "b_sub"))
     best = deep.groupBy("la", "lb").agg(F.min("far").alias("best"))
-    deep = deep.join(best, ["la", "lb"]).filter(F.col("near") <= F.col("best") * (1 + 1e-12))
+    deep = deep.join(shuffled(best), ["la", "lb"]).filter(F.col("near") <= F.col("best") * (1 + 1e-12))
     ra = rows.select(F.col("piece").alias("la"), *[F.col(c).alias(f"a_{c}") for c in ("cx", "cy", "cz", "sub", *AXES)], F.col("id").alias("ia"))
     rb = rows.select(F.col("piece").alias("lb"), *[F.col(c).alias(f"b_{c}") for c in ("cx", "cy", "cz", "sub", *AXES)], F.col("id").alias("ib"))
     full = deep.select("la", "lb", "a_cx", "a_cy", "a_cz", "b_cx", "b_cy", "b_cz", "a_sub", "b_sub") \
-        .join(ra, ["la", "a_cx", "a_cy", "a_cz", "a_sub"]).join(rb, ["lb", "b_cx", "b_cy", "b_cz", "b_sub"])
+        .join(shuffled(ra), ["la", "a_cx", "a_cy", "a_cz", "a_sub"]).join(shuffled(rb), ["lb", "b_cx", "b_cy", "b_cz", "b_sub"])
     edge_row = F.struct(F.sqrt(distance2("a_", "b_")).alias("w"), F.least("ia", "ib").alias("a"), F.greatest("ia", "ib").alias("b"))
     out = full.filter(distance2("a_", "b_") <= limit).groupBy("la", "lb").agg(F.min(edge_row).alias("e"))
     return durable(out)
@@ -677,7 +677,7 @@ def radius_sweep(tree: DataFrame, points: DataFrame, radii: dict[str, float], mi
     parts = []
     for name, r in radii.items():
         comp = connected_components(tree.filter(F.col("w") <= r).select("a", "b"), spots.select("id"))
-        size = comp.join(spots.select("id", "copies"), "id").groupBy("component").agg(F.sum("copies").alias("size"))
+        size = comp.join(shuffled(spots.select("id", "copies")), "id").groupBy("component").agg(F.sum("copies").alias("size"))
         parts.append(size.select(F.lit(name).alias("mult"), F.lit(float(r)).alias("radius"), "size"))
     sizes = parts[0]
     for p in parts[1:]:

@@ -14,7 +14,7 @@ from frondlake.operators.segments import nearest_segment
 from frondlake.operators.splat import recolor, transform
 from frondlake.plans.derived import POINT_SQL, SPLAT_SQL, points, splats
 from frondlake.plans.registry import query
-from frondlake.session import durable, table
+from frondlake.session import durable, shuffled, table
 
 D = "sqrt(pow(a.x-b.x,2)+pow(a.y-b.y,2)+pow(a.z-b.z,2))"
 
@@ -92,7 +92,7 @@ def join_radius(spark, sf):
 def _tagged_tree(spark, sf):
     p = points(spark, sf)
     spot = S.distinct_points(p).select(*S.AXES, F.col("id").alias("spot"))
-    groups = durable(p.join(spot, list(S.AXES)).select(F.col("spot").alias("id"), F.col("label").cast("string").alias("tag")))
+    groups = durable(p.join(shuffled(spot), list(S.AXES)).select(F.col("spot").alias("id"), F.col("label").cast("string").alias("tag")))
     return durable(S.euclidean_tree(p)), groups
 
 

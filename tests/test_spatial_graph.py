@@ -166,6 +166,21 @@ def test_join_radii_of_weight_zero_and_ties(spark):
     assert got == want
 
 
+def test_tree_tables_are_not_broadcast(points, monkeypatch):
+    written = []
+
+    def watched(df, write=S.durable):
+        written.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df)
+
+    monkeypatch.setattr(S, "durable", watched)
+    monkeypatch.setattr(G, "durable", watched)
+    tree = S.euclidean_tree(points, 40)
+    assert tree.count() == points.select("x", "y", "z").distinct().count() - 1
+    pieces = G.connected_components(tree)
+    assert len(written) > 10 and not any("BroadcastHashJoin" in p for p in [*written, pieces._jdf.queryExecution().executedPlan().toString()])
+
+
 def test_sweep(spark, points, dist):
     tree = S.euclidean_tree(points)
     got = {x["mult"]: x for x in S.radius_sweep(tree, points, {"1": 0.3, "2": 0.8}, 10, 3).collect()}
