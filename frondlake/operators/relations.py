@@ -13,7 +13,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from frondlake.operators.graph import connected_components
 
 from frondlake.operators.ordered import HOT_ROWS, Ordered, attach, ordered
-from frondlake.session import durable
+from frondlake.session import durable, in_tasks
 
 
 def missing_and_unexpected(expected: DataFrame, present: DataFrame, keys: list[str]) -> DataFrame:
@@ -246,13 +246,18 @@ def violations(rules: dict[str, DataFrame], key: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFrame:
-    """Child rows whose foreign key has no parent."""
-    return child.join(parent.select(F.col(pk).alias(fk)).distinct(), fk, "left_anti")
+def orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str, rows: int | None = None) -> DataFrame:
+    """Child rows whose foreign key has no parent; ``rows`` of the larger table, counted if not given. A task
+    holds its parents' keys only: child rows stream past them unsorted, so a hot key costs no memory."""
+    rows = max(child.count(), parent.count()) if rows is None else rows
+    there = in_tasks(parent.select(F.col(pk).alias(fk)), rows, fk).distinct()
+    return in_tasks(child, rows, fk).join(there.hint("shuffle_hash"), fk, "left_anti")
 
 
-def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+def duplicates(df: DataFrame, keys: list[str], rows: int | None = None) -> DataFrame:
+    """(keys, n) of the keys that more than one row has; ``rows`` of df, counted if not given."""
+    rows = df.count() if rows is None else rows
+    return in_tasks(df.select(*keys), rows, *keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
 def same_columns(a: DataFrame, b: DataFrame, key: str, columns: list[str]) -> DataFrame:

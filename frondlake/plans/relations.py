@@ -11,7 +11,7 @@ from frondlake.operators import relations as R
 from frondlake.operators.splat import recolor
 from frondlake.plans.derived import FRAME_SQL, POINT_SQL, SPLAT_SQL, frames, points, splats
 from frondlake.plans.registry import query
-from frondlake.session import durable, table
+from frondlake.session import durable, in_tasks, shuffled, table
 
 
 def r6(c):
@@ -314,11 +314,14 @@ UNION ALL SELECT 'line_order', CAST(l_orderkey AS VARCHAR) FROM lineitem WHERE l
 UNION ALL SELECT 'ship_before_order', CAST(l_orderkey AS VARCHAR) FROM lineitem JOIN orders ON l_orderkey=o_orderkey WHERE l_shipdate<o_orderdate""")
 def referential_violations(spark, sf):
     o, li = table(spark, sf, "orders"), table(spark, sf, "lineitem")
-    dated = li.select(F.col("l_orderkey").alias("o_orderkey"), "l_shipdate").join(o.select("o_orderkey", "o_orderdate"), "o_orderkey")
+    lines = li.count()
+    rows = max(lines, o.count())
+    shipped = in_tasks(li.select(F.col("l_orderkey").alias("o_orderkey"), "l_shipdate"), rows, "o_orderkey")
+    dated = shipped.join(shuffled(in_tasks(o.select("o_orderkey", "o_orderdate"), rows, "o_orderkey")), "o_orderkey")
     return R.violations({
         "order_customer": R.orphans(o, table(spark, sf, "customer"), "o_custkey", "c_custkey").select("o_orderkey"),
-        "line_order": R.orphans(li, o, "l_orderkey", "o_orderkey").select("l_orderkey"),
-        "duplicate_line": R.duplicates(li, ["l_orderkey", "l_linenumber"]).select("l_orderkey"),
+        "line_order": R.orphans(li, o, "l_orderkey", "o_orderkey", rows).select("l_orderkey"),
+        "duplicate_line": R.duplicates(li, ["l_orderkey", "l_linenumber"], lines).select("l_orderkey"),
         "ship_before_order": dated.filter("l_shipdate < o_orderdate").select("o_orderkey")}, "subject")
 
 
