@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from frondlake.operators.spatial import nearest
-from frondlake.session import durable
+from frondlake.session import durable, in_tasks
 
 #: label forms: a tape graduation in cm, and the two ends of a leaf
 TAPE = r"^tape_([0-9]+(?:[.][0-9]+)?)cm$"
@@ -90,12 +90,16 @@ def leaf_ends(leaves: DataFrame, tips: DataFrame, network: DataFrame, gap: float
 
 def group_faults(members: DataFrame, known: DataFrame, kinds: tuple[str, ...], pair: str, exclusive: str) -> DataFrame:
     """(group, fault) of members(group, kind, member): kind not in ``kinds``, repeated_member, too_few, not_a_pair
-    (kind ``pair`` has two), unknown_member, shared_member (in two groups of kind ``exclusive``)."""
-    one = members.groupBy("group", "kind", "member").agg(F.count(F.lit(1)).alias("times"))
-    mark = one.join(known.select("member").distinct().withColumn("__known", F.lit(True)), "member", "left")
-    owners = one.filter(F.col("kind") == exclusive).groupBy("member").agg(F.countDistinct("group").alias("owners")).filter("owners > 1")
-    mark = mark.join(owners, "member", "left")
-    g = mark.groupBy("group").agg(
+    (kind ``pair`` has two), unknown_member, shared_member (in two groups of kind ``exclusive``). Members that come
+    by group are grouped where they are; they are written once, and meet known ones and owners unsorted, by member."""
+    one = durable(members.groupBy("group", "kind", "member").agg(F.count(F.lit(1)).alias("times")))
+    rows = max(one.count(), known.count())
+    there = in_tasks(known.select("member"), rows, "member").distinct().withColumn("__known", F.lit(True))
+    # a group is in ``one`` once for a kind and member
+    held = in_tasks(one.filter(F.col("kind") == exclusive).select("member", "group"), rows, "member")
+    owners = held.groupBy("member").agg(F.count("group").alias("owners")).filter("owners > 1")
+    mark = in_tasks(one, rows, "member").join(there.hint("shuffle_hash"), "member", "left").join(owners.hint("shuffle_hash"), "member", "left")
+    g = in_tasks(mark, rows, "group").groupBy("group").agg(
         F.sum("times").alias("listed"), F.count(F.lit(1)).alias("distinct"), F.count_if(F.col("__known").isNull()).alias("unknown"),
         F.count_if((F.col("kind") == exclusive) & F.col("owners").isNotNull()).alias("shared"), F.min("kind").alias("kind"), F.max("kind").alias("other"))
     ok = F.coalesce(F.col("kind").isin(*kinds) & (F.col("kind") == F.col("other")), F.lit(False))

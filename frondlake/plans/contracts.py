@@ -10,7 +10,7 @@ from frondlake.operators.ordered import Ordered, ordered
 from frondlake.operators.spatial import nearest
 from frondlake.plans.derived import POINT_SQL, points
 from frondlake.plans.registry import query
-from frondlake.session import table
+from frondlake.session import in_tasks, shuffled, table
 
 D = "sqrt(pow(a.x-b.x,2)+pow(a.y-b.y,2)+pow(a.z-b.z,2))"
 
@@ -116,8 +116,11 @@ def leaf_groups(spark, sf):
     """Orders as display groups of suppliers."""
     s = F.col("o_orderstatus")
     kind = F.when(s == "F", "same_leaf").when(s == "O", "side_branch_pair").otherwise("draft")
-    m = table(spark, sf, "lineitem").join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.col("l_orderkey").alias("group"), kind.alias("kind"), F.col("l_suppkey").alias("member"))
+    li, o = table(spark, sf, "lineitem"), table(spark, sf, "orders")
+    rows = max(li.count(), o.count())
+    lines = in_tasks(li.select(F.col("l_orderkey").alias("group"), F.col("l_suppkey").alias("member")), rows, "group")
+    orders = in_tasks(o.select(F.col("o_orderkey").alias("group"), kind.alias("kind")), rows, "group")
+    m = lines.join(shuffled(orders), "group").select("group", "kind", "member")
     known = table(spark, sf, "supplier").filter("s_acctbal >= 0").select(F.col("s_suppkey").alias("member"))
     faults = R.group_faults(m, known, ("same_leaf", "side_branch_pair"), "side_branch_pair", "same_leaf")
     return faults.groupBy("fault").agg(F.count(F.lit(1)).alias("groups"))
