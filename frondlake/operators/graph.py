@@ -6,9 +6,11 @@ driver sees only counts. Vertices are bigint ids.
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from frondlake.operators.ordered import Ordered, ordered
 from frondlake.session import durable, shuffled
@@ -25,11 +27,35 @@ def undirected(edges: DataFrame, *extra: str) -> DataFrame:
     return edges.select("a", "b", *extra).unionByName(flipped)
 
 
-def connected_components(edges: DataFrame, vertices: DataFrame | None = None) -> DataFrame:
+def _contracted(kind: pa.DataType):
+    schema = pa.schema([("v", kind), ("p", kind)])
+
+    def run(batches):
+        """(v, p) for every end of the edges of all batches: p is the same one vertex in a whole component."""
+        edges = pa.Table.from_batches(list(batches))
+        ends = pa.chunked_array(edges.column("a").chunks + edges.column("b").chunks, kind).combine_chunks().dictionary_encode()
+        ends = ends.combine_chunks() if isinstance(ends, pa.ChunkedArray) else ends
+        x, y = np.split(ends.indices.to_numpy(), 2)
+        first = np.arange(len(ends.dictionary))
+        while True:
+            x, y = first[x], first[y]
+            x, y = x[x != y], y[x != y]
+            if not len(x):
+                break
+            np.minimum.at(first, np.maximum(x, y), np.minimum(x, y))
+            while (first[first] != first).any():
+                first = first[first]
+        yield from pa.table([ends.dictionary, ends.dictionary.take(pa.array(first))], schema=schema).to_batches(max_chunksize=100_000)
+
+    return run
+
+
+def connected_components(edges: DataFrame, vertices: DataFrame | None = None, whole: int = 0) -> DataFrame:
     """(id, component) for every end of edges(a, b) and every vertices.id; a component is named by
     its smallest id. Each round every vertex points at the neighbour with the smallest random
     priority, pointers are doubled, and the graph is contracted, so rounds are logarithmic in any
-    numbering and the edge list shrinks geometrically."""
+    numbering and the edge list shrinks geometrically. Once at most ``whole`` edges are left, one task
+    contracts them at once."""
     live = durable(edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     ids = live.select(F.col("a").alias("id")).union(live.select(F.col("b").alias("id")))
     if vertices is not None:
@@ -38,6 +64,11 @@ def connected_components(edges: DataFrame, vertices: DataFrame | None = None) ->
     turn = 0
     while not live.isEmpty():
         turn += 1
+        if whole and live.count() <= whole:
+            kind = live.schema["a"].dataType
+            up = durable(live.repartition(1).mapInArrow(_contracted(to_arrow_type(kind)), f"v {kind.simpleString()}, p {kind.simpleString()}"))
+            roots = durable(roots.join(shuffled(up.withColumnRenamed("v", "root")), "root", "left").select("id", F.coalesce("p", "root").alias("root")))
+            break
 
         def order(c, turn=turn):
             return F.struct(F.xxhash64(c, F.lit(turn)), c)

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-import heapq
+import gc
+import math
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from frondlake.operators.graph import connected_components
 
 from frondlake.operators.ordered import HOT_ROWS, Ordered, attach, ordered
-from frondlake.session import durable, in_tasks
+from frondlake.session import durable, in_tasks, shuffled
 
 
 def missing_and_unexpected(expected: DataFrame, present: DataFrame, keys: list[str]) -> DataFrame:
@@ -46,27 +49,35 @@ def overlapping_pairs(members: DataFrame, share: float, hot_rows: int = HOT_ROWS
     n - ceil(share * n) + 1 items in common, so only those meet the other side's items. Items held
     by very many instances are in almost nobody's prefix. Both sides bring their items, rarest first,
     so a pair is counted where it meets and kept at its rarest common item only; no candidate is moved.
-    Instances of more than ``carried`` items do not travel: their pairs as the larger side are counted by joins."""
-    m = durable(members.select("instance", "photo", "item").distinct())
+    Each side's items are also marks in 64 bits: a mark the larger side lacks is an item it lacks, so most candidates
+    go before their items are compared. Instances of more than ``carried`` rows do not travel: their pairs as the
+    larger side are counted by joins. members is read several times: give a written table."""
+    m = members.select("instance", "photo", "item")
+    # repeated rows count too: any order of the items serves
     freq = m.groupBy("item").agg(F.count(F.lit(1)).alias("freq"))
-    ranked = durable(m.join(freq, "item"))
-    sizes = ranked.groupBy("instance").agg(F.count(F.lit(1)).alias("n"), F.min("photo").alias("p0"), F.max("photo").alias("p1"))
+    sizes = m.groupBy("instance").agg(F.count(F.lit(1)).alias("n"), F.min("photo").alias("p0"), F.max("photo").alias("p1"))
     long = durable(sizes.filter((F.col("n") > carried) | (F.col("p0") != F.col("p1"))).select("instance"))
-    by = F.array_sort(F.collect_list(F.struct("freq", "item")))
-    short = ranked.join(long, "instance", "left_anti").groupBy("instance").agg(F.min("photo").alias("photo"), by.alias("items"))
-    short = durable(short.select("instance", "photo", F.col("items.item").alias("items"), F.size("items").cast("long").alias("n")))
+    ranked, any_long = m.join(freq, "item"), not long.isEmpty()
+    if any_long:
+        ranked = durable(ranked.distinct())
+    mark = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64("item"), F.lit(64)).cast("int"))
+    by = F.sort_array(F.collect_set(F.struct("freq", "item")))
+    short = ranked.join(long, "instance", "left_anti").groupBy("instance").agg(F.min("photo").alias("photo"), by.alias("items"), F.bit_or(mark).alias("marks"))
+    short = durable(short.select("instance", "photo", F.col("items.item").alias("items"), F.size("items").cast("long").alias("n"), "marks"))
     # a share of n that is whole must not be lifted by rounding
     need = F.greatest(F.ceil(F.col("n") * share - 1e-9), F.lit(1)).cast("int")
-    a = short.select(F.posexplode(F.slice("items", F.lit(1), (F.col("n") - need + 1).cast("int"))).alias("at", "item"),
-                     F.col("instance").alias("small"), F.col("photo").alias("pa"), F.col("items").alias("ia"), need.alias("need"))
-    b = short.select(F.posexplode("items").alias("bt", "item"), F.col("instance").alias("large"), F.col("photo").alias("pb"), F.col("items").alias("ib"))
-    na, nb = F.size("ia"), F.size("ib")
-    met = a.join(b, "item").filter((F.col("small") != F.col("large")) & (F.col("pa") != F.col("pb")) & ((na < nb) | ((na == nb) & (F.col("small") < F.col("large")))))
+    a = short.select(F.posexplode(F.slice("items", F.lit(1), (F.col("n") - need + 1).cast("int"))).alias("at", "item"), F.col("instance").alias("small"),
+                     F.col("photo").alias("pa"), F.col("items").alias("ia"), F.col("n").cast("int").alias("na"), need.alias("need"), F.col("marks").alias("ma"))
+    b = short.select(F.posexplode("items").alias("bt", "item"), F.col("instance").alias("large"), F.col("photo").alias("pb"), F.col("items").alias("ib"),
+                     F.col("n").cast("int").alias("nb"), F.col("marks").alias("mb"))
+    na, nb = F.col("na"), F.col("nb")
     # what follows the rarest common item on either side must reach the share
-    met = met.filter(nb - F.col("bt") >= F.col("need"))
-    met = met.select("item", "small", "large", na.alias("na"), F.array_intersect("ia", "ib").alias("both")).filter(F.get("both", F.lit(0)) == F.col("item"))
+    met = a.join(b, "item").filter((nb - F.col("bt") >= F.col("need")) & (F.bit_count(F.col("ma").bitwiseAND(F.bitwise_not("mb"))) <= na - F.col("need")))
+    met = met.filter((F.col("small") != F.col("large")) & (F.col("pa") != F.col("pb")) & ((na < nb) | ((na == nb) & (F.col("small") < F.col("large")))))
+    # as a generator the comparison stays out of the join's condition, where it would stand several times and be too long a method for the JVM to compile
+    met = met.select("item", "small", "large", "na", F.explode(F.array(F.array_intersect("ia", "ib"))).alias("both")).filter(F.get("both", F.lit(0)) == F.col("item"))
     common = met.select("small", "large", F.col("na").cast("long").alias("na"), F.size("both").cast("long").alias("common"))
-    if not long.isEmpty():
+    if any_long:
         common = common.unionByName(_long_overlaps(ranked, long, share, hot_rows))
     kept = common.withColumn("overlap", F.col("common") / F.col("na")).filter(F.col("overlap") >= share)
     return kept.select(F.least("small", "large").alias("a"), F.greatest("small", "large").alias("b"), "common", "overlap")
@@ -94,134 +105,225 @@ def _long_overlaps(rows: DataFrame, long: DataFrame, share: float, hot_rows: int
 MERGE_PAIRS = 200_000
 #: pairs of one component that a task settles at once
 WHOLE_PAIRS = 2_000_000
+#: pairs between two renumberings of a task's clusters
+RUN_PAIRS = 100_000
+#: a photo set becomes a byte a photo when it holds more than one in so many, and more than as many
+SPARSE = 64
+
+
+class _Held:
+    """Photos by cluster number, from two columns of numbers ordered by cluster."""
+
+    def __init__(self, photo: np.ndarray, start: np.ndarray):
+        self.photo, self.start = photo, start
+
+    def __getitem__(self, c: int) -> list[int]:
+        return self.photo[self.start[c]:self.start[c + 1]].tolist()
+
+
+def _clash(p, q) -> bool:
+    """Whether two photos, photo sets or bytes by photo have one in common."""
+    if type(p) is int:
+        p, q = q, p
+    if type(q) is int:
+        return p == q if type(p) is int else q in p if type(p) is set else p[q]
+    if type(p) is set:
+        return not p.isdisjoint(q) if type(q) is set else any(map(q.__getitem__, p))
+    if type(q) is set:
+        return any(map(p.__getitem__, q))
+    p, q = np.frombuffer(p, np.uint8), np.frombuffer(q, np.uint8)
+    # large sets mostly clash early
+    return bool((p[:4096] & q[:4096]).any() or (p & q).any())
+
+
+def _joined(p, q, kinds: int):
+    """Both of them in one, the smaller one moved into the larger."""
+    if type(p) is int or type(p) is set and (type(q) is bytearray or type(q) is set and len(p) < len(q)):
+        p, q = q, p
+    if type(p) is int:
+        return {p, q}
+    if type(q) is int:
+        q = (q,)
+    if type(p) is set:
+        p.update(q)
+        if len(p) <= max(SPARSE, kinds // SPARSE):
+            return p
+        p, q = bytearray(kinds), p
+    if type(q) is not bytearray:
+        for i in q:
+            p[i] = 1
+    else:
+        whole = np.frombuffer(p, np.uint8)
+        np.bitwise_or(whole, np.frombuffer(q, np.uint8), out=whole)
+    return p
 
 
-def _reciprocal_merges(first: list, second: list, names: list, photos: list) -> dict:
+def _reciprocal_merges(first, second, names, photos) -> dict:
     """{cluster: name after merging} for pairs given heaviest first by the numbers of their clusters.
 
-    Each cluster keeps a heap of its pairs. From any cluster the way leads to the partner of its
-    heaviest pair that does not clash, on to that one's partner, over ever heavier pairs, until a pair
-    is the heaviest at both ends. Such a pair merges at once: no pair that touches either end comes
-    before it. The smaller heap and the smaller photo set move into the larger. Photos are sets,
+    At its turn a pair is the heaviest one left at both of its clusters: it merges them, or their
+    photos clash, and then for good. So of the pairs between two clusters only the heaviest counts, and pairs
+    go in runs: before each, clusters get the numbers they have by now and all pairs that became inner
+    or repeated go at once. A cluster's photos are gathered when it first comes up; one photo is no set. Photos are numbers from 0, in sets,
     or bitmaps of a few."""
-    photos = [{i for i in range(p.bit_length()) if p >> i & 1} if isinstance(p, int) else p for p in photos]
-    heaps: list[list[int]] = [[] for _ in names]
-    for i, (x, y) in enumerate(zip(first, second)):
-        heaps[x].append(i)
-        heaps[y].append(i)
-    slot, title = list(range(len(names))), list(range(len(names)))
-
-    def home(c: int) -> int:
-        while slot[c] != c:
-            slot[c] = slot[slot[c]]
-            c = slot[c]
-        return c
-
-    def heaviest(c: int) -> tuple[int, int] | None:
-        """Number of the pair and the cluster at its other end; pairs that cannot merge any more go."""
-        heap = heaps[c]
-        while heap:
-            x, y = home(first[heap[0]]), home(second[heap[0]])
-            if x != y and photos[x].isdisjoint(photos[y]):
-                return heap[0], y if x == c else x
-            heapq.heappop(heap)
-        return None
-
-    for start in range(len(names)):
-        way = [start] if slot[start] == start else []
-        while way:
-            here = heaviest(way[-1])
-            if here is None:
-                way.pop()
+    first, second, n = np.asarray(first, np.int64), np.asarray(second, np.int64), len(names)
+    if isinstance(photos, _Held):
+        kinds = int(photos.photo.max(initial=-1)) + 1
+        lone = np.where(np.diff(photos.start) == 1, photos.photo[np.minimum(photos.start[:-1], len(photos.photo) - 1)], -1) if n else np.empty(0, int)
+    else:
+        photos = [{i for i in range(p.bit_length()) if p >> i & 1} if isinstance(p, int) else p for p in photos]
+        kinds = max((max(p, default=-1) + 1 for p in photos), default=0)
+        lone = np.array([min(p) if len(p) == 1 else -1 for p in photos], np.int64)
+    now, title, grown = np.arange(n), np.arange(n), {}
+    for start in range(0, len(first), RUN_PAIRS):
+        x, y = now[first[start:start + RUN_PAIRS]], now[second[start:start + RUN_PAIRS]]
+        x, y = x[x != y], y[x != y]
+        _, kept = np.unique(np.minimum(x, y) * n + np.maximum(x, y), return_index=True)
+        kept.sort()
+        known, ends = np.unique(np.concatenate([x[kept], y[kept]]), return_inverse=True)
+        if not len(known):
+            continue
+        numbers, slot, apart = known.tolist(), list(range(len(known))), set()
+        named, held = title[known].tolist(), [None if p < 0 else p for p in lone[known].tolist()]
+        for i, j in zip(ends[:len(kept)].tolist(), ends[len(kept):].tolist()):
+            while slot[i] != i:
+                slot[i] = i = slot[slot[i]]
+            while slot[j] != j:
+                slot[j] = j = slot[slot[j]]
+            if i == j or (i, j) in apart or (j, i) in apart:
                 continue
-            pair, there = here
-            if heaviest(there)[0] != pair:
-                way.append(there)
+            p, q = held[i], held[j]
+            if p is None:
+                p = held[i] = grown.get(numbers[i]) or set(photos[numbers[i]])
+            if q is None:
+                q = held[j] = grown.get(numbers[j]) or set(photos[numbers[j]])
+            if _clash(p, q):
+                apart.add((i, j))
                 continue
-            here_slot = way.pop()
-            if way and way[-1] == there:
-                way.pop()
-            keep, gone = (here_slot, there) if len(heaps[here_slot]) >= len(heaps[there]) else (there, here_slot)
-            named = title[home(first[pair])]
-            for i in heaps[gone]:
-                heapq.heappush(heaps[keep], i)
-            heaps[gone], slot[gone] = [], keep
-            less, more = sorted((photos[keep], photos[gone]), key=len)
-            more |= less
-            photos[keep], photos[gone] = more, set()
-            title[keep] = named
-            way.append(keep)
-    return {names[c]: names[title[home(c)]] for c in range(len(names)) if title[home(c)] != c}
-
-
-def _settle_block(kind: pa.DataType):
+            # the larger cluster stays, so that what it clashed with is still known; the pair's first one gives the name
+            both, name = _joined(p, q, kinds), named[i]
+            keep, gone = (j, i) if both is q else (i, j)
+            held[keep], held[gone], slot[gone], named[keep] = both, None, keep, name
+        moved = np.array(slot)
+        while (moved[moved] != moved).any():
+            moved = moved[moved]
+        lost = np.flatnonzero(moved != np.arange(len(moved)))
+        for c in lost.tolist():
+            grown.pop(numbers[c], None)
+        larger = np.unique(moved[lost])
+        lone[known[larger]] = -1
+        for c in larger.tolist():
+            grown[numbers[c]] = held[c]
+        title[known] = np.array(named)[moved]
+        step = np.arange(n)
+        step[known] = known[moved]
+        now = step[now]
+    last = title[now]
+    return {names[c]: names[last[c]] for c in np.flatnonzero(last != np.arange(n)).tolist()}
+
+
+def _settle_block(kind: pa.DataType, turn: list[str], ends: tuple[str, str]):
+    """The merges (cluster, into) of one block's pairs, by descending ``turn``; pairs of clusters without photos take no part."""
     schema = pa.schema([("cluster", kind), ("into", kind)])
 
     def run(pairs: pa.Table, views: pa.Table) -> pa.Table:
-        pairs = pairs.sort_by([("w", "descending"), ("a", "descending"), ("b", "descending")])
-        number: dict = {}
-        x, y = ([number.setdefault(c, len(number)) for c in pairs.column(end).to_pylist()] for end in ("ca", "cb"))
-        photos: list[set] = [set() for _ in number]
-        for c, p in zip(views.column("cluster").to_pylist(), views.column("photo").to_pylist()):
-            if c in number:
-                photos[number[c]].add(p)
-        moved = _reciprocal_merges(x, y, list(number), photos)
-        return pa.table([pa.array(list(moved), kind), pa.array(list(moved.values()), kind)], schema=schema)
+        names = views.column("cluster").combine_chunks().unique()
+        x, y = (pc.index_in(pairs.column(end), value_set=names).fill_null(-1).to_numpy() for end in ends)
+        if all(pa.types.is_integer(f.type) or pa.types.is_floating(f.type) for f in pairs.select(turn).schema):
+            order = np.lexsort([pairs.column(c).to_numpy() for c in reversed(turn)])[::-1]
+        else:
+            order = pc.sort_indices(pairs, sort_keys=[(c, "descending") for c in turn]).to_numpy()
+        order = order[(x[order] >= 0) & (y[order] >= 0)]
+        cluster = pc.index_in(views.column("cluster"), value_set=names).to_numpy()
+        photo = views.column("photo").combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
+        at = np.argsort(cluster, kind="stable")
+        held = _Held(photo[at], np.searchsorted(cluster[at], np.arange(len(names) + 1)))
+        # millions of photo sets and no cycle among them: the collector would walk them over and over
+        gc.disable()
+        try:
+            moved = _reciprocal_merges(x[order], y[order], range(len(names)), held)
+        finally:
+            gc.enable()
+        old, new = (pa.array(v, pa.int64()) for v in (list(moved), list(moved.values())))
+        return pa.table([names.take(old), names.take(new)], schema=schema)
 
     return run
 
 
-def _settle(pairs: DataFrame, held: DataFrame, limit: int) -> DataFrame:
-    """held(instance, photo, cluster) after all of pairs(w, a, b) had their turn. Components of the pair
-    graph do not see each other and are settled side by side, small ones together; one of more than ``limit``
-    pairs is cut: first its heavier half, which mostly falls into small components, then the rest."""
-    where = held.select("instance", "cluster").distinct()
-    live = durable(pairs.join(where.toDF("a", "ca"), "a").join(where.toDF("b", "cb"), "b").filter("ca <> cb"))
-    n = live.count()
-    if not n:
-        return held
-    kind, long, pack = held.schema["cluster"].dataType, None, min(limit, MERGE_PAIRS)
-    if n <= pack:
-        work, views = live.withColumn("block", F.lit(0)), held.withColumn("block", F.lit(0))
-    else:
-        part = connected_components(live.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
-        part = durable(part.select(F.col("id").alias("cluster"), "component"))
-        live = durable(live.join(part.withColumnRenamed("cluster", "ca"), "ca"))
-        large = durable(live.groupBy("component").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > pack))
-        long = large.filter(F.col("n") > limit).select("component")
-        # a component above ``pack`` is a block of its own
-        digest = F.xxhash64("component")
-        block = F.when(F.col("n").isNotNull(), digest).otherwise(F.pmod(digest, F.lit(-(-n // pack)))).alias("block")
-        blocks = durable(part.select("component").distinct().join(large, "component", "left").filter(F.col("n").isNull() | (F.col("n") <= limit)).select("component", block))
-        work = live.join(blocks, "component")
-        views = held.join(part.join(blocks, "component"), "cluster")
-    views = views.select(F.col("block").alias("at"), "cluster", "photo").distinct()
+def _settled(pairs: DataFrame, views: DataFrame, tasks: int, block: str, turn: list[str], ends: tuple[str, str]) -> DataFrame:
+    """(cluster, into), written: pairs(block, turn, ends) settled with views(block, cluster, photo), a block in one of ``tasks``."""
+    kind = views.schema["cluster"].dataType
     name = kind.simpleString()
-    into = durable(work.select("block", "w", "a", "b", "ca", "cb").groupBy("block").cogroup(views.groupBy("at"))
-                   .applyInArrow(_settle_block(to_arrow_type(kind)), f"cluster {name}, into {name}"))
-    held = durable(held.join(into, "cluster", "left").select("instance", "photo", F.coalesce("into", "cluster").alias("cluster")))
-    if long is None or long.isEmpty():
-        return held
-    # ascending rank, so the upper half is the heavier one
-    rest = durable(ordered(live.join(long, "component").select("component", "w", "a", "b"), ["component"], ["w", "a", "b"],
-                           Ordered(rank="k", totals={"n": F.lit(1)})))
-    held = _settle(rest.filter("k > n div 2").select("w", "a", "b"), held, limit)
-    return _settle(rest.filter("k <= n div 2").select("w", "a", "b"), held, limit)
+    # dealt by blocks: merged by bytes, the large ones would stand in line
+    left, right = pairs.select(block, *turn, *(e for e in ends if e not in turn)).repartition(tasks, block), views.select(block, "cluster", "photo").repartition(tasks, block)
+    return durable(left.groupBy(block).cogroup(right.groupBy(block))
+                   .applyInArrow(_settle_block(to_arrow_type(kind), turn, ends), f"cluster {name}, into {name}"))
+
+
+def _settle_long(pairs: DataFrame, held: DataFrame, limit: int, rows: int, tasks: int) -> DataFrame:
+    """(instance, cluster) of held(component, instance, photo) after the ``rows`` pairs(component, w, a, b) of ``tasks`` components
+    above ``limit`` had their turn: about ``limit`` of each component at a time, the heaviest ones first."""
+    # parts follow one another in the order of a component's turns
+    parts = math.ceil(rows / max(1, limit // 4))
+    dealt = pairs.select("component", "w", "a", "b").repartitionByRange(parts, "component", F.desc("w"), F.desc("a"), F.desc("b"))
+    dealt = durable(dealt.withColumn("part", F.spark_partition_id()))
+    sizes = dealt.groupBy("component", "part").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("component").orderBy("part")) - F.col("n")
+    turns = durable(sizes.select("component", "part", F.floor(before / F.lit(limit)).alias("turn")))
+    bounds = sorted(turns.groupBy("turn").agg(F.min("part").alias("low"), F.max("part").alias("high")).collect())
+    now = durable(held.select("instance", F.col("instance").alias("cluster")).distinct())
+    views = durable(held.select("component", F.col("instance").alias("cluster"), "photo"))
+    for turn, low, high in bounds:
+        live = dealt.filter(F.col("part").between(low, high)).join(turns.filter(F.col("turn") == turn).drop("turn"), ["component", "part"], "left_semi")
+        live = live.join(shuffled(now.toDF("a", "ca")), "a").join(shuffled(now.toDF("b", "cb")), "b")
+        live = durable(live.filter("ca <> cb").select("component", "w", "a", "b", "ca", "cb"))
+        touched = live.select(F.col("ca").alias("cluster")).union(live.select(F.col("cb").alias("cluster"))).distinct()
+        into = _settled(live, views.join(shuffled(touched), "cluster", "left_semi"), tasks, "component", ["w", "a", "b"], ("ca", "cb"))
+        now = durable(now.join(into, "cluster", "left").select("instance", F.coalesce("into", "cluster").alias("cluster")))
+        if turn != bounds[-1][0]:
+            views = durable(views.join(into, "cluster", "left").select("component", F.coalesce("into", "cluster").alias("cluster"), "photo"))
+    return now
 
 
 def agglomerate(instances: DataFrame, pairs: DataFrame, limit: int = WHOLE_PAIRS) -> DataFrame:
     """(instance, cluster): merge pairs(a, b, overlap) in descending (overlap, a, b), never joining
     clusters that share a photo; the cluster of the pair's first instance gives the name.
 
-    The order matters only between pairs that touch a common cluster. So components of the pair graph
-    are independent, and inside one a pair may merge as soon as it is the heaviest left at both of its
-    clusters. A task settles at most ``limit`` pairs with the photo sets of their clusters; jobs grow
-    with the logarithm of the largest component over ``limit``, and only for a component that stays in
-    one piece at every weight with their quotient. Instances in no pair keep their own name; pairs of
-    unknown instances, or without overlap, take no part."""
-    held = durable(instances.select("instance", "photo", F.col("instance").alias("cluster")).distinct())
-    able = pairs.filter("overlap is not null").select(F.col("overlap").alias("w"), "a", "b")
-    return _settle(durable(able), held, limit).select("instance", "cluster").distinct()
+    Components of the pair graph do not see each other and are settled side by side, small ones together, one
+    of up to ``limit`` pairs whole. A larger one goes by shares of about ``limit`` pairs, heaviest first: between two shares instances take
+    the names of their clusters. So a task has about ``limit`` pairs with the photo sets of their clusters, and jobs grow with the
+    quotient of the largest component and ``limit``. A component is found with four times as many edges in a task, which have no photos.
+    Instances in no pair keep their own name; pairs of unknown instances, or without overlap, take no part."""
+    held = durable(instances.select("instance", "photo").distinct())
+    able = durable(pairs.filter("overlap is not null and a <> b").select(F.col("overlap").alias("w"), "a", "b"))
+    n, pack = able.count(), min(limit, MERGE_PAIRS)
+    views = held.withColumnRenamed("instance", "cluster")
+    if n <= pack:
+        into = _settled(able.withColumn("block", F.lit(0)), views.withColumn("block", F.lit(0)), 1, "block", ["w", "a", "b"], ("a", "b"))
+        return _renamed(held, into)
+    part = durable(connected_components(able.select("a", "b"), whole=4 * limit).toDF("cluster", "component"))
+    live = durable(able.join(part.toDF("a", "component"), "a"))
+    large = durable(live.groupBy("component").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > pack))
+    # a component above ``pack`` is a block of its own
+    digest = F.xxhash64("component")
+    block = F.when(F.col("n").isNotNull(), digest).otherwise(F.pmod(digest, F.lit(-(-n // pack)))).alias("block")
+    small = F.col("n").isNull() | (F.col("n") <= limit)
+    sight = views.join(part, "cluster").join(large, "component", "left")
+    into = _settled(live.join(large, "component", "left").filter(small).select(block, "w", "a", "b"),
+                    sight.filter(small).select(block, "cluster", "photo"), -(-n // pack), "block", ["w", "a", "b"], ("a", "b"))
+    long = large.filter(F.col("n") > limit)
+    rows, longs = long.agg(F.sum("n"), F.count("n")).first()
+    if longs:
+        long = long.select("component")
+        mine = sight.filter(F.col("n") > limit).select("component", F.col("cluster").alias("instance"), "photo")
+        into = into.unionByName(_settle_long(live.join(long, "component"), mine, limit, rows, longs).toDF("cluster", "into"))
+    return _renamed(held, into)
+
+
+def _renamed(held: DataFrame, into: DataFrame) -> DataFrame:
+    """(instance, cluster): instances with the name that into(cluster, into) has for them, or their own."""
+    own = held.select("instance").distinct()
+    return own.join(into.withColumnRenamed("cluster", "instance"), "instance", "left").select("instance", F.coalesce("into", "instance").alias("cluster"))
 
 
 def vote_argmax(votes: DataFrame, key: str, choice: str) -> DataFrame:

@@ -98,9 +98,11 @@ def clip_assignment(spark, sf):
 
 
 def _baskets(spark, sf):
-    li = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("instance"), F.col("l_partkey").alias("item")).distinct()
+    li = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("instance"), F.col("l_partkey").alias("item"))
     o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("instance"), F.col("o_custkey").alias("photo"))
-    return li.join(o, "instance")
+    # one shuffle serves the distinct rows and the join
+    rows = max(li.count(), o.count())
+    return in_tasks(li, rows, "instance").distinct().join(in_tasks(o, rows, "instance"), "instance")
 
 
 OVERLAP_SQL = """m AS (SELECT DISTINCT l_orderkey AS i, o_custkey AS ph, l_partkey AS g FROM lineitem JOIN orders ON l_orderkey=o_orderkey), c AS (SELECT i, count(*) AS n FROM m GROUP BY 1),
@@ -110,7 +112,7 @@ ov AS (SELECT a, b, common, common/least(ca.n,cb.n) AS overlap FROM k JOIN c ca
 
 @query("overlap_pairs", f"WITH {OVERLAP_SQL} SELECT a, b, common, round(overlap,6) AS overlap FROM ov")
 def overlap_pairs(spark, sf):
-    return R.overlapping_pairs(_baskets(spark, sf), 0.6).select("a", "b", "common", r6(F.col("overlap")).alias("overlap"))
+    return R.overlapping_pairs(durable(_baskets(spark, sf)), 0.6).select("a", "b", "common", r6(F.col("overlap")).alias("overlap"))
 
 
 # Rounds over typed rows: kind 0 is an instance with its cluster, kind 1 a pair of clusters that may still merge.
